@@ -24,6 +24,9 @@ CATALOG_KEEP_CLASS = "A-Z0-9Ñ&/ -"
 WS_CLASS = (r"[\t\n\x0b\x0c\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
             r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
 WS_RUN = WS_CLASS + "+"
+# Role patterns over standardised roles (F-22).
+BUYER_ROLE_PATTERN = "BUYER|PROCURINGENTITY|COMPRADOR|ENTIDAD CONTRATANTE"
+SUPPLIER_ROLE_PATTERN = "SUPPLIER|PROVEEDOR"
 # ---------------------------------------------------------------------------
 
 
@@ -111,3 +114,13 @@ def compare_name(name) -> str:
 def cell_for_line(c: Column) -> Column:
     """F-29: cell text for a one-line export: NULL -> '', whitespace collapsed."""
     return F.coalesce(collapse_ws(c.cast("string")), F.lit(""))
+
+
+def is_buyer_role(roles_std: Column) -> Column:
+    """F-22: standardised roles name a buyer / contracting entity; NULL -> false."""
+    return F.coalesce(roles_std.rlike(BUYER_ROLE_PATTERN), F.lit(False))
+
+
+def is_supplier_role(roles_std: Column) -> Column:
+    """F-22: standardised roles name a supplier; NULL -> false."""
+    return F.coalesce(roles_std.rlike(SUPPLIER_ROLE_PATTERN), F.lit(False))

@@ -33,7 +33,10 @@ ORG_ENTITY = "ENTIDAD"
 ORG_SUPPLIER = "PROVEEDOR"
 ORG_OTHER = "OTRO"
 
-EPOCH_1900 = F.lit("1900-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def _epoch_1900() -> Column:
+    return F.lit("1900-01-01 00:00:00").cast("timestamp_ntz")
 
 ORG_ATTRS = ["ID_ORGANIZACION_ORIGINAL", "RUC", "RUC_VALIDO", "NOMBRE_ORIGINAL",
              "NOMBRE_ESTANDAR", "DIRECCION", "LOCALIDAD", "REGION", "DEPARTAMENTO",
@@ -52,7 +55,7 @@ def current_contracts(stg_contratos: DataFrame) -> DataFrame:
     """WIN-1: newest version of every CLAVE_CONTRATO."""
     order = [F.col("ANIO_ARCHIVO"), F.col("MES_ARCHIVO"),
              F.coalesce(F.col("FECHA_FIRMA"), F.col("FECHA_INICIO"),
-                        F.col("FECHA_FIN"), EPOCH_1900),
+                        F.col("FECHA_FIN"), _epoch_1900()),
              F.col("ID_ENTREGA")]
     return latest_by(stg_contratos, ["CLAVE_CONTRATO"], order)
 
@@ -70,7 +73,7 @@ def current_records(stg_registros: DataFrame, keys=("OCID", "ID_ENTREGA")) -> Da
     """
     scored = stg_registros.withColumn("_COMPLETITUD", completeness(*RECORD_COMPLETENESS))
     order = [F.col("ANIO_ARCHIVO"), F.col("MES_ARCHIVO"), F.col("_COMPLETITUD"),
-             F.coalesce(F.col("FECHA_ENTREGA"), F.col("FECHA_PUBLICACION"), EPOCH_1900)]
+             F.coalesce(F.col("FECHA_ENTREGA"), F.col("FECHA_PUBLICACION"), _epoch_1900())]
     return latest_by(scored, list(keys), order).drop("_COMPLETITUD")
 
 

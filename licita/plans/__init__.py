@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def registry() -> dict:
-    from . import curated
+    from . import curated, reports
     out = {}
-    for mod in (curated,):
+    for mod in (curated, reports):
         out.update(mod.QUERIES)
     return out
 

@@ -23,7 +23,10 @@ from pyspark.sql import functions as F
 from ..functions import ruc as R
 from ..functions import text as T
 
-NULL_S = F.lit(None).cast("string")
+
+
+def _null_s() -> Column:
+    return F.lit(None).cast("string")
 
 
 class Tables:
@@ -67,11 +70,11 @@ def stg_contratos(t: Tables) -> DataFrame:
     ship = F.col("l_shipdate")
     pk = F.col("l_partkey")
     cur = (F.when(F.col("l_returnflag") == "A", "PEN")
-           .when(F.col("l_returnflag") == "R", "USD").otherwise(NULL_S))
+           .when(F.col("l_returnflag") == "R", "USD").otherwise(_null_s()))
     cur_name = (F.when((F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "F"), "Soles")
                 .when(F.col("l_returnflag") == "A", "soles ")
                 .when(F.col("l_returnflag") == "R", "Dolares")
-                .when(F.col("l_linestatus") == "F", "Euro").otherwise(NULL_S))
+                .when(F.col("l_linestatus") == "F", "Euro").otherwise(_null_s()))
     fin = F.expr("timestampadd(DAY, CAST(l_quantity AS INT), l_shipdate)")
     y, m = _period(ship)
     ocid = F.col("l_orderkey").cast("string")
@@ -117,62 +120,61 @@ RECORD_COLUMNS = [
 def stg_registros(t: Tables) -> DataFrame:
     """Records: every order (v0), a republished next-month copy of every third
     order with tender id and category blanked (v1), and a same-month, less
-    complete copy of every seventh order (v2)."""
-    o = t("orders")
+    complete copy of every seventh order (v2).
+
+    The copies are produced by exploding a version tag, so ``orders`` is
+    scanned once and all versions share one projection.
+    """
+    o = t("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                           "o_orderdate", "o_orderpriority")
     ok, ck = F.col("o_orderkey"), F.col("o_custkey")
     od = F.col("o_orderdate")
-
-    def version(df: DataFrame, v: int) -> DataFrame:
-        fdate = od if v != 1 else F.add_months(od, 1).cast("timestamp_ntz")
-        y, m = _period(fdate)
-        buyer = _null_when(ok % 3 == 0, ck.cast("string"))
-        entity = _null_when(ok % 5 == 0, ck.cast("string"))
-        b_ruc = _null_when((ok % 3 == 0) | (ck % 4 == 0), synthetic_ruc(ck))
-        e_ruc = _null_when((ok % 5 == 0) | (ck % 4 == 0), synthetic_ruc(ck))
-        b_name = _null_when(ok % 3 == 0, F.concat(F.lit("Comprador "), ck.cast("string")))
-        e_name = _null_when((ok % 5 == 0) | (ok % 11 == 1),
-                            F.concat(F.lit("Entidad N° "), ck.cast("string")))
-        lic = F.concat(F.lit("LIC-"), ok.cast("string"))
-        cat = (F.when(F.col("o_orderstatus") == "F", "bienes")
-               .when(F.col("o_orderstatus") == "O", "Bienes ").otherwise("servicios"))
-        cat = _null_when(ok % 8 == 0, cat)
-        method = _null_when(ok % 10 == 0, F.col("o_orderpriority"))
-        if v == 1:
-            lic, cat = NULL_S, NULL_S
-        if v == 2:
-            method = NULL_S
-        return df.select(
-            ok.cast("string").alias("OCID"),
-            F.col("o_orderstatus").alias("ID_ENTREGA"),
-            _null_when(ok % 4 == 0, od, "timestamp_ntz").alias("FECHA_ENTREGA"),
-            (od - F.expr("INTERVAL 2 DAYS")).alias("FECHA_PUBLICACION"),
-            buyer.alias("ID_COMPRADOR"),
-            b_name.alias("NOMBRE_COMPRADOR_ORIGINAL"),
-            b_ruc.alias("RUC_COMPRADOR"),
-            R.validate_ruc(b_ruc).alias("RUC_COMPRADOR_VALIDO"),
-            T.standard_name(b_name).alias("NOMBRE_COMPRADOR_ESTANDAR"),
-            entity.alias("ID_ENTIDAD_CONTRATANTE"),
-            e_name.alias("NOMBRE_ENTIDAD_CONTRATANTE_ORIGINAL"),
-            e_ruc.alias("RUC_ENTIDAD_CONTRATANTE"),
-            R.validate_ruc(e_ruc).alias("RUC_ENTIDAD_VALIDO"),
-            T.standard_name(e_name).alias("NOMBRE_ENTIDAD_ESTANDAR"),
-            _null_when(ok % 9 == 0, lic).alias("ID_LICITACION"),
-            F.concat(F.lit("Licitacion "), ok.cast("string")).alias("TITULO_LICITACION"),
-            _null_when(ok % 2 == 1, F.concat(F.lit("Compra de "), F.col("o_orderpriority")))
-            .alias("DESCRIPCION_LICITACION"),
-            method.alias("METODO_CONTRATACION"),
-            _null_when(ok % 2 == 1, F.lower(F.col("o_orderpriority")))
-            .alias("DETALLE_METODO_CONTRATACION"),
-            cat.alias("CATEGORIA_PRINCIPAL"),
-            F.col("o_totalprice").alias("MONTO_LICITACION"),
-            F.lit("PEN").alias("MONEDA_LICITACION"),
-            F.lit("Soles").alias("NOMBRE_MONEDA_LICITACION"),
-            y.alias("ANIO_ARCHIVO"), m.alias("MES_ARCHIVO"),
-            _file(fdate).alias("ARCHIVO_ORIGEN"))
-
-    return (version(o, 0)
-            .unionByName(version(o.filter(ok % 3 == 0), 1))
-            .unionByName(version(o.filter(ok % 7 == 0), 2)))
+    tags = F.explode(F.array(F.lit(0), F.when(ok % 3 == 0, F.lit(1)),
+                             F.when(ok % 7 == 0, F.lit(2))))
+    o = o.select("*", tags.alias("_v")).filter(F.col("_v").isNotNull())
+    v = F.col("_v")
+    fdate = F.when(v == 1, F.add_months(od, 1).cast("timestamp_ntz")).otherwise(od)
+    y, m = _period(fdate)
+    buyer = _null_when(ok % 3 == 0, ck.cast("string"))
+    entity = _null_when(ok % 5 == 0, ck.cast("string"))
+    b_ruc = _null_when((ok % 3 == 0) | (ck % 4 == 0), synthetic_ruc(ck))
+    e_ruc = _null_when((ok % 5 == 0) | (ck % 4 == 0), synthetic_ruc(ck))
+    b_name = _null_when(ok % 3 == 0, F.concat(F.lit("Comprador "), ck.cast("string")))
+    e_name = _null_when((ok % 5 == 0) | (ok % 11 == 1),
+                        F.concat(F.lit("Entidad N° "), ck.cast("string")))
+    lic = _null_when((v == 1) | (ok % 9 == 0), F.concat(F.lit("LIC-"), ok.cast("string")))
+    cat = (F.when(F.col("o_orderstatus") == "F", "bienes")
+           .when(F.col("o_orderstatus") == "O", "Bienes ").otherwise("servicios"))
+    cat = _null_when((v == 1) | (ok % 8 == 0), cat)
+    method = _null_when((v == 2) | (ok % 10 == 0), F.col("o_orderpriority"))
+    return o.select(
+        ok.cast("string").alias("OCID"),
+        F.col("o_orderstatus").alias("ID_ENTREGA"),
+        _null_when(ok % 4 == 0, od, "timestamp_ntz").alias("FECHA_ENTREGA"),
+        (od - F.expr("INTERVAL 2 DAYS")).alias("FECHA_PUBLICACION"),
+        buyer.alias("ID_COMPRADOR"),
+        b_name.alias("NOMBRE_COMPRADOR_ORIGINAL"),
+        b_ruc.alias("RUC_COMPRADOR"),
+        R.validate_ruc(b_ruc).alias("RUC_COMPRADOR_VALIDO"),
+        T.standard_name(b_name).alias("NOMBRE_COMPRADOR_ESTANDAR"),
+        entity.alias("ID_ENTIDAD_CONTRATANTE"),
+        e_name.alias("NOMBRE_ENTIDAD_CONTRATANTE_ORIGINAL"),
+        e_ruc.alias("RUC_ENTIDAD_CONTRATANTE"),
+        R.validate_ruc(e_ruc).alias("RUC_ENTIDAD_VALIDO"),
+        T.standard_name(e_name).alias("NOMBRE_ENTIDAD_ESTANDAR"),
+        lic.alias("ID_LICITACION"),
+        F.concat(F.lit("Licitacion "), ok.cast("string")).alias("TITULO_LICITACION"),
+        _null_when(ok % 2 == 1, F.concat(F.lit("Compra de "), F.col("o_orderpriority")))
+        .alias("DESCRIPCION_LICITACION"),
+        method.alias("METODO_CONTRATACION"),
+        _null_when(ok % 2 == 1, F.lower(F.col("o_orderpriority")))
+        .alias("DETALLE_METODO_CONTRATACION"),
+        cat.alias("CATEGORIA_PRINCIPAL"),
+        F.col("o_totalprice").alias("MONTO_LICITACION"),
+        F.lit("PEN").alias("MONEDA_LICITACION"),
+        F.lit("Soles").alias("NOMBRE_MONEDA_LICITACION"),
+        y.alias("ANIO_ARCHIVO"), m.alias("MES_ARCHIVO"),
+        _file(fdate).alias("ARCHIVO_ORIGEN"))
 
 
 SUPPLIER_COLUMNS = ["OCID", "ID_ENTREGA", "ID_ADJUDICACION", "ID_PROVEEDOR",
@@ -186,13 +188,15 @@ def stg_proveedores(t: Tables) -> DataFrame:
     spelling) on line 1 -- two suppliers per award, two spellings."""
     l = t("lineitem").select("l_orderkey", "l_suppkey", "l_linenumber", "l_linestatus",
                              "l_shipdate")
+    # one scan: the line's supplier, plus supplier+1 on line 1 (second spelling)
+    target = F.explode(F.array(
+        F.struct(F.col("l_suppkey").alias("k"), F.lit(False).alias("alt")),
+        F.when(F.col("l_linenumber") == 1,
+               F.struct((F.col("l_suppkey") + 1).alias("k"), F.lit(True).alias("alt")))))
+    l = l.select("*", target.alias("_t")).filter(F.col("_t").isNotNull())
     s = t("supplier").select("s_suppkey", "s_name")
-    main = l.join(s, F.col("l_suppkey") == F.col("s_suppkey"), "inner") \
-        .withColumn("_name", F.col("s_name"))
-    extra = l.filter(F.col("l_linenumber") == 1) \
-        .join(s, F.col("l_suppkey") + 1 == F.col("s_suppkey"), "inner") \
-        .withColumn("_name", F.lower(F.col("s_name")))
-    both = main.unionByName(extra)
+    both = l.join(s, F.col("_t.k") == F.col("s_suppkey"), "inner") \
+        .withColumn("_name", F.when(F.col("_t.alt"), F.lower("s_name")).otherwise(F.col("s_name")))
     sk = F.col("s_suppkey")
     ruc = _null_when(sk % 6 == 0, synthetic_ruc(sk))
     y, m = _period(F.col("l_shipdate"))
@@ -225,6 +229,9 @@ def stg_partes(t: Tables) -> DataFrame:
     ident = ck.cast("string")
     std_name = T.standard_name(F.col("c_name"))
     y, m = _period(F.col("o_orderdate"))
+    roles = (F.when(ck % 4 == 0, "buyer, procuringEntity").when(ck % 4 == 1, "supplier")
+             .when(ck % 4 == 2, "Proveedor / Comprador").otherwise(_null_when(ok % 2 == 0, F.lit("tenderer"))))
+    roles_std = T.catalog_value(roles)
     return j.select(
         ok.cast("string").alias("OCID"),
         F.lit("F").alias("ID_ENTREGA"),
@@ -239,8 +246,10 @@ def stg_partes(t: Tables) -> DataFrame:
         _null_when(ok % 6 == 0, F.col("r_name")).alias("REGION_ESTANDAR"),
         F.col("n_name").alias("DEPARTAMENTO_ESTANDAR"),
         F.lit("PERU").alias("PAIS_ESTANDAR"),
-        F.lit(True).alias("ES_COMPRADOR_O_ENTIDAD"),
-        (ck % 10 == 0).alias("ES_PROVEEDOR"),
+        roles.alias("ROLES_ORIGINAL"),
+        roles_std.alias("ROLES_ESTANDAR"),
+        T.is_buyer_role(roles_std).alias("ES_COMPRADOR_O_ENTIDAD"),
+        T.is_supplier_role(roles_std).alias("ES_PROVEEDOR"),
         F.when(ruc.isNotNull(), F.concat(F.lit("RUC|"), ruc))
         .otherwise(F.concat(F.lit("ID|"), ident)).alias("CLAVE_ORGANIZACION"),
         y.alias("ANIO_ARCHIVO"), m.alias("MES_ARCHIVO"))

@@ -6,6 +6,8 @@ work grows with the input tables; nothing is collected.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,9 +20,94 @@ def _t(spark: SparkSession, sf_dir: str) -> A.Tables:
     return A.Tables(spark, sf_dir)
 
 
-def curated_inputs(spark, sf_dir):
-    t = _t(spark, sf_dir)
-    return (A.stg_contratos(t), A.stg_registros(t), A.stg_proveedores(t), A.stg_partes(t))
+class CuratedStar:
+    """The curated tables as lazy DataFrames, built on first access only.
+
+    Tables share one lineage, so a query that touches several of them lets
+    Catalyst/AQE reuse identical exchanges; the production job writes each
+    table once instead (see ``licita.plans.jobs``).
+    """
+
+    def __init__(self, spark, sf_dir):
+        self.t = _t(spark, sf_dir)
+
+    @cached_property
+    def stg_contratos(self):
+        return A.stg_contratos(self.t)
+
+    @cached_property
+    def stg_registros(self):
+        return A.stg_registros(self.t)
+
+    @cached_property
+    def stg_proveedores(self):
+        return A.stg_proveedores(self.t)
+
+    @cached_property
+    def stg_partes(self):
+        return A.stg_partes(self.t)
+
+    @cached_property
+    def contrato_actual(self):
+        return S.current_contracts(self.stg_contratos)
+
+    @cached_property
+    def registro_actual_clave(self):
+        return S.current_records(self.stg_registros, ("OCID", "ID_ENTREGA"))
+
+    @cached_property
+    def registro_actual_ocid(self):
+        r = self.stg_registros.filter(F.col("ID_ENTREGA").isin("F", "O"))
+        return S.current_records(r, ("OCID",))
+
+    @cached_property
+    def proveedor_actual(self):
+        return S.current_suppliers(self.stg_proveedores)
+
+    @cached_property
+    def dim_organizacion(self):
+        return S.dim_organizacion(S.org_candidates(self.stg_partes, self.stg_registros,
+                                                   self.stg_proveedores))
+
+    @cached_property
+    def dim_ubicacion(self):
+        return S.dim_ubicacion(self.dim_organizacion)
+
+    @cached_property
+    def fact(self):
+        return S.fact_contrato(self.contrato_actual, self.registro_actual_clave,
+                               self.registro_actual_ocid, self.dim_organizacion)
+
+    @cached_property
+    def bridge(self):
+        return S.bridge_contrato_proveedor(self.contrato_actual, self.proveedor_actual)
+
+    @cached_property
+    def dim_entidad(self):
+        return S.dim_entidad(self.dim_organizacion, self.fact)
+
+    @cached_property
+    def dim_proveedor(self):
+        return S.dim_proveedor(self.dim_organizacion, self.bridge)
+
+    @cached_property
+    def dim_moneda(self):
+        return S.dim_moneda(self.fact)
+
+    @cached_property
+    def dim_categoria(self):
+        return S.dim_categoria(self.fact)
+
+    @cached_property
+    def dim_metodo(self):
+        return S.dim_metodo(self.fact)
+
+    def __getitem__(self, name):
+        return getattr(self, name)
+
+
+def curated_star(spark, sf_dir) -> CuratedStar:
+    return CuratedStar(spark, sf_dir)
 
 
 def latest_contract_version(spark, sf_dir) -> DataFrame:
@@ -61,8 +148,7 @@ def keep_last_per_key(spark, sf_dir) -> DataFrame:
 
 def org_master(spark, sf_dir) -> DataFrame:
     """SET-1 + PRJ-15/16 + AGG-1..3 + PRJ-12: organisation master."""
-    _, r, p, partes = curated_inputs(spark, sf_dir)
-    return S.dim_organizacion(S.org_candidates(partes, r, p))
+    return curated_star(spark, sf_dir).dim_organizacion
 
 
 def location_dim(spark, sf_dir) -> DataFrame:
@@ -71,12 +157,7 @@ def location_dim(spark, sf_dir) -> DataFrame:
 
 
 def _fact(spark, sf_dir) -> DataFrame:
-    c, r, p, partes = curated_inputs(spark, sf_dir)
-    cur = S.current_contracts(c)
-    re_ = S.current_records(r, ("OCID", "ID_ENTREGA"))
-    ro = S.current_records(r.filter(F.col("ID_ENTREGA").isin("F", "O")), ("OCID",))
-    org = S.dim_organizacion(S.org_candidates(partes, r, p))
-    return S.fact_contrato(cur, re_, ro, org)
+    return curated_star(spark, sf_dir)["fact"]
 
 
 def fact_with_fallback(spark, sf_dir) -> DataFrame:
@@ -98,16 +179,13 @@ def fact_keys_and_hash(spark, sf_dir) -> DataFrame:
 
 def contract_supplier_bridge(spark, sf_dir) -> DataFrame:
     """WIN-4 + J-4 + SET-3."""
-    c, _, p, _ = curated_inputs(spark, sf_dir)
-    return S.bridge_contrato_proveedor(S.current_contracts(c), S.current_suppliers(p))
+    return curated_star(spark, sf_dir).bridge
 
 
 def role_dims(spark, sf_dir) -> DataFrame:
     """J-5: entity and supplier role dimensions (semi joins), labelled."""
-    c, r, p, partes = curated_inputs(spark, sf_dir)
-    org = S.dim_organizacion(S.org_candidates(partes, r, p))
-    fact = _fact(spark, sf_dir)
-    bridge = S.bridge_contrato_proveedor(S.current_contracts(c), S.current_suppliers(p))
+    st = curated_star(spark, sf_dir)
+    org, fact, bridge = st["dim_organizacion"], st["fact"], st["bridge"]
     cols = ["CLAVE_ORGANIZACION", "TIPO_ORGANIZACION", "NOMBRE_ESTANDAR", "CLAVE_UBICACION"]
     ent = S.dim_entidad(org, fact).select(F.lit("ENTIDAD").alias("ROL"), *cols)
     sup = S.dim_proveedor(org, bridge).select(F.lit("PROVEEDOR").alias("ROL"), *cols)

@@ -122,6 +122,8 @@ STG_PROVEEDORES = f"""stg_proveedores AS (
     'paquete_' || strftime(l_shipdate, '%Y%m') || '.xlsx' AS ARCHIVO_ORIGEN
   FROM both_)"""
 
+_ROLES = ("(CASE c_custkey % 4 WHEN 0 THEN 'buyer, procuringEntity' WHEN 1 THEN 'supplier' "
+          "WHEN 2 THEN 'Proveedor / Comprador' ELSE " + nul("o_orderkey % 2 = 0", "'tenderer'") + " END)")
 _PARTY_RUC = nul("c_custkey % 4 = 0", syn_ruc("c_custkey"))
 STG_PARTES = f"""stg_partes AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS OCID, 'F' AS ID_ENTREGA,
@@ -132,7 +134,9 @@ STG_PARTES = f"""stg_partes AS (
     {nul("c_custkey % 5 = 0", "'LOC ' || CAST(c_custkey % 17 AS VARCHAR)")} AS LOCALIDAD_ESTANDAR,
     {nul("o_orderkey % 6 = 0", "r_name")} AS REGION_ESTANDAR,
     n_name AS DEPARTAMENTO_ESTANDAR, 'PERU' AS PAIS_ESTANDAR,
-    true AS ES_COMPRADOR_O_ENTIDAD, (c_custkey % 10 = 0) AS ES_PROVEEDOR,
+    {_ROLES} AS ROLES_ORIGINAL, {std_name(_ROLES, "A-Z0-9Ñ&/ -")} AS ROLES_ESTANDAR,
+    coalesce(regexp_matches({std_name(_ROLES, "A-Z0-9Ñ&/ -")}, 'BUYER|PROCURINGENTITY|COMPRADOR|ENTIDAD CONTRATANTE'), false) AS ES_COMPRADOR_O_ENTIDAD,
+    coalesce(regexp_matches({std_name(_ROLES, "A-Z0-9Ñ&/ -")}, 'SUPPLIER|PROVEEDOR'), false) AS ES_PROVEEDOR,
     CASE WHEN {_PARTY_RUC} IS NOT NULL THEN 'RUC|' || {_PARTY_RUC}
          ELSE 'ID|' || CAST(c_custkey AS VARCHAR) END AS CLAVE_ORGANIZACION,
     CAST(year(o_orderdate) AS INTEGER) AS ANIO_ARCHIVO, CAST(month(o_orderdate) AS INTEGER) AS MES_ARCHIVO
@@ -411,3 +415,123 @@ ORACLES: dict[str, str] = {
     "extra_copies": with_(STG_CONTRATOS) + """
   SELECT count(*) - count(DISTINCT CLAVE_CONTRATO) AS FILAS_DUPLICADAS FROM stg_contratos""",
 }
+
+
+# ------------------------------------------------------------------ reports
+
+STAR_CTES = FACT_CTES + [PROVEEDOR_ACTUAL, BRIDGE, """dim_entidad AS (
+  SELECT * FROM dim_organizacion WHERE CLAVE_ORGANIZACION IN
+    (SELECT CLAVE_ENTIDAD FROM fact WHERE CLAVE_ENTIDAD IS NOT NULL))""", """dim_proveedor AS (
+  SELECT * FROM dim_organizacion WHERE CLAVE_ORGANIZACION IN
+    (SELECT CLAVE_PROVEEDOR FROM bridge WHERE CLAVE_PROVEEDOR IS NOT NULL))""", """dim_ubicacion AS (
+  SELECT DISTINCT CLAVE_UBICACION, PAIS, DEPARTAMENTO, REGION, LOCALIDAD
+  FROM dim_organizacion WHERE CLAVE_UBICACION IS NOT NULL)"""]
+
+
+def _ind(i, name, sql):
+    return f"SELECT {i} AS o, '{name}' AS INDICADOR, CAST(({sql}) AS BIGINT) AS VALOR"
+
+
+ORACLES.update({
+    "annual_summary": with_(*FACT_CTES) + """
+  SELECT CAST(coalesce(year(FECHA_FIRMA), ANIO_ARCHIVO) AS INTEGER) AS ANIO, count(*) AS CONTRATOS,
+    CAST(sum(CAST(coalesce(MONTO_CONTRATO, 0.0) AS DECIMAL(24,4))) AS DOUBLE) AS MONTO_TOTAL
+  FROM fact GROUP BY 1""",
+
+    "monthly_summary": with_(STG_CONTRATOS) + """
+  SELECT ANIO_ARCHIVO, MES_ARCHIVO, count(*) AS FILAS, count(DISTINCT CLAVE_CONTRATO) AS CLAVES_UNICAS,
+    count(FECHA_FIRMA) AS CON_FECHA_FIRMA, count(DESCRIPCION_CONTRATO) AS CON_DESCRIPCION_CONTRATO,
+    count(MONEDA_CONTRATO) AS CON_MONEDA_CONTRATO
+  FROM stg_contratos GROUP BY ANIO_ARCHIVO, MES_ARCHIVO""",
+
+    "geo_counts": with_(*STAR_CTES) + """
+  SELECT DEPARTAMENTO, REGION, LOCALIDAD, count(*) AS CANTIDAD, 'ENTIDAD' AS ROL
+  FROM dim_entidad WHERE CLAVE_UBICACION IS NOT NULL GROUP BY ALL
+  UNION ALL
+  SELECT DEPARTAMENTO, REGION, LOCALIDAD, count(*) AS CANTIDAD, 'PROVEEDOR' AS ROL
+  FROM dim_proveedor WHERE CLAVE_UBICACION IS NOT NULL GROUP BY ALL""",
+
+    "supplier_list_per_contract": with_(STG_CONTRATOS, STG_PROVEEDORES, CONTRATO_ACTUAL,
+                                        PROVEEDOR_ACTUAL, BRIDGE) + """
+  SELECT c.CLAVE_CONTRATO, coalesce(p.lst, '') AS PROVEEDORES,
+    CAST(coalesce(p.n, 0) AS BIGINT) AS CANTIDAD_PROVEEDORES
+  FROM contrato_actual c LEFT JOIN (
+    SELECT CLAVE_CONTRATO,
+      string_agg(DISTINCT nullif(trim(NOMBRE_PROVEEDOR_ORIGINAL), ''), ' | '
+                 ORDER BY nullif(trim(NOMBRE_PROVEEDOR_ORIGINAL), '')) AS lst,
+      count(DISTINCT ID_PROVEEDOR) AS n
+    FROM bridge GROUP BY CLAVE_CONTRATO) p ON c.CLAVE_CONTRATO = p.CLAVE_CONTRATO""",
+
+    "indicators": with_(*STAR_CTES) + "SELECT INDICADOR, VALOR FROM (" + " UNION ALL ".join([
+        _ind(0, "Filas staging contratos", "SELECT count(*) FROM stg_contratos"),
+        _ind(1, "Contratos actuales", "SELECT count(*) FROM fact"),
+        _ind(2, "Claves de contrato únicas", "SELECT count(DISTINCT CLAVE_CONTRATO) FROM fact"),
+        _ind(3, "Contratos sin entidad", "SELECT count(*) FROM fact WHERE CLAVE_ENTIDAD IS NULL"),
+        _ind(4, "Contratos con respaldo por OCID",
+             "SELECT count(*) FROM fact WHERE TIPO_RELACION_REGISTRO = 'RESPALDO_OCID'"),
+        _ind(5, "Contratos sin registro relacionado",
+             "SELECT count(*) FROM fact WHERE TIPO_RELACION_REGISTRO = 'SIN_REGISTRO'"),
+        _ind(6, "Relaciones contrato-proveedor", "SELECT count(*) FROM bridge"),
+        _ind(7, "Contratos con proveedor", "SELECT count(DISTINCT CLAVE_CONTRATO) FROM bridge"),
+        _ind(8, "Organizaciones únicas", "SELECT count(*) FROM dim_organizacion"),
+        _ind(9, "Entidades únicas", "SELECT count(*) FROM dim_entidad"),
+        _ind(10, "Proveedores únicos", "SELECT count(*) FROM dim_proveedor"),
+        _ind(11, "Organizaciones con ubicación",
+             "SELECT count(*) FROM dim_organizacion WHERE CLAVE_UBICACION IS NOT NULL"),
+        _ind(12, "Entidades con ubicación",
+             "SELECT count(*) FROM dim_entidad WHERE CLAVE_UBICACION IS NOT NULL"),
+        _ind(13, "Proveedores con ubicación",
+             "SELECT count(*) FROM dim_proveedor WHERE CLAVE_UBICACION IS NOT NULL"),
+        _ind(14, "Ubicaciones únicas", "SELECT count(*) FROM dim_ubicacion"),
+        _ind(15, "Monedas", "SELECT count(*) FROM (SELECT DISTINCT CLAVE_MONEDA, MONEDA_CONTRATO, "
+                            "NOMBRE_MONEDA_CONTRATO FROM fact)"),
+        _ind(16, "Categorías", "SELECT count(*) FROM (SELECT DISTINCT CLAVE_CATEGORIA, "
+                               "CATEGORIA_PRINCIPAL FROM fact WHERE CLAVE_CATEGORIA IS NOT NULL)"),
+        _ind(17, "Métodos de contratación",
+             "SELECT count(*) FROM (SELECT DISTINCT CLAVE_METODO, METODO_CONTRATACION, "
+             "DETALLE_METODO_CONTRATACION FROM fact WHERE CLAVE_METODO IS NOT NULL)"),
+    ]) + ")",
+
+    "coverage_profile": with_(STG_PARTES) + """
+  SELECT ANIO_ARCHIVO, MES_ARCHIVO, count(*) AS FILAS,
+    count(*) FILTER (WHERE RUC_ORGANIZACION IS NOT NULL) AS CON_RUC,
+    count(*) FILTER (WHERE RUC_VALIDO = true) AS RUC_VALIDOS,
+    count(*) FILTER (WHERE DEPARTAMENTO_ESTANDAR IS NOT NULL) AS CON_DEPARTAMENTO,
+    count(*) FILTER (WHERE REGION_ESTANDAR IS NOT NULL) AS CON_REGION,
+    count(*) FILTER (WHERE LOCALIDAD_ESTANDAR IS NOT NULL) AS CON_LOCALIDAD,
+    count(*) FILTER (WHERE DIRECCION_ESTANDAR IS NOT NULL) AS CON_DIRECCION,
+    count(*) FILTER (WHERE ES_COMPRADOR_O_ENTIDAD) AS COMPRADORES_O_ENTIDADES,
+    count(*) FILTER (WHERE ES_PROVEEDOR) AS PROVEEDORES
+  FROM stg_partes GROUP BY ANIO_ARCHIVO, MES_ARCHIVO""",
+
+    "role_frequency": with_(STG_PARTES) + """
+  SELECT ROLES_ESTANDAR, count(*) AS FRECUENCIA FROM stg_partes GROUP BY ROLES_ESTANDAR""",
+
+    "orphans_and_anti": with_(*STAR_CTES) + """
+  SELECT 'lineitem->orders' AS RELACION, count(*) AS HUERFANOS FROM lineitem
+    WHERE l_orderkey IS NOT NULL AND l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey IS NOT NULL)
+  UNION ALL SELECT 'orders->customer', count(*) FROM orders
+    WHERE o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey IS NOT NULL)
+  UNION ALL SELECT 'lineitem->supplier', count(*) FROM lineitem
+    WHERE l_suppkey IS NOT NULL AND l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey IS NOT NULL)
+  UNION ALL SELECT 'fact->dim_entidad', count(*) FROM fact
+    WHERE CLAVE_ENTIDAD IS NOT NULL AND CLAVE_ENTIDAD NOT IN (SELECT CLAVE_ORGANIZACION FROM dim_organizacion)
+  UNION ALL SELECT 'bridge->fact', count(*) FROM bridge
+    WHERE CLAVE_CONTRATO IS NOT NULL AND CLAVE_CONTRATO NOT IN (SELECT CLAVE_CONTRATO FROM fact)
+  UNION ALL SELECT 'organizacion->ubicacion', count(*) FROM dim_organizacion
+    WHERE CLAVE_UBICACION IS NOT NULL AND CLAVE_UBICACION NOT IN (SELECT CLAVE_UBICACION FROM dim_ubicacion)
+  UNION ALL SELECT 'orders sin lineitem', count(*) FROM orders o
+    WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)
+  UNION ALL SELECT 'customer sin orders', count(*) FROM customer c
+    WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)
+  UNION ALL SELECT 'contratos sin proveedor', count(*) FROM fact f
+    WHERE NOT EXISTS (SELECT 1 FROM bridge b WHERE b.CLAVE_CONTRATO = f.CLAVE_CONTRATO)""",
+
+    "review_samples": with_(*STAR_CTES) + """
+  (SELECT 'SIN_ENTIDAD' AS MUESTRA, CLAVE_CONTRATO, OCID, ID_CONTRATO, MONTO_CONTRATO, TIPO_RELACION_REGISTRO
+   FROM fact WHERE CLAVE_ENTIDAD IS NULL ORDER BY CLAVE_CONTRATO LIMIT 1000)
+  UNION ALL
+  (SELECT 'SIN_PROVEEDOR' AS MUESTRA, CLAVE_CONTRATO, OCID, ID_CONTRATO, MONTO_CONTRATO, TIPO_RELACION_REGISTRO
+   FROM fact f WHERE NOT EXISTS (SELECT 1 FROM bridge b WHERE b.CLAVE_CONTRATO = f.CLAVE_CONTRATO)
+   ORDER BY CLAVE_CONTRATO LIMIT 1000)""",
+})
