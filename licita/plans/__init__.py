@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def registry() -> dict:
-    from . import curated, reports
+    from . import curated, reports, warehouse
     out = {}
-    for mod in (curated, reports):
+    for mod in (curated, reports, warehouse):
         out.update(mod.QUERIES)
     return out
 

@@ -535,3 +535,108 @@ ORACLES.update({
    FROM fact f WHERE NOT EXISTS (SELECT 1 FROM bridge b WHERE b.CLAVE_CONTRATO = f.CLAVE_CONTRATO)
    ORDER BY CLAVE_CONTRATO LIMIT 1000)""",
 })
+
+
+# ---------------------------------------------------------------- warehouse
+
+DAYS = """bounds AS (
+    SELECT coalesce(min(d), DATE '2022-01-01') AS lo, coalesce(max(d), DATE '2030-12-31') AS hi
+    FROM (SELECT CAST(FECHA_FIRMA AS DATE) AS d FROM fact UNION ALL
+          SELECT CAST(FECHA_INICIO AS DATE) FROM fact UNION ALL
+          SELECT CAST(FECHA_FIN AS DATE) FROM fact)
+    WHERE d BETWEEN DATE '2000-01-01' AND DATE '2100-12-31'),
+  days AS (SELECT CAST(strftime(CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE), '%Y%m%d') AS INTEGER)
+           AS FECHA_KEY FROM bounds)"""
+
+DW_DIMS = """DimUbicacion AS (SELECT CLAVE_UBICACION, row_number() OVER (ORDER BY CLAVE_UBICACION) AS UbicacionKey
+                 FROM dim_ubicacion),
+  DimEntidad AS (SELECT CLAVE_ORGANIZACION, row_number() OVER (ORDER BY CLAVE_ORGANIZACION) AS EntidadKey
+                 FROM dim_entidad),
+  DimProveedor AS (SELECT CLAVE_ORGANIZACION, row_number() OVER (ORDER BY CLAVE_ORGANIZACION) AS ProveedorKey
+                 FROM dim_proveedor),
+  DimMoneda AS (SELECT CLAVE_MONEDA, row_number() OVER (ORDER BY CLAVE_MONEDA) AS MonedaKey
+                FROM (SELECT DISTINCT CLAVE_MONEDA FROM fact)),
+  DimCategoria AS (SELECT CLAVE_CATEGORIA, row_number() OVER (ORDER BY CLAVE_CATEGORIA) AS CategoriaKey
+                FROM (SELECT DISTINCT CLAVE_CATEGORIA FROM fact WHERE CLAVE_CATEGORIA IS NOT NULL)),
+  DimMetodo AS (SELECT CLAVE_METODO, row_number() OVER (ORDER BY CLAVE_METODO) AS MetodoKey
+                FROM (SELECT DISTINCT CLAVE_METODO FROM fact WHERE CLAVE_METODO IS NOT NULL)),
+  fact_dw AS (
+    SELECT row_number() OVER (ORDER BY f.CLAVE_CONTRATO) AS ContratoKey, f.CLAVE_CONTRATO AS ClaveContrato,
+      e.EntidadKey, u.UbicacionKey AS UbicacionEntidadKey, CAST(m.MonedaKey AS INTEGER) AS MonedaKey,
+      CAST(c.CategoriaKey AS INTEGER) AS CategoriaKey, CAST(mt.MetodoKey AS INTEGER) AS MetodoKey,
+      d1.FECHA_KEY AS FechaFirmaKey, d2.FECHA_KEY AS FechaInicioKey, d3.FECHA_KEY AS FechaFinKey,
+      TRY_CAST(f.MONTO_CONTRATO AS DECIMAL(28,4)) AS MontoContrato
+    FROM fact f
+      LEFT JOIN DimEntidad e ON f.CLAVE_ENTIDAD = e.CLAVE_ORGANIZACION
+      LEFT JOIN DimUbicacion u ON f.CLAVE_UBICACION_ENTIDAD = u.CLAVE_UBICACION
+      LEFT JOIN DimMoneda m ON f.CLAVE_MONEDA = m.CLAVE_MONEDA
+      LEFT JOIN DimCategoria c ON f.CLAVE_CATEGORIA = c.CLAVE_CATEGORIA
+      LEFT JOIN DimMetodo mt ON f.CLAVE_METODO = mt.CLAVE_METODO
+      LEFT JOIN days d1 ON f.FECHA_FIRMA_KEY = d1.FECHA_KEY
+      LEFT JOIN days d2 ON f.FECHA_INICIO_KEY = d2.FECHA_KEY
+      LEFT JOIN days d3 ON f.FECHA_FIN_KEY = d3.FECHA_KEY
+    WHERE f.CLAVE_CONTRATO IS NOT NULL)"""
+
+WH_CTES = STAR_CTES + [DAYS, DW_DIMS]
+
+ORACLES.update({
+    "star_lookup": with_(*WH_CTES) + """
+  SELECT ContratoKey, ClaveContrato, EntidadKey, UbicacionEntidadKey, MonedaKey, CategoriaKey, MetodoKey,
+    FechaFirmaKey, FechaInicioKey, FechaFinKey FROM fact_dw""",
+
+    "bridge_keys": with_(*WH_CTES) + """
+  SELECT ContratoKey, ProveedorKey, IdProveedorOriginal, NombreProveedorOriginal FROM (
+    SELECT DISTINCT f.ContratoKey, p.ProveedorKey, substr(b.ID_PROVEEDOR, 1, 300) AS IdProveedorOriginal,
+      substr(b.RUC_PROVEEDOR, 1, 20) AS RucProveedor,
+      substr(b.NOMBRE_PROVEEDOR_ORIGINAL, 1, 1000) AS NombreProveedorOriginal,
+      substr(b.NOMBRE_PROVEEDOR_ESTANDAR, 1, 1000) AS NombreProveedorEstandar
+    FROM bridge b JOIN fact_dw f ON b.CLAVE_CONTRATO = f.ClaveContrato
+      JOIN DimProveedor p ON b.CLAVE_PROVEEDOR = p.CLAVE_ORGANIZACION)""",
+
+    "typed_warehouse_row": with_(*FACT_CTES) + """
+  SELECT CLAVE_CONTRATO, TRY_CAST(OCID AS BIGINT) AS OCID_NUM, TRY_CAST(ID_CONTRATO AS INTEGER) AS ID_CONTRATO_NUM,
+    TRY_CAST(TITULO_CONTRATO AS INTEGER) AS TITULO_COMO_NUMERO, substr(TITULO_CONTRATO, 1, 8) AS TITULO_CORTO,
+    substr(NOMBRE_ENTIDAD_ESTANDAR, 1, 10) AS ENTIDAD_CORTA,
+    CAST(TRY_CAST(MONTO_CONTRATO AS DECIMAL(28,4)) AS VARCHAR) AS MONTO_TEXTO,
+    CAST(TRY_CAST(DURACION_DIAS AS DECIMAL(18,2)) AS VARCHAR) AS DURACION_TEXTO,
+    TRY_CAST(FECHA_FIRMA AS DATE) AS FECHA_FIRMA_DIA,
+    TRY_CAST(ANIO_ARCHIVO AS TINYINT) AS ANIO_TINYINT, TRY_CAST(MES_ARCHIVO AS TINYINT) AS MES_TINYINT
+  FROM fact""",
+
+    "reconcile": with_(*WH_CTES) + """,
+  j AS (
+    SELECT f.CLAVE_CONTRATO IS NOT NULL AND d.ClaveContrato IS NOT NULL AS k,
+      f.CLAVE_ENTIDAD IS NOT DISTINCT FROM e.CLAVE_ORGANIZACION AS ent,
+      CAST(f.MONTO_CONTRATO AS DECIMAL(28,4)) IS NOT DISTINCT FROM d.MontoContrato AS monto,
+      f.CLAVE_UBICACION_ENTIDAD IS NOT DISTINCT FROM u.CLAVE_UBICACION AS ub
+    FROM fact f FULL OUTER JOIN fact_dw d ON f.CLAVE_CONTRATO = d.ClaveContrato
+      LEFT JOIN DimEntidad e ON d.EntidadKey = e.EntidadKey
+      LEFT JOIN DimUbicacion u ON d.UbicacionEntidadKey = u.UbicacionKey),
+  c AS (SELECT 'CLAVE' AS VALIDACION, k AS CUMPLE FROM j UNION ALL SELECT 'ENTIDAD', ent FROM j
+        UNION ALL SELECT 'MONTO', monto FROM j UNION ALL SELECT 'UBICACION', ub FROM j)
+  SELECT VALIDACION, count(*) FILTER (WHERE CUMPLE) AS OK, count(*) FILTER (WHERE NOT CUMPLE) AS REVISAR,
+    CASE WHEN count(*) FILTER (WHERE NOT CUMPLE) = 0 THEN 'OK' ELSE 'REVISAR' END AS ESTADO
+  FROM c GROUP BY VALIDACION""",
+
+    "quality_gate": with_(*WH_CTES) + """,
+  checks AS (
+    SELECT 'DQ-3 claves de contrato duplicadas' AS CONTROL,
+      (SELECT count(*) FROM (SELECT CLAVE_CONTRATO FROM fact GROUP BY 1 HAVING count(*) > 1)) AS VALOR, true AS z
+    UNION ALL SELECT 'DQ-4 claves de puente duplicadas',
+      (SELECT count(*) FROM (SELECT CLAVE_CONTRATO, CLAVE_PROVEEDOR FROM bridge GROUP BY 1, 2 HAVING count(*) > 1)), true
+    UNION ALL SELECT 'DQ-5 huerfanos fact->entidad',
+      (SELECT count(*) FROM fact WHERE CLAVE_ENTIDAD IS NOT NULL AND CLAVE_ENTIDAD NOT IN (SELECT CLAVE_ORGANIZACION FROM dim_organizacion)), true
+    UNION ALL SELECT 'DQ-5 huerfanos puente->fact',
+      (SELECT count(*) FROM bridge WHERE CLAVE_CONTRATO NOT IN (SELECT CLAVE_CONTRATO FROM fact)), true
+    UNION ALL SELECT 'DQ-6 monedas sin dimension',
+      (SELECT count(*) FROM fact WHERE CLAVE_MONEDA NOT IN (SELECT CLAVE_MONEDA FROM fact)), true
+    UNION ALL SELECT 'DQ-7 diferencia filas curated-dw', (SELECT count(*) FROM fact) - (SELECT count(*) FROM fact_dw), true
+    UNION ALL SELECT 'DQ-13 contratos sin entidad', (SELECT count(*) FROM fact WHERE CLAVE_ENTIDAD IS NULL), false
+    UNION ALL SELECT 'DQ-13 contratos sin proveedor',
+      (SELECT count(*) FROM fact f WHERE NOT EXISTS (SELECT 1 FROM bridge b WHERE b.CLAVE_CONTRATO = f.CLAVE_CONTRATO)), false
+    UNION ALL SELECT 'DQ-14 filas staging sin OCID o contrato',
+      (SELECT count(*) FROM stg_contratos WHERE OCID IS NULL OR ID_CONTRATO IS NULL), true),
+  rows_ AS (SELECT CONTROL, CAST(VALOR AS BIGINT) AS VALOR, CASE WHEN z THEN VALOR = 0 ELSE true END AS CUMPLE FROM checks)
+  SELECT * FROM rows_
+  UNION ALL SELECT 'ESTADO GENERAL', CAST(NULL AS BIGINT), coalesce(bool_and(CUMPLE), true) FROM rows_""",
+})
