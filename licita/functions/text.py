@@ -68,7 +68,7 @@ def clean_text(c: Column) -> Column:
 
 def clean_text_keep_inner(c: Column) -> Column:
     """F-2 (one-year variant): strip ends and null tokens; inner text kept."""
-    t = F.regexp_replace(c.cast("string"), f"^{WS_RUN}|{WS_RUN}$", "")
+    t = F.regexp_replace(c.cast("string"), rf"\A{WS_RUN}|{WS_RUN}\z", "")
     return F.when(t.isin(NULL_TOKENS), F.lit(None).cast("string")).otherwise(t)
 
 

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def registry() -> dict:
-    from . import curated, reports, warehouse
+    from . import curated, reports, scalar, warehouse
     out = {}
-    for mod in (curated, reports, warehouse):
+    for mod in (curated, reports, warehouse, scalar):
         out.update(mod.QUERIES)
     return out
 

@@ -35,9 +35,14 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._cache: dict[str, DataFrame] = {}
 
     def __call__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        # one relation per table: listing and footer reads happen once, and
+        # repeated uses are recognisably the same scan to the optimizer
+        if name not in self._cache:
+            self._cache[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._cache[name]
 
 
 def _null_when(cond: Column, c: Column, dtype: str = "string") -> Column:

@@ -640,3 +640,100 @@ ORACLES.update({
   SELECT * FROM rows_
   UNION ALL SELECT 'ESTADO GENERAL', CAST(NULL AS BIGINT), coalesce(bool_and(CUMPLE), true) FROM rows_""",
 })
+
+
+# ------------------------------------------------------------------ scalars
+
+WS = (r"[\t\n\x0b\x0c\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+      r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+")
+
+
+def clean_sql(x: str) -> str:
+    t = f"trim(regexp_replace({x}, '{WS}', ' ', 'g'))"
+    return f"CASE WHEN {t} IN ('', 'nan', 'None', '<NA>') THEN NULL ELSE {t} END"
+
+
+def std_full(x: str, keep: str = "A-Z0-9Ñ& ") -> str:
+    return std_name(f"regexp_replace({x}, '{WS}', ' ', 'g')", keep)
+
+
+def ruc_extract_sql(x: str) -> str:
+    t = f"trim({x})"
+    run = f"regexp_extract({t}, '(?:^|[^0-9])([0-9]{{11}})(?:$|[^0-9])', 1)"
+    dig = f"regexp_replace({t}, '[^0-9]', '', 'g')"
+    return (f"(CASE WHEN {x} IS NULL THEN NULL WHEN {run} <> '' THEN {run} "
+            f"WHEN length({dig}) = 11 THEN {dig} ELSE NULL END)")
+
+
+def norm_id_sql(x: str) -> str:
+    return f"regexp_replace({clean_sql(x)}, '^([0-9]+)\\.0$', '\\1')"
+
+
+_IDV = """(CASE l_linenumber WHEN 1 THEN CAST(l_orderkey AS VARCHAR) || '.0'
+  WHEN 2 THEN ' ' || CAST(l_orderkey AS VARCHAR) || '.0' || chr(9)
+  WHEN 3 THEN CAST(l_orderkey AS VARCHAR) || '.5' WHEN 4 THEN 'nan'
+  WHEN 5 THEN '00' || CAST(l_orderkey AS VARCHAR) WHEN 6 THEN '  '
+  ELSE CAST(l_orderkey AS VARCHAR) END)"""
+
+_R = "('20' || lpad(CAST(c_custkey AS VARCHAR), 9, '0'))"
+_RUC_RAW = f"""(CASE c_custkey % 7 WHEN 0 THEN {_R} WHEN 1 THEN 'PE-RUC-' || {_R}
+  WHEN 2 THEN substr({_R}, 1, 2) || '-' || substr({_R}, 3, 4) || '.' || substr({_R}, 7, 5)
+  WHEN 3 THEN {_R} || '.0' WHEN 4 THEN '1' || {_R}
+  WHEN 5 THEN 'RUC ' || {_R} || ' / ALT 10' || {_R} ELSE NULL END)"""
+_FALLBACK = "('ORG-' || lpad(CAST(c_custkey AS VARCHAR), 11, '7'))"
+
+
+def parse_number_sql(x: str) -> str:
+    t = f"replace(replace(replace(replace({x}, chr(160), ''), ' ', ''), 'S/', ''), '$', '')"
+    rc, rd = f"strpos(reverse({t}), ',')", f"strpos(reverse({t}), '.')"
+    conv = (f"CASE WHEN {rc} > 0 AND {rd} > 0 AND {rc} < {rd} THEN replace(replace({t}, '.', ''), ',', '.') "
+            f"WHEN {rc} > 0 AND {rd} > 0 THEN replace({t}, ',', '') "
+            f"WHEN {rc} > 0 THEN replace({t}, ',', '.') ELSE {t} END")
+    return f"TRY_CAST(regexp_replace({conv}, '[^0-9.\\-]', '', 'g') AS DOUBLE)"
+
+
+_CENTS = "CAST(round(l_extendedprice * 100) AS BIGINT)"
+_IP = f"CAST({_CENTS} // 100 AS BIGINT)"
+_FRAC = f"lpad(CAST({_CENTS} % 100 AS VARCHAR), 2, '0')"
+_GRP = f"format('{{:,}}', {_IP})"
+_AMT = f"""(CASE l_linenumber WHEN 1 THEN {_GRP} || '.' || {_FRAC}
+  WHEN 2 THEN replace({_GRP}, ',', '.') || ',' || {_FRAC}
+  WHEN 3 THEN 'S/ ' || CAST({_IP} AS VARCHAR) || '.' || {_FRAC}
+  WHEN 4 THEN '$' || {_GRP} || ' ' WHEN 5 THEN CAST({_IP} AS VARCHAR) || ',' || {_FRAC}
+  WHEN 6 THEN 'sin monto' ELSE '' END)"""
+
+_DTXT = """(CASE o_orderkey % 5 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d')
+  WHEN 1 THEN strftime(o_orderdate, '%d/%m/%Y') WHEN 2 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
+  WHEN 3 THEN strftime(o_orderdate, '%Y%m%d') ELSE 'sin fecha' END)"""
+_DPARSE = ("coalesce(" + ", ".join(f"try_strptime(trim({_DTXT}), '{f}')" for f in
+           ["%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%d", "%d/%m/%Y %H:%M:%S",
+            "%d/%m/%Y", "%Y%m%d"]) + ")")
+
+ORACLES.update({
+    "clean_text": f"""
+  SELECT doc_id, {clean_sql('text')} AS TEXTO_LIMPIO,
+    CASE WHEN regexp_replace(text, '\\A{WS}|{WS}\\z', '', 'g') IN ('', 'nan', 'None', '<NA>') THEN NULL
+         ELSE regexp_replace(text, '\\A{WS}|{WS}\\z', '', 'g') END AS TEXTO_RECORTADO
+  FROM documents""",
+
+    "normalize_id": f"""
+  SELECT l_orderkey, l_linenumber, {_IDV} AS ID_CRUDO, {norm_id_sql(_IDV)} AS ID_NORMALIZADO FROM lineitem""",
+
+    "standard_name": f"""
+  SELECT doc_id, {std_full('text')} AS NOMBRE_ESTANDAR, {std_full('text', 'A-Z0-9Ñ&/ -')} AS VALOR_CATALOGO
+  FROM documents""",
+
+    "ruc_extract_validate": f"""
+  SELECT c_custkey, IDENTIFICADOR, RUC, {ruc_valid('RUC')} AS RUC_VALIDO,
+    coalesce({ruc_extract_sql('IDENT')}, {ruc_extract_sql(_FALLBACK)}) AS RUC_CON_RESPALDO
+  FROM (SELECT c_custkey, IDENTIFICADOR, IDENT, {ruc_extract_sql('IDENT')} AS RUC FROM (
+    SELECT c_custkey, {_RUC_RAW} AS IDENTIFICADOR, {norm_id_sql(_RUC_RAW)} AS IDENT FROM customer))""",
+
+    "parse_number": f"""
+  SELECT l_orderkey, l_linenumber, {_AMT} AS MONTO_TEXTO, {parse_number_sql(_AMT)} AS MONTO,
+    TRY_CAST(l_returnflag AS INTEGER) AS BANDERA_NUMERO FROM lineitem""",
+
+    "parse_date": f"""
+  SELECT o_orderkey, {_DTXT} AS FECHA_TEXTO, {_DPARSE} AS FECHA,
+    CAST(strftime({_DPARSE}, '%Y%m%d') AS INTEGER) AS FECHA_KEY FROM orders""",
+})

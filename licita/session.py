@@ -22,6 +22,9 @@ SCALE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # plan construction: skip per-call Python stack capture for error context
+    # (three extra JVM round-trips per Column call)
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -74,3 +77,12 @@ def _count():
 
 
 _counter = _count()
+
+
+def materialise(df, name: str = "tmp"):
+    """Cut lineage by writing ``df`` as Parquet under the shared checkpoint
+    folder and reading it back (computed once; survives executor loss; the
+    read is columnar and prunable, unlike an RDD checkpoint)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
