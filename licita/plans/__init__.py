@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def registry() -> dict:
-    from . import curated, reports, scalar, warehouse
+    from . import curated, incremental, reports, scalar, warehouse
     out = {}
-    for mod in (curated, reports, warehouse, scalar):
+    for mod in (curated, reports, warehouse, scalar, incremental):
         out.update(mod.QUERIES)
     return out
 

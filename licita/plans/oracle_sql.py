@@ -737,3 +737,124 @@ ORACLES.update({
   SELECT o_orderkey, {_DTXT} AS FECHA_TEXTO, {_DPARSE} AS FECHA,
     CAST(strftime({_DPARSE}, '%Y%m%d') AS INTEGER) AS FECHA_KEY FROM orders""",
 })
+
+
+# -------------------------------------------------------------- incremental
+
+def _snap(previous: bool) -> str:
+    price = ("CASE WHEN o_orderkey % 10 = 0 THEN o_totalprice + 1 ELSE o_totalprice END"
+             if previous else "o_totalprice")
+    where = "o_orderkey % 2 = 0" if previous else "o_orderkey % 17 <> 3"
+    return f"""SELECT o_orderkey, o_custkey, MONTO, o_orderstatus, o_orderdate,
+      md5(concat_ws('|', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR),
+        coalesce(CAST(CAST(MONTO AS DECIMAL(28,4)) AS VARCHAR), ''), coalesce(o_orderstatus, ''),
+        coalesce(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), ''), '', '', '')) AS HASH_FILA
+    FROM (SELECT *, {price} AS MONTO FROM orders WHERE {where})"""
+
+
+SNAPS = [f"old_snap AS ({_snap(True)})", f"new_snap AS ({_snap(False)})"]
+CLASSIFY = """actions AS (
+  SELECT coalesce(o.o_orderkey, n.o_orderkey) AS o_orderkey,
+    CASE WHEN o.o_orderkey IS NULL THEN 'INSERTAR' WHEN n.o_orderkey IS NULL THEN 'AUSENTE'
+         WHEN o.HASH_FILA IS NOT DISTINCT FROM n.HASH_FILA THEN 'SIN_CAMBIO' ELSE 'ACTUALIZAR' END AS ACCION
+  FROM old_snap o FULL OUTER JOIN new_snap n ON o.o_orderkey = n.o_orderkey)"""
+LINKS = """links AS (SELECT DISTINCT l_orderkey AS o_orderkey, l_suppkey FROM lineitem)"""
+PRORATE = LINKS + """,
+  per AS (SELECT o_orderkey, count(*) AS n, min(l_suppkey) AS first_ FROM links GROUP BY o_orderkey),
+  base AS (SELECT o.o_orderkey, CAST(o.o_totalprice AS DECIMAL(28,4)) AS amt, per.n, per.first_,
+             -- exact half-up rounding in integer units of 1/10000 (DuckDB divides decimals in double)
+             CAST(CAST((CAST(CAST(o.o_totalprice AS DECIMAL(28,4)) * 10000 AS HUGEINT) * 2 + per.n) // (2 * per.n)
+                  AS DECIMAL(38,0)) / 10000 AS DECIMAL(28,4)) AS share
+           FROM orders o JOIN per ON o.o_orderkey = per.o_orderkey),
+  prorated AS (
+    SELECT l.o_orderkey, l.l_suppkey, 1.0 / b.n AS PESO,
+      CASE WHEN l.l_suppkey = b.first_ THEN CAST(b.share + (b.amt - b.share * b.n) AS DECIMAL(28,4))
+           ELSE b.share END AS MONTO_PRORRATEADO, b.amt AS MONTO_ORIGINAL
+    FROM links l JOIN base b ON l.o_orderkey = b.o_orderkey)"""
+
+ORACLES.update({
+    "upsert": with_(*SNAPS, CLASSIFY) + "SELECT o_orderkey, ACCION FROM actions",
+
+    "upsert_idempotence": with_(*SNAPS, """first_ AS (
+    SELECT * FROM new_snap UNION ALL
+    SELECT * FROM old_snap WHERE o_orderkey NOT IN (SELECT o_orderkey FROM new_snap))""", """a2 AS (
+    SELECT CASE WHEN o.o_orderkey IS NULL THEN 'INSERTAR' WHEN n.o_orderkey IS NULL THEN 'AUSENTE'
+         WHEN o.HASH_FILA IS NOT DISTINCT FROM n.HASH_FILA THEN 'SIN_CAMBIO' ELSE 'ACTUALIZAR' END AS ACCION
+    FROM first_ o FULL OUTER JOIN new_snap n ON o.o_orderkey = n.o_orderkey)""") + """
+  SELECT a.ACCION, CAST(coalesce(c.FILAS, 0) AS BIGINT) AS FILAS
+  FROM (VALUES ('INSERTAR'), ('ACTUALIZAR'), ('SIN_CAMBIO'), ('AUSENTE')) a(ACCION)
+  LEFT JOIN (SELECT ACCION, count(*) AS FILAS FROM a2 GROUP BY ACCION) c ON a.ACCION = c.ACCION""",
+
+    "scd2_history": with_(*SNAPS, """open_ AS (
+    SELECT *, DATE '1998-01-01' AS FECHA_DESDE, CAST(NULL AS DATE) AS FECHA_HASTA, 1 AS EJECUCION_ID FROM old_snap)""",
+                          """closed AS (
+    SELECT o_orderkey, o_custkey, MONTO - 5 AS MONTO, o_orderstatus, o_orderdate, md5(HASH_FILA || 'v0') AS HASH_FILA,
+      DATE '1997-01-01' AS FECHA_DESDE, DATE '1998-01-01' AS FECHA_HASTA, 0 AS EJECUCION_ID
+    FROM old_snap WHERE o_orderkey % 20 = 0)""", CLASSIFY, """changed AS (
+    SELECT o_orderkey FROM actions WHERE ACCION IN ('INSERTAR', 'ACTUALIZAR'))""") + """
+  SELECT * FROM closed
+  UNION ALL SELECT * REPLACE (DATE '1999-01-01' AS FECHA_HASTA) FROM open_ WHERE o_orderkey IN (SELECT o_orderkey FROM changed)
+  UNION ALL SELECT * FROM open_ WHERE o_orderkey NOT IN (SELECT o_orderkey FROM changed)
+  UNION ALL SELECT *, DATE '1999-01-01' AS FECHA_DESDE, CAST(NULL AS DATE) AS FECHA_HASTA, 2 AS EJECUCION_ID
+    FROM new_snap WHERE o_orderkey IN (SELECT o_orderkey FROM changed)""",
+
+    "bridge_rebuild": with_(*SNAPS, CLASSIFY, """affected AS (
+    SELECT DISTINCT o_orderkey FROM actions WHERE ACCION IN ('INSERTAR', 'ACTUALIZAR'))""") + """
+  SELECT DISTINCT l_orderkey AS o_orderkey, l_suppkey FROM lineitem
+    WHERE l_linenumber <= 3 AND l_orderkey NOT IN (SELECT o_orderkey FROM affected)
+  UNION ALL
+  SELECT DISTINCT l_orderkey AS o_orderkey, l_suppkey FROM lineitem
+    WHERE l_orderkey IN (SELECT o_orderkey FROM affected)""",
+
+    "soft_delete": with_(*SNAPS) + """
+  SELECT coalesce(s.o_orderkey, p.o_orderkey) AS o_orderkey,
+    CAST(CASE WHEN p.o_orderkey IS NOT NULL THEN 0 ELSE coalesce(s.a, 0) + 1 END AS INTEGER) AS AUSENCIAS_CONSECUTIVAS,
+    (CASE WHEN p.o_orderkey IS NOT NULL THEN 0 ELSE coalesce(s.a, 0) + 1 END) < 2 AS VIGENTE
+  FROM (SELECT o_orderkey, CAST((CAST(o_orderkey / 2 AS BIGINT)) % 3 AS INTEGER) AS a FROM old_snap) s
+  FULL OUTER JOIN (SELECT DISTINCT o_orderkey FROM new_snap) p ON s.o_orderkey = p.o_orderkey""",
+
+    "prorated_amount": with_(PRORATE) + """
+  SELECT o_orderkey, l_suppkey, PESO, CAST(MONTO_PRORRATEADO AS VARCHAR) AS MONTO_PRORRATEADO,
+    CAST(MONTO_ORIGINAL AS VARCHAR) AS MONTO_ORIGINAL FROM prorated""",
+
+    "proration_check": with_(PRORATE) + """
+  SELECT CAST(d AS VARCHAR) AS DIFERENCIA, count(*) AS CONTRATOS FROM (
+    SELECT o_orderkey, sum(MONTO_PRORRATEADO) - first(MONTO_ORIGINAL) AS d FROM prorated GROUP BY o_orderkey)
+  GROUP BY 1""",
+
+    "future_dates": """
+  SELECT o_orderkey, o_orderdate, o_orderstatus FROM orders WHERE o_orderdate > TIMESTAMP '1998-08-02'""",
+
+    "batch_compare": with_(*SNAPS) + """
+  SELECT coalesce(a.ANIO, b.ANIO) AS ANIO, coalesce(a.o_orderstatus, b.o_orderstatus) AS o_orderstatus,
+    coalesce(a.n, 0) AS FILAS_ANTERIOR, coalesce(b.n, 0) AS FILAS_ACTUAL, coalesce(b.n, 0) - coalesce(a.n, 0) AS DIFERENCIA
+  FROM (SELECT CAST(year(o_orderdate) AS INTEGER) AS ANIO, o_orderstatus, count(*) AS n FROM old_snap GROUP BY ALL) a
+  FULL OUTER JOIN (SELECT CAST(year(o_orderdate) AS INTEGER) AS ANIO, o_orderstatus, count(*) AS n FROM new_snap GROUP BY ALL) b
+    ON a.ANIO = b.ANIO AND a.o_orderstatus = b.o_orderstatus""",
+
+    "dimension_upsert": """WITH old AS (
+    SELECT 'C' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS CLAVE_CLIENTE, CAST(c_custkey // 2 AS BIGINT) + 1 AS CLIENTE_KEY
+    FROM customer WHERE c_custkey % 2 = 0),
+  dim AS (SELECT 'C' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS CLAVE_CLIENTE, c_name AS NOMBRE FROM customer
+    WHERE c_custkey IN (SELECT o_custkey FROM orders))
+  SELECT o.CLAVE_CLIENTE, o.CLIENTE_KEY, d.NOMBRE FROM old o LEFT JOIN dim d ON o.CLAVE_CLIENTE = d.CLAVE_CLIENTE
+  UNION ALL
+  SELECT CLAVE_CLIENTE, (SELECT max(CLIENTE_KEY) FROM old) + row_number() OVER (ORDER BY CLAVE_CLIENTE) AS CLIENTE_KEY, NOMBRE
+  FROM dim WHERE CLAVE_CLIENTE NOT IN (SELECT CLAVE_CLIENTE FROM old)""",
+
+    "manifest_changes": """WITH cur AS (
+    SELECT 'landing/' || source || '/' || CAST(doc_id AS VARCHAR) || '.txt' AS RUTA, sha256(text) AS SHA256 FROM documents),
+  prev AS (SELECT 'landing/' || source || '/' || CAST(doc_id AS VARCHAR) || '.txt' AS RUTA,
+    sha256(CASE WHEN doc_id % 10 = 1 THEN text || 'x' ELSE text END) AS SHA256 FROM documents WHERE doc_id % 4 <> 0)
+  SELECT c.RUTA, c.SHA256, CASE WHEN p.SHA256 IS NULL THEN 'NUEVO' WHEN p.SHA256 = c.SHA256 THEN 'SIN_CAMBIO'
+    ELSE 'MODIFICADO' END AS ESTADO, (p.SHA256 IS NULL OR p.SHA256 <> c.SHA256) AS PROCESAR
+  FROM cur c LEFT JOIN prev p ON c.RUTA = p.RUTA""",
+
+    "package_changes": """WITH pk AS (
+    SELECT 'pkg-' || strftime(d, '%Y%m%d') AS PAQUETE, strftime(max_ts, '%Y-%m-%d %H:%M:%S') AS TIMESTAMP_API,
+      day(d) AS dd FROM (SELECT CAST(ts AS DATE) AS d, max(ts) AS max_ts FROM events GROUP BY 1)),
+  st AS (SELECT PAQUETE, CASE WHEN dd % 3 = 0 THEN '1900-01-01 00:00:00' ELSE TIMESTAMP_API END AS ts_ FROM pk WHERE dd % 5 <> 0)
+  SELECT p.PAQUETE, p.TIMESTAMP_API, CASE WHEN s.ts_ IS NULL THEN 'NUEVO' WHEN s.ts_ = p.TIMESTAMP_API THEN 'SIN_CAMBIO'
+    ELSE 'MODIFICADO' END AS ESTADO, (s.ts_ IS NULL OR s.ts_ <> p.TIMESTAMP_API) AS PROCESAR
+  FROM pk p LEFT JOIN st s ON p.PAQUETE = s.PAQUETE""",
+})
