@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def registry() -> dict:
-    from . import curated, incremental, reports, scalar, warehouse
+    from . import curated, incremental, reports, scalar, staging, warehouse
     out = {}
-    for mod in (curated, reports, warehouse, scalar, incremental):
+    for mod in (curated, reports, warehouse, scalar, incremental, staging):
         out.update(mod.QUERIES)
     return out
 

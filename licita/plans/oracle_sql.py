@@ -858,3 +858,119 @@ ORACLES.update({
     ELSE 'MODIFICADO' END AS ESTADO, (s.ts_ IS NULL OR s.ts_ <> p.TIMESTAMP_API) AS PROCESAR
   FROM pk p LEFT JOIN st s ON p.PAQUETE = s.PAQUETE""",
 })
+
+
+# ------------------------------------------------------------------ staging
+
+def parse_date_sql(x: str) -> str:
+    return ("coalesce(" + ", ".join(f"try_strptime(trim({x}), '{f}')" for f in
+            ["%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%d", "%d/%m/%Y %H:%M:%S",
+             "%d/%m/%Y", "%Y%m%d"]) + ")")
+
+
+_EMPTY = "(l_linenumber = 7 AND l_partkey % 5 = 0)"
+_FD = """(CASE l_orderkey % 5 WHEN 0 THEN strftime(l_shipdate, '%Y-%m-%d') WHEN 1 THEN strftime(l_shipdate, '%d/%m/%Y')
+  WHEN 2 THEN strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') WHEN 3 THEN 'nan' ELSE '31/02/1999' END)"""
+_AMT_L = _AMT  # same amount renderings, keyed by l_linenumber
+
+RAW_CONTRATOS = f"""raw AS (
+  SELECT
+    CASE WHEN {_EMPTY} OR (l_linenumber = 7 AND l_partkey % 2 = 0) THEN NULL
+         ELSE CAST(l_orderkey AS VARCHAR) || CASE WHEN l_linenumber % 3 = 0 THEN '.0' ELSE '' END END AS r_ocid,
+    CASE WHEN {_EMPTY} THEN NULL ELSE l_linestatus END AS r_ent,
+    CASE WHEN {_EMPTY} THEN NULL ELSE CASE WHEN l_linenumber % 2 = 0 THEN ' ' ELSE '' END || CAST(l_linenumber AS VARCHAR) END AS r_idc,
+    CASE WHEN {_EMPTY} THEN NULL ELSE CAST(l_suppkey AS VARCHAR) END AS r_adj,
+    CASE WHEN {_EMPTY} THEN NULL ELSE '  Contrato' || chr(10) || CAST(l_partkey AS VARCHAR) || chr(9) || chr(160) || 'nº  ' || l_returnflag END AS r_tit,
+    CASE WHEN {_EMPTY} THEN NULL ELSE {_AMT_L} END AS r_monto,
+    CASE WHEN {_EMPTY} THEN NULL ELSE {_FD} END AS r_firma,
+    CASE WHEN {_EMPTY} OR l_linenumber % 2 = 0 THEN NULL WHEN l_returnflag = 'N' THEN 'nan' ELSE 'PEN' END AS r_mon,
+    CASE WHEN {_EMPTY} OR l_linenumber % 2 = 1 THEN NULL ELSE strftime(l_shipdate, '%d/%m/%Y') END AS r_ini,
+    CASE WHEN {_EMPTY} OR l_linenumber % 2 = 1 THEN NULL ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || ',0' END AS r_dur,
+    CAST(year(l_shipdate) AS INTEGER) AS ANIO_ARCHIVO, CAST(month(l_shipdate) AS INTEGER) AS MES_ARCHIVO,
+    'contratos_' || strftime(l_shipdate, '%Y%m') || '.csv' AS ARCHIVO_ORIGEN,
+    {_EMPTY} AS empty_row
+  FROM lineitem)"""
+
+STAGED_CONTRATOS = f"""cleaned AS (
+  SELECT {norm_id_sql('r_ocid')} AS OCID, {norm_id_sql('r_ent')} AS ID_ENTREGA, {norm_id_sql('r_idc')} AS ID_CONTRATO,
+    {norm_id_sql('r_adj')} AS ID_ADJUDICACION, {clean_sql('r_tit')} AS TITULO_CONTRATO,
+    CAST(NULL AS VARCHAR) AS DESCRIPCION_CONTRATO, {parse_date_sql(clean_sql('r_ini'))} AS FECHA_INICIO,
+    CAST(NULL AS TIMESTAMP) AS FECHA_FIN, {parse_number_sql(clean_sql('r_dur'))} AS DURACION_DIAS,
+    {parse_number_sql(clean_sql('r_monto'))} AS MONTO_CONTRATO, {clean_sql('r_mon')} AS MONEDA_CONTRATO,
+    CAST(NULL AS VARCHAR) AS NOMBRE_MONEDA_CONTRATO, {parse_date_sql(clean_sql('r_firma'))} AS FECHA_FIRMA,
+    CAST(NULL AS DOUBLE) AS MONTO_FINAL, CAST(NULL AS VARCHAR) AS MONEDA_FINAL,
+    CAST(NULL AS VARCHAR) AS NOMBRE_MONEDA_FINAL, CAST(NULL AS TIMESTAMP) AS FECHA_FIN_IMPLEMENTACION,
+    ANIO_ARCHIVO, MES_ARCHIVO, ARCHIVO_ORIGEN
+  FROM raw WHERE NOT empty_row),
+staged AS (
+  SELECT *, OCID || '|' || ID_CONTRATO AS CLAVE_CONTRATO,
+    count(*) OVER (PARTITION BY ANIO_ARCHIVO, MES_ARCHIVO, ARCHIVO_ORIGEN, OCID || '|' || ID_CONTRATO) > 1 AS ES_DUPLICADO_CLAVE
+  FROM cleaned WHERE OCID IS NOT NULL AND ID_CONTRATO IS NOT NULL)"""
+
+_CK_RUC = "('20' || lpad(CAST(c_custkey AS VARCHAR), 9, '0'))"
+RAW_PARTES = f"""raw AS (
+  SELECT 'ocds-' || CAST(o_orderkey AS VARCHAR) AS r_ocid, '1' AS r_ent,
+    CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE CAST(c_custkey AS VARCHAR) END AS r_idorg,
+    c_name AS r_comun,
+    CASE WHEN c_custkey % 5 = 1 THEN NULL WHEN c_custkey % 3 = 0 THEN 'PE-RUC-' || {_CK_RUC} ELSE {_CK_RUC} || '.0' END AS r_ident,
+    CASE WHEN c_custkey % 2 = 0 THEN NULL ELSE 'Razón Social ' || upper(c_name) END AS r_legal,
+    'Av. ' || c_mktsegment || ' Nº ' || CAST(c_custkey % 900 AS VARCHAR) AS r_dir,
+    CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE 'Distrito ' || CAST(c_custkey % 13 AS VARCHAR) END AS r_loc,
+    r_name AS r_reg, n_name AS r_dep, 'Perú' AS r_pais,
+    CASE c_custkey % 4 WHEN 0 THEN 'buyer;procuringEntity' WHEN 1 THEN 'Supplier'
+      WHEN 2 THEN 'Entidad contratante / proveedor' ELSE 'tenderer' END AS r_roles,
+    CAST(year(o_orderdate) AS INTEGER) AS ANIO_ARCHIVO, CAST(month(o_orderdate) AS INTEGER) AS MES_ARCHIVO,
+    'partes_' || strftime(o_orderdate, '%Y%m') || '.csv' AS ARCHIVO_ORIGEN
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+    JOIN region ON n_regionkey = r_regionkey)"""
+
+_CAT = "A-Z0-9Ñ&/ -"
+STAGED_PARTES = f"""c1 AS (
+  SELECT {norm_id_sql('r_ocid')} AS OCID, {norm_id_sql('r_ent')} AS ID_ENTREGA, {norm_id_sql('r_idorg')} AS ID_ORGANIZACION,
+    {norm_id_sql('r_ident')} AS IDENTIFICADOR_PRINCIPAL,
+    coalesce({clean_sql('r_legal')}, {clean_sql('r_comun')}) AS NOMBRE_ORGANIZACION_ORIGINAL,
+    {std_full(clean_sql('r_dir'), _CAT)} AS DIRECCION_ESTANDAR, {std_full(clean_sql('r_loc'), _CAT)} AS LOCALIDAD_ESTANDAR,
+    {std_full(clean_sql('r_reg'), _CAT)} AS REGION_ESTANDAR, {std_full(clean_sql('r_dep'), _CAT)} AS DEPARTAMENTO_ESTANDAR,
+    {std_full(clean_sql('r_pais'), _CAT)} AS PAIS_ESTANDAR, {std_full(clean_sql('r_roles'), _CAT)} AS ROLES_ESTANDAR,
+    ANIO_ARCHIVO, MES_ARCHIVO, ARCHIVO_ORIGEN
+  FROM raw),
+c2 AS (
+  SELECT *, {std_full('NOMBRE_ORGANIZACION_ORIGINAL', _CAT)} AS NOMBRE_ORGANIZACION_ESTANDAR,
+    coalesce({ruc_extract_sql('IDENTIFICADOR_PRINCIPAL')}, {ruc_extract_sql('ID_ORGANIZACION')}) AS RUC_ORGANIZACION,
+    coalesce(regexp_matches(ROLES_ESTANDAR, 'BUYER|PROCURINGENTITY|COMPRADOR|ENTIDAD CONTRATANTE'), false) AS ES_COMPRADOR_O_ENTIDAD,
+    coalesce(regexp_matches(ROLES_ESTANDAR, 'SUPPLIER|PROVEEDOR'), false) AS ES_PROVEEDOR
+  FROM c1 WHERE OCID IS NOT NULL AND ID_ENTREGA IS NOT NULL
+    AND (ID_ORGANIZACION IS NOT NULL OR IDENTIFICADOR_PRINCIPAL IS NOT NULL OR NOMBRE_ORGANIZACION_ORIGINAL IS NOT NULL)),
+c3 AS (
+  SELECT *, {ruc_valid('RUC_ORGANIZACION')} AS RUC_VALIDO,
+    CASE WHEN RUC_ORGANIZACION IS NOT NULL THEN 'RUC|' || RUC_ORGANIZACION
+         WHEN ID_ORGANIZACION IS NOT NULL THEN 'ID|' || ID_ORGANIZACION END AS CLAVE_ORGANIZACION,
+    OCID || '|' || ID_ENTREGA || '|' || coalesce(ID_ORGANIZACION, IDENTIFICADOR_PRINCIPAL, NOMBRE_ORGANIZACION_ESTANDAR) AS CLAVE_PARTE
+  FROM c2),
+staged AS (
+  SELECT *, count(*) OVER (PARTITION BY ANIO_ARCHIVO, MES_ARCHIVO, ARCHIVO_ORIGEN, CLAVE_PARTE) > 1 AS ES_DUPLICADO_CLAVE FROM c3)"""
+
+ORACLES.update({
+    "staging_contratos": with_(RAW_CONTRATOS, STAGED_CONTRATOS) + "SELECT * FROM staged",
+
+    "file_controls": with_(RAW_CONTRATOS, STAGED_CONTRATOS) + """
+  SELECT 'CONTRATOS' AS TABLA, s.ANIO_ARCHIVO, s.MES_ARCHIVO, s.ARCHIVO_ORIGEN, s.n AS FILAS_ORIGEN,
+    coalesce(o.n, 0) AS FILAS_SALIDA, s.n - coalesce(o.n, 0) AS FILAS_DESCARTADAS,
+    coalesce(o.d, 0) AS CLAVES_DUPLICADAS, CAST(0 AS BIGINT) AS RUC_PRESENTES, CAST(0 AS BIGINT) AS RUC_VALIDOS
+  FROM (SELECT ANIO_ARCHIVO, MES_ARCHIVO, ARCHIVO_ORIGEN, count(*) AS n FROM raw WHERE NOT empty_row GROUP BY ALL) s
+  LEFT JOIN (SELECT ANIO_ARCHIVO, MES_ARCHIVO, ARCHIVO_ORIGEN, count(*) AS n,
+               count(*) FILTER (WHERE ES_DUPLICADO_CLAVE) AS d FROM staged GROUP BY ALL) o
+    USING (ANIO_ARCHIVO, MES_ARCHIVO, ARCHIVO_ORIGEN)""",
+
+    "staging_partes": with_(RAW_PARTES, STAGED_PARTES) + """
+  SELECT OCID, ID_ENTREGA, ID_ORGANIZACION, IDENTIFICADOR_PRINCIPAL, NOMBRE_ORGANIZACION_ORIGINAL,
+    NOMBRE_ORGANIZACION_ESTANDAR, RUC_ORGANIZACION, RUC_VALIDO, DIRECCION_ESTANDAR, LOCALIDAD_ESTANDAR,
+    REGION_ESTANDAR, DEPARTAMENTO_ESTANDAR, PAIS_ESTANDAR, ROLES_ESTANDAR, ES_COMPRADOR_O_ENTIDAD, ES_PROVEEDOR,
+    CLAVE_ORGANIZACION, CLAVE_PARTE, ES_DUPLICADO_CLAVE, ANIO_ARCHIVO, MES_ARCHIVO FROM staged""",
+
+    "geo_catalog": with_(RAW_PARTES, STAGED_PARTES) + """
+  SELECT *, row_number() OVER (ORDER BY PAIS_ESTANDAR ASC NULLS LAST, DEPARTAMENTO_ESTANDAR ASC NULLS LAST,
+      REGION_ESTANDAR ASC NULLS LAST, LOCALIDAD_ESTANDAR ASC NULLS LAST) AS UBICACION_KEY
+  FROM (SELECT DISTINCT PAIS_ESTANDAR, DEPARTAMENTO_ESTANDAR, REGION_ESTANDAR, LOCALIDAD_ESTANDAR FROM staged
+        WHERE coalesce(PAIS_ESTANDAR, DEPARTAMENTO_ESTANDAR, REGION_ESTANDAR, LOCALIDAD_ESTANDAR) IS NOT NULL)""",
+})
