@@ -31,13 +31,17 @@ def ruc_from(*cols: Column) -> Column:
 def validate_ruc(c: Column) -> Column:
     """F-8: NULL -> NULL; wrong shape -> false; else check digit test.
 
-    ``(11 - s % 11) % 10`` equals the rule "10 -> 0, 11 -> 1".
+    Digits are taken arithmetically from one 64-bit value; the check digit
+    ``(11 - s % 11) % 10`` equals the rule "10 -> 0, 11 -> 1".  Pass a column
+    reference (not a long expression): the branches below reference it
+    several times.
     """
     s = c.cast("string")
+    n = s.try_cast("long")
     total = reduce(lambda a, b: a + b, [
-        F.substring(s, i + 1, 1).cast("int") * F.lit(w)
+        (n / F.lit(10 ** (RUC_LENGTH - 1 - i))).cast("long") % 10 * w
         for i, w in enumerate(RUC_WEIGHTS)])
     check = (F.lit(11) - total % 11) % 10
     return (F.when(s.isNull(), F.lit(None).cast("boolean"))
             .when(~s.rlike("^[0-9]{11}$"), F.lit(False))
-            .otherwise(check == F.substring(s, 11, 1).cast("int")))
+            .otherwise(check == n % 10))

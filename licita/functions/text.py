@@ -83,10 +83,16 @@ def strip_marks(c: Column) -> Column:
 
 
 def _standardise(c: Column, keep: str) -> Column:
-    t = strip_marks(collapse_ws(c.cast("string")))
-    t = F.regexp_replace(t, f"[^{keep}]+", " ")
-    t = F.trim(F.regexp_replace(t, " +", " "))
-    return F.when(t == "", F.lit(None).cast("string")).otherwise(t)
+    """Upper, accents removed, every run of characters outside ``keep`` (and
+    of spaces) -> one space, stripped, empty -> NULL.
+
+    One regex pass: replacing runs of non-kept characters *including spaces*
+    by a single space equals "replace by space, then collapse spaces", and
+    also covers Unicode whitespace (never a kept character).
+    """
+    kept = keep.replace(" ", "")
+    t = F.trim(F.regexp_replace(strip_marks(c.cast("string")), f"[^{kept}]+", " "))
+    return F.nullif(t, F.lit(""))
 
 
 def standard_name(c: Column) -> Column:

@@ -152,7 +152,7 @@ def stg_registros(t: Tables) -> DataFrame:
            .when(F.col("o_orderstatus") == "O", "Bienes ").otherwise("servicios"))
     cat = _null_when((v == 1) | (ok % 8 == 0), cat)
     method = _null_when((v == 2) | (ok % 10 == 0), F.col("o_orderpriority"))
-    return o.select(
+    base = o.select(
         ok.cast("string").alias("OCID"),
         F.col("o_orderstatus").alias("ID_ENTREGA"),
         _null_when(ok % 4 == 0, od, "timestamp_ntz").alias("FECHA_ENTREGA"),
@@ -160,13 +160,9 @@ def stg_registros(t: Tables) -> DataFrame:
         buyer.alias("ID_COMPRADOR"),
         b_name.alias("NOMBRE_COMPRADOR_ORIGINAL"),
         b_ruc.alias("RUC_COMPRADOR"),
-        R.validate_ruc(b_ruc).alias("RUC_COMPRADOR_VALIDO"),
-        T.standard_name(b_name).alias("NOMBRE_COMPRADOR_ESTANDAR"),
         entity.alias("ID_ENTIDAD_CONTRATANTE"),
         e_name.alias("NOMBRE_ENTIDAD_CONTRATANTE_ORIGINAL"),
         e_ruc.alias("RUC_ENTIDAD_CONTRATANTE"),
-        R.validate_ruc(e_ruc).alias("RUC_ENTIDAD_VALIDO"),
-        T.standard_name(e_name).alias("NOMBRE_ENTIDAD_ESTANDAR"),
         lic.alias("ID_LICITACION"),
         F.concat(F.lit("Licitacion "), ok.cast("string")).alias("TITULO_LICITACION"),
         _null_when(ok % 2 == 1, F.concat(F.lit("Compra de "), F.col("o_orderpriority")))
@@ -180,6 +176,14 @@ def stg_registros(t: Tables) -> DataFrame:
         F.lit("Soles").alias("NOMBRE_MONEDA_LICITACION"),
         y.alias("ANIO_ARCHIVO"), m.alias("MES_ARCHIVO"),
         _file(fdate).alias("ARCHIVO_ORIGEN"))
+    derived = {
+        "RUC_COMPRADOR_VALIDO": R.validate_ruc(F.col("RUC_COMPRADOR")),
+        "NOMBRE_COMPRADOR_ESTANDAR": T.standard_name(F.col("NOMBRE_COMPRADOR_ORIGINAL")),
+        "RUC_ENTIDAD_VALIDO": R.validate_ruc(F.col("RUC_ENTIDAD_CONTRATANTE")),
+        "NOMBRE_ENTIDAD_ESTANDAR": T.standard_name(F.col("NOMBRE_ENTIDAD_CONTRATANTE_ORIGINAL")),
+    }
+    return base.select(*[derived[c].alias(c) if c in derived else F.col(c)
+                         for c in RECORD_COLUMNS])
 
 
 SUPPLIER_COLUMNS = ["OCID", "ID_ENTREGA", "ID_ADJUDICACION", "ID_PROVEEDOR",
@@ -205,17 +209,19 @@ def stg_proveedores(t: Tables) -> DataFrame:
     sk = F.col("s_suppkey")
     ruc = _null_when(sk % 6 == 0, synthetic_ruc(sk))
     y, m = _period(F.col("l_shipdate"))
-    return both.select(
+    base = both.select(
         F.col("l_orderkey").cast("string").alias("OCID"),
         F.col("l_linestatus").alias("ID_ENTREGA"),
         F.col("l_suppkey").cast("string").alias("ID_ADJUDICACION"),
         sk.cast("string").alias("ID_PROVEEDOR"),
         F.col("_name").alias("NOMBRE_PROVEEDOR_ORIGINAL"),
         ruc.alias("RUC_PROVEEDOR"),
-        R.validate_ruc(ruc).alias("RUC_PROVEEDOR_VALIDO"),
-        T.standard_name(F.col("_name")).alias("NOMBRE_PROVEEDOR_ESTANDAR"),
         y.alias("ANIO_ARCHIVO"), m.alias("MES_ARCHIVO"),
         _file(F.col("l_shipdate")).alias("ARCHIVO_ORIGEN"))
+    derived = {"RUC_PROVEEDOR_VALIDO": R.validate_ruc(F.col("RUC_PROVEEDOR")),
+               "NOMBRE_PROVEEDOR_ESTANDAR": T.standard_name(F.col("NOMBRE_PROVEEDOR_ORIGINAL"))}
+    return base.select(*[derived[c].alias(c) if c in derived else F.col(c)
+                         for c in SUPPLIER_COLUMNS])
 
 
 def stg_partes(t: Tables) -> DataFrame:
@@ -237,12 +243,11 @@ def stg_partes(t: Tables) -> DataFrame:
     roles = (F.when(ck % 4 == 0, "buyer, procuringEntity").when(ck % 4 == 1, "supplier")
              .when(ck % 4 == 2, "Proveedor / Comprador").otherwise(_null_when(ok % 2 == 0, F.lit("tenderer"))))
     roles_std = T.catalog_value(roles)
-    return j.select(
+    out = j.select(
         ok.cast("string").alias("OCID"),
         F.lit("F").alias("ID_ENTREGA"),
         ident.alias("ID_ORGANIZACION"),
         ruc.alias("RUC_ORGANIZACION"),
-        R.validate_ruc(ruc).alias("RUC_VALIDO"),
         F.col("c_name").alias("NOMBRE_ORGANIZACION_ORIGINAL"),
         std_name.alias("NOMBRE_ORGANIZACION_ESTANDAR"),
         _null_when(ok % 4 == 1, T.catalog_value(F.col("c_mktsegment"))).alias("DIRECCION_ESTANDAR"),
@@ -258,3 +263,4 @@ def stg_partes(t: Tables) -> DataFrame:
         F.when(ruc.isNotNull(), F.concat(F.lit("RUC|"), ruc))
         .otherwise(F.concat(F.lit("ID|"), ident)).alias("CLAVE_ORGANIZACION"),
         y.alias("ANIO_ARCHIVO"), m.alias("MES_ARCHIVO"))
+    return out.withColumn("RUC_VALIDO", R.validate_ruc(F.col("RUC_ORGANIZACION")))

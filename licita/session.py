@@ -35,6 +35,9 @@ def build_session(master: str | None = None, app: str = "licita",
     if master:
         b = b.master(master)
     conf = dict(SCALE_CONF)
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the whole cluster (ignored once a JVM runs)
+        conf["spark.driver.memory"] = "12g"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
