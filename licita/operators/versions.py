@@ -1,45 +1,56 @@
 """Current-version selection and duplicate detection.
 
-``latest_by`` replaces ``ROW_NUMBER() OVER (PARTITION BY k ORDER BY ...) = 1``
-with a ``max(struct(order, row))`` aggregate.  The aggregate is partial on the
-map side, so every key -- however hot -- reaches the shuffle as at most one
-row per input partition; a row-number window would instead sort and buffer
-the whole group in one task.  Ties on the order are broken by the remaining
-columns (descending), which makes the choice total and deterministic.
+``latest_by`` is ``ROW_NUMBER() OVER (PARTITION BY k ORDER BY ...) = 1``.
+Spark plans a *partial* WindowGroupLimit before the shuffle for this shape,
+so every key -- however hot -- reaches the exchange as at most one row per
+input partition, and the reduce side sorts one row per key and partition.
+Ties on the order are broken by the remaining orderable columns
+(descending), which makes the choice total and deterministic.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 
 def _as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _orderable(dt) -> bool:
+    if isinstance(dt, MapType):
+        return False
+    if isinstance(dt, ArrayType):
+        return _orderable(dt.elementType)
+    if isinstance(dt, StructType):
+        return all(_orderable(f.dataType) for f in dt.fields)
+    return True
+
+
 def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence, *,
               drop_null_keys: bool = True) -> DataFrame:
     """One row per key: the greatest ``order`` (each item DESC NULLS LAST).
 
-    Remaining columns act as the final tie-break (DESC NULLS LAST, in column
-    order).  Rows whose key has a NULL part are dropped first (the
+    Remaining orderable columns act as the final tie-break (DESC NULLS LAST,
+    in column order).  Rows whose key has a NULL part are dropped first (the
     reference's ``WHERE key IS NOT NULL``), which also lets Catalyst push the
     predicate into the scan.
     """
     keys = list(keys)
     if drop_null_keys:
+        cond = None
         for k in keys:
-            df = df.filter(F.col(k).isNotNull())
-    payload = [c for c in df.columns if c not in keys]
-    ordering = F.struct(*[_as_col(o).alias(f"o{i}") for i, o in enumerate(order)])
-    best = F.max(F.struct(ordering.alias("o"),
-                          F.struct(*[F.col(c) for c in payload]).alias("p")))
-    out = df.groupBy(*keys).agg(best.alias("_best"))
-    return out.select(*[F.col(k) for k in keys],
-                      *[F.col(f"_best.p.{c}").alias(c) for c in payload])
+            c = F.col(k).isNotNull()
+            cond = c if cond is None else cond & c
+        df = df.filter(cond)
+    tie = [F.col(f.name).desc_nulls_last() for f in df.schema.fields
+           if f.name not in keys and _orderable(f.dataType)]
+    w = Window.partitionBy(*keys).orderBy(*[_as_col(o).desc_nulls_last() for o in order], *tie)
+    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
 def last_non_null(value: str | Column, order: Column, name: str | None = None) -> Column:

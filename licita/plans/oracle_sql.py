@@ -974,3 +974,104 @@ ORACLES.update({
   FROM (SELECT DISTINCT PAIS_ESTANDAR, DEPARTAMENTO_ESTANDAR, REGION_ESTANDAR, LOCALIDAD_ESTANDAR FROM staged
         WHERE coalesce(PAIS_ESTANDAR, DEPARTAMENTO_ESTANDAR, REGION_ESTANDAR, LOCALIDAD_ESTANDAR) IS NOT NULL)""",
 })
+
+
+# ------------------------------------------------------------------ landing
+
+_PK = """pk AS (
+  SELECT event_id, ts, event_type AS src, CAST(json_extract(props, '$.k') AS INTEGER) AS k,
+    CAST(2020 + event_id % 5 AS VARCHAR) AS year, lpad(CAST(1 + user_id % 12 AS VARCHAR), 2, '0') AS month,
+    CASE WHEN event_id % 7 = 0 THEN NULL ELSE event_type || '-' || CAST(2020 + event_id % 5 AS VARCHAR) || '-'
+      || lpad(CAST(1 + user_id % 12 AS VARCHAR), 2, '0') END AS raw_id
+  FROM events),
+pk2 AS (SELECT *, coalesce(nullif(raw_id, ''), src || '-' || year || '-' || month) AS PAQUETE_ID,
+  'https://datos.example.org/api/v1/file/' || src || '/' AS base FROM pk)"""
+
+
+def _u(fmt):
+    return f"base || '{fmt}/' || year || '/' || month || '/'"
+
+
+_WSC = WS.replace("]+", "]+")
+_CELL = lambda x: f"coalesce(trim(regexp_replace(CAST({x} AS VARCHAR), '{WS}', ' ', 'g')), '')"
+
+_FILES = """files AS (
+  SELECT CASE lang WHEN 'en' THEN 2022 WHEN 'fr' THEN 2023 WHEN 'de' THEN 2024 WHEN 'es' THEN 2025 END AS ANIO,
+    CAST(1 + CAST(regexp_extract(source, '([0-9]+)$', 1) AS INTEGER) % 14 AS INTEGER) AS MES,
+    source || '_' || lang || '.xlsx' AS ARCHIVO, sum(n_chars) AS BYTES,
+    count(*) FILTER (WHERE n_chars < 200) AS COLUMNAS_FALTANTES, CAST(count(*) AS VARCHAR) AS FILAS_CONTRATOS
+  FROM documents GROUP BY ALL)"""
+_EXPECTED = """expected AS (
+  SELECT y AS ANIO, CAST(unnest(generate_series(1, CASE WHEN y < 2026 THEN 12 WHEN y = 2026 THEN 6 ELSE 0 END)) AS INTEGER) AS MES
+  FROM (SELECT unnest([2022, 2023, 2024, 2025, 2026]) AS y))"""
+_STATUS = """per AS (
+  SELECT ANIO, MES, count(*) AS n, arg_max(ARCHIVO, {'b': BYTES, 'a': ARCHIVO}) AS princ,
+    arg_max(BYTES, {'b': BYTES, 'a': ARCHIVO}) AS pbytes, arg_max(COLUMNAS_FALTANTES, {'b': BYTES, 'a': ARCHIVO}) AS pmiss,
+    arg_max(FILAS_CONTRATOS, {'b': BYTES, 'a': ARCHIVO}) AS pfilas
+  FROM files GROUP BY ANIO, MES),
+status AS (
+  SELECT e.ANIO, e.MES, CAST(coalesce(p.n, 0) AS BIGINT) AS CANTIDAD_ARCHIVOS, coalesce(p.princ, '') AS ARCHIVO_PRINCIPAL,
+    coalesce(round(p.pbytes / 1048576, 2), 0.0) AS TAMANO_MB, p.pfilas AS FILAS_CONTRATOS,
+    CASE WHEN coalesce(p.n, 0) = 0 THEN 'FALTANTE' WHEN p.pmiss > 0 THEN 'ERROR' WHEN p.n > 1 THEN 'ADVERTENCIA'
+         ELSE 'OK' END AS ESTADO,
+    CASE WHEN coalesce(p.n, 0) = 0 THEN 'No existe un archivo XLSX extraído para este mes.'
+         ELSE concat_ws(' ', CASE WHEN p.n > 1 THEN 'Se encontraron ' || CAST(p.n AS VARCHAR) || ' archivos XLSX.' END,
+                        CASE WHEN p.pmiss > 0 THEN 'Existen columnas críticas faltantes.' END) END AS OBSERVACION
+  FROM expected e LEFT JOIN per p ON e.ANIO = p.ANIO AND e.MES = p.MES)"""
+
+_PATH = "regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
+
+ORACLES.update({
+    "catalog_formats": with_(_PK) + f"""
+  SELECT PAQUETE_ID, 'csv' AS FORMATO, {_u('csv')} AS URL FROM pk2
+  UNION ALL SELECT PAQUETE_ID, 'xlsx', {_u('xlsx')} FROM pk2 WHERE k % 2 = 0
+  UNION ALL SELECT PAQUETE_ID, 'xlsx_es', {_u('xlsx')} || 'es' FROM pk2 WHERE k % 3 <> 0""",
+
+    "package_selection": with_(_PK) + f""",
+  last_ AS (SELECT * FROM pk2 QUALIFY row_number() OVER (PARTITION BY PAQUETE_ID ORDER BY ts DESC, event_id DESC) = 1)
+  SELECT PAQUETE_ID, month, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS timestamp,
+    CASE WHEN k % 3 <> 0 THEN 'xlsx_es' ELSE 'xlsx' END AS FORMATO_ELEGIDO,
+    CASE WHEN k % 3 <> 0 THEN {_u('xlsx')} || 'es' ELSE {_u('xlsx')} END AS URL_DESCARGA
+  FROM last_ WHERE year = '2022' AND src = 'click' AND (k % 3 <> 0 OR k % 2 = 0)""",
+
+    "url_predicate": f"""
+  SELECT page_id, url,
+    coalesce(""" + " OR ".join(f"ends_with(lower({_PATH}), '{e}')" for e in
+                              [".json", ".csv", ".xlsx", ".xls", ".zip", ".gz", ".sha", ".txt"]) + """, false) AS DESCARGABLE,
+    coalesce(""" + " OR ".join(f"contains(lower(regexp_extract({_PATH}, '([^/]*)$', 1) || ' ' || url), '{k}')"
+                              for k in ["contrato", "contracts", "award", "adjudic", "ocds"]) + """, false) AS PARECE_CONTRATOS
+  FROM pages""",
+
+    "landing_months": with_(_FILES, _EXPECTED, _STATUS) + "SELECT * FROM status",
+
+    "landing_summary": with_(_FILES, _EXPECTED, _STATUS) + """
+  SELECT 'Meses esperados' AS INDICADOR, count(*) AS VALOR FROM status
+  UNION ALL SELECT 'Meses OK', count(*) FILTER (WHERE ESTADO = 'OK') FROM status
+  UNION ALL SELECT 'Meses con advertencia', count(*) FILTER (WHERE ESTADO = 'ADVERTENCIA') FROM status
+  UNION ALL SELECT 'Meses con error', count(*) FILTER (WHERE ESTADO = 'ERROR') FROM status
+  UNION ALL SELECT 'Meses faltantes', count(*) FILTER (WHERE ESTADO = 'FALTANTE') FROM status
+  UNION ALL SELECT 'Filas de contratos', CAST(sum(coalesce(TRY_CAST(FILAS_CONTRATOS AS BIGINT), 0)) AS BIGINT) FROM status""",
+
+    "unexpected_months": with_(_FILES, _EXPECTED) + """
+  SELECT DISTINCT ANIO, MES FROM files WHERE (ANIO, MES) NOT IN (SELECT (ANIO, MES) FROM expected)""",
+
+    "ordered_outputs": """
+  (SELECT 'TOP_PEDIDOS' AS REPORTE, o_orderkey AS CLAVE, o_totalprice AS VALOR, CAST(year(o_orderdate) AS INTEGER) AS ANIO,
+     CAST(NULL AS VARCHAR) AS GRUPO, CAST(NULL AS INTEGER) AS RANGO
+   FROM orders ORDER BY o_totalprice DESC, o_orderkey ASC LIMIT 10)
+  UNION ALL
+  SELECT 'TOP_CLIENTES_NACION', c_custkey, c_acctbal, CAST(NULL AS INTEGER), upper(trim(c_mktsegment)), CAST(r AS INTEGER)
+  FROM (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC, c_custkey) AS r FROM customer)
+  WHERE r <= 3""",
+
+    "pipe_row_export": f"""
+  SELECT concat_ws('|', {_CELL('doc_id')}, {_CELL('lang')}, {_CELL('source')}, {_CELL('text')}) AS FILA
+  FROM documents
+  WHERE greatest(length({_CELL('doc_id')}), length({_CELL('lang')}), length({_CELL('source')}), length({_CELL('text')})) > 0""",
+
+    "separator_audit": """
+  SELECT 'doc_id' AS COLUMNA, count(*) FILTER (WHERE contains(CAST(doc_id AS VARCHAR), '|')) AS CELDAS_CON_SEPARADOR FROM documents
+  UNION ALL SELECT 'lang', count(*) FILTER (WHERE contains(lang, '|')) FROM documents
+  UNION ALL SELECT 'source', count(*) FILTER (WHERE contains(source, '|')) FROM documents
+  UNION ALL SELECT 'text', count(*) FILTER (WHERE contains(text, '|')) FROM documents""",
+})
