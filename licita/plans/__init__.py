@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def registry() -> dict:
-    from . import curated, incremental, landing, reports, scalar, staging, warehouse
+    from . import curated, incremental, landing, one_year, reports, scalar, staging, warehouse
     out = {}
-    for mod in (curated, reports, warehouse, scalar, incremental, staging, landing):
+    for mod in (curated, reports, warehouse, scalar, incremental, staging, landing, one_year):
         out.update(mod.QUERIES)
     return out
 

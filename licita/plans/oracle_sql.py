@@ -1075,3 +1075,91 @@ ORACLES.update({
   UNION ALL SELECT 'source', count(*) FILTER (WHERE contains(source, '|')) FROM documents
   UNION ALL SELECT 'text', count(*) FILTER (WHERE contains(text, '|')) FROM documents""",
 })
+
+
+# ----------------------------------------------------------------- one year
+
+def _last(name, src, keys, payload):
+    order = ", ".join(["TRY_CAST(MES_ARCHIVO AS INTEGER) DESC NULLS LAST", "ARCHIVO_ORIGEN DESC NULLS LAST"]
+                      + [f"{c} DESC NULLS LAST" for c in payload])
+    nn = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+    return (f"{name} AS (SELECT * FROM {src} WHERE {nn} QUALIFY row_number() OVER "
+            f"(PARTITION BY {', '.join(keys)} ORDER BY {order}) = 1)")
+
+
+def _str(cols):
+    return ", ".join(f"CAST({c} AS VARCHAR) AS {a}" for c, a in cols)
+
+
+_OY_C = ["CLAVE_CONTRATO", "OCID", "ID_ENTREGA", "ID_CONTRATO", "ID_ADJUDICACION", "MONTO_CONTRATO",
+         "MONEDA_CONTRATO", "MES_ARCHIVO", "ARCHIVO_ORIGEN"]
+_OY_R = [("OCID", "OCID"), ("ID_ENTREGA", "ID_ENTREGA"), ("ID_LICITACION", "ID_LICITACION"),
+         ("ID_ENTIDAD_CONTRATANTE", "ID_ENTIDAD_CONTRATANTE"),
+         ("NOMBRE_ENTIDAD_CONTRATANTE_ORIGINAL", "NOMBRE_ENTIDAD_CONTRATANTE"),
+         ("ID_COMPRADOR", "ID_COMPRADOR"), ("NOMBRE_COMPRADOR_ORIGINAL", "NOMBRE_COMPRADOR"),
+         ("METODO_CONTRATACION", "METODO_CONTRATACION"), ("CATEGORIA_PRINCIPAL", "CATEGORIA_PRINCIPAL"),
+         ("MES_ARCHIVO", "MES_ARCHIVO"), ("ARCHIVO_ORIGEN", "ARCHIVO_ORIGEN")]
+_OY_P = [("OCID", "OCID"), ("ID_ENTREGA", "ID_ENTREGA"), ("ID_ADJUDICACION", "ID_ADJUDICACION"),
+         ("ID_PROVEEDOR", "ID_PROVEEDOR"), ("NOMBRE_PROVEEDOR_ORIGINAL", "NOMBRE_PROVEEDOR"),
+         ("MES_ARCHIVO", "MES_ARCHIVO"), ("ARCHIVO_ORIGEN", "ARCHIVO_ORIGEN")]
+
+ONE_YEAR = [STG_CONTRATOS, STG_REGISTROS, STG_PROVEEDORES,
+            f"oc AS (SELECT {_str([(c, c) for c in _OY_C])} FROM stg_contratos WHERE ANIO_ARCHIVO = 1998)",
+            f"orr AS (SELECT {_str(_OY_R)} FROM stg_registros WHERE ANIO_ARCHIVO = 1998)",
+            f"op AS (SELECT {_str(_OY_P)} FROM stg_proveedores WHERE ANIO_ARCHIVO = 1998)",
+            _last("cur", "oc", ["CLAVE_CONTRATO"], _OY_C[1:]),
+            _last("reg", "orr", ["OCID", "ID_ENTREGA"], [a for _, a in _OY_R[2:]]),
+            _last("sup", "op", ["OCID", "ID_ENTREGA", "ID_ADJUDICACION", "ID_PROVEEDOR"],
+                  ["NOMBRE_PROVEEDOR", "MES_ARCHIVO", "ARCHIVO_ORIGEN"]),
+            """f0 AS (
+  SELECT cur.*, reg.ID_LICITACION, reg.ID_ENTIDAD_CONTRATANTE, reg.NOMBRE_ENTIDAD_CONTRATANTE, reg.ID_COMPRADOR,
+    reg.NOMBRE_COMPRADOR,
+    CASE WHEN reg.ID_LICITACION IS NOT NULL THEN 'SI' ELSE 'NO' END AS REGISTRO_RELACIONADO,
+    coalesce(reg.ID_ENTIDAD_CONTRATANTE, reg.ID_COMPRADOR) AS ID_ENTIDAD_MODELO,
+    coalesce(reg.NOMBRE_ENTIDAD_CONTRATANTE, reg.NOMBRE_COMPRADOR) AS NOMBRE_ENTIDAD_MODELO,
+    CASE WHEN reg.ID_ENTIDAD_CONTRATANTE IS NOT NULL THEN 'ENTIDAD_CONTRATANTE'
+         WHEN reg.ID_COMPRADOR IS NOT NULL THEN 'COMPRADOR_RESPALDO' ELSE 'SIN_ENTIDAD' END AS ORIGEN_ENTIDAD_MODELO
+  FROM cur LEFT JOIN reg ON cur.OCID = reg.OCID AND cur.ID_ENTREGA = reg.ID_ENTREGA)""",
+            """b0 AS (
+  SELECT k.OCID, k.ID_ENTREGA, k.ID_ADJUDICACION, k.CLAVE_CONTRATO, s.ID_PROVEEDOR, s.NOMBRE_PROVEEDOR,
+    s.MES_ARCHIVO, s.ARCHIVO_ORIGEN
+  FROM (SELECT DISTINCT CLAVE_CONTRATO, OCID, ID_ENTREGA, ID_ADJUDICACION FROM f0) k
+  JOIN sup s ON k.OCID = s.OCID AND k.ID_ENTREGA = s.ID_ENTREGA AND k.ID_ADJUDICACION = s.ID_ADJUDICACION)""",
+            _last("bridge1", "b0", ["CLAVE_CONTRATO", "ID_PROVEEDOR"],
+                  ["OCID", "ID_ENTREGA", "ID_ADJUDICACION", "NOMBRE_PROVEEDOR"]),
+            """summ AS (
+  SELECT CLAVE_CONTRATO, count(DISTINCT ID_PROVEEDOR) AS n,
+    string_agg(DISTINCT nullif(trim(ID_PROVEEDOR), ''), ' | ' ORDER BY nullif(trim(ID_PROVEEDOR), '')) AS ids,
+    string_agg(DISTINCT nullif(trim(NOMBRE_PROVEEDOR), ''), ' | ' ORDER BY nullif(trim(NOMBRE_PROVEEDOR), '')) AS noms
+  FROM bridge1 GROUP BY CLAVE_CONTRATO)""",
+            """f1 AS (
+  SELECT f0.*, CAST(coalesce(summ.n, 0) AS INTEGER) AS CANTIDAD_PROVEEDORES, summ.ids AS IDS_PROVEEDORES,
+    summ.noms AS NOMBRES_PROVEEDORES, CASE WHEN coalesce(summ.n, 0) > 0 THEN 'SI' ELSE 'NO' END AS TIENE_PROVEEDOR
+  FROM f0 LEFT JOIN summ ON f0.CLAVE_CONTRATO = summ.CLAVE_CONTRATO)""",
+            _last("dsup", "sup", ["ID_PROVEEDOR"], ["OCID", "ID_ENTREGA", "ID_ADJUDICACION", "NOMBRE_PROVEEDOR"]),
+            """ent0 AS (SELECT *, coalesce(ID_ENTIDAD_CONTRATANTE, ID_COMPRADOR) AS ID_ENTIDAD_MODELO,
+    coalesce(NOMBRE_ENTIDAD_CONTRATANTE, NOMBRE_COMPRADOR) AS NOMBRE_ENTIDAD_MODELO,
+    CASE WHEN ID_ENTIDAD_CONTRATANTE IS NOT NULL THEN 'ENTIDAD_CONTRATANTE' ELSE 'COMPRADOR_RESPALDO' END
+      AS ORIGEN_ENTIDAD_MODELO FROM reg)""",
+            _last("dent", "ent0", ["ID_ENTIDAD_MODELO"],
+                  ["OCID", "ID_ENTREGA"] + [a for _, a in _OY_R[2:9]] + ["NOMBRE_ENTIDAD_MODELO",
+                                                                       "ORIGEN_ENTIDAD_MODELO"])]
+
+ORACLES.update({
+    "one_year_fact": with_(*ONE_YEAR) + """
+  SELECT CLAVE_CONTRATO, OCID, ID_ENTREGA, MONTO_CONTRATO, MES_ARCHIVO, REGISTRO_RELACIONADO, ID_ENTIDAD_MODELO,
+    NOMBRE_ENTIDAD_MODELO, ORIGEN_ENTIDAD_MODELO, CANTIDAD_PROVEEDORES, IDS_PROVEEDORES, NOMBRES_PROVEEDORES,
+    TIENE_PROVEEDOR FROM f1""",
+
+    "one_year_quality": with_(*ONE_YEAR) + """
+  SELECT 'Total de contratos' AS INDICADOR, count(*) AS CANTIDAD FROM f1
+  UNION ALL SELECT 'Claves de contrato únicas', count(DISTINCT CLAVE_CONTRATO) FROM f1
+  UNION ALL SELECT 'Filas duplicadas por clave', count(*) - count(DISTINCT CLAVE_CONTRATO) FROM f1
+  UNION ALL SELECT 'Contratos sin registro relacionado', count(*) FILTER (WHERE ID_LICITACION IS NULL) FROM f1
+  UNION ALL SELECT 'Contratos sin entidad', count(*) FILTER (WHERE ID_ENTIDAD_MODELO IS NULL) FROM f1
+  UNION ALL SELECT 'Contratos sin proveedor', count(*) FILTER (WHERE CANTIDAD_PROVEEDORES = 0) FROM f1
+  UNION ALL SELECT 'Contratos con varios proveedores', count(*) FILTER (WHERE CANTIDAD_PROVEEDORES > 1) FROM f1
+  UNION ALL SELECT 'Relaciones contrato-proveedor', count(*) FROM bridge1
+  UNION ALL SELECT 'Proveedores únicos', count(*) FROM dsup
+  UNION ALL SELECT 'Entidades únicas', count(*) FROM dent""",
+})
