@@ -1163,3 +1163,7 @@ ORACLES.update({
   UNION ALL SELECT 'Proveedores únicos', count(*) FROM dsup
   UNION ALL SELECT 'Entidades únicas', count(*) FROM dent""",
 })
+
+
+# the streamed upsert must end in the same state as the batch "last per key"
+ORACLES["stream_upsert"] = ORACLES["keep_last_per_key"]

@@ -28,6 +28,13 @@ def list_files(spark: SparkSession, root: str, glob: str) -> DataFrame:
     return files.filter(~name.startswith("~$")).withColumn("ARCHIVO", name).orderBy("path")
 
 
+def valid_period(p: Column) -> Column:
+    """PRJ-5 check: the path holds a year in 2022..2026 and a month 1..12."""
+    yi = F.regexp_extract(p, PATH_PERIOD, 1).try_cast("int")
+    mi = F.regexp_extract(p, PATH_PERIOD, 2).try_cast("int")
+    return F.coalesce(yi.isin(SC.ALLOWED_YEARS) & mi.between(1, 12), F.lit(False))
+
+
 def with_lineage(df: DataFrame, path_col: Column | None = None) -> DataFrame:
     """PRJ-5: ANIO_ARCHIVO / MES_ARCHIVO from the path, file name; a path
     without a valid year (2022..2026) and month fails the job."""
@@ -35,7 +42,7 @@ def with_lineage(df: DataFrame, path_col: Column | None = None) -> DataFrame:
     y = F.regexp_extract(p, PATH_PERIOD, 1)
     m = F.regexp_extract(p, PATH_PERIOD, 2)
     yi, mi = y.try_cast("int"), m.try_cast("int")
-    ok = yi.isin(SC.ALLOWED_YEARS) & mi.between(1, 12)
+    ok = valid_period(p)
     return df.withColumns({
         "ANIO_ARCHIVO": F.when(ok, yi).otherwise(
             F.raise_error(F.concat(F.lit("periodo invalido en la ruta: "), p)).cast("int")),
