@@ -110,3 +110,18 @@ def test_rebuild_bridge_only_affected(spark):
     aff = spark.createDataFrame([(1,)], "k int")
     assert sorted(tuple(r) for r in I.rebuild_bridge(old, new, aff, "k").collect()) == \
         [(1, "a"), (1, "d"), (2, "c")]
+
+
+def test_schema_checks(spark):
+    from licita.operators import schema_checks as SC
+    miss = SC.missing_columns(spark, ["ocid", " ID  de Entrega "], ["OCID", "ID de Entrega", "Monto"],
+                              "Ent_Contratos", True).collect()
+    assert [(r.COLUMNA, r.SEVERIDAD) for r in miss] == [("Monto", "ERROR")]
+    d = SC.header_differences(spark, {"a": ["x", "y z"], "b": ["X", "y  z"], "c": ["x", "w", "v"]})
+    assert sorted(tuple(r) for r in d.collect()) == [("c", 2, "Y_Z", "W"), ("c", 3, None, "V")]
+    f1 = spark.createDataFrame([("1", "a"), (None, " ")], "`Col A` string, b string")
+    f2 = spark.createDataFrame([("2", "b")], "`col a` string, B string")
+    rows, counts = SC.append_checked({"f1": f1, "f2": f2})
+    assert rows.count() == 2
+    assert {r.ARCHIVO_ORIGEN: (r.FILAS_LEIDAS, r.FILAS_VACIAS) for r in counts.collect()} == \
+        {"f1": (2, 1), "f2": (1, 0)}
