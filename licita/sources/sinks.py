@@ -10,6 +10,7 @@ from pyspark.sql.types import NullType
 
 from ..functions import text as T
 
+MAX_ROWS_PER_FILE = 5_000_000
 # Pipe-CSV dialect of the curated export.
 PIPE_OPTIONS = {"sep": "|", "quote": '"', "escape": '"', "header": "true"}
 
@@ -26,9 +27,11 @@ def write_months(df: DataFrame, path: str) -> None:
     out = _typed(df).withColumns({
         "anio": F.col("ANIO_ARCHIVO").cast("string"),
         "mes": F.lpad(F.col("MES_ARCHIVO").cast("string"), 2, "0")})
-    (out.repartition("anio", "mes").write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("anio", "mes")
-     .option("compression", "snappy").parquet(path))
+    # no shuffle into one task per month (a month can be terabytes): each task
+    # clusters its rows by month and writes bounded files for the months it holds
+    (out.sortWithinPartitions("anio", "mes").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
+     .partitionBy("anio", "mes").option("compression", "snappy").parquet(path))
 
 
 def export_table(df: DataFrame, path: str, csv_path: str | None = None) -> None:
@@ -49,11 +52,14 @@ def one_column_lines(df: DataFrame, cols: Sequence[str] | None = None,
 
 
 def write_one_column_csv(df: DataFrame, path: str, header: str) -> None:
-    """SNK-4: quote-all single-column CSV with the joined header as first line."""
+    """SNK-4: quote-all single-column CSV.  The joined header line is written
+    to ``{path}/cabecera`` and the rows, in parallel part files, to
+    ``{path}/filas`` (concatenate cabecera + filas for a single file); no
+    single task carries the whole table."""
     spark = df.sparkSession
-    head = spark.createDataFrame([(header,)], "FILA string")
-    head.unionByName(df.select("FILA")).coalesce(1).write.mode("overwrite") \
-        .option("quoteAll", True).option("header", False).csv(path)
+    spark.createDataFrame([(header,)], "FILA string").write.mode("overwrite") \
+        .option("quoteAll", True).csv(f"{path}/cabecera")
+    df.select("FILA").write.mode("overwrite").option("quoteAll", True).csv(f"{path}/filas")
 
 
 def append_history(df: DataFrame, path: str) -> None:

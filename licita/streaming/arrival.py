@@ -27,7 +27,7 @@ def _bucket(keys: Sequence[str], buckets: int):
 
 
 def upsert_batch(batch: DataFrame, target_path: str, keys: Sequence[str], order: Sequence,
-                 buckets: int) -> None:
+                 buckets: int, files_per_bucket: int = 4) -> None:
     """Merge one micro-batch into the bucketed target (newest per key wins)."""
     spark = batch.sparkSession
     b = latest_by(batch, keys, order).withColumn(BUCKET, _bucket(keys, buckets))
@@ -41,7 +41,10 @@ def upsert_batch(batch: DataFrame, target_path: str, keys: Sequence[str], order:
         merged = b
     # read-and-overwrite of the same buckets: cut the lineage first
     merged = _materialise(merged)
-    (merged.repartition(BUCKET).write.mode("overwrite")
+    # each touched bucket is written by up to ``files_per_bucket`` tasks, so a
+    # large bucket is never funnelled through one task
+    sub = F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit("sub")), F.lit(files_per_bucket))
+    (merged.repartition(F.col(BUCKET), sub).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(target_path))
 
 
@@ -52,8 +55,12 @@ def _materialise(df: DataFrame) -> DataFrame:
 
 def run_upsert_stream(spark: SparkSession, source_dir: str, schema: StructType, target_path: str,
                       checkpoint: str, keys: Sequence[str], order: Sequence,
-                      files_per_trigger: int = 10, buckets: int = 16) -> DataFrame:
-    """Process every file not yet seen (AvailableNow) and return the target."""
+                      files_per_trigger: int = 10, buckets: int = 64) -> DataFrame:
+    """Process every file not yet seen (AvailableNow) and return the target.
+
+    ``buckets`` sets the rewrite granularity: a batch costs roughly
+    (touched buckets / buckets) of the table, so size it to the target
+    (for example one bucket per few GB)."""
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
               .parquet(source_dir))
     q = (stream.writeStream
