@@ -29,6 +29,24 @@ def _null_s() -> Column:
     return F.lit(None).cast("string")
 
 
+def spread_small_scan(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster has cores,
+    for CPU-heavy per-row work (parsing, regexes) that has no shuffle of its
+    own to parallelise it.
+
+    A Parquet file with a single row group is read by one task.  Only then a
+    round-robin repartition to the default parallelism follows the scan; an
+    input with enough splits (many files or row groups -- any large table)
+    is left alone, so at scale this adds no shuffle.  The split count comes
+    from planning the scan (no job runs); column pruning and filters still
+    reach the scan below the repartition.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 class Tables:
     """Lazy access to ``{sf_dir}/{name}.parquet``."""
 
