@@ -57,3 +57,9 @@ def gate(checks: DataFrame, flag: str = "CUMPLE") -> DataFrame:
     """AGG-20: all checks true -> OK, else REVISAR (no checks -> OK)."""
     return checks.agg(F.coalesce(F.bool_and(F.col(flag)), F.lit(True)).alias("_all")) \
         .select(status(F.col("_all")).alias("ESTADO_GENERAL"))
+
+
+def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """AGG-16: row count per table as TABLA / FILAS rows (one aggregate each)."""
+    return union_all([df.agg(F.count(F.lit(1)).alias("FILAS"))
+                      .select(F.lit(name).alias("TABLA"), "FILAS") for name, df in tables.items()])

@@ -116,11 +116,14 @@ def run_curated(spark: SparkSession, staging_root: str, curated_root: str,
     quality step and the warehouse read materialised tables."""
     tables = build_curated_tables(spark, staging_root)
     out = {}
+    timings = []
     # the fact and master are written first; later tables read them back
     for name in ["dim_organizacion", "fact_contrato_actual", "bridge_contrato_proveedor"]:
+        t0 = _now()
         SK.export_table(tables[name], f"{curated_root}/{name}",
                         f"{curated_root}/csv/{name}" if csv else None)
         out[name] = spark.read.parquet(f"{curated_root}/{name}")
+        timings.append((name, (_now() - t0).total_seconds()))
     org, fact, bridge = (out["dim_organizacion"], out["fact_contrato_actual"],
                          out["bridge_contrato_proveedor"])
     rest = {"dim_entidad": S.dim_entidad(org, fact), "dim_proveedor": S.dim_proveedor(org, bridge),
@@ -128,10 +131,18 @@ def run_curated(spark: SparkSession, staging_root: str, curated_root: str,
             "dim_categoria": S.dim_categoria(fact), "dim_metodo": S.dim_metodo(fact),
             "dim_fecha": S.dim_fecha(fact, ["FECHA_FIRMA", "FECHA_INICIO", "FECHA_FIN"])}
     for name, df in rest.items():
+        t0 = _now()
         SK.export_table(df, f"{curated_root}/{name}", f"{curated_root}/csv/{name}" if csv else None)
         out[name] = spark.read.parquet(f"{curated_root}/{name}")
+        timings.append((name, (_now() - t0).total_seconds()))
     SK.export_table(SK.data_dictionary(spark, out), f"{curated_root}/_diccionario")
     SK.export_table(SK.relationships(spark), f"{curated_root}/_relaciones")
+    # SNK-7: load summary (rows from footers, seconds per table)
+    secs = spark.createDataFrame(timings, "TABLA string, SEGUNDOS double")
+    SK.export_table(Q.table_counts(out).join(secs, "TABLA", "left"), f"{curated_root}/_carga")
+    # SRC-9/SRC-10: the curated tables as views for SQL access
+    for name, df in out.items():
+        df.createOrReplaceTempView(name)
     return out
 
 

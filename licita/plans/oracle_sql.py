@@ -1167,3 +1167,7 @@ ORACLES.update({
 
 # the streamed upsert must end in the same state as the batch "last per key"
 ORACLES["stream_upsert"] = ORACLES["keep_last_per_key"]
+
+ORACLES["staging_inventory"] = with_(RAW_CONTRATOS, STAGED_CONTRATOS) + """
+  SELECT 'CONTRATOS' AS TABLA, ANIO_ARCHIVO AS ANIO, MES_ARCHIVO AS MES, count(*) AS FILAS
+  FROM staged GROUP BY ALL"""

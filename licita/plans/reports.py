@@ -21,8 +21,9 @@ CURATED_INDICATORS = [
 
 
 def annual_summary(spark, sf_dir) -> DataFrame:
-    """Flagship (section 7.1): current contract value per year with entity."""
-    return R.annual_summary(curated_star(spark, sf_dir)["fact"])
+    """Flagship (section 7.1): current contract value per year with entity,
+    ordered by year (S-3; a handful of rows after aggregation)."""
+    return R.annual_summary(curated_star(spark, sf_dir)["fact"]).orderBy("ANIO")
 
 
 def monthly_summary(spark, sf_dir) -> DataFrame:

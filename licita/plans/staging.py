@@ -129,8 +129,23 @@ def geo_catalog(spark, sf_dir) -> DataFrame:
     return ST.geo_catalog(staged)
 
 
+def staging_inventory(spark, sf_dir) -> DataFrame:
+    """SNK-1 + SRC-5 + AGG-13: staged contracts written by month (dynamic
+    overwrite) to the shared folder, then the partition inventory read back
+    from file metadata and summed per month."""
+    from ..session import scratch_path
+    from ..sources import landing as L
+    from ..sources import sinks as SK
+    staged, _ = ST.stage_contratos(raw_contratos(Tables(spark, sf_dir)))
+    path = scratch_path(spark, "staging-contratos")
+    SK.write_months(staged, path)
+    inv = L.partition_inventory(spark, path, "CONTRATOS")
+    return inv.groupBy("TABLA", "ANIO", "MES").agg(F.sum("FILAS").alias("FILAS"))
+
+
 QUERIES = {
     "staging_contratos": staging_contratos,
+    "staging_inventory": staging_inventory,
     "file_controls": file_controls,
     "staging_partes": staging_partes,
     "geo_catalog": geo_catalog,

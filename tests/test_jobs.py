@@ -129,6 +129,9 @@ def test_end_to_end(spark, tmpdir_path):
     assert org["RUC|" + VALID_RUC].RUC_VALIDO is True
     assert org["RUC|" + VALID_RUC].DEPARTAMENTO == "LIMA"
     assert os.path.isdir(f"{curated}/csv/fact_contrato_actual")
+    load = {r.TABLA: r.FILAS for r in spark.read.parquet(f"{curated}/_carga").collect()}
+    assert load["fact_contrato_actual"] == len(fact)
+    assert spark.sql("SELECT count(*) AS n FROM fact_contrato_actual").first().n == len(fact)
 
     out = J.run_warehouse(spark, curated, dw)
     assert out["checks"].filter(~F.col("CUMPLE")).count() == 0
