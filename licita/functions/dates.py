@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accepted input layouts, tried in order (first that parses wins).
+# Accepted input layouts, tried in order (first that parses wins),
+# each with the text shape it can parse.
 DATE_FORMATS = [
     "yyyy-MM-dd HH:mm:ss",
     "yyyy-MM-dd'T'HH:mm:ss",
@@ -14,6 +15,14 @@ DATE_FORMATS = [
     "dd/MM/yyyy",
     "yyyyMMdd",
 ]
+DATE_SHAPES = [
+    r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$",
+    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}$",
+    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$",
+    r"^[0-9]{2}/[0-9]{2}/[0-9]{4} [0-9]{2}:[0-9]{2}:[0-9]{2}$",
+    r"^[0-9]{2}/[0-9]{2}/[0-9]{4}$",
+    r"^[0-9]{8}$",
+]
 # Spanish month names (1..12) and ISO weekday names (1=Monday).
 MONTH_NAMES = ["Enero", "Febrero", "Marzo", "Abril", "Mayo", "Junio", "Julio",
                "Agosto", "Septiembre", "Octubre", "Noviembre", "Diciembre"]
@@ -33,8 +42,12 @@ def parse_date(c: Column, formats: list[str] | None = None) -> Column:
     per value with an explicit list is deterministic regardless of row order.
     """
     s = F.trim(c.cast("string"))
-    return F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in (formats or DATE_FORMATS)]
-                      ).cast("timestamp_ntz")
+    if formats is not None:
+        return F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in formats]).cast("timestamp_ntz")
+    # a layout is only attempted on text of its shape: failed parses are the
+    # expensive path, and a value has at most one matching shape
+    return F.coalesce(*[F.when(s.rlike(shape), F.try_to_timestamp(s, F.lit(f)))
+                        for shape, f in zip(DATE_SHAPES, DATE_FORMATS)]).cast("timestamp_ntz")
 
 
 def date_key(c: Column) -> Column:
