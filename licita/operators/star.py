@@ -92,7 +92,7 @@ def current_suppliers(stg_proveedores: DataFrame) -> DataFrame:
 
 def _candidate(df: DataFrame, key: Column, ident: str, ruc: str, valid: str,
                name: str, std: str, geo: dict | None, is_entity: int | str,
-               is_supplier: int | str, priority: int, score: Column) -> DataFrame:
+               is_supplier: int | str, priority: int | Column, score: Column) -> DataFrame:
     null = F.lit(None).cast("string")
     geo = geo or {}
     flag = (lambda v: F.lit(v) if isinstance(v, int) else F.col(v).cast("int"))
@@ -109,7 +109,7 @@ def _candidate(df: DataFrame, key: Column, ident: str, ruc: str, valid: str,
         flag(is_supplier).alias("ES_PROVEEDOR"),
         F.col("ANIO_ARCHIVO").cast("int").alias("ANIO_ARCHIVO"),
         F.col("MES_ARCHIVO").cast("int").alias("MES_ARCHIVO"),
-        F.lit(priority).alias("PRIORIDAD_FUENTE"),
+        (priority if isinstance(priority, Column) else F.lit(priority)).alias("PRIORIDAD_FUENTE"),
         score.alias("COMPLETITUD"))
 
 
@@ -134,19 +134,24 @@ def org_candidates(stg_partes: DataFrame | None, stg_registros: DataFrame,
             "ES_COMPRADOR_O_ENTIDAD", "ES_PROVEEDOR", PRIORITY_PARTIES,
             completeness("RUC_ORGANIZACION", "NOMBRE_ORGANIZACION_ESTANDAR",
                          "DEPARTAMENTO_ESTANDAR", "REGION_ESTANDAR", "LOCALIDAD_ESTANDAR")))
-    r = stg_registros
-    ent = r.filter(F.col("ID_ENTIDAD_CONTRATANTE").isNotNull())
-    parts.append(_candidate(
-        ent, _ruc_or_id("RUC_ENTIDAD_CONTRATANTE", "ID_ENTIDAD_CONTRATANTE"),
-        "ID_ENTIDAD_CONTRATANTE", "RUC_ENTIDAD_CONTRATANTE", "RUC_ENTIDAD_VALIDO",
-        "NOMBRE_ENTIDAD_CONTRATANTE_ORIGINAL", "NOMBRE_ENTIDAD_ESTANDAR", None, 1, 0,
-        PRIORITY_ENTITY, completeness("RUC_ENTIDAD_CONTRATANTE", "NOMBRE_ENTIDAD_ESTANDAR")))
-    buy = r.filter(F.col("ID_COMPRADOR").isNotNull())
-    parts.append(_candidate(
-        buy, _ruc_or_id("RUC_COMPRADOR", "ID_COMPRADOR"),
-        "ID_COMPRADOR", "RUC_COMPRADOR", "RUC_COMPRADOR_VALIDO",
-        "NOMBRE_COMPRADOR_ORIGINAL", "NOMBRE_COMPRADOR_ESTANDAR", None, 1, 0,
-        PRIORITY_BUYER, completeness("RUC_COMPRADOR", "NOMBRE_COMPRADOR_ESTANDAR")))
+    # contracting entity and buyer of a record: one scan, up to two candidates
+    # per row (explode), instead of two filtered passes over the records
+    def role(ident, ruc, valid, name, std, prio):
+        return F.when(F.col(ident).isNotNull(), F.struct(
+            _ruc_or_id(ruc, ident).alias("k"), F.col(ident).alias("i"), F.col(ruc).alias("r"),
+            F.col(valid).alias("v"), F.col(name).alias("n"), F.col(std).alias("s"),
+            F.lit(prio).alias("p"), completeness(ruc, std).alias("c")))
+    both = stg_registros.select(
+        "ANIO_ARCHIVO", "MES_ARCHIVO",
+        F.explode(F.array(
+            role("ID_ENTIDAD_CONTRATANTE", "RUC_ENTIDAD_CONTRATANTE", "RUC_ENTIDAD_VALIDO",
+                 "NOMBRE_ENTIDAD_CONTRATANTE_ORIGINAL", "NOMBRE_ENTIDAD_ESTANDAR", PRIORITY_ENTITY),
+            role("ID_COMPRADOR", "RUC_COMPRADOR", "RUC_COMPRADOR_VALIDO",
+                 "NOMBRE_COMPRADOR_ORIGINAL", "NOMBRE_COMPRADOR_ESTANDAR", PRIORITY_BUYER)))
+        .alias("x")).filter(F.col("x").isNotNull())
+    both = both.select("ANIO_ARCHIVO", "MES_ARCHIVO", "x.*")
+    parts.append(_candidate(both, F.col("k"), "i", "r", "v", "n", "s", None, 1, 0,
+                            F.col("p"), F.col("c")))
     sup = stg_proveedores.filter(F.col("ID_PROVEEDOR").isNotNull())
     parts.append(_candidate(
         sup, _ruc_or_id("RUC_PROVEEDOR", "ID_PROVEEDOR"),
