@@ -57,7 +57,9 @@ class CuratedStar:
 
     @cached_property
     def registro_actual_ocid(self):
-        r = self.stg_registros.filter(F.col("ID_ENTREGA").isin("F", "O"))
+        # the newest record per OCID is the newest of the per-(OCID, ID_ENTREGA)
+        # winners under the same total order: no second pass over the records
+        r = self.registro_actual_clave.filter(F.col("ID_ENTREGA").isin("F", "O"))
         return S.current_records(r, ("OCID",))
 
     @cached_property
@@ -121,9 +123,9 @@ def latest_record_by_completeness(spark, sf_dir) -> DataFrame:
     r = A.stg_registros(_t(spark, sf_dir))
     cols = ["OCID", "ID_ENTREGA", "ID_LICITACION", "METODO_CONTRATACION",
             "CATEGORIA_PRINCIPAL", "ANIO_ARCHIVO", "MES_ARCHIVO", "ARCHIVO_ORIGEN"]
-    by_key = S.current_records(r, ("OCID", "ID_ENTREGA")).select(
-        F.lit("CLAVE").alias("NIVEL"), *cols)
-    by_ocid = S.current_records(r, ("OCID",)).select(F.lit("OCID").alias("NIVEL"), *cols)
+    cur_key = S.current_records(r, ("OCID", "ID_ENTREGA"))
+    by_key = cur_key.select(F.lit("CLAVE").alias("NIVEL"), *cols)
+    by_ocid = S.current_records(cur_key, ("OCID",)).select(F.lit("OCID").alias("NIVEL"), *cols)
     return by_key.unionByName(by_ocid)
 
 

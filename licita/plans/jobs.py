@@ -95,7 +95,9 @@ def build_curated_tables(spark: SparkSession, staging_root: str) -> dict[str, Da
     p = p.drop("anio", "mes", "ES_DUPLICADO_CLAVE")
     cur = S.current_contracts(c)
     re_ = S.current_records(r, ("OCID", "ID_ENTREGA"))
-    ro = S.current_records(r, ("OCID",))
+    # newest of the per-delivery winners (staging already drops records without
+    # ID_ENTREGA, so no record is lost by starting from them)
+    ro = S.current_records(re_, ("OCID",))
     sup = S.current_suppliers(p)
     org = S.dim_organizacion(S.org_candidates(pa, r, p))
     fact = S.fact_contrato(cur, re_, ro, org)
