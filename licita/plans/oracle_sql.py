@@ -1171,3 +1171,6 @@ ORACLES["stream_upsert"] = ORACLES["keep_last_per_key"]
 ORACLES["staging_inventory"] = with_(RAW_CONTRATOS, STAGED_CONTRATOS) + """
   SELECT 'CONTRATOS' AS TABLA, ANIO_ARCHIVO AS ANIO, MES_ARCHIVO AS MES, count(*) AS FILAS
   FROM staged GROUP BY ALL"""
+
+ORACLES["sheet_rows"] = with_(RAW_CONTRATOS) + """
+  SELECT ARCHIVO_ORIGEN, count(*) AS FILAS_DATOS FROM raw WHERE NOT empty_row GROUP BY ARCHIVO_ORIGEN"""

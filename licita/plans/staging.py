@@ -19,7 +19,7 @@ def _null(c: Column, cond: Column) -> Column:
     return F.when(cond, F.lit(None).cast("string")).otherwise(c)
 
 
-def raw_contratos(t: Tables) -> DataFrame:
+def raw_contratos(t: Tables, drop_empty: bool = True) -> DataFrame:
     l = spread_small_scan(t("lineitem"))
     k, ln, pk = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
     empty = (ln == 7) & (pk % 5 == 0)
@@ -61,6 +61,8 @@ def raw_contratos(t: Tables) -> DataFrame:
         "Entrega compilada:Contratos:Periodo:Duración (días)":
             F.concat(F.col("l_quantity").cast("bigint").cast("string"), F.lit(",0"))})
     both = a.unionByName(b, allowMissingColumns=True)
+    if not drop_empty:
+        return both
     data_cols = [c for c in both.columns if c not in lineage]
     return both.na.drop(how="all", subset=data_cols)
 
@@ -143,8 +145,15 @@ def staging_inventory(spark, sf_dir) -> DataFrame:
     return inv.groupBy("TABLA", "ANIO", "MES").agg(F.sum("FILAS").alias("FILAS"))
 
 
+def sheet_rows(spark, sf_dir) -> DataFrame:
+    """DQ-2: non-empty data rows per sheet file (empty rows present in the sheet)."""
+    from ..operators.schema_checks import nonempty_rows
+    return nonempty_rows(raw_contratos(Tables(spark, sf_dir), drop_empty=False))
+
+
 QUERIES = {
     "staging_contratos": staging_contratos,
+    "sheet_rows": sheet_rows,
     "staging_inventory": staging_inventory,
     "file_controls": file_controls,
     "staging_partes": staging_partes,
