@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -52,13 +52,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     On a cluster the setting must be present (a shared, fault-tolerant
-    filesystem).  Only when it is unset -- local tests -- a private scratch
-    folder is created and registered.
+    filesystem): a machine-local folder would lose rows, so its absence is an
+    error.  Only on a ``local`` master (tests) a private scratch folder is made.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors "
+                             f"share (master {spark.sparkContext.master})")
         d = tempfile.mkdtemp(prefix="licita-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
@@ -66,20 +67,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for written intermediates."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{os.getpid()}-{next(_counter)}"
-
-
-def _count():
-    i = 0
-    while True:
-        i += 1
-        yield i
+_scratch: list[str] = []
 
 
-_counter = _count()
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path under the shared folder; the random part keeps two drivers
+    that share the folder apart."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
 
 
 def materialise(df, name: str = "tmp"):
@@ -88,4 +84,22 @@ def materialise(df, name: str = "tmp"):
     read is columnar and prunable, unlike an RDD checkpoint)."""
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Hadoop's filesystem layer (any scheme)."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
+def release_scratch(spark: SparkSession, since: int = 0) -> None:
+    """Delete the scratch tables made after the ``since``-th; call it once the
+    results that read them are written."""
+    while len(_scratch) > since:
+        delete_path(spark, _scratch.pop())
+
+
+def scratch_mark() -> int:
+    """Position to hand to :func:`release_scratch` after a job."""
+    return len(_scratch)
