@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, packing, sharding, simhash
+from . import jaccard, mixing, packing, secret_scan, sharding, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,20 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         simhash.likeness(own, edited).alias("near_edited"), simhash.likeness(own, after).alias("near_next"))
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    of = lambda kind: F.filter("spans", lambda s: s["kind"] == kind)
+    n = lambda kind: F.size(of(kind)).cast("long")
+    base = F.filter("spans", lambda s: s["kind"] < len(secret_scan.BASE))
+    return secret_scan.scan(table(spark, sf_dir, "documents")).select(
+        "doc_id", n(0).alias("n_assign"), n(1).alias("n_access"), n(2).alias("n_hex"),
+        F.sha2(secret_scan.listed(base), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("spans")).alias("spans"))
+
+
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan_mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
@@ -40,4 +54,4 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op3_packing, op4_fingerprints, op8_mixing, op9_sharding)}
+QUERIES = {f.__name__: f for f in (op3_packing, op4_fingerprints, op5_secrets, op7_jaccard, op8_mixing, op9_sharding)}
