@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import jaccard, mixing, packing, secret_scan, sharding, simhash
+from . import embed_dedup, jaccard, mixing, packing, quality, secret_scan, sharding, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,17 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score(docs, quality.learn(docs, table(spark, sf_dir, "labels")), "score")
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op2_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.link(table(spark, sf_dir, "embeddings"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary())
 
@@ -54,4 +65,4 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op3_packing, op4_fingerprints, op5_secrets, op7_jaccard, op8_mixing, op9_sharding)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_embed_dedup, op3_packing, op4_fingerprints, op5_secrets, op7_jaccard, op8_mixing, op9_sharding)}
