@@ -16,8 +16,8 @@ there are enough.  So the broadcast is at most max_labelled x DIMS numbers,
 document is scored, whatever the size.  Labels, lang, source and doc_id enter
 no vector; doc_id only chooses whose labels may be seen.
 
-Defined cases: null and empty texts have an empty bag and get the weighted
-share of good labels, like a text that is like no labelled one; repeated rows
+Defined cases: null and empty texts have an empty bag and score 0.5, the two
+labels weighing the same in all; repeated rows
 are scored alike; without labels every score is 0.5; a doc_id labelled both
 good and bad counts as bad; an empty table gives an empty result.
 """
@@ -130,7 +130,8 @@ class Voters:
         near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
         alike = np.take_along_axis(cosine, near, axis=1)
         votes = (np.clip(alike, 0, None) ** SHARPNESS + 1e-6) * self.weight[near]
-        return (votes * self.labels[near]).sum(axis=1, dtype=np.float64) / votes.sum(axis=1, dtype=np.float64)
+        share = (votes * self.labels[near]).sum(axis=1, dtype=np.float64) / votes.sum(axis=1, dtype=np.float64)
+        return np.where(bags.any(axis=1), share, 0.5)
 
 
 def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Voters | None:

@@ -5,7 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import embed_dedup, jaccard, mixing, packing, quality, secret_scan, sharding, simhash
+from . import chat, embed_dedup, jaccard, mixing, packing, pii, quality, secret_scan, sharding, simhash
+
+
+PSEUDONYM_KEY = "example key"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +53,12 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         secret_scan.listed(F.col("spans")).alias("spans"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its PII.  The key here is an example: a
+    production run passes its own secret."""
+    return pii.scrub(table(spark, sf_dir, "documents"), PSEUDONYM_KEY, counts=True)
+
+
 def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"))
 
@@ -65,4 +74,9 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_embed_dedup, op3_packing, op4_fingerprints, op5_secrets, op7_jaccard, op8_mixing, op9_sharding)}
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.link(table(spark, sf_dir, "conversations"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op2_embed_dedup, op3_packing, op4_fingerprints, op5_secrets,
+                                     op6_pii, op7_jaccard, op8_mixing, op9_sharding, op10_chat)}
