@@ -63,8 +63,6 @@ class WordIds:
     def _learn(self, words: list[bytes]) -> None:
         """Letters-only words go to the tokenizer in one string and are cut
         apart at the ids that end a word; the rest go alone."""
-        if len(self.new) > CACHE_WORDS:
-            self.old, self.new = self.new, {b"": b""}
         plain, cache = [], self.new
         for w in words:
             text = w.decode()
@@ -86,33 +84,24 @@ class WordIds:
             at = to
 
     def __call__(self, texts: list[str]) -> list[bytes]:
+        if len(self.new) > CACHE_WORDS:
+            self.old, self.new = self.new, {b"": b""}
         split = [None if _ODD.search(t) else t.encode().lower().split() for t in texts]
-        cache, unseen = self.new, set()
-        for words in split:
-            if words:
-                unseen.update(words)
-        unseen = [w for w in unseen if w not in cache]
-        if self.old and unseen:
-            old = self.old
-            for w in unseen:
+        cache, old = self.new, self.old
+        unseen = []
+        for w in {w for words in split if words for w in words}:
+            if w not in cache:
                 if w in old:
                     cache[w] = old[w]
-            unseen = [w for w in unseen if w not in cache]
-        if unseen:
-            cores = {w.rstrip(_PUNCTUATION) for w in unseen}
-            tails = {w[len(w.rstrip(_PUNCTUATION)):] for w in unseen}
-            self._learn([w for w in cores | tails if w not in cache])
-            cache = self.new
-            for w in unseen:
-                if w not in cache:
-                    core = w.rstrip(_PUNCTUATION)
-                    if core and core.decode()[-1].isalnum():
-                        cache[w] = cache[core] + cache[w[len(core):]]
-                    else:
-                        cache[w] = self._encode(w.decode())
-        old = self.old
-        return [self._encode(t) if words is None
-                else b"".join([cache[w] if w in cache else old[w] for w in words])
+                else:
+                    unseen.append((w, w.rstrip(_PUNCTUATION)))
+        parts = {core for _, core in unseen} | {w[len(core):] for w, core in unseen}
+        self._learn([p for p in parts if p not in cache])
+        for w, core in unseen:
+            if w not in cache:
+                whole = core and core.decode()[-1].isalnum()  # then what follows starts a new token
+                cache[w] = cache[core] + cache[w[len(core):]] if whole else self._encode(w.decode())
+        return [self._encode(t) if words is None else b"".join([cache[w] for w in words])
                 for t, words in zip(texts, split)]
 
 
