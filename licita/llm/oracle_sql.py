@@ -35,4 +35,49 @@ select doc_id, size, n as source_size, target,
 from c
 """
 
-ORACLES = {"op8_mixing": MIXING}
+#: parts by kind: number, pattern, pattern of what must be true of a match, role
+_PARTS = r"""
+  (0, '(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+',
+      '^(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]{8,}$', 'secret'),
+  (1, 'AKIA[A-Z0-9]+', '^.{16,}$', 'identifier'),
+  (2, '[0-9a-f]+', '^.{32,}$', 'secret'),
+  (3, '(?:[Uu]ser(?:_?[Nn]ame|_?[Ii][Dd])?|USER|[Ll]ogin|LOGIN|[Cc]lient_?[Ii][Dd]|CLIENT_ID|[Aa]ccount_?[Ii][Dd])["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9@._+-]+',
+      '[:=]\x20*["'']?[A-Za-z0-9@._+-]{3,}$', 'identifier'),
+  (4, '[A-Za-z0-9+/_-]{20,}={0,2}', '[a-z].*[A-Z].*[0-9]|[a-z].*[0-9].*[A-Z]|[A-Z].*[a-z].*[0-9]|[A-Z].*[0-9].*[a-z]|[0-9].*[a-z].*[A-Z]|[0-9].*[A-Z].*[a-z]', 'secret'),
+  (5, '(?:https?|ftp|sftp|ssh|postgres|postgresql|mysql|mongodb|redis|amqp|jdbc:[a-z]+)://[A-Za-z0-9._~:/?#@!$&()*+,;=%-]+',
+      '.', 'endpoint')"""
+
+SECRETS = f"""
+with d as (select row_number() over () as rid, doc_id, coalesce(text, '') as text from documents),
+kinds(kind, pattern, good, role) as (values {_PARTS}),
+cut as (
+  select rid, kind, role, good, string_split_regex(text, pattern) as gaps, regexp_extract_all(text, pattern) as hits
+  from d, kinds where regexp_matches(text, pattern)),
+one as (
+  select rid, kind, role, good, unnest(range(1, len(hits) + 1)) as i, unnest(hits) as hit,
+         unnest(list_slice(gaps, 1, len(hits))) as gap from cut),
+placed as (
+  select *, sum(length(gap) + length(hit)) over (partition by rid, kind order by i) as e from one),
+part as (
+  select rid, kind, role, (e - length(hit))::bigint as s, e::bigint as e from placed where regexp_matches(hit, good)),
+linked as (
+  select w.rid, w.kind, w.s, w.e from part w join part o
+    on o.rid = w.rid and o.s < w.s + 200 and o.e > w.s - 200
+  where w.kind >= 3 group by w.rid, w.kind, w.role, w.s, w.e
+  having not bool_or(o.kind < 3 and o.s < w.e and o.e > w.s)
+     and case w.role when 'identifier' then bool_or(o.role = 'secret')
+                     when 'secret' then bool_or(o.role = 'identifier')
+                     else bool_or(o.role = 'secret') and bool_or(o.role = 'identifier') end),
+span as (
+  select rid, kind, s, e from part where kind < 3 union all select * from linked),
+shown as (
+  select rid, kind, s, (case kind when 0 then 'assign' when 1 then 'access' when 2 then 'hex' when 3 then 'login'
+         when 4 then 'token' else 'endpoint' end) || ':' || s || ':' || e as t from span)
+select d.doc_id, count(*) filter (kind = 0) as n_assign, count(*) filter (kind = 1) as n_access,
+       count(*) filter (kind = 2) as n_hex,
+       sha256(coalesce(string_agg(t, ',' order by s, kind) filter (kind < 3), '')) as base_sha256,
+       coalesce(string_agg(t, ',' order by s, kind), '') as spans
+from d left join shown using (rid) group by d.rid, d.doc_id
+"""
+
+ORACLES = {"op5_secrets": SECRETS, "op8_mixing": MIXING}
