@@ -23,6 +23,10 @@ DATE_SHAPES = [
     r"^[0-9]{2}/[0-9]{2}/[0-9]{4}$",
     r"^[0-9]{8}$",
 ]
+# ISO times with a fraction of a second, and with an offset or Z.
+FRACTION_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}[.][0-9]{1,6}$"
+ZONED_SHAPE = (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,6})?)?"
+               r"(Z|[+-][0-9]{2}:[0-9]{2})$")
 # Spanish month names (1..12) and ISO weekday names (1=Monday).
 MONTH_NAMES = ["Enero", "Febrero", "Marzo", "Abril", "Mayo", "Junio", "Julio",
                "Agosto", "Septiembre", "Octubre", "Noviembre", "Diciembre"]
@@ -38,16 +42,21 @@ DATE_DIM_DEFAULT_TO = "2030-12-31"
 def parse_date(c: Column, formats: list[str] | None = None) -> Column:
     """F-10: first layout that parses, per value; failures -> NULL.
 
-    The reference infers one layout per column from its first value; parsing
-    per value with an explicit list is deterministic regardless of row order.
+    Each value is parsed on its own, so the order of rows does not matter.
+    Dates with slashes are day first.  Times with an offset or ``Z`` become UTC.
     """
     s = F.trim(c.cast("string"))
     if formats is not None:
         return F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in formats]).cast("timestamp_ntz")
     # a layout is only attempted on text of its shape: failed parses are the
     # expensive path, and a value has at most one matching shape
-    return F.coalesce(*[F.when(s.rlike(shape), F.try_to_timestamp(s, F.lit(f)))
-                        for shape, f in zip(DATE_SHAPES, DATE_FORMATS)]).cast("timestamp_ntz")
+    plain = F.coalesce(*[F.when(s.rlike(shape), F.try_to_timestamp(s, F.lit(f)))
+                         for shape, f in zip(DATE_SHAPES, DATE_FORMATS)]).cast("timestamp_ntz")
+    # with an offset the time is moved to UTC, whatever the session's zone
+    instant = F.when(s.rlike(ZONED_SHAPE), F.convert_timezone(
+        F.current_timezone(), F.lit("UTC"), s.try_cast("timestamp").cast("timestamp_ntz")))
+    fraction = F.when(s.rlike(FRACTION_SHAPE), s.try_cast("timestamp_ntz"))
+    return F.coalesce(plain, fraction, instant)
 
 
 def date_key(c: Column) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .reports import LIST_SEP
+from ..session import materialise
 from .versions import latest_by
 
 # Labels of the one-year model.
@@ -60,8 +61,9 @@ def last_by_period(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def fact(contracts: DataFrame, records: DataFrame, suppliers: DataFrame
          ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """(fact, bridge, supplier dimension, entity dimension)."""
-    cur = last_by_period(contracts, ["CLAVE_CONTRATO"])
-    reg = last_by_period(records, ["OCID", "ID_ENTREGA"])
+    # written once: the cardinality checks and the joins read the same rows
+    cur = materialise(last_by_period(contracts, ["CLAVE_CONTRATO"]), "one-year-contracts")
+    reg = materialise(last_by_period(records, ["OCID", "ID_ENTREGA"]), "one-year-records")
     sup = last_by_period(suppliers, ["OCID", "ID_ENTREGA", "ID_ADJUDICACION", "ID_PROVEEDOR"])
     reg_cols = ["OCID", "ID_ENTREGA", "ID_LICITACION", "ID_ENTIDAD_CONTRATANTE",
                 "NOMBRE_ENTIDAD_CONTRATANTE", "ID_COMPRADOR", "NOMBRE_COMPRADOR",

@@ -284,10 +284,7 @@ def fact_contrato(contracts: DataFrame, reg_by_key: DataFrame, reg_by_ocid: Data
                                 F.col("FECHA_FIRMA"), F.col("FECHA_INICIO"),
                                 F.col("FECHA_FIN"), F.col("DESCRIPCION_CONTRATO")),
     })
-    for c in FACT_COLUMNS:
-        if c not in j.columns:
-            j = j.withColumn(c, F.lit(None).cast("string"))
-    return j.select(*FACT_COLUMNS)
+    return j.select(*FACT_COLUMNS)  # a missing column raises
 
 
 # ------------------------------------------------------------------ bridge

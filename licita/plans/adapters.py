@@ -29,24 +29,6 @@ def _null_s() -> Column:
     return F.lit(None).cast("string")
 
 
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer splits than the cluster has cores,
-    for CPU-heavy per-row work (parsing, regexes) that has no shuffle of its
-    own to parallelise it.
-
-    A Parquet file with a single row group is read by one task.  Only then a
-    round-robin repartition to the default parallelism follows the scan; an
-    input with enough splits (many files or row groups -- any large table)
-    is left alone, so at scale this adds no shuffle.  The split count comes
-    from planning the scan (no job runs); column pruning and filters still
-    reach the scan below the repartition.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
 class Tables:
     """Lazy access to ``{sf_dir}/{name}.parquet``."""
 
@@ -80,6 +62,13 @@ def _file(ts: Column) -> Column:
     return F.concat(F.lit("paquete_"), F.date_format(ts, "yyyyMM"), F.lit(".xlsx"))
 
 
+def _line_ocid() -> Column:
+    """The order's number; lines of every 13th part belong to processes that
+    no record tells of (a number of their own)."""
+    ok = F.col("l_orderkey").cast("string")
+    return F.when(F.col("l_partkey") % 13 == 0, F.concat(F.lit("SR-"), ok)).otherwise(ok)
+
+
 CONTRACT_COLUMNS = [
     "OCID", "ID_ENTREGA", "ID_CONTRATO", "ID_ADJUDICACION", "TITULO_CONTRATO",
     "DESCRIPCION_CONTRATO", "FECHA_INICIO", "FECHA_FIN", "DURACION_DIAS",
@@ -100,7 +89,7 @@ def stg_contratos(t: Tables) -> DataFrame:
                 .when(F.col("l_linestatus") == "F", "Euro").otherwise(_null_s()))
     fin = F.expr("timestampadd(DAY, CAST(l_quantity AS INT), l_shipdate)")
     y, m = _period(ship)
-    ocid = F.col("l_orderkey").cast("string")
+    ocid = _line_ocid()
     idc = F.col("l_linenumber").cast("string")
     return l.select(
         ocid.alias("OCID"),
@@ -214,7 +203,7 @@ def stg_proveedores(t: Tables) -> DataFrame:
     """Award suppliers: the line's supplier, plus supplier+1 (lower-case
     spelling) on line 1 -- two suppliers per award, two spellings."""
     l = t("lineitem").select("l_orderkey", "l_suppkey", "l_linenumber", "l_linestatus",
-                             "l_shipdate")
+                             "l_shipdate", "l_partkey")
     # one scan: the line's supplier, plus supplier+1 on line 1 (second spelling)
     target = F.explode(F.array(
         F.struct(F.col("l_suppkey").alias("k"), F.lit(False).alias("alt")),
@@ -228,7 +217,7 @@ def stg_proveedores(t: Tables) -> DataFrame:
     ruc = _null_when(sk % 6 == 0, synthetic_ruc(sk))
     y, m = _period(F.col("l_shipdate"))
     base = both.select(
-        F.col("l_orderkey").cast("string").alias("OCID"),
+        _line_ocid().alias("OCID"),
         F.col("l_linestatus").alias("ID_ENTREGA"),
         F.col("l_suppkey").cast("string").alias("ID_ADJUDICACION"),
         sk.cast("string").alias("ID_PROVEEDOR"),

@@ -59,8 +59,7 @@ class CuratedStar:
     def registro_actual_ocid(self):
         # the newest record per OCID is the newest of the per-(OCID, ID_ENTREGA)
         # winners under the same total order: no second pass over the records
-        r = self.registro_actual_clave.filter(F.col("ID_ENTREGA").isin("F", "O"))
-        return S.current_records(r, ("OCID",))
+        return S.current_records(self.registro_actual_clave, ("OCID",))
 
     @cached_property
     def proveedor_actual(self):

@@ -1,7 +1,8 @@
 """Incremental-load queries (INC-1..INC-9, DQ-9..DQ-12) on two snapshots
-derived from the whole ``orders`` table: the previous load holds the even
-orders (every tenth with a different price); the current batch holds every
-order except those with key % 17 = 3, which disappeared from the source."""
+derived from the whole ``orders`` table: the current batch is every order; the
+previous load is every order too, every tenth with another price and the odd
+ones under a key of their own (the negative), so that they are absent now and
+the odd orders are new."""
 
 from __future__ import annotations
 
@@ -22,12 +23,10 @@ def _snapshot(spark, sf_dir, previous: bool) -> DataFrame:
                                                "o_orderstatus", "o_orderdate")
     k = F.col("o_orderkey")
     if previous:
-        o = o.filter(k % 2 == 0)
         price = F.when(k % 10 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+        o = o.withColumns({"MONTO": price, "o_orderkey": F.when(k % 2 == 0, k).otherwise(-k)})
     else:
-        o = o.filter(k % 17 != 3)
-        price = F.col("o_totalprice")
-    o = o.withColumn("MONTO", price)
+        o = o.withColumn("MONTO", F.col("o_totalprice"))
     h = K.row_hash(k, F.col("o_custkey"), F.col("MONTO"), F.col("o_orderstatus"),
                    F.col("o_orderdate"), F.lit(None), F.lit(None), F.lit(None))
     return o.select("o_orderkey", "o_custkey", "MONTO", "o_orderstatus", "o_orderdate",
@@ -65,24 +64,27 @@ def scd2_history(spark, sf_dir) -> DataFrame:
                   F.lit("1999-01-01").cast("date"))
 
 
-def _links(spark, sf_dir, max_line=None) -> DataFrame:
+def _links(spark, sf_dir, previous: bool = False) -> DataFrame:
+    """Order-supplier relations; in the previous load those of lines beyond the
+    third had suppliers of their own."""
     l = Tables(spark, sf_dir)("lineitem")
-    if max_line is not None:
-        l = l.filter(F.col("l_linenumber") <= max_line)
-    return l.select(F.col("l_orderkey").alias("o_orderkey"), "l_suppkey").distinct()
+    supplier = F.col("l_suppkey")
+    if previous:
+        supplier = F.when(F.col("l_linenumber") > 3, -supplier).otherwise(supplier)
+    return l.select(F.col("l_orderkey").alias("o_orderkey"), supplier.alias("l_suppkey")).distinct()
 
 
 def bridge_rebuild(spark, sf_dir) -> DataFrame:
     """INC-6: relations of new/changed orders replaced by the current list."""
     affected = upsert(spark, sf_dir).filter(F.col("ACCION").isin(I.INSERT, I.UPDATE))
-    return I.rebuild_bridge(_links(spark, sf_dir, 3), _links(spark, sf_dir), affected,
+    return I.rebuild_bridge(_links(spark, sf_dir, previous=True), _links(spark, sf_dir), affected,
                             "o_orderkey")
 
 
 def soft_delete(spark, sf_dir) -> DataFrame:
     """INC-8: consecutive-absence counter and current flag (never deleted)."""
     old = _snapshot(spark, sf_dir, True)
-    state = old.select("o_orderkey", ((F.col("o_orderkey") / 2).cast("bigint") % 3)
+    state = old.select("o_orderkey", (F.floor(F.abs("o_orderkey") / 2) % 3)
                        .cast("int").alias("AUSENCIAS_CONSECUTIVAS"))
     return I.soft_delete(state, _snapshot(spark, sf_dir, False), "o_orderkey")
 

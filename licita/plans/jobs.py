@@ -12,10 +12,10 @@ lists, manifests and scalar results.  Layout:
 from __future__ import annotations
 
 import datetime as dt
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from ..operators import quality as Q
 from ..operators import staging as ST
@@ -36,60 +36,79 @@ def _now():
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
-def run_staging(spark: SparkSession, landing_root: str, staging_root: str,
-                force: bool = False, fmt: str = "csv") -> DataFrame:
-    """Staging build (entry 1): changed files only (INC-1), per-file isolation
-    of invalid paths (INC-3), month partitions replaced (SNK-1), controls and
-    run history appended (AGG-10, SNK-6), manifest updated.  Returns the
-    per-file result table."""
+def _listing(spark: SparkSession, root: str, glob: str, manifest: DataFrame) -> DataFrame:
+    """RUTA, BYTES, MODIFICADO, SHA256 of the landing files.  Only files whose
+    length or time differ from the manifest are read for their hash."""
+    files = L.list_files(spark, root, glob).select(
+        F.col("path").alias("RUTA"), F.col("length").alias("BYTES"), F.col("modificationTime").alias("MODIFICADO"))
+    known = files.join(manifest.select("RUTA", "BYTES", "MODIFICADO", "SHA256"), ["RUTA", "BYTES", "MODIFICADO"], "left")
+    fresh = [r.RUTA for r in known.filter("SHA256 is null").select("RUTA").collect()]
+    if not fresh:
+        return known
+    hashed = M.file_hashes(spark.read.format("binaryFile").load(fresh)).select(
+        "RUTA", F.col("SHA256").alias("_nuevo"))
+    return known.join(hashed, "RUTA", "left").select(
+        "RUTA", "BYTES", "MODIFICADO", F.coalesce("SHA256", "_nuevo").alias("SHA256"))
+
+
+def run_staging(spark: SparkSession, landing_root: str, staging_root: str, force: bool = False,
+                fmt: str = "csv", multi_line: bool = True, first_year: int = SC.FIRST_YEAR,
+                last_year: int | None = None) -> DataFrame:
+    """Staging build (entry 1).  A month with a new or changed file is restaged
+    from all of its files and replaced (SNK-1), so files that did not change
+    keep their rows.  Invalid paths and unreadable files are recorded, not
+    fatal (INC-3); a month with an unreadable file is left as it was.
+    Controls and run history are appended (AGG-10, SNK-6) and the manifest is
+    saved after each dataset.  Returns the per-file result table."""
     manifest_path = f"{staging_root}/_manifest"
     manifest = M.read_manifest(spark, manifest_path)
     results = []
     for ds in DATASETS:
-        hashed = (spark.read.format("binaryFile").option("pathGlobFilter", f"*{SC.SHEETS[ds]}.{fmt}")
-                  .option("recursiveFileLookup", "true").load(landing_root)
-                  .select(F.col("path").alias("RUTA"), F.sha2("content", 256).alias("SHA256")))
-        ok_path = L.valid_period(F.col("RUTA"))
-        changes = M.changed_inputs(hashed, manifest, force=force)
-        rows = changes.withColumn("VALIDA", ok_path).collect()  # one row per file (metadata)
-        todo = [r.RUTA for r in rows if r.PROCESAR and r.VALIDA]
+        listed = _listing(spark, landing_root, f"*{SC.SHEETS[ds]}.{fmt}", manifest)
+        changes = M.changed_inputs(listed, manifest, force=force).withColumns({
+            "VALIDA": L.valid_period(F.col("RUTA"), first_year, last_year),
+            "MES": F.concat_ws("-", F.regexp_extract("RUTA", L.PATH_PERIOD, 1),
+                               F.regexp_extract("RUTA", L.PATH_PERIOD, 2).try_cast("int"))})
+        rows = changes.collect()  # one row per file (metadata)
+        months = {r.MES for r in rows if r.PROCESAR and r.VALIDA}
+        todo = [r for r in rows if r.VALIDA and r.MES in months]
+        found, errors = L.headers(spark, [r.RUTA for r in todo], fmt) if todo else ({}, {})
+        bad = {r.RUTA: next(e for q, e in errors.items() if L._same(r.RUTA, q))
+               for r in todo if any(L._same(r.RUTA, q) for q in errors)}
+        blocked = {r.MES for r in todo if r.RUTA in bad}
+        todo = [r for r in todo if r.MES not in blocked]
+        paths = {r.RUTA for r in todo}
         for r in rows:
-            results.append((ds, r.RUTA, r.ESTADO if r.VALIDA else "ERROR",
-                            bool(r.PROCESAR and r.VALIDA),
-                            None if r.VALIDA else "ruta sin anio (2022..2026) / mes valido"))
+            error = (None if r.VALIDA else "ruta sin anio / mes valido") or bad.get(r.RUTA)
+            if error is None and r.PROCESAR and r.MES in blocked:
+                error = "mes con un archivo ilegible: no se reemplaza"
+            results.append((ds, r.RUTA, "ERROR" if error else r.ESTADO, r.RUTA in paths, error))
         if not todo:
             continue
-        raw = L.read_sheet(spark, todo, fmt)
+        raw = L.read_sheet(spark, sorted(paths), fmt, multi_line, found, first_year=first_year, last_year=last_year)
         staged, controls = ST.STAGERS[ds](raw)
         SK.write_months(staged, f"{staging_root}/{ds}")
         SK.append_history(controls.withColumn("PROCESADO_EN", F.lit(_now())),
                           f"{staging_root}/_control")
-        done = spark.createDataFrame([(p, r.SHA256, _now(), [f"{staging_root}/{ds}"])
-                                      for r in rows for p in [r.RUTA] if p in todo],
-                                     M.MANIFEST_SCHEMA)
-        manifest = M.updated_manifest(manifest, done)
+        done = (changes.filter("VALIDA").filter(F.col("MES").isin(sorted({r.MES for r in todo})))
+                .select("RUTA", "SHA256", F.lit(_now()).alias("PROCESADO_EN"),
+                        F.array(F.lit(f"{staging_root}/{ds}")).alias("SALIDAS"), "BYTES", "MODIFICADO"))
+        M.write_manifest(M.updated_manifest(manifest, done), manifest_path, f"{_now():%Y%m%d%H%M%S%f}")
+        manifest = M.read_manifest(spark, manifest_path)
     out = spark.createDataFrame(results, "DATASET string, RUTA string, ESTADO string, "
                                          "PROCESADO boolean, ERROR string")
-    _write_manifest(spark, manifest, manifest_path)
     SK.append_history(out.withColumn("EJECUTADO_EN", F.lit(_now())), f"{staging_root}/_historial")
     return out
 
 
-def _write_manifest(spark, manifest: DataFrame, path: str) -> None:
-    """The new manifest is written beside the old one, then copied over it
-    (it is derived from the old file, which cannot be overwritten while read)."""
-    tmp = path + ".new"
-    manifest.coalesce(1).write.mode("overwrite").parquet(tmp)
-    spark.read.parquet(tmp).coalesce(1).write.mode("overwrite").parquet(path)
-
-
-def build_curated_tables(spark: SparkSession, staging_root: str) -> dict[str, DataFrame]:
-    """Curated model (entry 2) as DataFrames over the staging layer."""
+def build_curated_tables(spark: SparkSession, staging_root: str,
+                         with_parties: bool = True) -> dict[str, DataFrame]:
+    """Curated model (entry 2) as DataFrames over the staging layer.  A missing
+    table raises; a source without parties says so (``with_parties``)."""
     c = L.read_staging(spark, f"{staging_root}/contratos")
     r = L.read_staging(spark, f"{staging_root}/registros")
     p = L.read_staging(spark, f"{staging_root}/proveedores")
-    pa = L.read_staging(spark, f"{staging_root}/partes") \
-        if os.path.exists(f"{staging_root}/partes") else None
+    pa = L.read_staging(spark, f"{staging_root}/partes") if with_parties else None
     c = c.drop("anio", "mes", "ES_DUPLICADO_CLAVE")
     r = r.drop("anio", "mes", "ES_DUPLICADO_CLAVE")
     p = p.drop("anio", "mes", "ES_DUPLICADO_CLAVE")
@@ -113,10 +132,10 @@ def build_curated_tables(spark: SparkSession, staging_root: str) -> dict[str, Da
 
 
 def run_curated(spark: SparkSession, staging_root: str, curated_root: str,
-                csv: bool = False) -> dict[str, DataFrame]:
+                csv: bool = False, with_parties: bool = True) -> dict[str, DataFrame]:
     """Writes every curated table once (SNK-2/3) and reads them back, so the
     quality step and the warehouse read materialised tables."""
-    tables = build_curated_tables(spark, staging_root)
+    tables = build_curated_tables(spark, staging_root, with_parties)
     out = {}
     timings = []
     # the fact and master are written first; later tables read them back
@@ -178,7 +197,7 @@ def run_warehouse(spark: SparkSession, curated_root: str, dw_root: str) -> dict:
         if not ok:
             raise RuntimeError("validaciones del modelo no superadas")
         spark.createDataFrame([(vdir, run)], "RUTA string, EJECUCION string") \
-            .coalesce(1).write.mode("overwrite").json(f"{dw_root}/_CURRENT")
+            .coalesce(1).write.json(f"{dw_root}/_CURRENT/v={run}")  # a marker of its own: never overwritten
         _control(spark, dw_root, started, "OK", "")
         return {"version": vdir, "tables": written, "checks": checks}
     except Exception as e:
@@ -217,10 +236,15 @@ def _control(spark, dw_root, started, state, message):
 
 
 def current_version(spark: SparkSession, dw_root: str) -> str | None:
+    """The version that was published last; None before the first."""
     try:
-        return spark.read.json(f"{dw_root}/_CURRENT").first()["RUTA"]
-    except Exception:  # noqa: BLE001
-        return None
+        marks = spark.read.schema("RUTA string, EJECUCION string").json(f"{dw_root}/_CURRENT")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return None
+        raise
+    newest = marks.agg(F.max_by("RUTA", "EJECUCION")).first()
+    return newest[0] if newest else None
 
 
 __all__ = ["run_staging", "run_curated", "run_warehouse", "current_version"]

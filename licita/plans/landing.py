@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators import catalog as C
 from ..sources import sinks as SK
+from ..sources.schemas import FIRST_YEAR
 from .adapters import Tables
 
 AS_OF = "2026-06-30"
@@ -83,8 +84,7 @@ def landing_files(t: Tables) -> DataFrame:
 
 def landing_months(spark, sf_dir) -> DataFrame:
     """PRJ-17 + PRJ-20 + AGG-21 + F-28 + DQ-1: status of every expected month."""
-    from ..sources.schemas import ALLOWED_YEARS
-    exp = C.expected_months(spark, ALLOWED_YEARS, F.lit(AS_OF).cast("date"))
+    exp = C.expected_months(spark, range(FIRST_YEAR, int(AS_OF[:4]) + 1), F.lit(AS_OF).cast("date"))
     return C.month_status(exp, landing_files(Tables(spark, sf_dir)))
 
 
@@ -95,8 +95,7 @@ def landing_summary(spark, sf_dir) -> DataFrame:
 
 def unexpected_months(spark, sf_dir) -> DataFrame:
     """PRJ-17: landing periods that are not expected (invalid or future months)."""
-    from ..sources.schemas import ALLOWED_YEARS
-    exp = C.expected_months(spark, ALLOWED_YEARS, F.lit(AS_OF).cast("date"))
+    exp = C.expected_months(spark, range(FIRST_YEAR, int(AS_OF[:4]) + 1), F.lit(AS_OF).cast("date"))
     return C.unexpected_months(exp, landing_files(Tables(spark, sf_dir)))
 
 
@@ -120,9 +119,11 @@ def ordered_outputs(spark, sf_dir) -> DataFrame:
 
 
 def random_sample(spark, sf_dir) -> DataFrame:
-    """S-5: 20 contracts drawn at random with a fixed seed (sampling is the feature)."""
+    """S-5: 20 contracts drawn at random with a fixed seed (sampling is the
+    feature): by the hash of seed and key, so partitions do not matter."""
+    drawn = F.md5(F.concat(F.lit("20260101|"), F.col("o_orderkey").cast("string")))
     return (Tables(spark, sf_dir)("orders").select("o_orderkey", "o_totalprice")
-            .orderBy(F.rand(20260101)).limit(20))
+            .orderBy(drawn, "o_orderkey").limit(20))
 
 
 def pipe_row_export(spark, sf_dir) -> DataFrame:

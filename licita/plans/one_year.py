@@ -1,4 +1,4 @@
-"""One-year model queries: the 1998 packages of the adapted tables, all strings."""
+"""One-year model queries: one year's packages of the adapted tables, all strings."""
 
 from __future__ import annotations
 
@@ -11,9 +11,26 @@ from . import adapters as A
 MODEL_YEAR = 1998
 
 
-def _inputs(spark, sf_dir):
-    t = A.Tables(spark, sf_dir)
-    yr = F.col("ANIO_ARCHIVO") == MODEL_YEAR
+class _YearTables(A.Tables):
+    """The tables with a date range on the raw columns, which the scan takes.
+    Records are published again a month later, so orders start a month before."""
+
+    def __init__(self, spark, sf_dir, year: int):
+        super().__init__(spark, sf_dir)
+        self.ranges = {"lineitem": ("l_shipdate", f"{year}-01-01", f"{year + 1}-01-01"),
+                       "orders": ("o_orderdate", f"{year - 1}-12-01", f"{year + 1}-01-01")}
+
+    def __call__(self, name: str) -> DataFrame:
+        df = super().__call__(name)
+        if name not in self.ranges:
+            return df
+        c, lo, hi = self.ranges[name]
+        return df.filter((F.col(c) >= F.lit(lo).cast("timestamp_ntz")) & (F.col(c) < F.lit(hi).cast("timestamp_ntz")))
+
+
+def _inputs(spark, sf_dir, year: int):
+    t = _YearTables(spark, sf_dir, year)
+    yr = F.col("ANIO_ARCHIVO") == year
 
     def strings(df, cols):
         return df.filter(yr).select(*[F.col(c).cast("string").alias(c) for c in cols])
@@ -32,18 +49,18 @@ def _inputs(spark, sf_dir):
     return c, r, p
 
 
-def one_year_fact(spark, sf_dir) -> DataFrame:
+def one_year_fact(spark, sf_dir, year: int = MODEL_YEAR) -> DataFrame:
     """WIN-6 + J-11 + J-13 + AGG-8/9 + PRJ-12/13: the one-year contract fact."""
-    f, _, _, _ = OY.fact(*_inputs(spark, sf_dir))
+    f, _, _, _ = OY.fact(*_inputs(spark, sf_dir, year))
     return f.select("CLAVE_CONTRATO", "OCID", "ID_ENTREGA", "MONTO_CONTRATO", "MES_ARCHIVO",
                     "REGISTRO_RELACIONADO", "ID_ENTIDAD_MODELO", "NOMBRE_ENTIDAD_MODELO",
                     "ORIGEN_ENTIDAD_MODELO", "CANTIDAD_PROVEEDORES", "IDS_PROVEEDORES",
                     "NOMBRES_PROVEEDORES", "TIENE_PROVEEDOR")
 
 
-def one_year_quality(spark, sf_dir) -> DataFrame:
+def one_year_quality(spark, sf_dir, year: int = MODEL_YEAR) -> DataFrame:
     """AGG-18 + WIN-7: quality table of the one-year model."""
-    return OY.quality(*OY.fact(*_inputs(spark, sf_dir)))
+    return OY.quality(*OY.fact(*_inputs(spark, sf_dir, year)))
 
 
 QUERIES = {"one_year_fact": one_year_fact, "one_year_quality": one_year_quality}

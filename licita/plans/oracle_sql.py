@@ -46,8 +46,11 @@ CUR_NAME = ("CASE WHEN l_returnflag = 'A' AND l_linestatus = 'F' THEN 'Soles' "
             "WHEN l_linestatus = 'F' THEN 'Euro' ELSE NULL END")
 FIN = "(l_shipdate + to_days(CAST(l_quantity AS INTEGER)))"
 
+LINE_OCID = ("(CASE WHEN l_partkey % 13 = 0 THEN 'SR-' || CAST(l_orderkey AS VARCHAR) "
+             "ELSE CAST(l_orderkey AS VARCHAR) END)")
+
 STG_CONTRATOS = f"""stg_contratos AS (
-  SELECT CAST(l_orderkey AS VARCHAR) AS OCID, l_linestatus AS ID_ENTREGA,
+  SELECT {LINE_OCID} AS OCID, l_linestatus AS ID_ENTREGA,
     CAST(l_linenumber AS VARCHAR) AS ID_CONTRATO, CAST(l_suppkey AS VARCHAR) AS ID_ADJUDICACION,
     'PARTE ' || CAST(l_partkey AS VARCHAR) AS TITULO_CONTRATO,
     {nul("l_partkey % 11 = 0", "'item ' || CAST(l_partkey AS VARCHAR) || ' qty ' || CAST(CAST(l_quantity AS BIGINT) AS VARCHAR)")} AS DESCRIPCION_CONTRATO,
@@ -58,7 +61,7 @@ STG_CONTRATOS = f"""stg_contratos AS (
     l_extendedprice * (CAST(1.0 AS DOUBLE) - l_discount) AS MONTO_FINAL,
     {CUR} AS MONEDA_FINAL, {CUR_NAME} AS NOMBRE_MONEDA_FINAL,
     {FIN} AS FECHA_FIN_IMPLEMENTACION,
-    CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR) AS CLAVE_CONTRATO,
+    {LINE_OCID} || '|' || CAST(l_linenumber AS VARCHAR) AS CLAVE_CONTRATO,
     CAST(year(l_shipdate) AS INTEGER) AS ANIO_ARCHIVO,
     CAST(month(l_shipdate) AS INTEGER) AS MES_ARCHIVO,
     'paquete_' || strftime(l_shipdate, '%Y%m') || '.xlsx' AS ARCHIVO_ORIGEN
@@ -109,12 +112,12 @@ STG_REGISTROS = ("stg_registros AS (" + " UNION ALL ".join(
 _SUP_RUC = nul("s_suppkey % 6 = 0", syn_ruc("s_suppkey"))
 STG_PROVEEDORES = f"""stg_proveedores AS (
   WITH both_ AS (
-    SELECT l_orderkey, l_suppkey, l_linestatus, l_shipdate, s_suppkey, s_name AS nm
+    SELECT l_orderkey, l_partkey, l_suppkey, l_linestatus, l_shipdate, s_suppkey, s_name AS nm
     FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
     UNION ALL
-    SELECT l_orderkey, l_suppkey, l_linestatus, l_shipdate, s_suppkey, lower(s_name) AS nm
+    SELECT l_orderkey, l_partkey, l_suppkey, l_linestatus, l_shipdate, s_suppkey, lower(s_name) AS nm
     FROM lineitem JOIN supplier ON l_suppkey + 1 = s_suppkey WHERE l_linenumber = 1)
-  SELECT CAST(l_orderkey AS VARCHAR) AS OCID, l_linestatus AS ID_ENTREGA,
+  SELECT {LINE_OCID} AS OCID, l_linestatus AS ID_ENTREGA,
     CAST(l_suppkey AS VARCHAR) AS ID_ADJUDICACION, CAST(s_suppkey AS VARCHAR) AS ID_PROVEEDOR,
     nm AS NOMBRE_PROVEEDOR_ORIGINAL, {_SUP_RUC} AS RUC_PROVEEDOR,
     {ruc_valid(_SUP_RUC)} AS RUC_PROVEEDOR_VALIDO, {std_name("nm")} AS NOMBRE_PROVEEDOR_ESTANDAR,
@@ -319,8 +322,7 @@ CURATED_BASE = [STG_CONTRATOS, STG_REGISTROS, STG_PROVEEDORES, STG_PARTES]
 ORG = [ORG_CANDIDATO, DIM_ORGANIZACION]
 FACT_CTES = CURATED_BASE + [CONTRATO_ACTUAL,
                             registro_actual("registro_actual_clave", ["OCID", "ID_ENTREGA"]),
-                            registro_actual("registro_actual_ocid", ["OCID"],
-                                            "ID_ENTREGA IN ('F', 'O')")] + ORG + [FACT]
+                            registro_actual("registro_actual_ocid", ["OCID"])] + ORG + [FACT]
 BRIDGE = """bridge AS (
   SELECT DISTINCT c.CLAVE_CONTRATO, p.CLAVE_PROVEEDOR, p.ID_PROVEEDOR, p.RUC_PROVEEDOR,
     p.NOMBRE_PROVEEDOR_ORIGINAL, p.NOMBRE_PROVEEDOR_ESTANDAR
@@ -702,14 +704,23 @@ _AMT = f"""(CASE l_linenumber WHEN 1 THEN {_GRP} || '.' || {_FRAC}
   WHEN 4 THEN '$' || {_GRP} || ' ' WHEN 5 THEN CAST({_IP} AS VARCHAR) || ',' || {_FRAC}
   WHEN 6 THEN 'sin monto' ELSE '' END)"""
 
-_DTXT = """(CASE o_orderkey % 5 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d')
+_DTXT = """(CASE o_orderkey % 8 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d')
   WHEN 1 THEN strftime(o_orderdate, '%d/%m/%Y') WHEN 2 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
-  WHEN 3 THEN strftime(o_orderdate, '%Y%m%d') ELSE 'sin fecha' END)"""
+  WHEN 3 THEN strftime(o_orderdate, '%Y%m%d') WHEN 4 THEN 'sin fecha'
+  WHEN 5 THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '-05:00'
+  WHEN 6 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || '.250'
+  ELSE strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || 'Z' END)"""
 _DPARSE = ("coalesce(" + ", ".join(f"try_strptime(trim({_DTXT}), '{f}')" for f in
            ["%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%d", "%d/%m/%Y %H:%M:%S",
-            "%d/%m/%Y", "%Y%m%d"]) + ")")
+            "%d/%m/%Y", "%Y%m%d"]) + f", CASE WHEN regexp_matches({_DTXT}, '[.]|Z$|[+-][0-9]{{2}}:[0-9]{{2}}$')"
+           f" THEN try_cast(regexp_replace({_DTXT}, '(Z|[+-][0-9]{{2}}:[0-9]{{2}})$', '') AS TIMESTAMP)"
+           f" - to_hours(coalesce(TRY_CAST(regexp_extract({_DTXT}, 'T.*([+-][0-9]{{2}}):[0-9]{{2}}$', 1) AS INTEGER), 0)) END)")
 
 ORACLES.update({
+    "random_sample": """
+  SELECT o_orderkey, o_totalprice FROM orders
+  ORDER BY md5('20260101|' || CAST(o_orderkey AS VARCHAR)), o_orderkey LIMIT 20""",
+
     "clean_text": f"""
   SELECT doc_id, {clean_sql('text')} AS TEXTO_LIMPIO,
     CASE WHEN regexp_replace(text, '\\A{WS}|{WS}\\z', '', 'g') IN ('', 'nan', 'None', '<NA>') THEN NULL
@@ -744,12 +755,12 @@ ORACLES.update({
 def _snap(previous: bool) -> str:
     price = ("CASE WHEN o_orderkey % 10 = 0 THEN o_totalprice + 1 ELSE o_totalprice END"
              if previous else "o_totalprice")
-    where = "o_orderkey % 2 = 0" if previous else "o_orderkey % 17 <> 3"
+    key = "CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey ELSE -o_orderkey END" if previous else "o_orderkey"
     return f"""SELECT o_orderkey, o_custkey, MONTO, o_orderstatus, o_orderdate,
       md5(concat_ws('|', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR),
         coalesce(CAST(CAST(MONTO AS DECIMAL(28,4)) AS VARCHAR), ''), coalesce(o_orderstatus, ''),
         coalesce(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), ''), '', '', '')) AS HASH_FILA
-    FROM (SELECT *, {price} AS MONTO FROM orders WHERE {where})"""
+    FROM (SELECT * REPLACE ({key} AS o_orderkey), {price} AS MONTO FROM orders)"""
 
 
 SNAPS = [f"old_snap AS ({_snap(True)})", f"new_snap AS ({_snap(False)})"]
@@ -800,8 +811,8 @@ ORACLES.update({
 
     "bridge_rebuild": with_(*SNAPS, CLASSIFY, """affected AS (
     SELECT DISTINCT o_orderkey FROM actions WHERE ACCION IN ('INSERTAR', 'ACTUALIZAR'))""") + """
-  SELECT DISTINCT l_orderkey AS o_orderkey, l_suppkey FROM lineitem
-    WHERE l_linenumber <= 3 AND l_orderkey NOT IN (SELECT o_orderkey FROM affected)
+  SELECT DISTINCT l_orderkey AS o_orderkey, CASE WHEN l_linenumber > 3 THEN -l_suppkey ELSE l_suppkey END AS l_suppkey
+    FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM affected)
   UNION ALL
   SELECT DISTINCT l_orderkey AS o_orderkey, l_suppkey FROM lineitem
     WHERE l_orderkey IN (SELECT o_orderkey FROM affected)""",
@@ -810,7 +821,7 @@ ORACLES.update({
   SELECT coalesce(s.o_orderkey, p.o_orderkey) AS o_orderkey,
     CAST(CASE WHEN p.o_orderkey IS NOT NULL THEN 0 ELSE coalesce(s.a, 0) + 1 END AS INTEGER) AS AUSENCIAS_CONSECUTIVAS,
     (CASE WHEN p.o_orderkey IS NOT NULL THEN 0 ELSE coalesce(s.a, 0) + 1 END) < 2 AS VIGENTE
-  FROM (SELECT o_orderkey, CAST((CAST(o_orderkey / 2 AS BIGINT)) % 3 AS INTEGER) AS a FROM old_snap) s
+  FROM (SELECT o_orderkey, CAST((abs(o_orderkey) // 2) % 3 AS INTEGER) AS a FROM old_snap) s
   FULL OUTER JOIN (SELECT DISTINCT o_orderkey FROM new_snap) p ON s.o_orderkey = p.o_orderkey""",
 
     "prorated_amount": with_(PRORATE) + """

@@ -9,12 +9,12 @@ from ..functions import dates as D
 from ..functions import numbers as N
 from ..functions import ruc as R
 from ..functions import text as T
-from .adapters import Tables, spread_small_scan
+from .adapters import Tables
 
 
 def clean_text(spark, sf_dir) -> DataFrame:
     """F-1 and F-2 over every document's full text."""
-    d = spread_small_scan(Tables(spark, sf_dir)("documents").select("doc_id", "text"))
+    d = Tables(spark, sf_dir)("documents").select("doc_id", "text")
     return d.select("doc_id",
                     T.clean_text(F.col("text")).alias("TEXTO_LIMPIO"),
                     T.clean_text_keep_inner(F.col("text")).alias("TEXTO_RECORTADO"))
@@ -33,7 +33,7 @@ def _id_variant(k: Column, v: Column) -> Column:
 
 def normalize_id(spark, sf_dir) -> DataFrame:
     """F-3: spreadsheet ids ('123.0', padded, tokens) normalised, all lineitems."""
-    l = spread_small_scan(Tables(spark, sf_dir)("lineitem").select("l_orderkey", "l_linenumber"))
+    l = Tables(spark, sf_dir)("lineitem").select("l_orderkey", "l_linenumber")
     raw = _id_variant(F.col("l_orderkey"), F.col("l_linenumber"))
     return l.select("l_orderkey", "l_linenumber", raw.alias("ID_CRUDO"),
                     T.normalize_id(raw).alias("ID_NORMALIZADO"))
@@ -41,7 +41,7 @@ def normalize_id(spark, sf_dir) -> DataFrame:
 
 def standard_name(spark, sf_dir) -> DataFrame:
     """F-4 and F-5 over every document's full text."""
-    d = spread_small_scan(Tables(spark, sf_dir)("documents").select("doc_id", "text"))
+    d = Tables(spark, sf_dir)("documents").select("doc_id", "text")
     return d.select("doc_id", T.standard_name(F.col("text")).alias("NOMBRE_ESTANDAR"),
                     T.catalog_value(F.col("text")).alias("VALOR_CATALOGO"))
 
@@ -87,8 +87,8 @@ def _amount_text(x: Column, style: Column) -> Column:
 
 def parse_number(spark, sf_dir) -> DataFrame:
     """F-9 + F-11: every line's amount written in seven local styles."""
-    l = spread_small_scan(Tables(spark, sf_dir)("lineitem").select(
-        "l_orderkey", "l_linenumber", "l_extendedprice", "l_returnflag"))
+    l = Tables(spark, sf_dir)("lineitem").select(
+        "l_orderkey", "l_linenumber", "l_extendedprice", "l_returnflag")
     txt = _amount_text(F.col("l_extendedprice"), F.col("l_linenumber"))
     return l.select("l_orderkey", "l_linenumber", txt.alias("MONTO_TEXTO"),
                     N.parse_number(txt).alias("MONTO"),
@@ -96,15 +96,18 @@ def parse_number(spark, sf_dir) -> DataFrame:
 
 
 def parse_date(spark, sf_dir) -> DataFrame:
-    """F-10: every order date written in three layouts, plus invalid text."""
-    o = spread_small_scan(Tables(spark, sf_dir)("orders").select("o_orderkey", "o_orderdate"))
-    v = F.col("o_orderkey") % 5
+    """F-10: every order date written in seven layouts, plus invalid text."""
+    o = Tables(spark, sf_dir)("orders").select("o_orderkey", "o_orderdate")
+    v = F.col("o_orderkey") % 8
     od = F.col("o_orderdate")
     txt = (F.when(v == 0, F.date_format(od, "yyyy-MM-dd"))
            .when(v == 1, F.date_format(od, "dd/MM/yyyy"))
            .when(v == 2, F.date_format(od, "yyyy-MM-dd HH:mm:ss"))
            .when(v == 3, F.date_format(od, "yyyyMMdd"))
-           .otherwise(F.lit("sin fecha")))
+           .when(v == 4, F.lit("sin fecha"))
+           .when(v == 5, F.concat(F.date_format(od, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("-05:00")))
+           .when(v == 6, F.concat(F.date_format(od, "yyyy-MM-dd HH:mm:ss"), F.lit(".250")))
+           .otherwise(F.concat(F.date_format(od, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z"))))
     parsed = D.parse_date(txt)
     return o.select("o_orderkey", txt.alias("FECHA_TEXTO"), parsed.alias("FECHA"),
                     D.date_key(parsed).alias("FECHA_KEY"))

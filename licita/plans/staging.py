@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import staging as ST
-from .adapters import Tables, spread_small_scan
+from .adapters import Tables
 from .scalar import _amount_text
 
 NBSP = " "
@@ -20,7 +20,7 @@ def _null(c: Column, cond: Column) -> Column:
 
 
 def raw_contratos(t: Tables, drop_empty: bool = True) -> DataFrame:
-    l = spread_small_scan(t("lineitem"))
+    l = t("lineitem")
     k, ln, pk = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
     empty = (ln == 7) & (pk % 5 == 0)
     ship = F.col("l_shipdate")
@@ -80,7 +80,7 @@ def file_controls(spark, sf_dir) -> DataFrame:
 
 
 def raw_partes(t: Tables) -> DataFrame:
-    o = spread_small_scan(t("orders").select("o_orderkey", "o_custkey", "o_orderdate"))
+    o = t("orders").select("o_orderkey", "o_custkey", "o_orderdate")
     c = t("customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     n = t("nation").select("n_nationkey", "n_name", "n_regionkey")
     r = t("region").select("r_regionkey", "r_name")

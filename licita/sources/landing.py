@@ -7,6 +7,8 @@ sheet (CSV with header, or Parquet); spreadsheet decoding is not rebuilt.
 
 from __future__ import annotations
 
+import csv
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,21 +30,26 @@ def list_files(spark: SparkSession, root: str, glob: str) -> DataFrame:
     return files.filter(~name.startswith("~$")).withColumn("ARCHIVO", name).orderBy("path")
 
 
-def valid_period(p: Column) -> Column:
-    """PRJ-5 check: the path holds a year in 2022..2026 and a month 1..12."""
+def valid_period(p: Column, first_year: int = SC.FIRST_YEAR, last_year: int | None = None) -> Column:
+    """PRJ-5 check: the path holds a year from ``first_year`` (to ``last_year``,
+    when given) and a month 1..12."""
     yi = F.regexp_extract(p, PATH_PERIOD, 1).try_cast("int")
     mi = F.regexp_extract(p, PATH_PERIOD, 2).try_cast("int")
-    return F.coalesce(yi.isin(SC.ALLOWED_YEARS) & mi.between(1, 12), F.lit(False))
+    ok = (yi >= first_year) & mi.between(1, 12)
+    if last_year is not None:
+        ok = ok & (yi <= last_year)
+    return F.coalesce(ok, F.lit(False))
 
 
-def with_lineage(df: DataFrame, path_col: Column | None = None) -> DataFrame:
+def with_lineage(df: DataFrame, path_col: Column | None = None, first_year: int = SC.FIRST_YEAR,
+                 last_year: int | None = None) -> DataFrame:
     """PRJ-5: ANIO_ARCHIVO / MES_ARCHIVO from the path, file name; a path
-    without a valid year (2022..2026) and month fails the job."""
+    without a valid year and month fails the job."""
     p = path_col if path_col is not None else F.col("_metadata.file_path")
     y = F.regexp_extract(p, PATH_PERIOD, 1)
     m = F.regexp_extract(p, PATH_PERIOD, 2)
     yi, mi = y.try_cast("int"), m.try_cast("int")
-    ok = valid_period(p)
+    ok = valid_period(p, first_year, last_year)
     return df.withColumns({
         "ANIO_ARCHIVO": F.when(ok, yi).otherwise(
             F.raise_error(F.concat(F.lit("periodo invalido en la ruta: "), p)).cast("int")),
@@ -51,33 +58,75 @@ def with_lineage(df: DataFrame, path_col: Column | None = None) -> DataFrame:
     })
 
 
-def read_sheet(spark: SparkSession, paths: list[str], fmt: str = "csv") -> DataFrame:
+def headers(spark: SparkSession, paths: list[str], fmt: str = "csv") -> tuple[dict, dict]:
+    """Column names by path, and what went wrong by path for files that cannot
+    be read.  The first lines of all CSV files come from one distributed pass
+    (a header, never a row, reaches the driver); Parquet names are in the
+    footers."""
+    found: dict[str, tuple] = {}
+    errors: dict[str, str] = {}
+    if fmt == "csv":
+        lines = spark.read.text(paths).select(
+            F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"),
+            "value", F.monotonically_increasing_id().alias("i")).filter("at = 0")
+        for r in lines.groupBy("path").agg(F.min_by("value", "i").alias("line")).collect():
+            cells = next(csv.reader([r.line.lstrip("\ufeff")]), [])
+            if "\ufffd" in r.line or "\x00" in r.line or not any(c.strip() for c in cells):
+                errors[r.path] = "encabezado ilegible"
+            else:
+                found[r.path] = tuple(cells)
+    else:
+        for p in paths:
+            try:
+                found[p] = tuple(spark.read.format(fmt).load(p).columns)
+            except Exception as e:  # noqa: BLE001  recorded by the caller, file by file
+                errors[p] = str(e).splitlines()[0][:500]
+    for p in paths:
+        if not any(_same(p, q) for q in (found.keys() | errors.keys())):
+            errors[p] = "archivo vacio"
+    return found, errors
+
+
+def _same(a: str, b: str) -> bool:
+    """Whether two paths differ in the spelling of their scheme only."""
+    strip = lambda p: re.sub(r"^file:/+", "/", p)
+    return a == b or strip(a) == strip(b)
+
+
+def read_sheet(spark: SparkSession, paths: list[str], fmt: str = "csv", multi_line: bool = True,
+               found: dict | None = None, **period) -> DataFrame:
     """SRC-2: all-string rows of a sheet from many files with lineage.
 
     Files are grouped by header (names, not positions), each group is one
     scan, and groups are united by name (missing columns NULL, SET-4).
-    Only headers reach the driver, never rows.
+    ``multi_line`` allows line breaks inside quoted cells, at the price of one
+    task a file; without it large files are split.  ``found`` passes headers
+    that :func:`headers` has already given.
     """
     if not paths:
         raise FileNotFoundError("no landing files")
+    if found is None:
+        found, errors = headers(spark, paths, fmt)
+        if errors:
+            raise ValueError(f"archivos ilegibles: {errors}")
     groups: dict[tuple, list[str]] = {}
-    for p in paths:
-        cols = tuple(_reader(spark, fmt).load(p).columns)
-        groups.setdefault(cols, []).append(p)
+    for p, cols in found.items():
+        if any(_same(p, q) for q in paths):
+            groups.setdefault(cols, []).append(p)
     frames = []
-    for cols, ps in groups.items():
-        df = _reader(spark, fmt).load(ps)
-        df = df.select(*[F.col(f"`{c}`").cast("string").alias(T.normalize_header(c)) for c in cols],
+    for ps in groups.values():
+        df = _reader(spark, fmt, multi_line).load(ps)
+        df = df.select(*[F.col(f"`{c}`").cast("string").alias(T.normalize_header(c)) for c in df.columns],
                        F.col("_metadata.file_path").alias("_path"))
-        frames.append(with_lineage(df, F.col("_path")).drop("_path"))
+        frames.append(with_lineage(df, F.col("_path"), **period).drop("_path"))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def _reader(spark: SparkSession, fmt: str):
+def _reader(spark: SparkSession, fmt: str, multi_line: bool = True):
     r = spark.read.format(fmt)
     if fmt == "csv":
-        # every column a string: no inference, multi-line quoted cells allowed
-        r = r.option("header", True).option("inferSchema", False).option("multiLine", True) \
+        # every column a string: no inference
+        r = r.option("header", True).option("inferSchema", False).option("multiLine", multi_line) \
             .option("encoding", "UTF-8")
     return r
 

@@ -1,6 +1,6 @@
 """Processing manifest: which inputs changed since the last run (INC-1, INC-2).
 
-The manifest is a small keyed table (path or package id -> content hash or
+The manifest is a keyed table (path or package id -> content hash or
 publication timestamp) stored as Parquet next to the outputs.  A missing
 manifest reads as empty; an unreadable one raises (corruption is not
 silently treated as "nothing processed").
@@ -17,17 +17,27 @@ NEW = "NUEVO"
 CHANGED = "MODIFICADO"
 SAME = "SIN_CAMBIO"
 
-MANIFEST_SCHEMA = "RUTA string, SHA256 string, PROCESADO_EN timestamp, SALIDAS array<string>"
+MANIFEST_SCHEMA = ("RUTA string, SHA256 string, PROCESADO_EN timestamp, SALIDAS array<string>,"
+                   " BYTES bigint, MODIFICADO timestamp")
 
 
 def read_manifest(spark: SparkSession, path: str, schema: str = MANIFEST_SCHEMA) -> DataFrame:
-    """SRC-8: the manifest, or an empty table with its schema when absent."""
+    """SRC-8: the newest manifest under ``path``, or an empty table with its
+    schema when there is none."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        stored = spark.read.schema(f"{schema}, v string").parquet(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             return spark.createDataFrame([], schema)
         raise
+    newest = stored.agg(F.max("v")).first()[0]
+    return stored.filter(F.col("v") == newest).drop("v")
+
+
+def write_manifest(manifest: DataFrame, path: str, run: str) -> None:
+    """A manifest is never overwritten: each run writes a version of its own
+    (``v=<run>``), so a run that dies leaves the one before readable."""
+    manifest.write.mode("overwrite").parquet(f"{path}/v={run}")
 
 
 def file_hashes(binary_files: DataFrame) -> DataFrame:

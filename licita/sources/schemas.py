@@ -93,8 +93,8 @@ SHEETS = {
     "proveedores": "Ent_Adj_Proveedores",
     "partes": "Ent_PartesInvolucradas",
 }
-# Years accepted in landing paths.
-ALLOWED_YEARS = [2022, 2023, 2024, 2025, 2026]
+# Fixed value: first published year; there is no last one.
+FIRST_YEAR = 2022
 
 # Canonical columns in published order (the map values, in order).
 REGISTROS_COLUMNS = list(REGISTROS_MAP.values())

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.versions import latest_by
+from ..session import materialise, path_exists
 
 BUCKET = "_BUCKET"
 
@@ -31,16 +32,15 @@ def upsert_batch(batch: DataFrame, target_path: str, keys: Sequence[str], order:
     """Merge one micro-batch into the bucketed target (newest per key wins)."""
     spark = batch.sparkSession
     b = latest_by(batch, keys, order).withColumn(BUCKET, _bucket(keys, buckets))
-    touched = b.select(BUCKET).distinct()
-    try:
-        current = spark.read.parquet(target_path).join(touched, BUCKET, "left_semi")
+    if path_exists(spark, target_path):
+        # at most ``buckets`` numbers: as literals they prune the partitions that are read
+        touched = [r[0] for r in b.select(BUCKET).distinct().collect()]
+        current = spark.read.parquet(target_path).filter(F.col(BUCKET).isin(touched))
         merged = latest_by(current.unionByName(b), keys, order)
-    except Exception as e:  # first batch: no target yet
-        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-            raise
+    else:  # first batch
         merged = b
     # read-and-overwrite of the same buckets: cut the lineage first
-    merged = _materialise(merged)
+    merged = materialise(merged, "stream-batch")
     # each touched bucket is written by up to ``files_per_bucket`` tasks, so a
     # large bucket is never funnelled through one task
     sub = F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit("sub")), F.lit(files_per_bucket))
@@ -48,11 +48,6 @@ def upsert_batch(batch: DataFrame, target_path: str, keys: Sequence[str], order:
      .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(target_path))
 
 
-def _materialise(df: DataFrame) -> DataFrame:
-    from ..session import materialise
-    return materialise(df, "stream-batch")
-
-
 def run_upsert_stream(spark: SparkSession, source_dir: str, schema: StructType, target_path: str,
                       checkpoint: str, keys: Sequence[str], order: Sequence,
                       files_per_trigger: int = 10, buckets: int = 64) -> DataFrame:

@@ -3,7 +3,9 @@
 import csv
 import os
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from licita.plans import jobs as J
 
@@ -80,6 +82,99 @@ def _landing(root, feb_amount="1.400,00"):
     _write(root, 2019, 5, "Ent_Contratos", CON_H, [["ocds-x", "1", "C1", "A1", "1", "PEN", "", ""]])
 
 
+def _contracts(root, month, name, rows):
+    d = os.path.join(root, "2024", f"{month:02d}", "extraido")
+    os.makedirs(d, exist_ok=True)
+    with open(os.path.join(d, f"{name}_Ent_Contratos.csv"), "w", newline="", encoding="utf-8") as f:
+        w = csv.writer(f)
+        w.writerow(CON_H)
+        w.writerows(rows)
+
+
+def _staged(spark, staging):
+    return sorted((r.OCID, r.MONTO_CONTRATO) for r in spark.read.parquet(f"{staging}/contratos").collect())
+
+
+def test_a_changed_file_keeps_its_sisters_rows(spark, tmpdir_path):
+    landing, staging = os.path.join(tmpdir_path, "landing"), os.path.join(tmpdir_path, "staging")
+    line = lambda i, v: [f"ocds-{i}", "1", "C1", "A1", str(v), "PEN", "2024-01-15", "x"]
+    _contracts(landing, 1, "a", [line(1, 10), line(2, 20)])
+    _contracts(landing, 1, "b", [line(3, 30)])
+    _contracts(landing, 2, "c", [line(4, 40)])
+    _contracts(landing, 1, "~$a", [["lock"]])  # a spreadsheet's lock file
+    J.run_staging(spark, f"file://{landing}", staging)
+    assert _staged(spark, staging) == [("ocds-1", 10.0), ("ocds-2", 20.0), ("ocds-3", 30.0), ("ocds-4", 40.0)]
+    _contracts(landing, 1, "b", [line(3, 33), line(5, 50)])
+    rows = {r.RUTA[-len("a_Ent_Contratos.csv"):][0]: r for r in J.run_staging(spark, f"file://{landing}", staging).collect()}
+    assert (rows["a"].ESTADO, rows["a"].PROCESADO) == ("SIN_CAMBIO", True)
+    assert (rows["b"].ESTADO, rows["b"].PROCESADO) == ("MODIFICADO", True) and not rows["c"].PROCESADO
+    assert _staged(spark, staging) == [("ocds-1", 10.0), ("ocds-2", 20.0), ("ocds-3", 33.0), ("ocds-4", 40.0), ("ocds-5", 50.0)]
+    assert J.run_staging(spark, f"file://{landing}", staging).filter("PROCESADO").count() == 0
+
+
+def test_an_unreadable_file_is_recorded_and_others_go_on(spark, tmpdir_path):
+    landing, staging = os.path.join(tmpdir_path, "landing"), os.path.join(tmpdir_path, "staging")
+    line = lambda i: [f"ocds-{i}", "1", "C1", "A1", "1", "PEN", "2024-01-15", "x"]
+    _contracts(landing, 1, "a", [line(1)])
+    _contracts(landing, 2, "c", [line(2)])
+    J.run_staging(spark, landing, staging)
+    bad = os.path.join(landing, "2024", "01", "extraido", "b_Ent_Contratos.csv")
+    with open(bad, "wb") as f:
+        f.write(bytes([0, 255, 254, 0]) * 50)
+    _contracts(landing, 2, "c", [line(2), line(3)])
+    rows = {r.RUTA[-len("a_Ent_Contratos.csv"):][0]: r for r in J.run_staging(spark, landing, staging).collect()}
+    assert rows["b"].ESTADO == "ERROR" and "ilegible" in rows["b"].ERROR and not rows["b"].PROCESADO
+    assert not rows["a"].PROCESADO and rows["c"].PROCESADO
+    assert [r[0] for r in _staged(spark, staging)] == ["ocds-1", "ocds-2", "ocds-3"]
+
+
+def test_parties_are_asked_of_spark_and_missing_ones_raise(spark, tmpdir_path):
+    landing, staging = os.path.join(tmpdir_path, "landing"), os.path.join(tmpdir_path, "staging")
+    _landing(landing)
+    J.run_staging(spark, landing, staging)
+    org = {r.CLAVE_ORGANIZACION: r for r in J.build_curated_tables(spark, f"file://{staging}")["dim_organizacion"].collect()}
+    assert org["RUC|" + VALID_RUC].DEPARTAMENTO == "LIMA"
+    os.rename(f"{staging}/partes", f"{staging}/otras")
+    with pytest.raises(AnalysisException):
+        J.build_curated_tables(spark, staging)
+    without = J.build_curated_tables(spark, staging, with_parties=False)["dim_organizacion"]
+    assert without.filter("DEPARTAMENTO is not null").count() == 0
+
+
+def test_a_failed_gate_leaves_the_old_version_published(spark, tmpdir_path):
+    landing, staging, curated, dw = (os.path.join(tmpdir_path, x) for x in ("landing", "staging", "curated", "dw"))
+    _landing(landing)
+    J.run_staging(spark, landing, staging)
+    J.run_curated(spark, staging, curated)
+    assert J.current_version(spark, dw) is None
+    first = J.run_warehouse(spark, curated, dw)["version"]
+    fact = spark.read.parquet(f"{curated}/fact_contrato_actual")
+    rows = fact.collect()
+    spark.createDataFrame(rows + rows[:1], fact.schema).write.mode("overwrite").parquet(f"{curated}/fact_contrato_actual")
+    with pytest.raises(RuntimeError):
+        J.run_warehouse(spark, curated, dw)
+    assert J.current_version(spark, dw) == first
+    assert sorted(r.ESTADO for r in spark.read.parquet(f"{dw}/_control").collect()) == ["ERROR", "OK"]
+
+
+def test_cardinality_is_checked(spark):
+    from licita.operators.one_year import CardinalityError, checked_join
+    left = spark.createDataFrame([(1, "a"), (2, "b")], "k int, x string")
+    right = spark.createDataFrame([(1, "p"), (1, "q")], "k int, y string")
+    with pytest.raises(CardinalityError):
+        checked_join(left, right, ["k"], "left", "many_to_one")
+    assert checked_join(left, right, ["k"], "left", "one_to_many").count() == 3
+
+
+def test_scratch_needs_a_shared_folder_off_local_masters():
+    from types import SimpleNamespace
+    from licita.session import checkpoint_dir
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: d), sparkContext=SimpleNamespace(
+        master="spark://host:7077", getCheckpointDir=lambda: None))
+    with pytest.raises(ValueError):
+        checkpoint_dir(cluster)
+
+
 def test_end_to_end(spark, tmpdir_path):
     landing = os.path.join(tmpdir_path, "landing")
     staging = os.path.join(tmpdir_path, "staging")
