@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators import star as S
 from ..operators.versions import duplicate_flag, extra_copy_count, latest_by
+from ..session import checkpoint_dir, materialise
 from . import adapters as A
 
 
@@ -107,6 +108,55 @@ class CuratedStar:
         return getattr(self, name)
 
 
+class WrittenStar:
+    """The tables that a query reads several times, written once under the
+    shared ``spark.checkpoint.dir`` on first use and read back, as the
+    production job does with the curated folder: their lineage is cut, each
+    is computed once, and joins know their sizes."""
+
+    def __init__(self, star: CuratedStar):
+        checkpoint_dir(star.t.spark)
+        self._star = star
+
+    @cached_property
+    def fact(self):
+        return materialise(self._star.fact, "fact")
+
+    @cached_property
+    def bridge(self):
+        return materialise(self._star.bridge, "bridge")
+
+    @cached_property
+    def dim_organizacion(self):
+        return materialise(self._star.dim_organizacion, "dim_org")
+
+    @cached_property
+    def dim_ubicacion(self):
+        return S.dim_ubicacion(self.dim_organizacion)
+
+    @cached_property
+    def dim_entidad(self):
+        return S.dim_entidad(self.dim_organizacion, self.fact)
+
+    @cached_property
+    def dim_proveedor(self):
+        return S.dim_proveedor(self.dim_organizacion, self.bridge)
+
+    @cached_property
+    def dim_moneda(self):
+        return S.dim_moneda(self.fact)
+
+    def __getattr__(self, name):
+        return getattr(self._star, name)
+
+    def __getitem__(self, name):
+        return getattr(self, name)
+
+
+def written_star(spark, sf_dir) -> WrittenStar:
+    return WrittenStar(CuratedStar(spark, sf_dir))
+
+
 def curated_star(spark, sf_dir) -> CuratedStar:
     return CuratedStar(spark, sf_dir)
 
@@ -185,7 +235,7 @@ def contract_supplier_bridge(spark, sf_dir) -> DataFrame:
 
 def role_dims(spark, sf_dir) -> DataFrame:
     """J-5: entity and supplier role dimensions (semi joins), labelled."""
-    st = curated_star(spark, sf_dir)
+    st = written_star(spark, sf_dir)
     org, fact, bridge = st["dim_organizacion"], st["fact"], st["bridge"]
     cols = ["CLAVE_ORGANIZACION", "TIPO_ORGANIZACION", "NOMBRE_ESTANDAR", "CLAVE_UBICACION"]
     ent = S.dim_entidad(org, fact).select(F.lit("ENTIDAD").alias("ROL"), *cols)

@@ -179,11 +179,14 @@ def run_warehouse(spark: SparkSession, curated_root: str, dw_root: str) -> dict:
         star = {t: spark.read.parquet(f"{curated_root}/{t}") for t in CURATED_TABLES}
         star["fact"] = star["fact_contrato_actual"]
         star["bridge"] = star["bridge_contrato_proveedor"]
-        dims = W.build_dims(star)
-        fact = W.with_contract_keys(W.fact_contrato_dw(star["fact_contrato_actual"], dims,
-                                                       star["dim_fecha"]))
+        last = current_version(spark, dw_root)  # members and contracts of the last load keep their keys
+        stored = {n: spark.read.parquet(f"{last}/{n}") for n in (*W.DIM_KEYS, "FactContrato")} if last else None
+        dims = W.build_dims(star, stored)
+        fact = W.with_contract_keys(
+            W.fact_contrato_dw(star["fact_contrato_actual"], dims, star["dim_fecha"]),
+            star["fact_contrato_actual"], stored and stored["FactContrato"])
         written = {}
-        for name, df in {**dims, "DimFecha": star["dim_fecha"]}.items():
+        for name, df in {**dims, "DimFecha": W.dim_fecha_dw(star["dim_fecha"])}.items():
             df.write.mode("overwrite").parquet(f"{vdir}/{name}")
             written[name] = spark.read.parquet(f"{vdir}/{name}")
         fact.write.mode("overwrite").parquet(f"{vdir}/FactContrato")

@@ -579,9 +579,59 @@ DW_DIMS = """DimUbicacion AS (SELECT CLAVE_UBICACION, row_number() OVER (ORDER B
       LEFT JOIN days d3 ON f.FECHA_FIN_KEY = d3.FECHA_KEY
     WHERE f.CLAVE_CONTRATO IS NOT NULL)"""
 
+# warehouse fact: column, curated column, type or length
+_FACT_DW = [
+    *[f"substr(f.{c}, 1, {n}) AS {a}" for a, c, n in [
+        ("ContratoHash", "CONTRATO_HASH", 32), ("HashFila", "HASH_FILA", 32), ("Ocid", "OCID", 200),
+        ("IdEntrega", "ID_ENTREGA", 300), ("IdContrato", "ID_CONTRATO", 300), ("IdAdjudicacion", "ID_ADJUDICACION", 300),
+        ("IdLicitacion", "ID_LICITACION", 300), ("TituloContrato", "TITULO_CONTRATO", 2000),
+        ("DescripcionContrato", "DESCRIPCION_CONTRATO", 100000), ("MonedaContrato", "MONEDA_CONTRATO", 50),
+        ("NombreMonedaContrato", "NOMBRE_MONEDA_CONTRATO", 200), ("MonedaFinal", "MONEDA_FINAL", 50),
+        ("NombreMonedaFinal", "NOMBRE_MONEDA_FINAL", 200), ("RucEntidad", "RUC_ENTIDAD", 20), ("IdEntidad", "ID_ENTIDAD", 300),
+        ("NombreEntidadOriginal", "NOMBRE_ENTIDAD_ORIGINAL", 1000), ("NombreEntidadEstandar", "NOMBRE_ENTIDAD_ESTANDAR", 1000),
+        ("TituloLicitacion", "TITULO_LICITACION", 2000), ("DescripcionLicitacion", "DESCRIPCION_LICITACION", 100000),
+        ("MetodoContratacion", "METODO_CONTRATACION", 500), ("DetalleMetodoContratacion", "DETALLE_METODO_CONTRATACION", 1000),
+        ("CategoriaPrincipal", "CATEGORIA_PRINCIPAL", 500), ("MonedaLicitacion", "MONEDA_LICITACION", 50),
+        ("NombreMonedaLicitacion", "NOMBRE_MONEDA_LICITACION", 200), ("TipoRelacionRegistro", "TIPO_RELACION_REGISTRO", 50),
+        ("ArchivoOrigen", "ARCHIVO_ORIGEN", 500)]],
+    *[f"CAST(TRY_CAST(f.{c} AS DECIMAL({t})) AS VARCHAR) AS {a}" for a, c, t in [
+        ("DuracionDias", "DURACION_DIAS", "18,2"), ("MontoContrato", "MONTO_CONTRATO", "28,4"),
+        ("MontoFinal", "MONTO_FINAL", "28,4"), ("MontoLicitacion", "MONTO_LICITACION", "28,4")]],
+    *[f"f.{c} AS {a}" for a, c in [
+        ("FechaFirma", "FECHA_FIRMA"), ("FechaInicio", "FECHA_INICIO"), ("FechaFin", "FECHA_FIN"),
+        ("FechaFinImplementacion", "FECHA_FIN_IMPLEMENTACION"), ("AnioArchivo", "ANIO_ARCHIVO"), ("MesArchivo", "MES_ARCHIVO")]]]
+
+
+def _dim_org_dw(dim: str, keyed: str, key: str) -> str:
+    return f"""
+  SELECT d.CLAVE_ORGANIZACION, d.ORGANIZACION_HASH, d.ID_ORGANIZACION_ORIGINAL, d.RUC, d.NOMBRE_ORIGINAL, d.NOMBRE_ESTANDAR,
+    d.TIPO_ORGANIZACION, d.DIRECCION, d.LOCALIDAD, d.REGION, d.DEPARTAMENTO, d.PAIS, TRY_CAST(d.RUC_VALIDO AS BOOLEAN) AS RUC_VALIDO,
+    TRY_CAST(d.ES_ENTIDAD AS BOOLEAN) AS ES_ENTIDAD, TRY_CAST(d.ES_PROVEEDOR AS BOOLEAN) AS ES_PROVEEDOR,
+    d.PERIODO_PRIMERA_APARICION, d.PERIODO_ULTIMA_APARICION, d.CLAVE_UBICACION, k.{key}, u.UbicacionKey
+  FROM {dim} d JOIN {keyed} k ON d.CLAVE_ORGANIZACION = k.CLAVE_ORGANIZACION
+    LEFT JOIN DimUbicacion u ON d.CLAVE_UBICACION = u.CLAVE_UBICACION"""
+
+
 WH_CTES = STAR_CTES + [DAYS, DW_DIMS]
 
 ORACLES.update({
+    "dim_entidad_dw": with_(*WH_CTES) + _dim_org_dw("dim_entidad", "DimEntidad", "EntidadKey"),
+    "dim_proveedor_dw": with_(*WH_CTES) + _dim_org_dw("dim_proveedor", "DimProveedor", "ProveedorKey"),
+
+    "fact_dw_full": with_(*WH_CTES) + f"""
+  SELECT d.ContratoKey, d.ClaveContrato, d.EntidadKey, d.UbicacionEntidadKey, d.MonedaKey, d.CategoriaKey, d.MetodoKey,
+    d.FechaFirmaKey, d.FechaInicioKey, d.FechaFinKey, {", ".join(_FACT_DW)}
+  FROM fact_dw d JOIN fact f ON d.ClaveContrato = f.CLAVE_CONTRATO""",
+
+    "orphans_dw": with_(*WH_CTES) + """
+  SELECT RELACION, CAST(n AS BIGINT) AS HUERFANOS FROM (
+    SELECT 'FACT_ENTIDAD' AS RELACION, count(*) FILTER (WHERE EntidadKey NOT IN (SELECT EntidadKey FROM DimEntidad)) AS n FROM fact_dw
+    UNION ALL SELECT 'FACT_MONEDA', count(*) FILTER (WHERE MonedaKey NOT IN (SELECT MonedaKey FROM DimMoneda)) FROM fact_dw
+    UNION ALL SELECT 'FACT_CATEGORIA', count(*) FILTER (WHERE CategoriaKey NOT IN (SELECT CategoriaKey FROM DimCategoria)) FROM fact_dw
+    UNION ALL SELECT 'FACT_METODO', count(*) FILTER (WHERE MetodoKey NOT IN (SELECT MetodoKey FROM DimMetodo)) FROM fact_dw
+    UNION ALL SELECT 'BRIDGE_CONTRATO', count(*) FILTER (WHERE CLAVE_CONTRATO NOT IN (SELECT ClaveContrato FROM fact_dw)) FROM bridge
+    UNION ALL SELECT 'BRIDGE_PROVEEDOR', count(*) FILTER (WHERE CLAVE_PROVEEDOR NOT IN (SELECT CLAVE_ORGANIZACION FROM DimProveedor)) FROM bridge)""",
+
     "star_lookup": with_(*WH_CTES) + """
   SELECT ContratoKey, ClaveContrato, EntidadKey, UbicacionEntidadKey, MonedaKey, CategoriaKey, MetodoKey,
     FechaFirmaKey, FechaInicioKey, FechaFinKey FROM fact_dw""",

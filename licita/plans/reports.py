@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import quality as Q
 from ..operators import reports as R
-from .curated import curated_star
+from .curated import curated_star, written_star
 
 # Indicator names of the curated quality control, in order.
 CURATED_INDICATORS = [
@@ -35,7 +35,7 @@ def monthly_summary(spark, sf_dir) -> DataFrame:
 
 def geo_counts(spark, sf_dir) -> DataFrame:
     """AGG-5 for entities and suppliers."""
-    st = curated_star(spark, sf_dir)
+    st = written_star(spark, sf_dir)
     return R.geo_counts(st["dim_entidad"], "ENTIDAD").unionByName(
         R.geo_counts(st["dim_proveedor"], "PROVEEDOR"))
 
@@ -48,7 +48,7 @@ def supplier_list_per_contract(spark, sf_dir) -> DataFrame:
 
 def indicators(spark, sf_dir) -> DataFrame:
     """AGG-4: the 18 curated indicators as INDICADOR / VALOR rows."""
-    st = curated_star(spark, sf_dir)
+    st = written_star(spark, sf_dir)
     n = F.count(F.lit(1))
     names = CURATED_INDICATORS
 
@@ -91,7 +91,7 @@ def orphans_and_anti(spark, sf_dir) -> DataFrame:
     """J-6 + J-7 on the test tables and on the star."""
     from .adapters import Tables
     t = Tables(spark, sf_dir)
-    st = curated_star(spark, sf_dir)
+    st = written_star(spark, sf_dir)
     parts = [
         Q.orphans(t("lineitem"), "l_orderkey", t("orders"), "o_orderkey", "lineitem->orders"),
         Q.orphans(t("orders"), "o_custkey", t("customer"), "c_custkey", "orders->customer"),
@@ -119,7 +119,7 @@ def orphans_and_anti(spark, sf_dir) -> DataFrame:
 
 def review_samples(spark, sf_dir) -> DataFrame:
     """S-4: review samples (LIMIT 1000 is the feature), ordered for determinism."""
-    st = curated_star(spark, sf_dir)
+    st = written_star(spark, sf_dir)
     f = st["fact"]
     no_entity = (f.filter(F.col("CLAVE_ENTIDAD").isNull())
                  .select(F.lit("SIN_ENTIDAD").alias("MUESTRA"), "CLAVE_CONTRATO", "OCID",

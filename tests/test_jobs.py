@@ -157,6 +157,29 @@ def test_a_failed_gate_leaves_the_old_version_published(spark, tmpdir_path):
     assert sorted(r.ESTADO for r in spark.read.parquet(f"{dw}/_control").collect()) == ["ERROR", "OK"]
 
 
+def test_a_second_load_keeps_the_keys(spark, tmpdir_path):
+    landing, staging, curated, dw = (os.path.join(tmpdir_path, x) for x in ("landing", "staging", "curated", "dw"))
+    _landing(landing)
+    J.run_staging(spark, landing, staging)
+    J.run_curated(spark, staging, curated)
+    first = J.run_warehouse(spark, curated, dw)["tables"]
+    keys = lambda t, bk, sk: {r[bk]: r[sk] for r in t.collect()}
+    contracts = keys(first["FactContrato"], "ClaveContrato", "ContratoKey")
+    entities = keys(first["DimEntidad"], "CLAVE_ORGANIZACION", "EntidadKey")
+    assert {r.CLAVE_ORGANIZACION: r.UbicacionKey is not None for r in first["DimEntidad"].collect()}["RUC|" + VALID_RUC]
+    # a contract that sorts before all others, of an entity that does too
+    _write(landing, 2024, 3, "Ent_Contratos", CON_H, [["ocds-0", "1", "C1", "A0", "5", "PEN", "2024-03-01", "nuevo"]])
+    _write(landing, 2024, 3, "Registros", REG_H, [
+        ["ocds-0", "1", "1", "Alcaldía", "LIC-0", "", "", "", "goods", "2024-03-01", "x"]])
+    J.run_staging(spark, landing, staging)
+    J.run_curated(spark, staging, curated)
+    second = J.run_warehouse(spark, curated, dw)["tables"]
+    now = keys(second["FactContrato"], "ClaveContrato", "ContratoKey")
+    assert {k: now[k] for k in contracts} == contracts and now["ocds-0|C1"] == max(contracts.values()) + 1
+    later = keys(second["DimEntidad"], "CLAVE_ORGANIZACION", "EntidadKey")
+    assert {k: later[k] for k in entities} == entities and later["ID|1"] == max(entities.values()) + 1
+
+
 def test_cardinality_is_checked(spark):
     from licita.operators.one_year import CardinalityError, checked_join
     left = spark.createDataFrame([(1, "a"), (2, "b")], "k int, x string")
