@@ -506,6 +506,13 @@ ORACLES.update({
     count(*) FILTER (WHERE ES_PROVEEDOR) AS PROVEEDORES
   FROM stg_partes GROUP BY ANIO_ARCHIVO, MES_ARCHIVO""",
 
+    "geo_ranking": with_(*STAR_CTES) + """
+  SELECT ROL, DEPARTAMENTO, CANTIDAD,
+    row_number() OVER (PARTITION BY ROL ORDER BY CANTIDAD DESC, DEPARTAMENTO NULLS FIRST) AS RANGO FROM (
+    SELECT 'ENTIDAD' AS ROL, DEPARTAMENTO, count(*) AS CANTIDAD FROM dim_entidad WHERE CLAVE_UBICACION IS NOT NULL GROUP BY ALL
+    UNION ALL
+    SELECT 'PROVEEDOR' AS ROL, DEPARTAMENTO, count(*) AS CANTIDAD FROM dim_proveedor WHERE CLAVE_UBICACION IS NOT NULL GROUP BY ALL)""",
+
     "role_frequency": with_(STG_PARTES) + """
   SELECT ROLES_ESTANDAR, count(*) AS FRECUENCIA FROM stg_partes GROUP BY ROLES_ESTANDAR""",
 
@@ -632,6 +639,36 @@ ORACLES.update({
     UNION ALL SELECT 'BRIDGE_CONTRATO', count(*) FILTER (WHERE CLAVE_CONTRATO NOT IN (SELECT ClaveContrato FROM fact_dw)) FROM bridge
     UNION ALL SELECT 'BRIDGE_PROVEEDOR', count(*) FILTER (WHERE CLAVE_PROVEEDOR NOT IN (SELECT CLAVE_ORGANIZACION FROM DimProveedor)) FROM bridge)""",
 
+    "warehouse_indicators": with_(*WH_CTES) + """
+  , bridge_rows AS (SELECT DISTINCT f.ContratoKey, p.ProveedorKey, b.* FROM bridge b
+      JOIN fact_dw f ON b.CLAVE_CONTRATO = f.ClaveContrato JOIN DimProveedor p ON b.CLAVE_PROVEEDOR = p.CLAVE_ORGANIZACION)
+  SELECT GRUPO, INDICADOR, CAST(VALOR AS BIGINT) AS VALOR FROM (
+    SELECT 'INDICADOR' AS GRUPO, 'Contratos curated' AS INDICADOR, count(*) AS VALOR FROM fact
+    UNION ALL SELECT 'INDICADOR', 'Contratos DW', count(*) FROM fact_dw
+    UNION ALL SELECT 'INDICADOR', 'Contratos duplicados por clave', count(*) FROM (SELECT ClaveContrato FROM fact_dw GROUP BY 1 HAVING count(*) > 1)
+    UNION ALL SELECT 'INDICADOR', 'Relaciones proveedor curated', count(*) FROM bridge
+    UNION ALL SELECT 'INDICADOR', 'Relaciones proveedor DW', count(*) FROM bridge_rows
+    UNION ALL SELECT 'INDICADOR', 'Entidades', count(*) FROM DimEntidad
+    UNION ALL SELECT 'INDICADOR', 'Proveedores', count(*) FROM DimProveedor
+    UNION ALL SELECT 'INDICADOR', 'Ubicaciones', count(*) FROM DimUbicacion
+    UNION ALL SELECT 'INDICADOR', 'Monedas', count(*) FROM DimMoneda
+    UNION ALL SELECT 'INDICADOR', 'Categorías', count(*) FROM DimCategoria
+    UNION ALL SELECT 'INDICADOR', 'Métodos de contratación', count(*) FROM DimMetodo
+    UNION ALL SELECT 'INDICADOR', 'Fechas', count(*) FROM days
+    UNION ALL SELECT 'INDICADOR', 'Contratos sin entidad', count(*) FROM fact_dw WHERE EntidadKey IS NULL
+    UNION ALL SELECT 'INDICADOR', 'Contratos sin proveedor', count(*) FROM fact_dw WHERE ContratoKey NOT IN (SELECT ContratoKey FROM bridge_rows)
+    UNION ALL SELECT 'INDICADOR', 'Entidades sin ubicación', count(*) FROM dim_entidad WHERE CLAVE_UBICACION IS NULL
+    UNION ALL SELECT 'INDICADOR', 'Proveedores sin ubicación', count(*) FROM dim_proveedor WHERE CLAVE_UBICACION IS NULL
+    UNION ALL SELECT 'TABLA', 'FactContrato', count(*) FROM fact_dw
+    UNION ALL SELECT 'TABLA', 'BridgeContratoProveedor', count(*) FROM bridge_rows
+    UNION ALL SELECT 'TABLA', 'DimEntidad', count(*) FROM DimEntidad
+    UNION ALL SELECT 'TABLA', 'DimProveedor', count(*) FROM DimProveedor
+    UNION ALL SELECT 'TABLA', 'DimUbicacion', count(*) FROM DimUbicacion
+    UNION ALL SELECT 'TABLA', 'DimMoneda', count(*) FROM DimMoneda
+    UNION ALL SELECT 'TABLA', 'DimCategoria', count(*) FROM DimCategoria
+    UNION ALL SELECT 'TABLA', 'DimMetodoContratacion', count(*) FROM DimMetodo
+    UNION ALL SELECT 'TABLA', 'DimFecha', count(*) FROM days)""",
+
     "star_lookup": with_(*WH_CTES) + """
   SELECT ContratoKey, ClaveContrato, EntidadKey, UbicacionEntidadKey, MonedaKey, CategoriaKey, MetodoKey,
     FechaFirmaKey, FechaInicioKey, FechaFinKey FROM fact_dw""",

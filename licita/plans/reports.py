@@ -40,6 +40,15 @@ def geo_counts(spark, sf_dir) -> DataFrame:
         R.geo_counts(st["dim_proveedor"], "PROVEEDOR"))
 
 
+def geo_ranking(spark, sf_dir) -> DataFrame:
+    """S-2: departments by number of organisations, most first (ties: by name),
+    with their rank.  The ordered rows are one a department and role."""
+    from pyspark.sql import Window
+    per = (geo_counts(spark, sf_dir).groupBy("ROL", "DEPARTAMENTO").agg(F.sum("CANTIDAD").alias("CANTIDAD")))
+    order = Window.partitionBy("ROL").orderBy(F.desc("CANTIDAD"), "DEPARTAMENTO")
+    return per.withColumn("RANGO", F.row_number().over(order))
+
+
 def supplier_list_per_contract(spark, sf_dir) -> DataFrame:
     """AGG-8 + AGG-9."""
     st = curated_star(spark, sf_dir)
@@ -136,6 +145,7 @@ QUERIES = {
     "annual_summary": annual_summary,
     "monthly_summary": monthly_summary,
     "geo_counts": geo_counts,
+    "geo_ranking": geo_ranking,
     "supplier_list_per_contract": supplier_list_per_contract,
     "indicators": indicators,
     "coverage_profile": coverage_profile,
