@@ -18,12 +18,13 @@ packed one by one; an empty table gives an empty result.  Columns other than
 from __future__ import annotations
 
 import math
-import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import materialise
@@ -32,11 +33,14 @@ WINDOW = 2048
 END_ID = 1
 #: words whose ids a worker keeps; beyond it the older half goes
 CACHE_WORDS = 400_000
+#: characters of text that a worker cuts into words at a time
+CHUNK_CHARS = 4_000_000
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
-_PUNCTUATION = b".,!?;:%&$#*\"()"
-_ODD = re.compile("[\x1c-\x1f]|<\\|")
+_PUNCTUATION = ".,!?;:%&$#*\"()"
+#: white space to Python alone, and what opens a special token: such texts go to the tokenizer whole
+_ODD = ("\x1c", "\x1d", "\x1e", "\x1f", "<|")
 
 
 class WordIds:
@@ -48,61 +52,81 @@ class WordIds:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
+        # small Latin letters alone need no normalising and no pattern to cut them
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = None
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.end = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         for piece, i in self.tokenizer.get_vocab().items():
             self.end[i] = piece.endswith("</w>")
-        self.new: dict[bytes, bytes] = {b"": b""}
-        self.old: dict[bytes, bytes] = {}
+        self.new: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}
 
-    def _encode(self, text: str) -> bytes:
-        ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+    def _encode(self, text: str, tokenizer=None) -> bytes:
+        ids = (tokenizer or self.tokenizer).encode_batch_fast([text], add_special_tokens=False)[0].ids
         return np.array(ids, dtype="<u4").tobytes()
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _learn(self, words: list[str]) -> None:
         """Letters-only words go to the tokenizer in one string and are cut
         apart at the ids that end a word; the rest go alone."""
-        plain, cache = [], self.new
+        plain, letters, cache = [], [], self.new
         for w in words:
-            text = w.decode()
-            if text.isalpha():
-                plain.append((w, text))
+            if not w.isalpha():
+                cache[w] = self._encode(w)
+            elif w == w.lower() and max(w) < "\u0180":
+                plain.append(w)
             else:
-                cache[w] = self._encode(text)
-        if not plain:
-            return
-        ids = np.frombuffer(self._encode(" ".join(t for _, t in plain)), dtype="<u4")
-        ends = np.flatnonzero(self.end[ids]) + 1
-        if len(ends) != len(plain):  # a letter this vocabulary's pattern does not know
-            for w, text in plain:
-                cache[w] = self._encode(text)
-            return
-        raw, at = ids.tobytes(), 0
-        for (w, _), to in zip(plain, (4 * ends).tolist()):
-            cache[w] = raw[at:to]
-            at = to
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
+                letters.append(w)
+        for group, tokenizer in ((plain, self.plain), (letters, self.tokenizer)):
+            raw = self._encode(" ".join(group), tokenizer)
+            ends = 4 * (np.flatnonzero(self.end[np.frombuffer(raw, dtype="<u4")]) + 1)
+            if len(ends) != len(group):  # a letter that the vocabulary's pattern takes otherwise
+                cache.update((w, self._encode(w)) for w in group)
+                continue
+            at = 0
+            for w, to in zip(group, ends.tolist()):
+                cache[w] = raw[at:to]
+                at = to
+
+    def _ids_of(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words, from the cache or learned now."""
         if len(self.new) > CACHE_WORDS:
-            self.old, self.new = self.new, {b"": b""}
-        split = [None if _ODD.search(t) else t.encode().lower().split() for t in texts]
+            self.old, self.new = self.new, {"": b""}
         cache, old = self.new, self.old
-        unseen = []
-        for w in {w for words in split if words for w in words}:
+        fresh = []
+        for w in words:
             if w not in cache:
                 if w in old:
                     cache[w] = old[w]
                 else:
-                    unseen.append((w, w.rstrip(_PUNCTUATION)))
-        parts = {core for _, core in unseen} | {w[len(core):] for w, core in unseen}
+                    fresh.append((w, w.rstrip(_PUNCTUATION)))
+        parts = {core for _, core in fresh} | {w[len(core):] for w, core in fresh}
         self._learn([p for p in parts if p not in cache])
-        for w, core in unseen:
+        for w, core in fresh:
             if w not in cache:
-                whole = core and core.decode()[-1].isalnum()  # then what follows starts a new token
-                cache[w] = cache[core] + cache[w[len(core):]] if whole else self._encode(w.decode())
-        return [self._encode(t) if words is None else b"".join([cache[w] for w in words])
-                for t, words in zip(texts, split)]
+                whole = core and core[-1].isalnum()  # then what follows starts a new token
+                cache[w] = cache[core] + cache[w[len(core):]] if whole else self._encode(w)
+        return [cache[w] for w in words]
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """Little-endian ids of each text.  Arrow cuts the texts and numbers
+        their distinct words; only those are looked up one by one."""
+        odd = [any(x in t for x in _ODD) for t in texts]
+        cut_up = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(["" if o else t for t, o in zip(texts, odd)], pa.large_string())))
+        numbered = cut_up.flatten().dictionary_encode()
+        ids = self._ids_of(numbered.dictionary.to_pylist())
+        pool = np.frombuffer(b"".join(ids), dtype="<u4")
+        length = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        start = np.cumsum(length) - length
+        at = numbered.indices.to_numpy()
+        n = length[at]
+        before = np.concatenate([[0], np.cumsum(n)])
+        flat = pool[np.repeat(start[at] - before[:-1], n) + np.arange(before[-1])].tobytes()
+        edges = (4 * before[cut_up.offsets.to_numpy() - cut_up.offsets[0].as_py()]).tolist()
+        return [self._encode(t) if o else flat[a:b] for t, o, a, b in zip(texts, odd, edges, edges[1:])]
 
 
 _loaded: dict[str, WordIds] = {}
@@ -120,13 +144,16 @@ def cut(docs: DataFrame, vocabulary: str, window: int = WINDOW, end_id: int = EN
         encode = _tokenizer(vocabulary)
         tail = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            for i in range(0, len(batch), 256):
-                part, out = batch.iloc[i:i + 256], []
-                for doc_id, ids in zip(part["doc_id"], encode([t or "" for t in part["text"]])):
+            texts = [t or "" for t in batch["text"]]
+            # about as many characters at a time, whatever the length of a text
+            upto = np.cumsum([len(t) for t in texts]) // CHUNK_CHARS
+            for i in np.unique(upto):
+                some, out = np.flatnonzero(upto == i), []
+                for row, ids in zip(some, encode([texts[k] for k in some])):
                     ids += tail
                     n = len(ids) // 4
                     for s in range(0, n, window):
-                        out.append((doc_id, s, min(window, n - s),
+                        out.append((batch["doc_id"].iat[row], s, min(window, n - s),
                                     zlib.crc32(ids[4 * s:4 * (s + window)]), n))
                 frame = pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
                 frame["doc_id"] = pd.array(frame["doc_id"], dtype="Int64")
