@@ -21,6 +21,7 @@ from ..operators import quality as Q
 from ..operators import staging as ST
 from ..operators import star as S
 from ..operators import warehouse as W
+from ..session import release_scratch, scratch_mark
 from ..sources import landing as L
 from ..sources import manifest as M
 from ..sources import schemas as SC
@@ -175,6 +176,7 @@ def run_warehouse(spark: SparkSession, curated_root: str, dw_root: str) -> dict:
     started = _now()
     run = started.strftime("%Y%m%d%H%M%S%f")
     vdir = f"{dw_root}/v={run}"
+    mark = scratch_mark()
     try:
         star = {t: spark.read.parquet(f"{curated_root}/{t}") for t in CURATED_TABLES}
         star["fact"] = star["fact_contrato_actual"]
@@ -206,6 +208,8 @@ def run_warehouse(spark: SparkSession, curated_root: str, dw_root: str) -> dict:
     except Exception as e:
         _control(spark, dw_root, started, "ERROR", str(e)[:4000])
         raise
+    finally:
+        release_scratch(spark, mark)  # what is returned reads the written tables
 
 
 def validate(dw: dict[str, DataFrame], star: dict[str, DataFrame]) -> DataFrame:
