@@ -20,8 +20,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialise
 
-#: ASCII white space, as in the word pattern of every query here
-WORD_BREAK = "[\\x20\\x09-\\x0D]+"
 HASH_BITS = 60
 #: hash bits per refinement: 1,024 buckets a source, whatever the input
 LEVEL_BITS = 10

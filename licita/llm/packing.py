@@ -47,8 +47,8 @@ class WordIds:
     """Ids of whole texts by the vocabulary file, with a bounded cache of words.
 
     White space ends a token here, so a text's ids are its words' ids in turn;
-    only words not seen yet reach the tokenizer, many at a time.  ``end_ids``
-    (the ids that end a word) cut its answer into words again.
+    only words not seen yet reach the tokenizer, many at a time, and its answer
+    is cut into words again at the ids that end one.
     """
 
     def __init__(self, path: str):
