@@ -107,18 +107,19 @@ def assign(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataF
     rows = materialise(docs.select(
         "doc_id", (F.octet_length(text) + 8).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"), F.xxhash64(text).alias("text_hash"))
-        .withColumn("group", F.struct("text_hash", "text_crc32", "size"))
         .withColumn("row", F.monotonically_increasing_id()), "shard-rows")
     total = rows.count()
     quota = {s: total // shards + (s < total % shards) for s in range(shards)}
     part_rows = max(2, total // (8 * shards))
-    groups = (rows.groupBy("text_hash", "text_crc32", "size").agg(F.count(F.lit(1)).alias("members"))
-              .filter("members > 1")
-              .withColumn("parts", F.ceil(F.col("members") / F.lit(part_rows))))
+    same = ["text_hash", "text_crc32", "size"]
+    groups = materialise(rows.groupBy(*same).agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+                         .withColumn("parts", F.ceil(F.col("members") / F.lit(part_rows))), "shard-groups")
+    # at most 8 x shards groups are larger than a part: their rows meet them by broadcast
+    large = F.broadcast(groups.filter("parts > 1"))
+    grouped = rows.join(large, same).unionByName(
+        rows.join(large.select(*same), same, "left_anti").join(groups.filter("parts = 1"), same))
     linked = materialise(
-        rows.drop("group").join(groups, ["text_hash", "text_crc32", "size"])
-        .withColumn("part", F.xxhash64("text_hash", "text_crc32", "size",
-                                       F.pmod(F.xxhash64("row"), F.col("parts"))))
+        grouped.withColumn("part", F.xxhash64(*same, F.pmod(F.xxhash64("row"), F.col("parts"))))
         .select("row", "part", F.pmod(F.xxhash64("row", F.lit(1)), F.lit(shards)).cast("int").alias("first")),
         "shard-linked")
     cells = linked.groupBy("part", "first").agg(F.count(F.lit(1)).alias("n"))
