@@ -11,12 +11,14 @@ class.  Over the classes:
 2. classes meet at the n-grams of their prefixes.  In the first round each is
    paired only with the least class of the n-gram: a star, not all pairs;
 3. pairs pass the length filter, the positional filter (what the two sets can
-   still share beyond this n-gram) and the suffix filter (counts by hash range:
-   the sum of their differences is a lower bound of the sets' difference), and
+   still share beyond this n-gram) and the suffix filter (parities and counts
+   by hash range: their differences bound the sets' difference from below), and
    each is verified once on the whole sets;
 4. components of the links so far.  Where an n-gram's classes are still in
-   several components, the pairs across them are taken, filtered and verified
-   alike.  Pairs within a component need no look: they add no connection.
+   several components, a few of the classes are paired with those of other
+   components, as long as such rounds join much; then all pairs across components
+   are taken, filtered and verified alike.  Pairs within a component need no
+   look: they add no connection.
 
 So no link between components is lost, and a group of thousands of near copies
 costs a star and not its square.
@@ -32,16 +34,28 @@ not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import materialise
+from ..session import delete_path, materialise, scratch_path
 from .graph import connected_components
 
 SKETCH_BITS = 18
 SUFFIX_PARTS = 16
+WANTED_BITS = 20
+#: an n-gram of so many classes is crowded; rounds before all pairs across components are
+#: taken, classes asked in each, and classes outside the largest component that need none
+CROWD, MAX_TURNS, LEADERS, OUTSIDERS = 256, 6, 6, 64
+#: pairs of a component that are verified before all
+NEAREST = 4
+PARITY_BITS = 512
+POST = ["own_key", "own_size", "own_at", *[f"own_odd{i}" for i in range(PARITY_BITS // 64)]]
+OWN = [*POST, "own_home"]
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -92,7 +106,8 @@ def sketch(docs: DataFrame, n: int) -> np.ndarray:
 
 def signatures(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """Per row: doc_id, key (of its set; null when empty), size, prefix (rare
-    first) and parts (counts of the whole set by hash range)."""
+    first), parts (counts of the whole set by hash range) and odd (a bit for
+    each of 512 other ranges: whether its count is odd)."""
     spark = docs.sparkSession
     seen = spark.sparkContext.broadcast(sketch(docs, n))  # 2 MB whatever the input
 
@@ -104,20 +119,22 @@ def signatures(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 grams = ngram_set(text, n)
                 size = len(grams)
                 if not size:
-                    rows.append((doc_id, None, 0, None, None))
+                    rows.append((doc_id, None, 0, None, None, None))
                     continue
                 order = np.lexsort((grams, often[(grams & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)]))
                 length = size - -(-percent * size // 100) + 1
                 parts = np.bincount((grams >> np.uint64(60)).astype(np.int64), minlength=SUFFIX_PARTS)
-                rows.append((doc_id, set_key(grams), size,
-                             grams[order[:length]].astype(np.int64), parts.astype(np.int32)))
-            frame = pd.DataFrame(rows, columns=["doc_id", "key", "size", "prefix", "parts"])
+                odd = np.bincount((grams >> np.uint64(40)).astype(np.int64) % PARITY_BITS, minlength=PARITY_BITS) & 1
+                rows.append((doc_id, set_key(grams), size, grams[order[:length]].astype(np.int64),
+                             parts.astype(np.int32), np.packbits(odd.astype(np.uint8)).view(np.int64)))
+            frame = pd.DataFrame(rows, columns=["doc_id", "key", "size", "prefix", "parts", "odd"])
             frame["doc_id"] = pd.array(frame["doc_id"], dtype="Int64")
             frame["key"] = pd.array(frame["key"], dtype="Int64")
             yield frame
+        pa.default_memory_pool().release_unused()
 
     return docs.select("doc_id", "text").mapInPandas(
-        sign, "doc_id long, key long, size long, prefix array<long>, parts array<int>")
+        sign, "doc_id long, key long, size long, prefix array<long>, parts array<int>, odd array<long>")
 
 
 def _needed(a: Column, b: Column, percent: int) -> Column:
@@ -125,12 +142,61 @@ def _needed(a: Column, b: Column, percent: int) -> Column:
     return F.ceil((a + b) * percent / (100 + percent))
 
 
+def _apart(left: str, right: str) -> Column:
+    """Number of ranges in which the parities of two sets differ."""
+    return reduce(add, [F.bit_count(F.col(f"{left}_odd{i}").bitwiseXOR(F.col(f"{right}_odd{i}")))
+                        for i in range(PARITY_BITS // 64)])
+
+
 def _may_link(left: str, right: str, percent: int) -> Column:
-    """Length and positional filter for two prefix rows that share an n-gram."""
+    """Length, positional and suffix filter for two prefix rows that share an
+    n-gram.  Every range whose parity differs holds an n-gram that one set lacks."""
     a, b = F.col(f"{left}_size"), F.col(f"{right}_size")
     rest = F.least(a - F.col(f"{left}_at"), b - F.col(f"{right}_at"))
-    return ((F.least(a, b) * 100 >= F.greatest(a, b) * percent)
-            & (rest >= _needed(a, b, percent)))
+    apart = _apart(left, right)
+    return ((F.least(a, b) * 100 >= F.greatest(a, b) * percent) & (rest >= _needed(a, b, percent))
+            & (apart <= a + b - 2 * _needed(a, b, percent)))
+
+
+def _meet(own: DataFrame, other: DataFrame, tried: DataFrame, percent: int, when: Column | None = None,
+          closely: bool = False) -> DataFrame:
+    """Pairs (a, b) of classes that share an n-gram, pass the filters on their
+    prefixes and have not been tried; ``closely``: with their components (h, k)
+    and the number of ranges in which they differ (apart)."""
+    both = own.join(other, "gram").filter((F.col("own_key") != F.col("o_key")) & _may_link("own", "o", percent))
+    if when is not None:
+        both = both.filter(when)
+    pair = [F.least("own_key", "o_key").alias("a"), F.greatest("own_key", "o_key").alias("b")]
+    if closely:
+        pair += [F.least("own_home", "o_home").alias("h"), F.greatest("own_home", "o_home").alias("k"),
+                 _apart("own", "o").alias("apart")]
+    return both.select(*pair).distinct().join(tried, ["a", "b"], "left_anti")
+
+
+def _open(shared: DataFrame, home: DataFrame) -> DataFrame:
+    """The rows of ``shared`` whose n-gram is in classes of several components,
+    with their component (own_home), the largest there (main), its number of
+    classes (n_main) and that of all."""
+    own = (shared.join(home.withColumnRenamed("node", "own_key"), "own_key", "left")
+           .withColumn("own_home", F.coalesce("component", "own_key")).drop("component"))
+    per_home = own.groupBy("gram", "own_home").agg(F.count(F.lit(1)).alias("n"))
+    most = (per_home.groupBy("gram").agg(
+        F.max(F.struct("n", "own_home")).alias("m"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("homes"))
+        .filter("homes > 1").select("gram", F.col("m.own_home").alias("main"), F.col("m.n").alias("n_main"), "all"))
+    return materialise(own.join(most, "gram"), "jaccard-open")
+
+
+def _wanted_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(key, text) of the documents in ``wanted`` (key, first_id).
+
+    A broadcast of the hash buckets that are wanted (2^20 of them at most)
+    spares the texts of other documents the shuffle; the join then decides.
+    """
+    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << WANTED_BITS)).cast("int")
+    buckets = wanted.select(bucket("first_id").alias("__bucket")).distinct()
+    near = (docs.select("doc_id", "text").withColumn("__bucket", bucket("doc_id"))
+            .join(F.broadcast(buckets), "__bucket", "left_semi"))
+    return near.join(wanted, F.col("doc_id").eqNullSafe(F.col("first_id"))).select("key", "text")
 
 
 def _verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
@@ -146,77 +212,117 @@ def _verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, perce
     size = F.col("a_size") + F.col("b_size")
     left = materialise(both.filter(apart <= size - 2 * _needed(F.col("a_size"), F.col("b_size"), percent))
                        .select("a", "b"), "jaccard-pairs")
-    wanted = (left.select(F.col("a").alias("key")).unionByName(left.select(F.col("b").alias("key"))).distinct()
-              .join(classes.select("key", F.col("doc_id").alias("first_id")), "key"))
+    wanted = materialise(
+        left.select(F.col("a").alias("key")).unionByName(left.select(F.col("b").alias("key"))).distinct()
+        .join(classes.select("key", F.col("doc_id").alias("first_id")), "key"), "jaccard-wanted")
 
     def rebuild(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        made = set()  # repeated rows of a document: once a task
         for batch in batches:
             rows = []
             for key, text in zip(batch["key"], batch["text"]):
-                grams = ngram_set(text, n)
-                if len(grams) and set_key(grams) == key:  # a doc_id may name other texts too
-                    rows.append((key, grams.astype(np.int64)))
+                if key not in made:
+                    grams = ngram_set(text, n)
+                    if len(grams) and set_key(grams) == key:  # a doc_id may name other texts too
+                        rows.append((key, grams.astype(np.int64)))
+                        made.add(key)
             yield pd.DataFrame(rows, columns=["key", "grams"])
+        pa.default_memory_pool().release_unused()
 
-    texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("first_id")))
-    sets = materialise(texts.select("key", "text").mapInPandas(rebuild, "key long, grams array<long>")
-                       .dropDuplicates(["key"]), "jaccard-sets")
+    path = scratch_path(docs.sparkSession, "jaccard-sets")
+    (_wanted_texts(docs, wanted).mapInPandas(rebuild, "key long, grams array<long>").write.parquet(path))
+    sets = docs.sparkSession.read.parquet(path)
     common = F.size(F.array_intersect("x", "y"))
-    return materialise(
+    links = materialise(
         left.join(sets.select(F.col("key").alias("a"), F.col("grams").alias("x")), "a")
         .join(sets.select(F.col("key").alias("b"), F.col("grams").alias("y")), "b")
         .select("a", "b", common.alias("common"), (F.size("x") + F.size("y") - common).alias("together"))
-        .filter(F.col("common") * 100 >= F.col("together") * percent).select("a", "b"), "jaccard-links")
+        .filter(F.col("common") * 100 >= F.col("together") * percent).select("a", "b").distinct(), "jaccard-links")
+    delete_path(docs.sparkSession, path)
+    return links
 
 
 def join(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id (the
     least doc_id that links reach, itself included) and class_size (rows with
     the same set).  Sets link when 100 x common >= percent x together."""
-    signed = materialise(signatures(docs, n, percent), "jaccard-signed")
-    members = (signed.filter("key is not null").groupBy("key")
-               .agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("class_size")))
-    # one row a class: that of its first doc_id
-    chosen = (signed.filter("key is not null")
-              .join(members.select(F.col("key").alias("k"), F.col("doc_id").alias("first_id")),
-                    (F.col("key") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("first_id"))))
-    classes = materialise(chosen.select("key", "doc_id", "size", "prefix", "parts").dropDuplicates(["key"]),
-                          "jaccard-classes")
-    posts = classes.select("key", "size", F.posexplode("prefix").alias("at", "gram"))
-    heads = (posts.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("size", "key", "at")).alias("head"))
-             .filter("n > 1").select("gram", "head.*")
-             .toDF("gram", "head_size", "head_key", "head_at"))
-    shared = materialise(posts.join(heads, "gram").toDF("gram", "own_key", "own_size", "own_at",
-                                                        "head_size", "head_key", "head_at"), "jaccard-shared")
-    star = materialise(shared.filter((F.col("own_key") != F.col("head_key")) & _may_link("own", "head", percent))
-                       .select(F.least("own_key", "head_key").alias("a"), F.greatest("own_key", "head_key").alias("b"))
-                       .distinct(), "jaccard-star")
+    spark = docs.sparkSession
+    whole = scratch_path(spark, "jaccard-signed")
+    signatures(docs, n, percent).write.parquet(whole)
+    signed = spark.read.parquet(whole)
+    rows = materialise(signed.select("doc_id", "key", "size"), "jaccard-rows")
+    # rows of a class agree in all but the doc_id
+    posted = scratch_path(spark, "jaccard-classes")
+    (signed.filter("key is not null").groupBy("key")
+     .agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("class_size"), F.first("size").alias("size"),
+          F.first("prefix").alias("prefix"), F.first("parts").alias("parts"), F.first("odd").alias("odd")).write.parquet(posted))
+    delete_path(spark, whole)  # all that follows reads the classes
+    classes = spark.read.parquet(posted)
+    # only n-grams that two classes have matter: counted on n-grams alone
+    posts = classes.select(F.posexplode("prefix").alias("at", "gram"), "key", "size")
+    common = (classes.select(F.explode("prefix").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+              .filter("n > 1").select("gram"))
+    odd = classes.select(F.col("key").alias("own_key"), *[F.col("odd")[i].alias(f"own_odd{i}")
+                                                          for i in range(PARITY_BITS // 64)])
+    shared = materialise(posts.join(common, "gram").select(
+        "gram", F.col("key").alias("own_key"), F.col("size").alias("own_size"), F.col("at").alias("own_at"))
+        .join(odd, "own_key").select("gram", *POST), "jaccard-shared")
+    classes = materialise(classes.drop("prefix", "odd"), "jaccard-meta")
+    delete_path(spark, posted)
+    heads = shared.groupBy("gram").agg(F.min(F.struct("own_size", "own_key", *POST[2:])).alias("head")).select(
+        "gram", *[F.col(f"head.{c}").alias(c.replace("own_", "o_")) for c in POST])
+    star = materialise(_meet(shared, heads, spark.createDataFrame([], "a long, b long"), percent), "jaccard-star")
     links = _verify(docs, classes, star, n, percent)
     home = connected_components(links.toDF("u", "v"))
 
-    # n-grams whose classes are not all in one component yet: pairs across components,
-    # each with one end outside the component that holds most of the n-gram's classes
-    own = (shared.select("gram", "own_key", "own_size", "own_at")
-           .join(home.withColumnRenamed("node", "own_key"), "own_key", "left")
-           .withColumn("own_home", F.coalesce("component", "own_key")).drop("component"))
-    per_home = own.groupBy("gram", "own_home").agg(F.count(F.lit(1)).alias("n"))
-    most = (per_home.groupBy("gram").agg(F.max(F.struct("n", "own_home")).alias("m"), F.count(F.lit(1)).alias("homes"))
-            .filter("homes > 1").select("gram", F.col("m.own_home").alias("main")))
-    open_ = materialise(own.join(most, "gram"), "jaccard-open")
-    few = open_.filter("own_home != main").drop("main")
-    other = open_.toDF(*[c if c == "gram" else c.replace("own_", "o_") for c in open_.columns]).drop("main")
-    across = (few.join(other, "gram")
-              .filter((F.col("own_home") != F.col("o_home")) & _may_link("own", "o", percent))
-              .select(F.least("own_key", "o_key").alias("a"), F.greatest("own_key", "o_key").alias("b"))
-              .distinct().join(star, ["a", "b"], "left_anti"))
-    more = _verify(docs, classes, materialise(across, "jaccard-across"), n, percent)
+    # n-grams whose classes are not all in one component yet.  In crowded ones a few of the
+    # classes, by hash, meet all in other components, as long as that joins many; then
+    # every pair across components is taken, one end of which is outside the largest
+    open_, tried, before = _open(shared, home), star, None
+    crowded = open_.filter(F.col("all") >= CROWD)
+    for turn in range(MAX_TURNS):
+        rows_here, outside = crowded.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("all") - F.col("n_main")), F.lit(0))).first()
+        if outside <= OUTSIDERS * rows_here or (before is not None and outside > 0.8 * before):
+            break
+        before = outside
+        order = [F.min(F.struct(F.xxhash64("own_key", F.lit(turn), F.lit(k)).alias("order"),
+                                *[F.col(c).alias(c.replace("own_", "o_")) for c in OWN])).alias(f"l{k}")
+                 for k in range(LEADERS)]
+        leaders = (crowded.groupBy("gram").agg(*order)
+                   .select("gram", F.explode(F.array(*[f"l{k}" for k in range(LEADERS)])).alias("l"))
+                   .select("gram", *[F.col("l." + c.replace("own_", "o_")) for c in OWN]))
+        pairs = materialise(_meet(crowded.select("gram", *OWN), leaders, tried, percent,
+                                  F.col("own_home") != F.col("o_home")), "jaccard-turn")
+        links = materialise(links.unionByName(_verify(docs, classes, pairs, n, percent)), "jaccard-links")
+        home = connected_components(links.toDF("u", "v"))
+        tried = materialise(tried.unionByName(pairs), "jaccard-tried")
+        crowded = _open(crowded.select("gram", *POST), home)
+    if before is not None:
+        open_ = _open(open_.select("gram", *POST), home)
+    few = open_.filter("own_home != main").select("gram", *OWN)
+    other = open_.select("gram", *[F.col(c).alias(c.replace("own_", "o_")) for c in OWN])
+    across = materialise(_meet(few, other, tried, percent, F.col("own_home") != F.col("o_home"), True), "jaccard-across")
+    # a component's pairs that look closest go first: mostly they link, and join so much
+    # that few of the others are left to look at
+    ends = across.select(F.col("h").alias("end"), "a", "b", "apart").unionByName(
+        across.select(F.col("k").alias("end"), "a", "b", "apart"))
+    closest = Window.partitionBy("end").orderBy("apart", "a", "b")
+    nearest = ends.withColumn("nth", F.row_number().over(closest)).filter(F.col("nth") <= NEAREST).select("a", "b").distinct()
+    nearest = materialise(nearest, "jaccard-nearest")
+    links = materialise(links.unionByName(_verify(docs, classes, nearest, n, percent)), "jaccard-links")
+    home = connected_components(links.toDF("u", "v"))
+    left = across.join(nearest, ["a", "b"], "left_anti").select("a", "b")
+    for c in ("a", "b"):
+        left = (left.join(home.toDF(c, f"{c}_new"), c, "left").withColumn(f"{c}_new", F.coalesce(f"{c}_new", c)))
+    left = materialise(left.filter("a_new != b_new").select("a", "b"), "jaccard-left")
+    more = _verify(docs, classes, left, n, percent)
 
     home = connected_components(links.unionByName(more).toDF("u", "v"))
-    grouped = members.join(home.withColumnRenamed("node", "key"), "key", "left").select(
+    grouped = classes.join(home.withColumnRenamed("node", "key"), "key", "left").select(
         "key", "doc_id", "class_size", F.coalesce("component", "key").alias("home"))
     least = grouped.groupBy("home").agg(F.min("doc_id").alias("component_id"))
     named = grouped.join(least, "home").select("key", "class_size", "component_id")
-    return (signed.select("doc_id", F.col("size").alias("n_shingles"), "key").join(named, "key", "left")
+    return (rows.select("doc_id", F.col("size").alias("n_shingles"), "key").join(named, "key", "left")
             .select("doc_id", "n_shingles",
                     F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
                     F.coalesce("class_size", F.lit(1)).alias("class_size")))
