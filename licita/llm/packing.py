@@ -32,7 +32,7 @@ from ..session import materialise
 WINDOW = 2048
 END_ID = 1
 #: words whose ids a worker keeps; beyond it the older half goes
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 #: characters of text that a worker cuts into words at a time
 CHUNK_CHARS = 4_000_000
 
@@ -158,6 +158,8 @@ def cut(docs: DataFrame, vocabulary: str, window: int = WINDOW, end_id: int = EN
                 frame = pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
                 frame["doc_id"] = pd.array(frame["doc_id"], dtype="Int64")
                 yield frame
+        encode.old = {}  # a worker may go on to other work
+        pa.default_memory_pool().release_unused()
     return docs.select("doc_id", "text").mapInPandas(pieces, PIECES)
 
 

@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 TERMS = 2048
@@ -177,6 +178,9 @@ def score(docs: DataFrame, voters: Voters | None, name: str = "quality_score",
                 for i in range(0, len(batch), BLOCK):
                     out[i:i + BLOCK] = judge.score(_bags(batch["text"].iloc[i:i + BLOCK]), neighbours)
             yield batch.assign(**{name: out})
+        _term_of.clear()  # a worker may go on to other work
+        _shape_of.clear()
+        pa.default_memory_pool().release_unused()
 
     return kept.mapInPandas(run, T.StructType([*kept.schema.fields, T.StructField(name, T.DoubleType())]))
 

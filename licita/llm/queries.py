@@ -11,7 +11,12 @@ from . import chat, embed_dedup, jaccard, mixing, packing, pii, quality, secret_
 PSEUDONYM_KEY = "example key"
 
 
+#: rows that go to a Python worker at a time: texts are long, so fewer than Spark's 10,000
+ARROW_ROWS = 1000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
