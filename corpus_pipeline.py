@@ -4,8 +4,8 @@ Each stage takes all that the one before kept, written and read again, and all
 but the last return the columns of ``documents``:
 
 1. quality: documents that the classifier scores below one half go;
-2. near_duplicates: of each component of documents whose three-word shingles
-   are alike by nine tenths, the one with the least doc_id stays;
+2. near_duplicates: of each component of documents whose five-word shingles
+   are alike by four fifths, the one with the least doc_id stays;
 3. secrets: reported spans are replaced by a placeholder in the text;
 4. mixing: every document is repeated as often as its source's target asks
    (not at all, once, up to three times);
@@ -29,7 +29,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard.keep_first(docs)
+    return jaccard.keep_first(docs, n=5, percent=80)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

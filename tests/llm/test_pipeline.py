@@ -1,3 +1,5 @@
+import random
+
 import duckdb
 import pytest
 
@@ -5,6 +7,8 @@ import corpus_pipeline
 from licita.llm import jaccard, mixing, quality, secret_scan
 from licita.session import materialise
 
+from .conftest import SCHEMA, words
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -35,6 +39,47 @@ def test_stages_in_order(spark):
         at = out
 
 
+def kept_by_brute_force(texts, n=5, percent=80):
+    """The least doc_id of each component of ``texts`` (doc_id -> text); those without words all stay."""
+    sets, home = {}, {i: i for i in texts}
+    for i, text in texts.items():
+        w = (text or "").lower().split()
+        sets[i] = {tuple(w[k:k + n]) for k in range(max(1, len(w) - n + 1))} if w else set()
+
+    def root(i):
+        while home[i] != i:
+            i = home[i]
+        return i
+    for i in sorted(texts):
+        for j in sorted(texts):
+            common = len(sets[i] & sets[j]) if j < i else 0
+            if common and 100 * common >= percent * len(sets[i] | sets[j]):
+                a, b = sorted((root(i), root(j)))
+                home[b] = a
+    return {i for i in texts if home[i] == i}
+
+
+def test_near_duplicates_match_brute_force(spark):
+    """Words replaced far apart: five-word shingles alike by 0.8, three-word ones by less than 0.9."""
+    rng = random.Random(13)
+    texts = {}
+    for g in range(40):
+        text = words(rng, rng.randint(60, 300)).split()
+        texts[len(texts)] = " ".join(text)
+        for k in range(1, 6):
+            near = list(text)
+            for at in rng.sample(range(len(near)), k):
+                near[at] = f"edit{rng.random()}"
+            texts[len(texts)] = " ".join(near)
+    base = words(rng, 100).split()
+    texts[1000] = " ".join(base)
+    texts[1001] = " ".join("other" + w if i in (30, 60) else w for i, w in enumerate(base))
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in texts.items()], SCHEMA)
+    want = kept_by_brute_force(texts)
+    assert 1001 not in want and want != kept_by_brute_force(texts, 3, 90)
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()) == sorted(want)
+
+
 def test_run_and_queries(spark):
     import __spark_entry__ as entry
     assert corpus_pipeline.run(spark, SF).columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens",
