@@ -1,17 +1,21 @@
 """Sharding by balanced label propagation.
 
-Documents with equal texts are linked.  All start in the shard their hash
-names; then, in rounds of Spark joins, the documents of a group move to the
-shard where most of their neighbours are, as far as the shards' quotas allow,
-so that few links are cut.  The state is counts by (group, first shard), not
+Documents with equal texts are linked.  Groups larger than an eighth of a
+shard, of which there are less than 8 x shards, are given their shards first,
+the largest first: a group goes whole to the fullest shard that has room for
+all of it.  Only a group that fits nowhere whole, such as one larger than a
+shard, is cut, and into as few parts as the room allows: it fills the emptiest
+shards and its rest goes on as before.  The driver plans with the sizes of
+these groups; their rows are numbered in cells, so no task holds a group.
+
+The other linked documents start in the shard their hash names, of those with
+room; then, in rounds of Spark joins, the documents of a group move to the
+shard where most of their neighbours are, as far as the room left allows, so
+that few links are cut.  The state is counts by (group, first shard), not
 documents, so a round moves little.  At the end every shard holds the floor
 or the ceiling of rows / shards: documents beyond a quota, and then documents
 without links, fill what is left, by numbers.
 
-A group of more than an eighth of a shard is dealt by hash into parts of that
-size, each linked in itself: it could not stay whole under the quota anyway,
-and no task has to hold it.
-
 Defined cases: a null text counts as empty; rows with a null or repeated
 doc_id are placed one by one; an empty table gives an empty result.  Columns
 other than ``doc_id`` and ``text`` are not read.
@@ -57,8 +61,9 @@ def propagate(cells: DataFrame, quota: dict[int, int], rounds: int = ROUNDS) ->
     Returns part, first, shard.  In each round a part looks for the shard with
     room in which most of it is (ties: the lower shard) and its other cells ask
     to move there.  A shard admits all that ask, or, when its room is short,
-    the hash buckets of them that fit.  Room, demand and buckets are sums of at
-    most shards x 256 numbers on the driver.
+    the hash buckets of them that fit, those of the largest parts (by powers of
+    two) first.  Room, demand and buckets are sums of at most shards x 256
+    numbers a power on the driver.
     """
     spark = cells.sparkSession
     state = cells.withColumn("shard", F.col("first"))
@@ -70,13 +75,15 @@ def propagate(cells: DataFrame, quota: dict[int, int], rounds: int = ROUNDS) ->
                 .join(F.broadcast(with_room), "shard", "left"))
         # a part may stay where it is even if that shard is full
         best = held.groupBy("part").agg(
+            F.sum("held").alias("whole"),
             F.max(F.struct("held", (-F.col("shard")).alias("minus"), F.col("room").isNotNull().alias("open"))).alias("most"),
             F.max(F.when(F.col("room").isNotNull(), F.struct("held", (-F.col("shard")).alias("minus")))).alias("open"))
         best = (best.withColumn("goal", -F.coalesce(F.col("open.minus"), F.col("most.minus")))
-                .select("part", "goal"))
+                .select("part", "goal", F.floor(F.log2("whole")).alias("power")))
         asked = (state.join(best, "part")
                  .withColumn("asks", F.col("goal") != F.col("shard"))
-                 .withColumn("bucket", F.pmod(F.xxhash64("part", F.lit(turn)), F.lit(ADMIT_BUCKETS))))
+                 .withColumn("bucket", F.pmod(F.xxhash64("part", F.lit(turn)), F.lit(ADMIT_BUCKETS))
+                             - F.col("power") * ADMIT_BUCKETS))
         demand = (asked.filter("asks").groupBy("goal", "bucket").agg(F.sum("n").alias("n")).collect())
         if not demand:
             break
@@ -96,6 +103,22 @@ def propagate(cells: DataFrame, quota: dict[int, int], rounds: int = ROUNDS) ->
     return state.select("part", "first", "shard")
 
 
+def place(sizes: list[int], room: dict[int, int]) -> list[tuple[int, int, int, int]]:
+    """Pieces (group, from, to, shard) of groups of these sizes, largest first;
+    takes what they need from ``room``."""
+    pieces = []
+    for group, members in enumerate(sizes):
+        at = 0
+        while at < members:
+            fits = [s for s, r in room.items() if r >= members - at]
+            shard = min(fits, key=lambda s: (room[s], s)) if fits else max(room, key=lambda s: (room[s], -s))
+            taken = min(room[shard], members - at)
+            pieces.append((group, at, at + taken, shard))
+            room[shard] -= taken
+            at += taken
+    return pieces
+
+
 def assign(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
     """Per document: doc_id, size (UTF-8 bytes of the text plus 8), text_crc32,
     shard and slot (its place there, gapless from 0).
@@ -110,44 +133,57 @@ def assign(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataF
         .withColumn("row", F.monotonically_increasing_id()), "shard-rows")
     total = rows.count()
     quota = {s: total // shards + (s < total % shards) for s in range(shards)}
-    part_rows = max(2, total // (8 * shards))
     same = ["text_hash", "text_crc32", "size"]
-    groups = materialise(rows.groupBy(*same).agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-                         .withColumn("parts", F.ceil(F.col("members") / F.lit(part_rows))), "shard-groups")
-    # at most 8 x shards groups are larger than a part: their rows meet them by broadcast
-    large = F.broadcast(groups.filter("parts > 1"))
-    grouped = rows.join(large, same).unionByName(
-        rows.join(large.select(*same), same, "left_anti").join(groups.filter("parts = 1"), same))
+    columns = ["row", "doc_id", "size", "text_crc32"]
+    groups = materialise(rows.groupBy(*same).agg(F.count(F.lit(1)).alias("members")).filter("members > 1"), "shard-groups")
+    eighth = total // (8 * shards)
+    # less than 8 x shards groups: their rows meet them by broadcast
+    sizes = groups.filter(F.col("members") > eighth).orderBy(F.desc("members"), *same).collect()
+    room = dict(quota)
+    pieces = spark.createDataFrame(place([r.members for r in sizes], room), "group int, from long, to long, shard int")
+    large = F.broadcast(spark.createDataFrame(
+        [(*[r[c] for c in same], i) for i, r in enumerate(sizes)],
+        "text_hash long, text_crc32 long, size long, group int"))
+    settled = materialise(
+        numbered(rows.join(large, same), "group", sizes[0].members if sizes else 1, ["row"], "nth")
+        .join(F.broadcast(pieces), "group").filter("nth >= `from` and nth < `to`").select(*columns, "shard"),
+        "shard-settled")
+    rows = rows.join(large.select(*same), same, "left_anti")
+
+    # the first shard is drawn in proportion to the room that is left
+    drawn = F.pmod(F.xxhash64("row", F.lit(1)), F.lit(max(1, sum(room.values()))))
+    first, below = F.lit(None), sum(room.values())
+    for s, r in reversed(room.items()):
+        below -= r
+        first = F.coalesce(first, F.when(drawn >= below, F.lit(s))) if r else first
     linked = materialise(
-        grouped.withColumn("part", F.xxhash64(*same, F.pmod(F.xxhash64("row"), F.col("parts"))))
-        .select("row", "part", F.pmod(F.xxhash64("row", F.lit(1)), F.lit(shards)).cast("int").alias("first")),
-        "shard-linked")
+        rows.join(groups.filter(F.col("members") <= eighth), same)
+        .select("row", F.xxhash64(*same).alias("part"), first.cast("int").alias("first")), "shard-linked")
     cells = linked.groupBy("part", "first").agg(F.count(F.lit(1)).alias("n"))
-    home = propagate(cells, quota, rounds)
+    home = propagate(cells, room, rounds)
     placed = linked.join(home, ["part", "first"]).select("row", F.col("shard").alias("wish"))
-    rows = rows.select("row", "doc_id", "size", "text_crc32").join(placed, "row", "left")
+    rows = rows.select(*columns).join(placed, "row", "left")
 
-    # linked documents keep their shard up to its quota; the others fill the rest
+    # linked documents keep their shard up to its room; the others fill the rest
     wished = numbered(rows.filter("wish is not null"), "wish", total // shards, ["row"], "nth")
-    quotas = spark.createDataFrame(list(quota.items()), "wish int, quota long")
-    wished = materialise(wished.join(F.broadcast(quotas), "wish")
-                         .withColumn("shard", F.when(F.col("nth") < F.col("quota"), F.col("wish"))),
+    rooms = spark.createDataFrame(list(room.items()), "wish int, room long")
+    wished = materialise(wished.join(F.broadcast(rooms), "wish")
+                         .withColumn("shard", F.when(F.col("nth") < F.col("room"), F.col("wish"))),
                          "shard-wished")
     kept = {r.shard: r.n for r in wished.filter("shard is not null").groupBy("shard")
             .agg(F.count(F.lit(1)).alias("n")).collect()}
     spans, at = [], 0
-    for s, q in quota.items():
-        free = q - kept.get(s, 0)
+    for s, r in room.items():
+        free = r - kept.get(s, 0)
         spans.append((at, at + free, s))
         at += free
     spans = spark.createDataFrame(spans, "from long, to long, fill int").withColumn("pool", F.lit(0))
-    columns = ["row", "doc_id", "size", "text_crc32"]
     pool = (rows.filter("wish is null").select(*columns)
             .unionByName(wished.filter("shard is null").select(*columns)).withColumn("pool", F.lit(0)))
     filled = (numbered(pool, "pool", total, ["row"], "nth")
               .join(F.broadcast(spans), "pool")
               .filter("nth >= `from` and nth < `to`")
               .select(*columns, F.col("fill").alias("shard")))
-    done = wished.filter("shard is not null").select(*columns, "shard").unionByName(filled)
+    done = settled.unionByName(wished.filter("shard is not null").select(*columns, "shard")).unionByName(filled)
     return (numbered(done, "shard", max(1, total // shards), ["row"], "slot")
             .select("doc_id", "size", "text_crc32", "shard", "slot"))

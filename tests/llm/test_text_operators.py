@@ -408,3 +408,21 @@ def test_shards_when_all_are_linked(spark):
     got = sharding.assign(spark.createDataFrame(rows, "doc_id long, text string"), shards=24).collect()
     count = Counter(r.shard for r in got)
     assert len(got) == 1000 and max(count.values()) - min(count.values()) <= 1
+
+
+@pytest.mark.parametrize("total, members, groups, shards_each", [
+    (200, 3, 12, 1),       # a shard holds 8
+    (2400, 50, 10, 1),     # half of a shard
+    (2400, 100, 8, 1),     # all of a shard
+    (2400, 250, 4, 3),     # two shards and a half
+])
+def test_groups_are_cut_as_little_as_their_size_asks(spark, total, members, groups, shards_each):
+    texts = [f"copy {i % groups}" if i < groups * members else f"single {i}" for i in range(total)]
+    random.Random(6).shuffle(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = sharding.assign(docs, shards=24).collect()
+    count, homes = Counter(r.shard for r in got), {}
+    for r in got:
+        homes.setdefault(texts[r.doc_id], set()).add(r.shard)
+    assert sorted(r.doc_id for r in got) == list(range(total)) and max(count.values()) - min(count.values()) <= 1
+    assert [len(homes[f"copy {g}"]) for g in range(groups)] == [shards_each] * groups
