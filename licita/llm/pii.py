@@ -16,7 +16,13 @@ digit is computed anew.
 
 The key is an argument: without it pseudonyms cannot be linked to the values.
 One pattern of alternatives is matched from left to right; what fails its
-check stays as it is.  Everything happens within a row: nothing is shuffled.
+check stays as it is.  Groups of digits joined by single blanks or hyphens are
+matched as a run, up to the next value of another form, and gone through group
+by group: at each the usual forms of a card are tried, then, at the start of the
+run or behind a value, the whole rest of it if joined alike, then a telephone
+number, then, again only there, the first 19 to 13 digits however joined.  So a
+value is found next to others, and a group that begins none is passed alone.
+Everything happens within a row: nothing is shuffled.
 
 Defined cases: a null text stays null and has no counts; an empty one stays as
 it is; repeated rows get equal results; an empty table gives an empty result.
@@ -43,9 +49,21 @@ FORMS = {
     "date": r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
-    "phone": r"(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|(?<![0-9])[0-9]{3}[ .-])[0-9]{3}[ .-]?[0-9]{4}(?![0-9])",
 }
+PHONE = (r"(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|(?<![0-9])[0-9]{3}[ .-])[0-9]{3}[ .-]?[0-9]{4}(?![0-9])")
+#: what ends a run: a value of another form, an email whose first part goes on behind the
+#: group with other than digits, a telephone number with points
+OTHER = "|".join([r"[0-9]+(?!-?[0-9])[A-Za-z0-9._%+-]*@[A-Za-z0-9]", FORMS["date"], FORMS["ip"], FORMS["ssn"],
+                  r"[0-9]{3}(?:\.[0-9]{3}[ .-]?|[ -][0-9]{3}\.)[0-9]{4}(?![0-9])"])
+GROUP = rf"(?!{OTHER})[0-9]{{1,19}}+(?![0-9])"
+FORMS["card"] = rf"(?<![0-9])(?=[0-9](?:[ -]?[0-9]){{12}}){GROUP}(?:[ -]{GROUP})*+"
+FORMS["phone"] = PHONE
+#: within a run: 19 digits joined singly and the character behind them
+RUN_WINDOW = 38
+CARDS = [r"^[0-9]{13,19}(?![0-9])", r"^[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![0-9])",
+         r"^[0-9]{4}([ -])[0-9]{6}\1[0-9]{5}(?![0-9])"]
+JOINED_ALIKE = r"^(?=[0-9](?:[ -]?[0-9]){12,18}$)[0-9]+([ -])[0-9]+(?:\1[0-9]+)*$"
+ANY_CARDS = [rf"^[0-9](?:[ -]?[0-9]){{{n - 1}}}(?![0-9])" for n in range(19, 12, -1)]
 ANY = "|".join(FORMS.values())
 #: what any of them has
 GATE = "[0-9]{2}|@"
@@ -117,19 +135,56 @@ def _body(digits: Column) -> Column:
 
 
 def kind_of(value: Column) -> Column:
-    """The kind whose form and check a match of ANY passes, or null."""
+    """The kind whose form and check a match of ANY that is no run passes, or null."""
     whole = lambda kind: value.rlike(f"^(?:{FORMS[kind]})$")
-    digits = F.regexp_replace(value, "[^0-9]", "")
     octets = F.forall(F.split(value, "[.]"), lambda x: x.cast("int") <= 255)
     day = F.try_to_date(value, "yyyy-MM-dd")
     return (F.when(value.contains("@"), "email")
             .when(whole("date"), F.when((day >= F.lit(FIRST_DAY)) & (day < F.date_add(F.lit(FIRST_DAY).cast("date"), DAYS)), "date"))
             .when(whole("ip"), F.when(octets, "ip"))
             .when(whole("ssn"), "ssn")
-            .when(whole("card"), let(digits, lambda d: F.when(check_digit(_body(d)) == F.right(d, F.lit(1)), "card")))
             .otherwise("phone"))
 
 
+def is_run(value: Column) -> Column:
+    """Whether a match of ANY is a run of digit groups."""
+    return (value.rlike("^[0-9]++(?:[ -][0-9]++)*+$") & ~value.rlike(f"^(?:{FORMS['date']}|{FORMS['ssn']})$"))
+
+
+def scrub_run(run: Column, key: str) -> Column:
+    """(text, card, phone): a run with its values replaced, and how many."""
+    digits = lambda v: F.regexp_replace(v, "[^0-9]", "")
+    passes = lambda v: (v != "") & let(digits(v), lambda d: check_digit(_body(d)) == F.right(d, F.lit(1)))
+    tried = lambda w, forms: F.get(F.filter(F.array(*[F.regexp_extract(w, f, 0) for f in forms]), passes), F.lit(0))
+
+    def step(s: Column, _: Column) -> Column:
+        def taken(w: Column) -> Column:
+            phone = F.regexp_extract(w, f"^{PHONE}", 0)
+            return F.coalesce(
+                tried(w, CARDS), F.when(s["fresh"], tried(w, [JOINED_ALIKE])), F.when(phone != "", phone),
+                F.when(s["fresh"], tried(w, ANY_CARDS)), F.regexp_extract(w, "^[0-9]+", 0))
+
+        def replaced(v: Column) -> Column:
+            phone = v.rlike(f"^{PHONE}$")
+            card = ~phone & (F.length(v) >= 13)
+            # 13 to 19 digits are a card only if they pass
+            card = card & (F.length(digits(v)) >= 13) & passes(v)
+            return F.struct(
+                F.substring(s["rest"], F.length(v) + 2, F.length(s["rest"])).alias("rest"),
+                F.concat(s["text"], F.when(card, pseudonym(v, F.lit("card"), key)).when(phone, pseudonym(v, F.lit("phone"), key))
+                         .otherwise(v), F.substring(s["rest"], F.length(v) + 1, F.lit(1))).alias("text"),
+                (card | phone).alias("fresh"),
+                (s["card"] + card.cast("int")).alias("card"), (s["phone"] + phone.cast("int")).alias("phone"))
+
+        return F.when(s["rest"] == "", s).otherwise(let(let(F.left(s["rest"], F.lit(RUN_WINDOW)), taken), replaced))
+
+    start = F.struct(run.alias("rest"), F.lit("").alias("text"), F.lit(True).alias("fresh"), F.lit(0).alias("card"),
+                     F.lit(0).alias("phone"))
+    groups = F.size(F.split(run, "[ -]", -1))
+    return F.aggregate(F.sequence(F.lit(1), groups), start, step,
+                       lambda s: F.struct(s["text"].alias("text"), s["card"].alias("card"), s["phone"].alias("phone")))
+
+
 def pseudonym(value: Column, kind: Column, key: str) -> Column:
     """Another value of the kind's format; equal for equal values and keys."""
     digits = F.regexp_replace(value, "[^0-9]", "")
@@ -152,8 +207,14 @@ def scrub(docs: DataFrame, key: str, counts: bool = False) -> DataFrame:
     """``docs`` with every validated value replaced; with ``counts`` also
     ``n_<kind>`` columns (long; null for a null text)."""
     text = docs["text"]
-    found = F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), lambda v: let(kind_of(v), lambda k: F.struct(
-        k.alias("kind"), F.when(k.isNull(), v).otherwise(pseudonym(v, k, key)).alias("text"))))
+    none = F.lit(None).cast("string")
+    one_value = lambda v: let(kind_of(v), lambda k: F.struct(
+        k.alias("kind"), F.when(k.isNull(), v).otherwise(pseudonym(v, k, key)).alias("text"),
+        F.lit(0).alias("card"), F.lit(0).alias("phone")))
+    run = lambda v: let(scrub_run(v, key), lambda r: F.struct(
+        none.alias("kind"), r["text"].alias("text"), r["card"].alias("card"), r["phone"].alias("phone")))
+    found = F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)),
+                        lambda v: F.when(is_run(v), run(v)).otherwise(one_value(v)))
     # the explode of one element keeps the matches from being found again for every column
     row = F.explode(F.array(F.struct(F.when(text.rlike(GATE), found).alias("found"),
                                      F.when(text.rlike(GATE), F.split(text, ANY, -1)).alias("gaps"))))
@@ -167,5 +228,6 @@ def scrub(docs: DataFrame, key: str, counts: bool = False) -> DataFrame:
            if c == "n_chars" and c not in rest else F.col(c) for c in docs.columns]
     if counts:
         n = lambda k: F.size(F.filter(F.coalesce(hits, F.array()), lambda h: h["kind"] == k))
-        out += [F.when(F.col("text").isNotNull(), n(k)).cast("long").alias(f"n_{k}") for k in KINDS]
+        in_runs = lambda k: F.aggregate(F.coalesce(hits, F.array()), F.lit(0), lambda a, h: a + h[k])
+        out += [F.when(F.col("text").isNotNull(), n(k) + in_runs(k) if k in ("card", "phone") else n(k)).cast("long").alias(f"n_{k}") for k in KINDS]
     return one.select(*out)

@@ -284,6 +284,48 @@ def test_pseudonyms(spark):
     assert {r.doc_id: r.text for r in again.collect()}[0] != got[0].text
 
 
+#: texts and the values in them, by kind; all else stays
+ADJACENT = [
+    ("pay 4111111111111111 123 now", ["card"], ["4111111111111111"]),
+    ("4111 1111 1111 1111 12/27", ["card"], ["4111 1111 1111 1111"]),
+    ("4111111111111111 10.0.255.3", ["card", "ip"], ["4111111111111111", "10.0.255.3"]),
+    ("555-123-4567 123-45-6789", ["phone", "ssn"], ["555-123-4567", "123-45-6789"]),
+    ("555-123-4567 555-987-6543", ["phone", "phone"], ["555-123-4567", "555-987-6543"]),
+    ("555 123 4567 555 987 6543 555 111 2222", ["phone"] * 3, ["555 123 4567", "555 987 6543", "555 111 2222"]),
+    ("4111111111111111 5500005555555559", ["card", "card"], ["4111111111111111", "5500005555555559"]),
+    ("1234 4111 1111 1111 1111 1234 5500 0055 5555 5559", ["card", "card"], ["4111 1111 1111 1111", "5500 0055 5555 5559"]),
+    ("378282246310005 3782-822463-10005 12-27", ["card", "card"], ["378282246310005", "3782-822463-10005"]),
+    ("4111 11 1111 111111 12/27", ["card"], ["4111 11 1111 111111"]),
+    ("411 111 1111 111111", ["card"], ["411 111 1111 111111"]),
+    ("411 111 111 111 1111", ["card"], ["411 111 111 111 1111"]),
+    ("4111111111111111 1984-02-29 555.123.4567", ["card", "date", "phone"], ["4111111111111111", "1984-02-29", "555.123.4567"]),
+    ("4111111111111111 12a@x.org 7", ["card", "email"], ["4111111111111111", "12a@x.org"]),
+    ("4111111111111111 (205) 555-7713 +1 205 555 7713", ["card", "phone", "phone"],
+     ["4111111111111111", "(205) 555-7713", "+1 205 555 7713"]),
+    ("1234567890123456 4111111111111111", ["card"], ["4111111111111111"]),
+    ("12345678901234567890123 4111-1111-1111-1111", ["card"], ["4111-1111-1111-1111"]),
+    ("4111 1111 1111 1111-5@x.org", ["card", "email"], ["4111 1111 1111 1111", "-5@x.org"]),
+    ("1111 2222 3333 4445 5556-6666", [], []),
+    (" ".join(["77"] * 4000) + " 4111111111111111", ["card"], ["4111111111111111"]),
+]
+
+
+def test_adjacent_values_are_all_found(spark):
+    docs = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(ADJACENT)], "doc_id long, text string")
+    for r in pii.scrub(docs, "k", counts=True).collect():
+        text, kinds, values = ADJACENT[r.doc_id]
+        assert {k: r[f"n_{k}"] for k in pii.KINDS} == {k: kinds.count(k) for k in pii.KINDS}, text[-60:]
+        shape, at = "", 0
+        for v, k in zip(values, kinds):
+            start = text.index(v, at)
+            shape += re.escape(text[at:start]) + ("(.+)" if k in ("email", "ip") else "(" + re.sub("[0-9]", "[0-9]", re.escape(v)) + ")")
+            at = start + len(v)
+        found = re.fullmatch(shape + re.escape(text[at:]), r.text)
+        assert found, (text[-60:], r.text[-60:])
+        for v, k, new in zip(values, kinds, found.groups()):
+            assert new != v and (k != "card" or luhn(re.sub("[^0-9]", "", new)))
+
+
 # --- Jaccard
 
 def shingles(text, n=3):
