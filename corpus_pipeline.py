@@ -11,8 +11,9 @@ but the last return the columns of ``documents``:
    (not at all, once, up to three times);
 5. packing: pieces of at most 2,048 tokens with their sequence and offset.
 
-SQL cannot express the classifier, so there is no ORACLE_SQL; the stages are
-tested against brute force on small tables.
+SQL cannot express the classifier, so there is no ORACLE_SQL.  Near duplicates,
+strong secrets, mixing and packing are tested against plain Python and SQL on a
+small table; quality only against its own operator.
 """
 
 from __future__ import annotations

@@ -1,6 +1,9 @@
 import random
+import zlib
+from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -43,7 +46,7 @@ def kept_by_brute_force(texts, n=5, percent=80):
     """The least doc_id of each component of ``texts`` (doc_id -> text); those without words all stay."""
     sets, home = {}, {i: i for i in texts}
     for i, text in texts.items():
-        w = (text or "").lower().split()
+        w = (text or "").encode().lower().split()
         sets[i] = {tuple(w[k:k + n]) for k in range(max(1, len(w) - n + 1))} if w else set()
 
     def root(i):
@@ -80,6 +83,45 @@ def test_near_duplicates_match_brute_force(spark):
     assert sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()) == sorted(want)
 
 
+def test_stages_match_plain_python_on_the_small_table(spark):
+    """Near duplicates, strong secrets, mixing and packing, each on all documents."""
+    from tokenizers import Tokenizer
+
+    from .test_text_operators import base_spans
+
+    from licita.llm.oracle_sql import ORACLES
+    from licita.llm.queries import vocabulary
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()
+    assert sorted(r.doc_id for r in kept) == sorted(kept_by_brute_force(texts))
+
+    redacted = {r.doc_id: r.text or "" for r in corpus_pipeline.redact_secrets(spark, docs, SF).collect()}
+    assert set(redacted) == set(texts) and not any(base_spans(t) for t in redacted.values())
+    assert all("[SECRET]" in redacted[i] for i, t in texts.items() if base_spans(t))
+
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{SF}/documents.parquet'")
+    plan = con.execute(f"select doc_id, size, taken from ({ORACLES['op8_mixing']})").fetchall()
+    copies = Counter({i: taken // size for i, size, taken in plan if size})
+    mixed = Counter(r.doc_id for r in corpus_pipeline.mix_sources(spark, docs, SF).collect())
+    assert {i: mixed[i] for i in copies} == dict(copies)
+
+    tokenizer, want = Tokenizer.from_file(vocabulary()), Counter()
+    for i, text in texts.items():
+        ids = tokenizer.encode(text, add_special_tokens=False).ids + [1]
+        for at in range(0, len(ids), 2048):
+            piece = np.array(ids[at:at + 2048], dtype="<u4")
+            want[i, at, len(piece), zlib.crc32(piece.tobytes()), len(ids)] += 1
+    packed = corpus_pipeline.pack(spark, docs, SF).collect()
+    assert Counter((r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens) for r in packed) == want
+    ends = Counter()
+    for r in sorted(packed, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == ends[r.sequence_id]
+        ends[r.sequence_id] += r.length
+    assert max(ends.values()) <= 2048
+
+
 def test_run_and_queries(spark):
     import __spark_entry__ as entry
     assert corpus_pipeline.run(spark, SF).columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens",
