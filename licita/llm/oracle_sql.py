@@ -80,4 +80,92 @@ select d.doc_id, count(*) filter (kind = 0) as n_assign, count(*) filter (kind =
 from d left join shown using (rid) group by d.rid, d.doc_id
 """
 
-ORACLES = {"op5_secrets": SECRETS, "op8_mixing": MIXING}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+SEARCH = rf"""
+with terms as (
+  select row_number() over () as rid, doc_id,
+         regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as ts
+  from documents where text is not null),
+d as (select rid, doc_id, len(ts)::bigint as n, ts from terms where len(ts) > 0),
+whole as (select count(*)::bigint as nd, sum(n)::bigint as l from d),
+tf as (select rid, t, count(*)::bigint as tf from (select rid, unnest(ts) as t from d) group by rid, t),
+item as (
+  select distinct i, item_id, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as t
+  from (select row_number() over () as i, item_id, text from (select distinct item_id, text from benchmark))),
+w as (
+  select t, floor(1000 * ln((2 * nd + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+  from tf, whole where t in (select t from item) group by t, nd),
+m as (select rid, doc_id, (100 - 50 + (50 * n * nd) // l)::bigint as m from d, whole),
+s as (
+  select i, item_id, rid, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::bigint as score
+  from item join tf using (t) join w using (t) join m using (rid) group by i, item_id, rid),
+r as (
+  select item_id, row_number() over (partition by i order by score desc, doc_id nulls last) as rank, doc_id, score
+  from s join m using (rid) where score > 0)
+select item_id, rank::int as rank, doc_id, score from r where rank <= 50
+"""
+
+_CANONICAL = r"""
+  regexp_replace(regexp_replace(regexp_replace(host, '^.*@', ''), ':(?:80|443)$', ''), '^(?:www|m)\.', '')
+  || regexp_replace(regexp_replace(path, '/index\.html?$', ''), '/+$', '')
+  || case when len(kept) > 0 then '?' || array_to_string(kept, '&') else '' end"""
+
+URLS = rf"""
+with split as (
+  select page_id, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '{_UPPER}', '{_LOWER}'), '') as host,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') as path,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*[^?#]*\?([^#]*)', 1), '') as query
+  from pages),
+kept as (
+  select *, list_sort(list_filter(string_split(query, '&'),
+            lambda p: p != '' and not regexp_matches(p, '^(?:utm_[a-z]+|ref|gclid|fbclid)(?:=|$)'))) as kept from split),
+named as (select page_id, host, path, {_CANONICAL} as canonical from kept),
+list as (
+  select distinct canonical from named
+  where host != '' and regexp_matches(host, '(?:^|\.)(?:ads-track|adult-x|casino-win|cheap-pills|free-bets|spam-farm)\.')),
+rules(verdict, h, p) as (values ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'),
+                                ('allow', 'org', '/fr/')),
+ruled as (
+  select n.*, (select max_by(h || p, length(h || p)) from rules
+               where (n.host = h or n.host like '%.' || h) and starts_with(n.path, p)) as rule from named n)
+select page_id, host, path, rule,
+       coalesce((select verdict from rules where h || p = rule),
+                case when canonical in (select canonical from list) then 'block' else 'allow' end) as verdict,
+       rule is null and host != '' and canonical in (select canonical from list) as listed
+from ruled
+"""
+
+PHRASES = rf"""
+with piece as (
+  select coalesce(lang, 'und') as lang,
+         unnest(string_split_regex(translate(text, '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents where text is not null),
+w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as ws from piece),
+total as (select lang, sum(len(ws))::bigint as n from w group by lang),
+gram as (
+  select lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) as phrase
+  from w, range(1, 6) as t(k) where len(ws) >= k),
+f as (select lang, k, phrase, count(*)::bigint as a from gram group by lang, k, phrase having count(*) >= 100),
+cand as (
+  select * from f c where k > 1 and not exists (
+    select 1 from f q where q.lang = c.lang and q.k > c.k and q.a >= c.a
+    and contains(' ' || q.phrase || ' ', ' ' || c.phrase || ' '))),
+cut as (
+  select lang, phrase, a, string_split(phrase, ' ') as ws, unnest(range(1, k)) as cut from cand),
+scored as (
+  select c.lang, c.phrase, c.a, cut, l.a as l, r.a as r, n,
+         ((1000::hugeint * c.a * n) // (l.a::hugeint * r.a))::bigint as score
+  from cut c join total using (lang)
+  join f l on l.lang = c.lang and l.phrase = array_to_string(ws[1:cut], ' ')
+  join f r on r.lang = c.lang and r.phrase = array_to_string(ws[cut + 1:], ' ')),
+low as (
+  select *, row_number() over (partition by lang, phrase order by score, cut) as nth from scored),
+ranked as (
+  select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score
+  from low where nth = 1)
+select * from ranked where rank <= 2000
+"""
+
+ORACLES = {"op5_secrets": SECRETS, "op8_mixing": MIXING, "op11_search": SEARCH, "op12_urls": URLS, "op13_phrases": PHRASES}

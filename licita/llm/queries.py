@@ -5,11 +5,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, embed_dedup, jaccard, mixing, packing, pii, quality, secret_scan, sharding, simhash
+from . import (chat, embed_dedup, jaccard, lexical_search, mixing, packing, phrases, pii, quality, secret_scan, sharding,
+               simhash, url_filter)
 
 
 PSEUDONYM_KEY = "example key"
 
+#: fixed values of the contract: rules on URLs
+URL_RULES = [url_filter.Rule("block", "net", "/"), url_filter.Rule("allow", "example.net", "/en/"),
+             url_filter.Rule("block", "example.com", "/de/"), url_filter.Rule("allow", "org", "/fr/")]
+#: hosts (or any of their labels) whose pages make up the list of unwanted URLs
+UNWANTED_SITES = r"(?:^|\.)(?:ads-track|adult-x|casino-win|cheap-pills|free-bets|spam-farm)\."
+
 
 #: rows that go to a Python worker at a time: texts are long, so fewer than Spark's 10,000
 ARROW_ROWS = 1000
@@ -83,5 +90,22 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.link(table(spark, sf_dir, "conversations"))
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list is made of the table's own pages on unwanted sites, as a feed of
+    reported URLs would be: it grows with the table and holds URLs, not sites."""
+    pages = table(spark, sf_dir, "pages")
+    listed = pages.select("url").filter(url_filter.host_of(F.col("url")).rlike(UNWANTED_SITES))
+    return url_filter.judge(pages, listed, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "listed")
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_quality, op2_embed_dedup, op3_packing, op4_fingerprints, op5_secrets,
-                                     op6_pii, op7_jaccard, op8_mixing, op9_sharding, op10_chat)}
+                                     op6_pii, op7_jaccard, op8_mixing, op9_sharding, op10_chat, op11_search,
+                                     op12_urls, op13_phrases)}
