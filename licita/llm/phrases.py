@@ -4,7 +4,7 @@ Phrases of one to MAX_WORDS words are counted per language, exactly, by
 cyclic scans of the corpus in which all lengths are counted at once:
 
 1. one pass over the texts lower-cases A-Z, cuts pieces and words, and writes
-   them as rows of word numbers with their own small vocabulary, dealt into
+   them as packed rows of word numbers with their own small vocabulary, dealt into
    ``shards``;
 2. each step scans one shard, in turn and over again.  A word is active from the
    first step.  A longer phrase becomes active with the step after both its
@@ -12,7 +12,8 @@ cyclic scans of the corpus in which all lengths are counted at once:
    least count in what has been scanned so far, is counted for one full cycle of the
    shards, and is then complete;
 3. after each step the counts are added up; complete phrases below the least
-   count are forgotten.  The scans end when a full cycle has activated nothing.
+   count are forgotten.  The scans end when a full cycle has activated nothing;
+4. until then a phrase is 128 bits of hash; a last scan spells those that were found.
 
 Which phrases have reached the count, and when, is told to the tasks by a table
 of bytes indexed by the phrase's hash (the first step at which a phrase of this
@@ -34,7 +35,6 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -57,8 +57,10 @@ _PIECE_ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 _TABLE = bytes.maketrans(_PIECE_ENDS + b"\t", b"\n" * len(_PIECE_ENDS) + b" ")
 _MIX, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
-CHUNKS = "lang string, shard int, n long, words array<string>, ids array<int>"
-COUNTS = "lang string, phrase string, size int, start int, n long"
+CHUNKS = "lang string, shard int, n long, words binary, hashes binary, ids binary"
+#: a phrase goes by 128 bits of hash over its language and words (k1, k2)
+COUNTS = "k1 long, k2 long, size int, start int, n long"
+TEXTS = "k1 long, k2 long, lang string, phrase string"
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -67,136 +69,181 @@ def words_of(text: str | None) -> list[bytes]:
     return [w for w in flat.replace(b"\n", b" \n ").split(b" ") if w]
 
 
+class _Numbers:
+    """Words of one language by number, and the texts so far in numbers."""
+
+    def __init__(self) -> None:
+        self.number: defaultdict = defaultdict()
+        self.number.default_factory = self.number.__len__
+        self.number[b"\n"]  # 0 ends a piece
+        self.texts: list[np.ndarray] = []
+        self.size = 0
+
+    def add(self, words: list[bytes]) -> None:
+        words.append(b"\n")
+        self.texts.append(np.fromiter(map(self.number.__getitem__, words), np.int32, len(words)))
+        self.size += len(words)
+
+    def row(self, lang: str, shard: int) -> pa.RecordBatch:
+        ids, words = np.concatenate(self.texts), list(self.number)
+        return pa.RecordBatch.from_pydict({
+            "lang": [lang], "shard": pa.array([shard], pa.int32()), "n": [int((ids != 0).sum())],
+            "words": pa.array([b" ".join(words)], pa.binary()),
+            "hashes": pa.array([_hashes(lang, words).tobytes()], pa.binary()), "ids": pa.array([ids.tobytes()], pa.binary())})
+
+
 def encode(docs: DataFrame, shards: int, chunk_words: int = CHUNK_WORDS) -> DataFrame:
-    """Rows of word numbers: lang, shard, n (words), words (by number; 0 ends a
-    piece) and ids."""
+    """Rows of word numbers: lang, shard, n (words), words (by number), hashes
+    (128 bits each) and ids, the last three packed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         turn = TaskContext.get().partitionId()
-        held: dict[str, list] = defaultdict(list)
-        size, schema = 0, None
-
-        def rows() -> Iterator[pa.RecordBatch]:
-            nonlocal turn
-            for lang, docs_words in held.items():
-                numbers: defaultdict = defaultdict()
-                numbers.default_factory = numbers.__len__
-                numbers[b"\n"]
-                ids = np.concatenate([np.fromiter(map(numbers.__getitem__, w), np.int32, len(w)) for w in docs_words])
-                turn += 1
-                yield pa.RecordBatch.from_pydict({
-                    "lang": [lang], "shard": pa.array([turn % shards], pa.int32()), "n": [int((ids != 0).sum())],
-                    "words": pa.array([[w.decode() for w in numbers]], pa.list_(pa.string())),
-                    "ids": pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), pa.array(ids))})
-            held.clear()
-
+        held: dict[str, _Numbers] = defaultdict(_Numbers)
+        size = 0
         for batch in batches:
-            for lang, text in zip(batch.column("lang"), batch.column("text")):
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
                 words = words_of(text.as_py())
-                if words:
-                    held[lang.as_py()].append([*words, b"\n"])
-                    size += len(words)
-                if size >= chunk_words:
-                    yield from rows()
-                    size = 0
-        yield from rows()
+                if not words:
+                    continue
+                held[lang].add(words)
+                size += len(words)
+                # of many languages, all are written out before they fill the worker
+                for full in [lang] if held[lang].size >= chunk_words else [*held] if size >= 4 * chunk_words else []:
+                    turn += 1
+                    size -= held[full].size
+                    yield held.pop(full).row(full, turn % shards)
+        for lang, numbers in held.items():
+            turn += 1
+            yield numbers.row(lang, turn % shards)
         pa.default_memory_pool().release_unused()
 
     return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text").mapInArrow(run, CHUNKS)
 
 
-def _hashes(lang: str, words) -> np.ndarray:
+def _hashes(lang: str, words: list[bytes]) -> np.ndarray:
+    """Two columns of 64 bits."""
     import xxhash
     seed = xxhash.xxh3_64_intdigest(lang.encode()) & 0xFFFFFFFF
-    return np.fromiter((xxhash.xxh3_64_intdigest(w, seed=seed) for w in words), np.uint64, len(words))
+    both = b"".join(xxhash.xxh3_128_digest(w, seed=seed) for w in words)
+    return np.frombuffer(both, dtype="<u8").reshape(-1, 2)
 
 
 def _longer(first: np.ndarray, last: np.ndarray) -> np.ndarray:
     """Hash of a phrase from that of its words but the last and that of the last."""
-    out = (first ^ last) * _MIX
-    out ^= out >> np.uint64(29)
-    return out * _MIX2
+    out = first * _MIX
+    out ^= out >> np.uint64(32)  # before the last word comes in: order counts
+    out = (out + last) * _MIX2
+    return out ^ (out >> np.uint64(29))
 
 
 def _cells(hashes: np.ndarray, cells: int) -> np.ndarray:
     return ((hashes ^ (hashes >> np.uint64(31))) & np.uint64(cells - 1)).astype(np.int64)
 
 
+def cell_of(k1: Column, cells: int) -> Column:
+    """The same in Spark."""
+    return k1.bitwiseXOR(F.call_function("shiftrightunsigned", k1, F.lit(31))).bitwiseAND(F.lit(cells - 1))
+
+
 def _distinct(ids: np.ndarray, at: np.ndarray, size: int, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """A place of each different phrase of this size that starts at ``at``, and their counts."""
+    """For each different phrase of this size that starts at ``at``: which of
+    ``at`` is one of its places, and their number."""
     key, most = ids[at].astype(np.int64), words
     for i in range(1, size):
         if most > (1 << 62) // words:  # number the phrases so far anew
             _, key = np.unique(key, return_inverse=True)
             most = len(at)
         key, most = key * words + ids[at + i], most * words
-    _, first, counts = np.unique(key, return_index=True, return_counts=True)
-    return at[first], counts
+    order = np.argsort(key)
+    key = key[order]
+    starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    return order[starts], np.diff(np.append(starts, len(key)))
 
 
-def active_phrases(ids: np.ndarray, hashes: np.ndarray, since: np.ndarray, step: int, shards: int,
-                   max_words: int = MAX_WORDS):
-    """(size, places of different phrases, counts, first step) of the phrases
-    that are active at this step.  ``hashes`` are the words', by number."""
-    if step <= shards:
-        counts = np.bincount(ids, minlength=len(hashes))
-        counts[0] = 0
-        where = np.zeros(len(hashes), dtype=np.int64)
-        where[ids[::-1]] = np.arange(len(ids))[::-1]
-        some = np.flatnonzero(counts)
-        yield 1, where[some], counts[some], np.ones(len(some), dtype=np.int64)
+def walk(ids: np.ndarray, hashes: np.ndarray, since: np.ndarray, max_words: int = MAX_WORDS):
+    """For each size: (size, places of the phrases all whose parts are known, their
+    first hash, the step at which the parts were known, and the one at which the phrase
+    itself was).  ``hashes`` are the words', by number."""
     known = since[_cells(hashes, len(since))]
     known[0] = NEVER  # no phrase crosses the end of a piece
-    at, hashed, reached = np.arange(len(ids)), hashes[ids], known[ids]
+    at = np.flatnonzero(ids)
+    hashed, reached, later = hashes[ids[at]], known[ids[at]], np.zeros(len(at), dtype=np.uint8)
+    yield 1, at, hashed, later, reached
     for size in range(2, max_words + 1):
-        # a phrase here: one starts at this place and one at the next, both known
-        next_to = np.flatnonzero((at[1:] - at[:-1] == 1) & (reached[1:] != NEVER) & (reached[:-1] != NEVER))
-        if not len(next_to):
+        # one part starts at this place and one at the next
+        both = (at[1:] - at[:-1] == 1) & (reached[1:] != NEVER) & (reached[:-1] != NEVER)
+        here = np.flatnonzero(both)
+        if not len(here):
             return
-        later = np.maximum(reached[next_to], reached[next_to + 1])
-        at, hashed = at[next_to], _longer(hashed[next_to], hashes[ids[at[next_to] + size - 1]])
-        now = np.flatnonzero((later < step) & (step <= later.astype(np.int64) + shards))
-        if len(now):
-            places, counts = _distinct(ids, at[now], size, len(hashes))
-            starts = later[np.searchsorted(at, places)].astype(np.int64) + 1
-            yield size, places, counts, starts
-        # known from the step at which it and all its parts were
+        later = np.maximum(reached[here], reached[here + 1])
+        at, hashed = at[here], _longer(hashed[here], hashes[ids[at[here] + size - 1]])
         own = since[_cells(hashed, len(since))]
-        reached = np.where(own == NEVER, NEVER, np.maximum(own, later)).astype(np.uint8)
+        reached = np.where(own == NEVER, own, np.maximum(own, later))
+        yield size, at, hashed, later, reached
+
+
+def active_phrases(ids: np.ndarray, hashes: np.ndarray, since: np.ndarray, step: int, shards: int,
+                   max_words: int = MAX_WORDS):
+    """(size, places of different phrases, their first hash, counts, first step) of
+    the phrases that are active at this step: the ``shards`` after the one at which
+    their parts were known."""
+    for size, at, hashed, later, _ in walk(ids, hashes, since, max_words):
+        now = np.flatnonzero((later < step) & (later >= max(step - shards, 0)))
+        if len(now):
+            some, counts = _distinct(ids, at[now], size, len(hashes))
+            some = now[some]
+            yield size, at[some], hashed[some], counts, later[some].astype(np.int64) + 1
+
+
+def known_phrases(ids: np.ndarray, hashes: np.ndarray, since: np.ndarray, max_words: int = MAX_WORDS):
+    """(size, places of different phrases, their first hash) of the phrases known."""
+    for size, at, hashed, _, reached in walk(ids, hashes, since, max_words):
+        now = np.flatnonzero(reached != NEVER)
+        if len(now):
+            some = now[_distinct(ids, at[now], size, len(hashes))[0]]
+            yield size, at[some], hashed[some]
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]):
+    """lang, words (packed), their two hashes and ids of each row."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            lang, words, hashes, ids = (batch.column(c)[i] for c in ("lang", "words", "hashes", "ids"))
+            both = np.frombuffer(hashes.as_buffer(), dtype="<u8").reshape(-1, 2)
+            yield (lang.as_py(), words, np.ascontiguousarray(both[:, 0]), both[:, 1],
+                   np.frombuffer(ids.as_buffer(), dtype=np.int32))
+
+
+def _second(ids: np.ndarray, places: np.ndarray, size: int, second: np.ndarray) -> np.ndarray:
+    out = second[ids[places]]
+    for k in range(1, size):
+        out = _longer(out, second[ids[places + k]])
+    return out
 
 
 def _count(table, step: int, shards: int, max_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        since = table.value
-        for batch in batches:
-            for i in range(batch.num_rows):
-                lang = batch.column("lang")[i].as_py()
-                words = batch.column("words")[i].values
-                ids = batch.column("ids")[i].values.to_numpy()
-                hashes = _hashes(lang, words.to_pylist())
-                for size, places, counts, starts in active_phrases(ids, hashes, since, step, shards, max_words):
-                    parts = [words.take(pa.array(ids[places + k])) for k in range(size)]
-                    phrase = parts[0] if size == 1 else pc.binary_join_element_wise(*parts, " ")
-                    for s in range(0, len(places), 50_000):
-                        e = min(s + 50_000, len(places))
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([lang] * (e - s), pa.string()), phrase.slice(s, e - s).cast(pa.string()),
-                             pa.array(np.full(e - s, size, np.int32)), pa.array(starts[s:e].astype(np.int32)),
-                             pa.array(counts[s:e].astype(np.int64))],
-                            names=["lang", "phrase", "size", "start", "n"])
+        for _, _, hashes, second, ids in _unpacked(batches):
+            for size, places, first, counts, starts in active_phrases(ids, hashes, table.value, step, shards, max_words):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(first.view(np.int64)), pa.array(_second(ids, places, size, second).view(np.int64)),
+                     pa.array(np.full(len(places), size, np.int32)), pa.array(starts.astype(np.int32)),
+                     pa.array(counts.astype(np.int64))], names=["k1", "k2", "size", "start", "n"])
         pa.default_memory_pool().release_unused()
     return run
 
 
-def _cell_of(cells: int):
-    """Cells of phrases (lang, phrase)."""
+def _spell(table, max_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = np.zeros(batch.num_rows, dtype=np.uint64)
-            for i, (lang, phrase) in enumerate(zip(batch.column("lang"), batch.column("phrase"))):
-                own = _hashes(lang.as_py(), phrase.as_py().split(" "))
-                out[i] = reduce(lambda a, b: _longer(a, b), [own[j:j + 1] for j in range(len(own))])[0]
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(_cells(out, cells)))], names=["cell"])
+        for lang, words, hashes, second, ids in _unpacked(batches):
+            words = pa.array(words.as_py().split(b" "), pa.binary()).cast(pa.string())
+            for size, places, first in known_phrases(ids, hashes, table.value, max_words):
+                parts = [words.take(pa.array(ids[places + k])) for k in range(size)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(first.view(np.int64)), pa.array(_second(ids, places, size, second).view(np.int64)),
+                     pa.array([lang] * len(places), pa.string()),
+                     parts[0] if size == 1 else pc.binary_join_element_wise(*parts, " ")], names=["k1", "k2", "lang", "phrase"])
+        pa.default_memory_pool().release_unused()
     return run
 
 
@@ -216,16 +263,17 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, max_words: int = MAX_W
     cells = 1 << 16
     while cells < max_cells and cells < 8 * all_words // least:
         cells *= 2
+    packed = ["lang", "words", "hashes", "ids"]
     since = np.full(cells, NEVER, dtype=np.uint8)
     state, state_path, step, last_new = None, None, 0, 0
     while step < shards or step < last_new + shards:
         step += 1
         table = spark.sparkContext.broadcast(since)
-        counted = (chunks.filter(F.col("shard") == step % shards)
-                   .select("lang", "words", "ids").mapInArrow(_count(table, step, shards, max_words), COUNTS)
+        counted = (chunks.filter(F.col("shard") == step % shards).select(*packed)
+                   .mapInArrow(_count(table, step, shards, max_words), COUNTS)
                    .withColumn("known", F.lit(None).cast("int")))
         both = counted if state is None else state.unionByName(counted)
-        added = both.groupBy("lang", "phrase").agg(
+        added = both.groupBy("k1", "k2").agg(
             F.max("size").alias("size"), F.max("start").alias("start"), F.sum("n").alias("n"),
             F.min("known").alias("known"))
         added = (added.withColumn("known", F.when(F.col("n") >= least, F.coalesce("known", F.lit(step))))
@@ -236,15 +284,22 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, max_words: int = MAX_W
         if state_path:
             delete_path(spark, state_path)
         state, state_path = spark.read.schema(added.schema).parquet(path), path
-        new = (state.filter((F.col("known") == step) & (F.col("size") < max_words)).select("lang", "phrase")
-               .mapInArrow(_cell_of(cells), "cell long").distinct().toArrow())  # at most ``cells`` numbers
-        at = new["cell"].to_numpy()
-        at = at[since[at] == NEVER]
-        if len(at):
-            since = since.copy()
-            since[at], last_new = step, step
+        # two numbers of 32 and 8 bits a cell at most
+        new = (state.filter(F.col("known") == step).groupBy(cell_of(F.col("k1"), cells).alias("cell"))
+               .agg(F.min("size").alias("size")).toArrow())
+        at, size = new["cell"].to_numpy(), new["size"].to_numpy()
+        unknown = since[at] == NEVER
+        since = since.copy()
+        since[at[unknown]] = step
+        if (size[unknown] < max_words).any():  # the longest activate nothing
+            last_new = step
+    table = spark.sparkContext.broadcast(since)
+    texts = (chunks.select(*packed).mapInArrow(_spell(table, max_words), TEXTS).groupBy("k1", "k2")
+             .agg(F.min("lang").alias("lang"), F.min("phrase").alias("phrase")))
+    phrases = materialise(state.join(texts, ["k1", "k2"]).select("lang", "phrase", "size", "n"), "phrases-frequent")
     delete_path(spark, chunks_path)
-    return state.select("lang", "phrase", "size", "n"), totals
+    delete_path(spark, state_path)
+    return phrases, totals
 
 
 def score_of(a: Column, n: Column, left: Column, right: Column) -> Column:
