@@ -32,7 +32,7 @@ def test_stages_in_order(spark):
             scored = quality.score(at, quality.learn(at, labels)).collect()
             assert set(ids) == {r.doc_id for r in scored if r.quality_score >= 0.5} and ids
         elif name == "near_duplicates":
-            assert sorted(ids) == sorted({r.component_id for r in jaccard.join(at).collect()})
+            assert sorted(ids) == sorted({r.component_id for r in jaccard.join(at, n=5, percent=80).collect()})
         elif name == "secrets":
             assert sorted(ids) == sorted(before)
             assert sum(len(r.spans) for r in secret_scan.scan(out).collect() if r.spans and r.spans[0].kind < 3) == 0
