@@ -27,6 +27,8 @@ DATE_SHAPES = [
 FRACTION_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}[.][0-9]{1,6}$"
 ZONED_SHAPE = (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,6})?)?"
                r"(Z|[+-][0-9]{2}:[0-9]{2})$")
+# A day and a month in either order, with a year of four digits and perhaps a time.
+PAIR_SHAPE = r"^[0-9]{1,2}([/.-])[0-9]{1,2}\1[0-9]{4}( [0-9]{1,2}:[0-9]{2}(:[0-9]{2})?)?$"
 # Spanish month names (1..12) and ISO weekday names (1=Monday).
 MONTH_NAMES = ["Enero", "Febrero", "Marzo", "Abril", "Mayo", "Junio", "Julio",
                "Agosto", "Septiembre", "Octubre", "Noviembre", "Diciembre"]
@@ -59,6 +61,20 @@ def parse_date(c: Column, formats: list[str] | None = None) -> Column:
     return F.coalesce(plain, fraction, instant)
 
 
+def parse_pair(s: Column, month_first: Column) -> Column:
+    """A text of PAIR_SHAPE by the given order; NULL where that is no date."""
+    part = lambda i: F.regexp_extract(s, r"^([0-9]{1,2})[/.-]([0-9]{1,2})[/.-]([0-9]{4})(.*)$", i)
+    day, month = F.when(month_first, part(2)).otherwise(part(1)), F.when(month_first, part(1)).otherwise(part(2))
+    return F.when(s.rlike(PAIR_SHAPE), F.concat(part(3), F.lit("-"), F.lpad(month, 2, "0"), F.lit("-"), F.lpad(day, 2, "0"),
+                                                part(4)).try_cast("timestamp_ntz"))
+
+
+def parse_date_by(c: Column, month_first: Column) -> Column:
+    """F-10 where the order of day and month is known (a layout per column)."""
+    s = F.trim(c.cast("string"))
+    return F.when(s.rlike(PAIR_SHAPE), parse_pair(s, month_first)).otherwise(parse_date(s))
+
+
 def date_key(c: Column) -> Column:
     """F-16: yyyymmdd integer, NULL-safe."""
     return F.date_format(c, "yyyyMMdd").cast("int")

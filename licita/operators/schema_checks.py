@@ -94,10 +94,18 @@ def partition_summary(inventory: DataFrame) -> DataFrame:
                                           F.sum("FILAS").alias("FILAS"))
 
 
-def run_summary(results: DataFrame) -> DataFrame:
-    """AGG-19: files found / processed / skipped / with errors per dataset."""
-    return results.groupBy("DATASET").agg(
+def run_summary(results: DataFrame, rows: DataFrame) -> DataFrame:
+    """AGG-19: files found / processed / skipped / with errors per dataset, with the
+    rows read, written, discarded and quarantined (``rows``: one row per dataset
+    with FILAS_LEIDAS, FILAS_ESCRITAS, FILAS_CUARENTENA, CLAVES_DUPLICADAS) and
+    whether they add up (DQ-9)."""
+    counts = ["FILAS_LEIDAS", "FILAS_ESCRITAS", "FILAS_DESCARTADAS", "FILAS_CUARENTENA", "CLAVES_DUPLICADAS"]
+    files = results.groupBy("DATASET").agg(
         F.count(F.lit(1)).alias("ARCHIVOS_ENCONTRADOS"),
         F.count_if(F.col("PROCESADO")).alias("ARCHIVOS_PROCESADOS"),
         F.count_if(~F.col("PROCESADO") & (F.col("ESTADO") != "ERROR")).alias("ARCHIVOS_OMITIDOS"),
         F.count_if(F.col("ESTADO") == "ERROR").alias("ARCHIVOS_CON_ERROR"))
+    return files.join(rows, "DATASET", "left").select(
+        *files.columns, *[F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias(c) for c in counts],
+        (F.coalesce("FILAS_LEIDAS", F.lit(0)) == F.coalesce("FILAS_ESCRITAS", F.lit(0))
+         + F.coalesce("FILAS_DESCARTADAS", F.lit(0)) + F.coalesce("FILAS_CUARENTENA", F.lit(0))).alias("CUADRA"))

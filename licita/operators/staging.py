@@ -21,6 +21,7 @@ from ..functions import numbers as N
 from ..functions import ruc as R
 from ..functions import text as T
 from ..sources import schemas as SC
+from . import layouts as LY
 from .versions import duplicate_flag
 
 FILE_KEYS = ["ANIO_ARCHIVO", "MES_ARCHIVO", "ARCHIVO_ORIGEN"]
@@ -64,22 +65,50 @@ def _controls(staged: DataFrame, source: DataFrame, table: str, ruc: str | None,
                     F.coalesce("RUC_VALIDOS", zero).alias("RUC_VALIDOS"))
 
 
+# Counter columns of each dataset: table name, tax id and whether it is valid.
+COUNTED = {"registros": ("REGISTROS", "RUC_ENTIDAD_CONTRATANTE", "RUC_ENTIDAD_VALIDO"),
+           "contratos": ("CONTRATOS", None, None),
+           "proveedores": ("PROVEEDORES", "RUC_PROVEEDOR", "RUC_PROVEEDOR_VALIDO"),
+           "partes": ("PARTES", "RUC_ORGANIZACION", "RUC_VALIDO")}
+DATES = {"registros": (SC.REGISTROS_MAP, SC.REGISTROS_COLUMNS,
+                       ["FECHA_ENTREGA", "FECHA_PUBLICACION", "FECHA_PUBLICACION_LICITACION"]),
+         "contratos": (SC.CONTRATOS_MAP, SC.CONTRATOS_COLUMNS,
+                       ["FECHA_INICIO", "FECHA_FIN", "FECHA_FIRMA", "FECHA_FIN_IMPLEMENTACION"])}
+
+
+def file_controls(dataset: str, staged: DataFrame, source: DataFrame) -> DataFrame:
+    """AGG-10 of a written staging table against its source rows."""
+    return _controls(staged, source, *COUNTED[dataset])
+
+
+def date_votes(dataset: str, raw: DataFrame) -> DataFrame | None:
+    """F-10: the date layouts of a sheet's files (None: the sheet has no dates)."""
+    if dataset not in DATES:
+        return None
+    mapping, columns, dates = DATES[dataset]
+    return LY.layout_votes(conform(raw, mapping, columns), FILE_KEYS, dates)
+
+
+def _dates(df: DataFrame, dataset: str, votes: DataFrame | None) -> DataFrame:
+    columns = DATES[dataset][2]
+    if votes is None:
+        return df.withColumns({c: D.parse_date(F.col(c)) for c in columns})
+    return LY.parse_dates(df, FILE_KEYS, columns, votes)
+
+
 def _clean(df: DataFrame, ids: Sequence[str], texts: Sequence[str]) -> dict[str, Column]:
     out = {c: T.normalize_id(F.col(c)) for c in ids}
     out.update({c: T.clean_text(F.col(c)) for c in texts})
     return out
 
 
-def stage_registros(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+def stage_registros(raw: DataFrame, votes: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     c = conform(raw, SC.REGISTROS_MAP, SC.REGISTROS_COLUMNS)
     ids = ["OCID", "ID_ENTREGA", "ID_COMPRADOR_ORIGINAL", "ID_LICITACION",
            "ID_ENTIDAD_CONTRATANTE_ORIGINAL"]
     texts = [x for x in SC.REGISTROS_COLUMNS if x not in ids]
-    c = c.withColumns(_clean(c, ids, texts))
+    c = _dates(c.withColumns(_clean(c, ids, texts)), "registros", votes)
     c = c.withColumns({
-        "FECHA_ENTREGA": D.parse_date(F.col("FECHA_ENTREGA")),
-        "FECHA_PUBLICACION": D.parse_date(F.col("FECHA_PUBLICACION")),
-        "FECHA_PUBLICACION_LICITACION": D.parse_date(F.col("FECHA_PUBLICACION_LICITACION")),
         "MONTO_LICITACION": N.parse_number(F.col("MONTO_LICITACION")),
         "MONTO_LICITACION_PEN": N.parse_number(F.col("MONTO_LICITACION_PEN")),
         "ID_COMPRADOR": F.col("ID_COMPRADOR_ORIGINAL"),
@@ -96,27 +125,24 @@ def stage_registros(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     staged = c.filter(F.col("OCID").isNotNull() & F.col("ID_ENTREGA").isNotNull()) \
         .withColumn("CLAVE_REGISTRO", K.pipe_key(F.col("OCID"), F.col("ID_ENTREGA")))
     staged = _with_dup(staged, "CLAVE_REGISTRO")
-    return staged, _controls(staged, raw, "REGISTROS", "RUC_ENTIDAD_CONTRATANTE",
-                             "RUC_ENTIDAD_VALIDO")
+    return staged, file_controls("registros", staged, raw)
 
 
-def stage_contratos(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+def stage_contratos(raw: DataFrame, votes: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     c = conform(raw, SC.CONTRATOS_MAP, SC.CONTRATOS_COLUMNS)
     ids = ["OCID", "ID_ENTREGA", "ID_CONTRATO", "ID_ADJUDICACION"]
     texts = ["TITULO_CONTRATO", "DESCRIPCION_CONTRATO", "MONEDA_CONTRATO",
              "NOMBRE_MONEDA_CONTRATO", "MONEDA_FINAL", "NOMBRE_MONEDA_FINAL"]
-    c = c.withColumns(_clean(c, ids, texts))
-    c = c.withColumns({d: D.parse_date(F.col(d)) for d in
-                       ["FECHA_INICIO", "FECHA_FIN", "FECHA_FIRMA", "FECHA_FIN_IMPLEMENTACION"]})
+    c = _dates(c.withColumns(_clean(c, ids, texts)), "contratos", votes)
     c = c.withColumns({n: N.parse_number(F.col(n)) for n in
                        ["DURACION_DIAS", "MONTO_CONTRATO", "MONTO_FINAL"]})
     staged = c.filter(F.col("OCID").isNotNull() & F.col("ID_CONTRATO").isNotNull()) \
         .withColumn("CLAVE_CONTRATO", K.pipe_key(F.col("OCID"), F.col("ID_CONTRATO")))
     staged = _with_dup(staged, "CLAVE_CONTRATO")
-    return staged, _controls(staged, raw, "CONTRATOS", None, None)
+    return staged, file_controls("contratos", staged, raw)
 
 
-def stage_proveedores(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+def stage_proveedores(raw: DataFrame, votes: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     c = conform(raw, SC.PROVEEDORES_MAP, SC.PROVEEDORES_COLUMNS)
     ids = ["OCID", "ID_ENTREGA", "ID_ADJUDICACION", "ID_PROVEEDOR_ORIGINAL"]
     c = c.withColumns(_clean(c, ids, ["NOMBRE_PROVEEDOR_ORIGINAL"]))
@@ -132,10 +158,10 @@ def stage_proveedores(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
         "CLAVE_PROVEEDOR_ADJUDICACION",
         K.pipe_key(F.col("OCID"), F.col("ID_ADJUDICACION"), F.col("ID_PROVEEDOR")))
     staged = _with_dup(staged, "CLAVE_PROVEEDOR_ADJUDICACION")
-    return staged, _controls(staged, raw, "PROVEEDORES", "RUC_PROVEEDOR", "RUC_PROVEEDOR_VALIDO")
+    return staged, file_controls("proveedores", staged, raw)
 
 
-def stage_partes(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+def stage_partes(raw: DataFrame, votes: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     c = conform(raw, SC.PARTES_MAP, SC.PARTES_COLUMNS)
     ids = ["OCID", "ID_ENTREGA", "ID_ORGANIZACION", "IDENTIFICADOR_PRINCIPAL"]
     texts = [x for x in SC.PARTES_COLUMNS if x not in ids]
@@ -164,7 +190,7 @@ def stage_partes(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
         "CLAVE_PARTE": K.pipe_key(F.col("OCID"), F.col("ID_ENTREGA"), part_id),
     })
     staged = _with_dup(staged, "CLAVE_PARTE")
-    return staged, _controls(staged, raw, "PARTES", "RUC_ORGANIZACION", "RUC_VALIDO")
+    return staged, file_controls("partes", staged, raw)
 
 
 STAGERS = {"registros": stage_registros, "contratos": stage_contratos,

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 
 def registry() -> dict:
-    from . import (curated, incremental, landing, one_year, reports, scalar, staging,
+    from . import (curated, incremental, landing, landing_files, one_year, reports, scalar, staging,
                    streaming_q, warehouse)
     out = {}
-    for mod in (curated, reports, warehouse, scalar, incremental, staging, landing, one_year,
-                streaming_q):
+    for mod in (curated, reports, warehouse, scalar, incremental, staging, landing, landing_files,
+                one_year, streaming_q):
         out.update(mod.QUERIES)
     return out
 

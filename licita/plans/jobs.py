@@ -13,15 +13,16 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..operators import quality as Q
+from ..operators import schema_checks as SCH
 from ..operators import staging as ST
 from ..operators import star as S
 from ..operators import warehouse as W
-from ..session import release_scratch, scratch_mark
+from ..session import materialise, release_scratch, scratch_mark
 from ..sources import landing as L
 from ..sources import manifest as M
 from ..sources import schemas as SC
@@ -52,18 +53,70 @@ def _listing(spark: SparkSession, root: str, glob: str, manifest: DataFrame) ->
         "RUTA", "BYTES", "MODIFICADO", F.coalesce("SHA256", "_nuevo").alias("SHA256"))
 
 
+UNREADABLE = "[\\x00\ufffd]"  # what bytes that are no text turn into
+
+
+def _good_and_bad(sheet: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of a written sheet that can be staged, and the others with a reason."""
+    cells = [c for c in sheet.columns if c not in (L.BAD, L.PATH, *SC.LINEAGE)]
+    broken = F.col(L.BAD).isNotNull()
+    line = F.concat_ws(",", *[F.col(f"`{c}`") for c in cells])
+    reason = F.when(broken, "numero de celdas distinto del encabezado").when(
+        line.rlike(UNREADABLE), "caracteres ilegibles")
+    bad = sheet.withColumns({"MOTIVO": reason, "REGISTRO": F.coalesce(L.BAD, line)}).filter("MOTIVO is not null")
+    return (sheet.filter(reason.isNull()).drop(L.BAD, L.PATH),
+            bad.select(*SC.LINEAGE, F.col(L.PATH).alias("RUTA"), "MOTIVO", "REGISTRO"))
+
+
+def _stage_dataset(spark: SparkSession, ds: str, sheet: DataFrame, staging_root: str) -> dict:
+    """Writes one dataset's months, quarantine, date layouts and controls.  The
+    landing files are parsed once, into a scratch table; the run's totals are
+    observed as that table and the months are written."""
+    read, wrote = Observation(f"{ds}-leidas"), Observation(f"{ds}-escritas")
+    sheet = materialise(sheet.observe(read, F.count(F.lit(1)).alias("n")), f"sheet-{ds}")
+    good, bad = _good_and_bad(sheet)
+    run = {"DATASET": F.lit(ds), "REGISTRADO_EN": F.lit(_now())}
+    SK.append_history(bad.withColumns(run), f"{staging_root}/_cuarentena")
+    votes = ST.date_votes(ds, good)
+    if votes is not None:
+        votes = materialise(votes, f"layouts-{ds}")
+        SK.append_history(votes.withColumns(run), f"{staging_root}/_disposicion")
+    staged, _ = ST.STAGERS[ds](good, votes)
+    SK.write_months(staged.observe(wrote, F.count(F.lit(1)).alias("n"), F.count_if("ES_DUPLICADO_CLAVE").alias("d")),
+                    f"{staging_root}/{ds}")
+    # the controls read what was written, of these months alone
+    written = L.read_staging(spark, f"{staging_root}/{ds}").join(
+        good.select("ANIO_ARCHIVO", "MES_ARCHIVO").distinct(), ["ANIO_ARCHIVO", "MES_ARCHIVO"], "left_semi")
+    rejected = bad.groupBy(*ST.FILE_KEYS).agg(F.count(F.lit(1)).alias("FILAS_CUARENTENA"))
+    controls = ST.file_controls(ds, written, sheet).join(rejected, ST.FILE_KEYS, "left").withColumns({
+        "FILAS_CUARENTENA": F.coalesce("FILAS_CUARENTENA", F.lit(0).cast("bigint")),
+        "FILAS_DESCARTADAS": F.col("FILAS_DESCARTADAS") - F.coalesce("FILAS_CUARENTENA", F.lit(0).cast("bigint"))})
+    controls = materialise(controls.withColumn("PROCESADO_EN", F.lit(_now())), f"controls-{ds}")
+    SK.append_history(controls, f"{staging_root}/_control")
+    kept = controls.agg(F.sum("FILAS_CUARENTENA").alias("c"), F.sum("FILAS_DESCARTADAS").alias("x")).first()
+    return {"DATASET": ds, "FILAS_LEIDAS": read.get["n"], "FILAS_ESCRITAS": wrote.get["n"], "FILAS_CUARENTENA": kept.c,
+            "FILAS_DESCARTADAS": kept.x, "CLAVES_DUPLICADAS": wrote.get["d"]}
+
+
+ROWS_SCHEMA = ("DATASET string, FILAS_LEIDAS bigint, FILAS_ESCRITAS bigint, FILAS_CUARENTENA bigint, "
+               "FILAS_DESCARTADAS bigint, CLAVES_DUPLICADAS bigint")
+
+
 def run_staging(spark: SparkSession, landing_root: str, staging_root: str, force: bool = False,
                 fmt: str = "csv", multi_line: bool = True, first_year: int = SC.FIRST_YEAR,
                 last_year: int | None = None) -> DataFrame:
     """Staging build (entry 1).  A month with a new or changed file is restaged
     from all of its files and replaced (SNK-1), so files that did not change
     keep their rows.  Invalid paths and unreadable files are recorded, not
-    fatal (INC-3); a month with an unreadable file is left as it was.
-    Controls and run history are appended (AGG-10, SNK-6) and the manifest is
-    saved after each dataset.  Returns the per-file result table."""
+    fatal (INC-3); a month with a file whose header cannot be read is left as it
+    was; of a file broken further down only the bad lines are lost, to
+    ``_cuarentena``, with their file and reason (INC-10).  Controls and run
+    history are appended (AGG-10, SNK-6), the run's totals to ``_ejecucion``
+    (AGG-19), and the manifest is saved after each dataset.  Returns the per-file
+    result table."""
     manifest_path = f"{staging_root}/_manifest"
     manifest = M.read_manifest(spark, manifest_path)
-    results = []
+    results, totals, mark, started = [], [], scratch_mark(), _now()
     for ds in DATASETS:
         listed = _listing(spark, landing_root, f"*{SC.SHEETS[ds]}.{fmt}", manifest)
         changes = M.changed_inputs(listed, manifest, force=force).withColumns({
@@ -74,8 +127,8 @@ def run_staging(spark: SparkSession, landing_root: str, staging_root: str, force
         months = {r.MES for r in rows if r.PROCESAR and r.VALIDA}
         todo = [r for r in rows if r.VALIDA and r.MES in months]
         found, errors = L.headers(spark, [r.RUTA for r in todo], fmt) if todo else ({}, {})
-        bad = {r.RUTA: next(e for q, e in errors.items() if L._same(r.RUTA, q))
-               for r in todo if any(L._same(r.RUTA, q) for q in errors)}
+        errors = {L._plain(q): e for q, e in errors.items()}
+        bad = {r.RUTA: errors[L._plain(r.RUTA)] for r in todo if L._plain(r.RUTA) in errors}
         blocked = {r.MES for r in todo if r.RUTA in bad}
         todo = [r for r in todo if r.MES not in blocked]
         paths = {r.RUTA for r in todo}
@@ -86,11 +139,9 @@ def run_staging(spark: SparkSession, landing_root: str, staging_root: str, force
             results.append((ds, r.RUTA, "ERROR" if error else r.ESTADO, r.RUTA in paths, error))
         if not todo:
             continue
-        raw = L.read_sheet(spark, sorted(paths), fmt, multi_line, found, first_year=first_year, last_year=last_year)
-        staged, controls = ST.STAGERS[ds](raw)
-        SK.write_months(staged, f"{staging_root}/{ds}")
-        SK.append_history(controls.withColumn("PROCESADO_EN", F.lit(_now())),
-                          f"{staging_root}/_control")
+        sheet = L.read_sheet(spark, sorted(paths), fmt, multi_line, found, keep_bad=True,
+                             first_year=first_year, last_year=last_year)
+        totals.append(_stage_dataset(spark, ds, sheet, staging_root))
         done = (changes.filter("VALIDA").filter(F.col("MES").isin(sorted({r.MES for r in todo})))
                 .select("RUTA", "SHA256", F.lit(_now()).alias("PROCESADO_EN"),
                         F.array(F.lit(f"{staging_root}/{ds}")).alias("SALIDAS"), "BYTES", "MODIFICADO"))
@@ -99,6 +150,10 @@ def run_staging(spark: SparkSession, landing_root: str, staging_root: str, force
     out = spark.createDataFrame(results, "DATASET string, RUTA string, ESTADO string, "
                                          "PROCESADO boolean, ERROR string")
     SK.append_history(out.withColumn("EJECUTADO_EN", F.lit(_now())), f"{staging_root}/_historial")
+    counted = spark.createDataFrame([tuple(t[c.split()[0]] for c in ROWS_SCHEMA.split(", ")) for t in totals], ROWS_SCHEMA)
+    SK.append_history(SCH.run_summary(out, counted).withColumns(
+        {"INICIO": F.lit(started), "FIN": F.lit(_now()), "FORZADO": F.lit(force)}), f"{staging_root}/_ejecucion")
+    release_scratch(spark, mark)
     return out
 
 

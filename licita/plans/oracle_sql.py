@@ -1272,3 +1272,77 @@ ORACLES["staging_inventory"] = with_(RAW_CONTRATOS, STAGED_CONTRATOS) + """
 
 ORACLES["sheet_rows"] = with_(RAW_CONTRATOS) + """
   SELECT ARCHIVO_ORIGEN, count(*) AS FILAS_DATOS FROM raw WHERE NOT empty_row GROUP BY ARCHIVO_ORIGEN"""
+
+
+# ------------------------------------------------------------- landing files
+
+_WHOLE = """concat_ws(',', CAST(l_orderkey AS VARCHAR), l_linestatus, CAST(l_linenumber AS VARCHAR),
+  CAST(CAST(l_quantity AS BIGINT) AS VARCHAR),
+  CASE WHEN month(l_shipdate) % 3 = 0 THEN strftime(l_shipdate, '%m/%d/%Y') ELSE strftime(l_shipdate, '%d/%m/%Y') END)"""
+_LANDED = f"""landed AS (
+  SELECT CAST(year(l_shipdate) AS INTEGER) AS ANIO_ARCHIVO, CAST(month(l_shipdate) AS INTEGER) AS MES_ARCHIVO,
+    CASE WHEN l_partkey % 97 = 0 THEN concat_ws(',', CAST(l_orderkey AS VARCHAR), l_linestatus)
+         WHEN l_partkey % 89 = 0 THEN {_WHOLE} || ',sobra'
+         WHEN l_partkey % 83 = 0 THEN {_WHOLE} || chr(65533) ELSE {_WHOLE} END AS REGISTRO,
+    CASE WHEN l_partkey % 97 = 0 OR l_partkey % 89 = 0 THEN 'numero de celdas distinto del encabezado'
+         WHEN l_partkey % 83 = 0 THEN 'caracteres ilegibles' END AS MOTIVO,
+    l_orderkey, l_linenumber
+  FROM lineitem),
+good AS (
+  SELECT *, count(*) OVER (PARTITION BY ANIO_ARCHIVO, MES_ARCHIVO, l_orderkey, l_linenumber) > 1 AS dup
+  FROM landed WHERE MOTIVO IS NULL)"""
+
+ORACLES.update({
+    "quarantined_rows": f"""
+  WITH {_LANDED}
+  SELECT 'contratos' AS DATASET, ANIO_ARCHIVO, MES_ARCHIVO, 'paquete_Ent_Contratos.csv' AS ARCHIVO_ORIGEN, MOTIVO, REGISTRO
+  FROM landed WHERE MOTIVO IS NOT NULL""",
+
+    "run_summary": f"""
+  WITH {_LANDED},
+  files AS (SELECT count(*) AS n FROM (SELECT DISTINCT ANIO_ARCHIVO, MES_ARCHIVO FROM landed))
+  SELECT 'contratos' AS DATASET, n AS ARCHIVOS_ENCONTRADOS, n AS ARCHIVOS_PROCESADOS, 0 AS ARCHIVOS_OMITIDOS,
+    0 AS ARCHIVOS_CON_ERROR, (SELECT count(*) FROM landed) AS FILAS_LEIDAS, (SELECT count(*) FROM good) AS FILAS_ESCRITAS,
+    0 AS FILAS_DESCARTADAS, (SELECT count(*) FROM landed WHERE MOTIVO IS NOT NULL) AS FILAS_CUARENTENA,
+    (SELECT count(*) FROM good WHERE dup) AS CLAVES_DUPLICADAS, true AS CUADRA
+  FROM files""",
+
+    "landing_controls": f"""
+  WITH {_LANDED},
+  per AS (SELECT ANIO_ARCHIVO, MES_ARCHIVO, count(*) AS n, count(*) FILTER (MOTIVO IS NOT NULL) AS c FROM landed GROUP BY 1, 2),
+  d AS (SELECT ANIO_ARCHIVO, MES_ARCHIVO, count(*) FILTER (dup) AS d FROM good GROUP BY 1, 2)
+  SELECT 'CONTRATOS' AS TABLA, ANIO_ARCHIVO, MES_ARCHIVO, 'paquete_Ent_Contratos.csv' AS ARCHIVO_ORIGEN, n AS FILAS_ORIGEN,
+    n - c AS FILAS_SALIDA, 0 AS FILAS_DESCARTADAS, coalesce(d, 0) AS CLAVES_DUPLICADAS, 0 AS RUC_PRESENTES, 0 AS RUC_VALIDOS,
+    c AS FILAS_CUARENTENA
+  FROM per LEFT JOIN d USING (ANIO_ARCHIVO, MES_ARCHIVO)""",
+
+    "date_layouts": """
+  WITH raw AS (
+    SELECT CAST(year(l_shipdate) AS INTEGER) AS ANIO_ARCHIVO, CAST(month(l_shipdate) AS INTEGER) AS MES_ARCHIVO,
+      CASE WHEN l_partkey % 50 = 0 THEN strftime(l_shipdate, '%-m-%-d-%Y %H:%M:%S')
+           WHEN month(l_shipdate) % 3 = 0 THEN strftime(l_shipdate, '%m/%d/%Y') ELSE strftime(l_shipdate, '%d/%m/%Y') END AS a,
+      CASE WHEN month(l_shipdate) % 2 = 0 THEN strftime(l_shipdate + to_days(CAST(l_quantity AS INTEGER)), '%-m.%-d.%Y')
+           WHEN l_partkey % 7 = 0 THEN '31/31/1999' ELSE strftime(l_shipdate + to_days(CAST(l_quantity AS INTEGER)), '%Y-%m-%d') END AS b
+    FROM lineitem),
+  long AS (SELECT ANIO_ARCHIVO, MES_ARCHIVO, 'FECHA_FIRMA' AS COLUMNA, a AS s FROM raw
+           UNION ALL SELECT ANIO_ARCHIVO, MES_ARCHIVO, 'FECHA_FIN', b FROM raw),
+  cut AS (
+    SELECT *, regexp_matches(s, '^[0-9]{1,2}[/.-][0-9]{1,2}[/.-][0-9]{4}') AS pair,
+      TRY_CAST(regexp_replace(s, '^([0-9]{1,2})[/.-]([0-9]{1,2})[/.-]([0-9]{4})', '\\3-\\2-\\1') AS TIMESTAMP) AS d,
+      TRY_CAST(regexp_replace(s, '^([0-9]{1,2})[/.-]([0-9]{1,2})[/.-]([0-9]{4})', '\\3-\\1-\\2') AS TIMESTAMP) AS m
+    FROM long),
+  votes AS (
+    SELECT ANIO_ARCHIVO, MES_ARCHIVO, COLUMNA,
+      count(*) FILTER (pair AND d IS NOT NULL AND m IS NULL) AS DIA_PRIMERO,
+      count(*) FILTER (pair AND m IS NOT NULL AND d IS NULL) AS MES_PRIMERO,
+      count(*) FILTER (pair AND m IS NOT NULL AND d IS NOT NULL) AS AMBIGUAS,
+      count(*) FILTER (pair AND m IS NULL AND d IS NULL) AS IMPOSIBLES
+    FROM cut GROUP BY ALL),
+  parsed AS (
+    SELECT c.ANIO_ARCHIVO, c.MES_ARCHIVO, c.COLUMNA,
+      CASE WHEN NOT pair THEN TRY_CAST(s AS TIMESTAMP) WHEN MES_PRIMERO > DIA_PRIMERO THEN m ELSE d END AS f
+    FROM cut c JOIN votes USING (ANIO_ARCHIVO, MES_ARCHIVO, COLUMNA))
+  SELECT v.*, CASE WHEN MES_PRIMERO > DIA_PRIMERO THEN 'MES' ELSE 'DIA' END AS DISPOSICION, FECHAS, PRIMERA, ULTIMA
+  FROM votes v JOIN (SELECT ANIO_ARCHIVO, MES_ARCHIVO, COLUMNA, count(f) AS FECHAS, min(f) AS PRIMERA, max(f) AS ULTIMA
+                     FROM parsed GROUP BY ALL) USING (ANIO_ARCHIVO, MES_ARCHIVO, COLUMNA)""",
+})

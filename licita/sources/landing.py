@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import text as T
 from . import schemas as SC
@@ -81,20 +82,29 @@ def headers(spark: SparkSession, paths: list[str], fmt: str = "csv") -> tuple[di
                 found[p] = tuple(spark.read.format(fmt).load(p).columns)
             except Exception as e:  # noqa: BLE001  recorded by the caller, file by file
                 errors[p] = str(e).splitlines()[0][:500]
-    for p in paths:
-        if not any(_same(p, q) for q in (found.keys() | errors.keys())):
-            errors[p] = "archivo vacio"
+    seen = {_plain(p) for p in (*found, *errors)}
+    errors.update({p: "archivo vacio" for p in paths if _plain(p) not in seen})
     return found, errors
 
 
-def _same(a: str, b: str) -> bool:
-    """Whether two paths differ in the spelling of their scheme only."""
-    strip = lambda p: re.sub(r"^file:/+", "/", p)
-    return a == b or strip(a) == strip(b)
+def _plain(path: str) -> str:
+    """A path in one spelling of its scheme, to compare paths by."""
+    return re.sub(r"^file:/+", "/", path)
+
+
+BAD, PATH = "_MALA", "_RUTA"
+
+
+def _field_names(header: tuple) -> list[str]:
+    """Header cells as unique column names (blank and repeated ones numbered)."""
+    seen: dict[str, int] = {}
+    for c in header:
+        seen[c.lower()] = seen.get(c.lower(), 0) + 1
+    return [f"_c{i}" if not c.strip() else f"{c}{i}" if seen[c.lower()] > 1 else c for i, c in enumerate(header)]
 
 
 def read_sheet(spark: SparkSession, paths: list[str], fmt: str = "csv", multi_line: bool = True,
-               found: dict | None = None, **period) -> DataFrame:
+               found: dict | None = None, keep_bad: bool = False, **period) -> DataFrame:
     """SRC-2: all-string rows of a sheet from many files with lineage.
 
     Files are grouped by header (names, not positions), each group is one
@@ -102,6 +112,10 @@ def read_sheet(spark: SparkSession, paths: list[str], fmt: str = "csv", multi_li
     ``multi_line`` allows line breaks inside quoted cells, at the price of one
     task a file; without it large files are split.  ``found`` passes headers
     that :func:`headers` has already given.
+
+    ``keep_bad`` adds the file's path (PATH) and, for a CSV line that has not as many
+    cells as the header, its text (BAD; NULL for good lines).  Such a frame
+    must be written before it is queried for its bad lines alone.
     """
     if not paths:
         raise FileNotFoundError("no landing files")
@@ -109,25 +123,32 @@ def read_sheet(spark: SparkSession, paths: list[str], fmt: str = "csv", multi_li
         found, errors = headers(spark, paths, fmt)
         if errors:
             raise ValueError(f"archivos ilegibles: {errors}")
+    wanted = {_plain(p) for p in paths}
     groups: dict[tuple, list[str]] = {}
     for p, cols in found.items():
-        if any(_same(p, q) for q in paths):
+        if _plain(p) in wanted:
             groups.setdefault(cols, []).append(p)
     frames = []
-    for ps in groups.values():
-        df = _reader(spark, fmt, multi_line).load(ps)
-        df = df.select(*[F.col(f"`{c}`").cast("string").alias(T.normalize_header(c)) for c in df.columns],
-                       F.col("_metadata.file_path").alias("_path"))
+    for cols, ps in groups.items():
+        names = _field_names(cols) if fmt == "csv" else list(cols)
+        df = _reader(spark, fmt, multi_line, names if keep_bad else None).load(ps)
+        bad = F.col(BAD) if BAD in df.columns else F.lit(None).cast("string")
+        extra = [bad.alias(BAD), F.col("_metadata.file_path").alias(PATH)] if keep_bad else []
+        df = df.select(*[F.col(f"`{c}`").cast("string").alias(T.normalize_header(c)) for c in df.columns if c != BAD],
+                       *extra, F.col("_metadata.file_path").alias("_path"))
         frames.append(with_lineage(df, F.col("_path"), **period).drop("_path"))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def _reader(spark: SparkSession, fmt: str, multi_line: bool = True):
+def _reader(spark: SparkSession, fmt: str, multi_line: bool = True, names: list[str] | None = None):
     r = spark.read.format(fmt)
     if fmt == "csv":
         # every column a string: no inference
         r = r.option("header", True).option("inferSchema", False).option("multiLine", multi_line) \
             .option("encoding", "UTF-8")
+        if names is not None:  # a line with other cells than these is handed on whole in BAD
+            fields = [StructField(n, StringType()) for n in (*names, BAD)]
+            r = r.schema(StructType(fields)).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD)
     return r
 
 
