@@ -58,9 +58,11 @@ _TABLE = bytes.maketrans(_PIECE_ENDS + b"\t", b"\n" * len(_PIECE_ENDS) + b" ")
 _MIX, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 CHUNKS = "lang string, shard int, n long, words binary, hashes binary, ids binary"
-#: a phrase goes by 128 bits of hash over its language and words (k1, k2)
-COUNTS = "k1 long, k2 long, size int, start int, n long"
-TEXTS = "k1 long, k2 long, lang string, phrase string"
+#: a phrase goes by 96 bits of hash over its language and words (k1, k2)
+COUNTS = "k1 long, k2 int, size int, start int, n long"
+TEXTS = "k1 long, k2 int, lang string, phrase string"
+#: words that a scanning task adds up before it hands its counts on
+TASK_WORDS = 4_000_000
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -195,10 +197,11 @@ def active_phrases(ids: np.ndarray, hashes: np.ndarray, since: np.ndarray, step:
             yield size, at[some], hashed[some], counts, later[some].astype(np.int64) + 1
 
 
-def known_phrases(ids: np.ndarray, hashes: np.ndarray, since: np.ndarray, max_words: int = MAX_WORDS):
-    """(size, places of different phrases, their first hash) of the phrases known."""
+def known_phrases(ids: np.ndarray, hashes: np.ndarray, since: np.ndarray, wanted: np.ndarray,
+                  max_words: int = MAX_WORDS):
+    """(size, places of different phrases, their first hash) of the known phrases in wanted cells."""
     for size, at, hashed, _, reached in walk(ids, hashes, since, max_words):
-        now = np.flatnonzero(reached != NEVER)
+        now = np.flatnonzero((reached != NEVER) & wanted[_cells(hashed, len(wanted))])
         if len(now):
             some = now[_distinct(ids, at[now], size, len(hashes))[0]]
             yield size, at[some], hashed[some]
@@ -218,7 +221,7 @@ def _second(ids: np.ndarray, places: np.ndarray, size: int, second: np.ndarray)
     out = second[ids[places]]
     for k in range(1, size):
         out = _longer(out, second[ids[places + k]])
-    return out
+    return (out >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def _count(table, step: int, shards: int, max_words: int):
@@ -226,21 +229,22 @@ def _count(table, step: int, shards: int, max_words: int):
         for _, _, hashes, second, ids in _unpacked(batches):
             for size, places, first, counts, starts in active_phrases(ids, hashes, table.value, step, shards, max_words):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(first.view(np.int64)), pa.array(_second(ids, places, size, second).view(np.int64)),
+                    [pa.array(first.view(np.int64)), pa.array(_second(ids, places, size, second)),
                      pa.array(np.full(len(places), size, np.int32)), pa.array(starts.astype(np.int32)),
                      pa.array(counts.astype(np.int64))], names=["k1", "k2", "size", "start", "n"])
         pa.default_memory_pool().release_unused()
     return run
 
 
-def _spell(table, max_words: int):
+def _spell(table, cells, max_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = np.unpackbits(cells.value).view(bool)
         for lang, words, hashes, second, ids in _unpacked(batches):
             words = pa.array(words.as_py().split(b" "), pa.binary()).cast(pa.string())
-            for size, places, first in known_phrases(ids, hashes, table.value, max_words):
+            for size, places, first in known_phrases(ids, hashes, table.value, wanted, max_words):
                 parts = [words.take(pa.array(ids[places + k])) for k in range(size)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(first.view(np.int64)), pa.array(_second(ids, places, size, second).view(np.int64)),
+                    [pa.array(first.view(np.int64)), pa.array(_second(ids, places, size, second)),
                      pa.array([lang] * len(places), pa.string()),
                      parts[0] if size == 1 else pc.binary_join_element_wise(*parts, " ")], names=["k1", "k2", "lang", "phrase"])
         pa.default_memory_pool().release_unused()
@@ -263,14 +267,17 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, max_words: int = MAX_W
     cells = 1 << 16
     while cells < max_cells and cells < 8 * all_words // least:
         cells *= 2
-    packed = ["lang", "words", "hashes", "ids"]
+    tasks = max(1, all_words // (shards * TASK_WORDS))
+
+    def scan(shard: int) -> DataFrame:
+        return chunks.filter(F.col("shard") == shard).select("lang", "words", "hashes", "ids").coalesce(tasks)
+
     since = np.full(cells, NEVER, dtype=np.uint8)
     state, state_path, step, last_new = None, None, 0, 0
     while step < shards or step < last_new + shards:
         step += 1
         table = spark.sparkContext.broadcast(since)
-        counted = (chunks.filter(F.col("shard") == step % shards).select(*packed)
-                   .mapInArrow(_count(table, step, shards, max_words), COUNTS)
+        counted = (scan(step % shards).mapInArrow(_count(table, step, shards, max_words), COUNTS)
                    .withColumn("known", F.lit(None).cast("int")))
         both = counted if state is None else state.unionByName(counted)
         added = both.groupBy("k1", "k2").agg(
@@ -293,10 +300,21 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, max_words: int = MAX_W
         since[at[unknown]] = step
         if (size[unknown] < max_words).any():  # the longest activate nothing
             last_new = step
-    table = spark.sparkContext.broadcast(since)
-    texts = (chunks.select(*packed).mapInArrow(_spell(table, max_words), TEXTS).groupBy("k1", "k2")
-             .agg(F.min("lang").alias("lang"), F.min("phrase").alias("phrase")))
-    phrases = materialise(state.join(texts, ["k1", "k2"]).select("lang", "phrase", "size", "n"), "phrases-frequent")
+    # spelled shard by shard: few phrases are left after the first
+    table, nameless = spark.sparkContext.broadcast(since), state
+    phrases = spark.createDataFrame([], "lang string, phrase string, size int, n long")
+    for shard in range(shards):
+        left = nameless.select(cell_of(F.col("k1"), cells).alias("cell")).distinct().toArrow()["cell"].to_numpy()
+        if not len(left):
+            break
+        wanted = np.zeros(cells, dtype=bool)
+        wanted[left] = True
+        wanted = spark.sparkContext.broadcast(np.packbits(wanted))
+        texts = scan(shard).mapInArrow(_spell(table, wanted, max_words), TEXTS).distinct()
+        named = materialise(nameless.join(texts, ["k1", "k2"], "left")
+                            .select("k1", "k2", "lang", "phrase", "size", "n"), "phrases-named")
+        phrases = phrases.unionByName(named.filter("phrase is not null").select("lang", "phrase", "size", "n"))
+        nameless = named.filter("phrase is null").select("k1", "k2", "size", "n")
     delete_path(spark, chunks_path)
     delete_path(spark, state_path)
     return phrases, totals
