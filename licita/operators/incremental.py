@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Change actions and flags.
@@ -79,6 +79,54 @@ def scd2(history: DataFrame, source: DataFrame, keys: Sequence[str], run_id: int
         new_rows.select(*history.columns))
 
 
+SEEN = "VISTOS"
+
+
+def merge_versions(history: DataFrame | None, source: DataFrame, keys: Sequence[str], run_id: int, as_of: Column,
+                   hash_col: str = "HASH_FILA", valid_from: str = "FECHA_DESDE", valid_to: str = "FECHA_HASTA",
+                   run_col: str = "EJECUCION_ID") -> DataFrame:
+    """INC-5 with late deliveries: batches applied in any order give the same
+    history.  Each version keeps when (and by which run) it was seen (SEEN), so a batch
+    whose date lies before open versions is put between them: it splits a
+    version that was seen on both sides of it, and only confirms one of the same hash.
+
+    Only the keys of the batch are worked on; a key has as many rows as times it
+    was seen.  Two batches of one date: the higher run counts.  ``history`` None: the
+    first batch.
+    """
+    keys, attrs = list(keys), list(source.columns)
+    columns = [*attrs, valid_from, valid_to, run_col, SEEN]
+    batch = source.select(*attrs, as_of.cast("date").alias("_dia"), F.lit(run_id).cast("int").alias("_ejecucion"))
+    seen = batch
+    if history is not None:
+        mine = batch.select(*keys).distinct()
+        seen = batch.unionByName(history.join(mine, keys, "left_semi").select(*attrs, F.explode(SEEN).alias("_v")).select(
+            *attrs, F.col("_v.dia").alias("_dia"), F.col("_v.ejecucion").alias("_ejecucion")))
+    latest = Window.partitionBy(*keys, "_dia").orderBy(F.desc("_ejecucion"), hash_col)
+    by_day = Window.partitionBy(*keys).orderBy("_dia")
+    seen = seen.withColumn("_n", F.row_number().over(latest)).filter("_n = 1").drop("_n")
+    seen = seen.withColumn("_cambia", F.when(F.lag("_dia").over(by_day).isNotNull()
+                                             & F.col(hash_col).eqNullSafe(F.lag(hash_col).over(by_day)), 0).otherwise(1))
+    seen = seen.withColumn("_version", F.sum("_cambia").over(by_day))
+    rest = [c for c in attrs if c not in keys]
+    versions = seen.groupBy(*keys, "_version").agg(
+        F.min_by(F.struct(*rest), "_dia").alias("_a"), F.min("_dia").alias(valid_from),
+        F.array_sort(F.collect_list(F.struct(F.col("_dia").alias("dia"), F.col("_ejecucion").alias("ejecucion")))).alias(SEEN))
+    made = versions.select(*keys, *[F.col(f"_a.{c}").alias(c) for c in rest], valid_from,
+                           F.lead(valid_from).over(Window.partitionBy(*keys).orderBy(valid_from)).alias(valid_to),
+                           F.col(SEEN)[0]["ejecucion"].alias(run_col), SEEN).select(*columns)
+    return made if history is None else made.unionByName(history.join(mine, keys, "left_anti").select(*columns))
+
+
+def upsert_balance(classified: DataFrame, source: DataFrame) -> DataFrame:
+    """DQ-9: inserted + updated + unchanged keys against the rows processed."""
+    n = lambda a: F.count_if(F.col("ACCION") == a)
+    counts = classified.agg(n(INSERT).alias("INSERTADAS"), n(UPDATE).alias("ACTUALIZADAS"), n(UNCHANGED).alias("SIN_CAMBIO"))
+    rows = source.agg(F.count(F.lit(1)).alias("PROCESADAS"))
+    return rows.join(counts, F.lit(True)).select(  # one row each
+        "*", (F.col("INSERTADAS") + F.col("ACTUALIZADAS") + F.col("SIN_CAMBIO") == F.col("PROCESADAS")).alias("CUADRA"))
+
+
 def rebuild_bridge(old_bridge: DataFrame, new_bridge: DataFrame, affected: DataFrame,
                    key: str) -> DataFrame:
     """INC-6: relations of affected contracts are replaced by the current list;

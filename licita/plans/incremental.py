@@ -64,6 +64,22 @@ def scd2_history(spark, sf_dir) -> DataFrame:
                   F.lit("1999-01-01").cast("date"))
 
 
+def late_versions(spark, sf_dir) -> DataFrame:
+    """INC-5, late deliveries: the batch of 1999 first, then that of 1998, then
+    one of 1997 that has two thirds of the orders, as they were in 1999."""
+    now, old = _snapshot(spark, sf_dir, False), _snapshot(spark, sf_dir, True)
+    day = lambda d: F.lit(d).cast("date")
+    history = I.merge_versions(None, now, ["o_orderkey"], 1, day("1999-01-01"))
+    history = I.merge_versions(history, old, ["o_orderkey"], 2, day("1998-01-01"))
+    return I.merge_versions(history, now.filter(F.col("o_custkey") % 3 != 0), ["o_orderkey"], 3, day("1997-01-01")).drop(I.SEEN)
+
+
+def upsert_balance(spark, sf_dir) -> DataFrame:
+    """DQ-9: every processed order is inserted, updated or unchanged."""
+    new = _snapshot(spark, sf_dir, False)
+    return I.upsert_balance(I.classify_changes(_snapshot(spark, sf_dir, True), new, ["o_orderkey"]), new)
+
+
 def _links(spark, sf_dir, previous: bool = False) -> DataFrame:
     """Order-supplier relations; in the previous load those of lines beyond the
     third had suppliers of their own."""
@@ -167,6 +183,8 @@ QUERIES = {
     "upsert": upsert,
     "upsert_idempotence": upsert_idempotence,
     "scd2_history": scd2_history,
+    "late_versions": late_versions,
+    "upsert_balance": upsert_balance,
     "bridge_rebuild": bridge_rebuild,
     "soft_delete": soft_delete,
     "prorated_amount": prorated_amount,

@@ -896,6 +896,20 @@ ORACLES.update({
   UNION ALL SELECT *, DATE '1999-01-01' AS FECHA_DESDE, CAST(NULL AS DATE) AS FECHA_HASTA, 2 AS EJECUCION_ID
     FROM new_snap WHERE o_orderkey IN (SELECT o_orderkey FROM changed)""",
 
+    "late_versions": with_(*SNAPS, """seen AS (
+    SELECT *, DATE '1999-01-01' AS dia, 1 AS ejecucion FROM new_snap UNION ALL SELECT *, DATE '1998-01-01', 2 FROM old_snap
+    UNION ALL SELECT *, DATE '1997-01-01', 3 FROM new_snap WHERE o_custkey % 3 != 0)""", """marked AS (
+    SELECT *, lag(HASH_FILA) OVER w IS DISTINCT FROM HASH_FILA AS cambia FROM seen WINDOW w AS (PARTITION BY o_orderkey ORDER BY dia))""") + """
+  SELECT * EXCLUDE (dia, ejecucion, cambia), dia AS FECHA_DESDE, lead(dia) OVER (PARTITION BY o_orderkey ORDER BY dia) AS FECHA_HASTA,
+    ejecucion AS EJECUCION_ID
+  FROM marked WHERE cambia""",
+
+    "upsert_balance": with_(*SNAPS, CLASSIFY) + """
+  SELECT (SELECT count(*) FROM new_snap) AS PROCESADAS, count(*) FILTER (ACCION = 'INSERTAR') AS INSERTADAS,
+    count(*) FILTER (ACCION = 'ACTUALIZAR') AS ACTUALIZADAS, count(*) FILTER (ACCION = 'SIN_CAMBIO') AS SIN_CAMBIO,
+    count(*) FILTER (ACCION != 'AUSENTE') = (SELECT count(*) FROM new_snap) AS CUADRA
+  FROM actions""",
+
     "bridge_rebuild": with_(*SNAPS, CLASSIFY, """affected AS (
     SELECT DISTINCT o_orderkey FROM actions WHERE ACCION IN ('INSERTAR', 'ACTUALIZAR'))""") + """
   SELECT DISTINCT l_orderkey AS o_orderkey, CASE WHEN l_linenumber > 3 THEN -l_suppkey ELSE l_suppkey END AS l_suppkey

@@ -176,3 +176,42 @@ def test_landing_lines_of_all_months_are_files(spark, tmpdir_path):
         text = f.read().split()
     assert text[0] == "x,y" and sorted(text[1:]) == ["1,a", "4,d"]
     assert os.path.exists(f"{tmpdir_path}/2023/02/extraido/paquete_Hoja.csv") and len(CON_H) == 8
+
+
+# --- versions from batches in any order
+
+def plain_history(batches):
+    out = []
+    for k in sorted({k for _, _, rows in batches for k, _ in rows}):
+        seen = {}
+        for run, day, rows in sorted(batches):
+            for key, h in rows:
+                if key == k:
+                    seen[day] = (run, h)
+        days = [d for i, d in enumerate(sorted(seen)) if i == 0 or seen[d][1] != seen[sorted(seen)[i - 1]][1]]
+        out += [(k, seen[d][1], d, e, seen[d][0]) for d, e in zip(days, [*days[1:], None])]
+    return sorted(out, key=str)
+
+
+def test_batches_in_any_order_give_the_same_history(spark):
+    from itertools import permutations
+    from licita.operators import incremental as I
+    batches = [(1, "2024-01-01", [(1, "a"), (2, "a"), (3, None)]), (2, "2024-02-01", [(1, "b"), (2, "a"), (4, "z")]),
+               (3, "2024-03-01", [(1, "a"), (2, "c"), (3, None), (4, "y")]), (4, "2024-02-01", [(1, "a"), (5, "q")])]
+    want = plain_history(batches)
+    for order in list(permutations(batches))[::5]:
+        history = None
+        for run_id, day, keyed in order:
+            source = spark.createDataFrame(keyed, "k long, HASH_FILA string").coalesce(1)
+            history = I.merge_versions(history, source, ["k"], run_id, F.lit(day))
+            history = spark.createDataFrame(history.collect(), history.schema)
+        got = [(r.k, r.HASH_FILA, str(r.FECHA_DESDE), r.FECHA_HASTA and str(r.FECHA_HASTA), r.EJECUCION_ID) for r in history.collect()]
+        assert sorted(got, key=str) == want
+
+
+def test_balance_sees_a_repeated_key(spark):
+    from licita.operators import incremental as I
+    old = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k long, HASH_FILA string")
+    new = spark.createDataFrame([(1, "a"), (2, "x"), (4, "d")], "k long, HASH_FILA string")
+    assert tuple(I.upsert_balance(I.classify_changes(old, new, ["k"]), new).first()) == (3, 1, 1, 1, True)
+    assert not I.upsert_balance(I.classify_changes(old, new, ["k"]), new.unionByName(new)).first().CUADRA
