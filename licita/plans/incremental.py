@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import keys as K
 from ..operators import incremental as I
+from ..operators import digests as DG
 from ..operators import warehouse as W
 from ..sources import manifest as M
 from .adapters import Tables
@@ -80,6 +81,22 @@ def upsert_balance(spark, sf_dir) -> DataFrame:
     return I.upsert_balance(I.classify_changes(_snapshot(spark, sf_dir, True), new, ["o_orderkey"]), new)
 
 
+def digest_reconcile(spark, sf_dir) -> DataFrame:
+    """DQ-8 / DQ-12 by digests: the orders that differ between the last load and
+    this one, found through the key ranges whose digests differ."""
+    return DG.reconcile(_snapshot(spark, sf_dir, True), _snapshot(spark, sf_dir, False), ["o_orderkey"],
+                        ["o_orderkey", "o_custkey", "MONTO", "o_orderstatus", "o_orderdate"])
+
+
+def digest_agreement(spark, sf_dir) -> DataFrame:
+    """The lines of orders against the same lines dealt out anew, each price of
+    every 500th part off by a cent: per state the keys (order and line)."""
+    l = Tables(spark, sf_dir)("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    off = l.withColumn("l_extendedprice", F.when(F.col("l_partkey") % 500 == 0, F.col("l_extendedprice") + 0.01)
+                       .otherwise(F.col("l_extendedprice"))).repartition("l_suppkey")
+    return DG.reconcile(l, off, ["l_orderkey", "l_linenumber"])
+
+
 def _links(spark, sf_dir, previous: bool = False) -> DataFrame:
     """Order-supplier relations; in the previous load those of lines beyond the
     third had suppliers of their own."""
@@ -185,6 +202,8 @@ QUERIES = {
     "scd2_history": scd2_history,
     "late_versions": late_versions,
     "upsert_balance": upsert_balance,
+    "digest_reconcile": digest_reconcile,
+    "digest_agreement": digest_agreement,
     "bridge_rebuild": bridge_rebuild,
     "soft_delete": soft_delete,
     "prorated_amount": prorated_amount,

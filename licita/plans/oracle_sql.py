@@ -910,6 +910,13 @@ ORACLES.update({
     count(*) FILTER (ACCION != 'AUSENTE') = (SELECT count(*) FROM new_snap) AS CUADRA
   FROM actions""",
 
+    "digest_reconcile": with_(*SNAPS, CLASSIFY) + """
+  SELECT o_orderkey, CASE ACCION WHEN 'INSERTAR' THEN 'SOLO_DESTINO' WHEN 'AUSENTE' THEN 'SOLO_ORIGEN' ELSE 'DISTINTO' END AS ESTADO
+  FROM actions WHERE ACCION != 'SIN_CAMBIO'""",
+
+    "digest_agreement": """
+  SELECT DISTINCT l_orderkey, l_linenumber, 'DISTINTO' AS ESTADO FROM lineitem WHERE l_partkey % 500 = 0""",
+
     "bridge_rebuild": with_(*SNAPS, CLASSIFY, """affected AS (
     SELECT DISTINCT o_orderkey FROM actions WHERE ACCION IN ('INSERTAR', 'ACTUALIZAR'))""") + """
   SELECT DISTINCT l_orderkey AS o_orderkey, CASE WHEN l_linenumber > 3 THEN -l_suppkey ELSE l_suppkey END AS l_suppkey

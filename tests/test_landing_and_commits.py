@@ -215,3 +215,36 @@ def test_balance_sees_a_repeated_key(spark):
     new = spark.createDataFrame([(1, "a"), (2, "x"), (4, "d")], "k long, HASH_FILA string")
     assert tuple(I.upsert_balance(I.classify_changes(old, new, ["k"]), new).first()) == (3, 1, 1, 1, True)
     assert not I.upsert_balance(I.classify_changes(old, new, ["k"]), new.unionByName(new)).first().CUADRA
+
+
+# --- digests of key ranges
+
+def test_equal_tables_agree_by_their_digests_alone(spark, monkeypatch):
+    from licita.operators import digests as DG
+    t = spark.range(5000).selectExpr("id as k", "id % 7 as a", "case when id % 11 = 0 then null else id end as b")
+    again = t.repartition(9, "a").orderBy("b")
+    assert DG.differing_ranges(DG.digest(t, ["k"], t.columns), DG.digest(again, ["k"], t.columns)).count() == 0
+    monkeypatch.setattr(DG, "_within", None)  # no rows are looked at
+    assert DG.reconcile(t, again, ["k"]).count() == 0
+
+
+def test_planted_differences_are_found_in_their_ranges(spark):
+    from licita.operators import digests as DG
+    t = spark.range(5000).selectExpr("id as k", "id % 7 as a", "cast(null as long) as b")
+    other = (t.filter("k != 17").withColumn("a", F.expr("case when k = 99 then a + 1 else a end"))
+             .withColumn("b", F.expr("case when k = 100 then a else b end"))
+             .unionByName(t.filter("k in (5, 6)")).unionByName(t.filter("k = 6"))
+             .unionByName(spark.sql("select 9000L as k, 1L as a, null as b union all select null, 1L, 1L")))
+    found = DG.differing_ranges(DG.digest(t, ["k"], t.columns), DG.digest(other, ["k"], t.columns))
+    keys = spark.createDataFrame([(k,) for k in (17, 99, 100, 5, 6, 9000, None)], "k long")
+    assert {r[0] for r in found.collect()} == {r[0] for r in keys.select(DG.key_range(["k"], 8)).collect()}
+    assert sorted(map(tuple, DG.reconcile(t, other, ["k"]).collect()), key=str) == sorted([
+        (17, "SOLO_ORIGEN"), (99, "DISTINTO"), (100, "DISTINTO"), (5, "DISTINTO"), (6, "DISTINTO"), (9000, "SOLO_DESTINO"),
+        (None, "SOLO_DESTINO")], key=str)
+
+
+def test_digests_of_empty_tables(spark):
+    from licita.operators import digests as DG
+    t = spark.range(3).selectExpr("id as k", "id as v")
+    assert DG.reconcile(t.limit(0), t.limit(0), ["k"]).count() == 0
+    assert {r.ESTADO for r in DG.reconcile(t, t.limit(0), ["k"]).collect()} == {"SOLO_ORIGEN"}
