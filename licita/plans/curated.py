@@ -119,16 +119,19 @@ class WrittenStar:
         self._star = star
 
     @cached_property
-    def fact(self):
-        return materialise(self._star.fact, "fact")
+    def dim_organizacion(self):
+        return materialise(self._star.dim_organizacion, "dim_org")
 
     @cached_property
-    def bridge(self):
-        return materialise(self._star.bridge, "bridge")
+    def fact(self):
+        s = self._star  # the written master, not the one that would be computed again
+        return materialise(S.fact_contrato(s.contrato_actual, s.registro_actual_clave, s.registro_actual_ocid,
+                                           self.dim_organizacion), "fact")
 
     @cached_property
-    def dim_organizacion(self):
-        return materialise(self._star.dim_organizacion, "dim_org")
+    def bridge(self):
+        # the fact has every current contract once: its keys stand for the contracts
+        return materialise(S.bridge_contrato_proveedor(self.fact, self._star.proveedor_actual), "bridge")
 
     @cached_property
     def dim_ubicacion(self):

@@ -157,61 +157,57 @@ def run_staging(spark: SparkSession, landing_root: str, staging_root: str, force
     return out
 
 
+def _current_tables(spark: SparkSession, staging_root: str, with_parties: bool) -> tuple:
+    """Contracts, records by delivery and by process, suppliers (current versions)
+    and the organisation master over the staging layer."""
+    read = lambda name: L.read_staging(spark, f"{staging_root}/{name}")
+    c, r, p = (read(t).drop("anio", "mes", "ES_DUPLICADO_CLAVE") for t in ("contratos", "registros", "proveedores"))
+    by_delivery = S.current_records(r, ("OCID", "ID_ENTREGA"))
+    # newest of the per-delivery winners (staging already drops records without
+    # ID_ENTREGA, so no record is lost by starting from them)
+    by_process = S.current_records(by_delivery, ("OCID",))
+    org = S.dim_organizacion(S.org_candidates(read("partes") if with_parties else None, r, p))
+    return S.current_contracts(c), by_delivery, by_process, S.current_suppliers(p), org
+
+
+def _role_tables(org: DataFrame, fact: DataFrame, bridge: DataFrame) -> dict[str, DataFrame]:
+    return {"dim_entidad": S.dim_entidad(org, fact), "dim_proveedor": S.dim_proveedor(org, bridge),
+            "dim_ubicacion": S.dim_ubicacion(org), "dim_moneda": S.dim_moneda(fact),
+            "dim_categoria": S.dim_categoria(fact), "dim_metodo": S.dim_metodo(fact),
+            "dim_fecha": S.dim_fecha(fact, ["FECHA_FIRMA", "FECHA_INICIO", "FECHA_FIN"])}
+
+
 def build_curated_tables(spark: SparkSession, staging_root: str,
                          with_parties: bool = True) -> dict[str, DataFrame]:
     """Curated model (entry 2) as DataFrames over the staging layer.  A missing
     table raises; a source without parties says so (``with_parties``)."""
-    c = L.read_staging(spark, f"{staging_root}/contratos")
-    r = L.read_staging(spark, f"{staging_root}/registros")
-    p = L.read_staging(spark, f"{staging_root}/proveedores")
-    pa = L.read_staging(spark, f"{staging_root}/partes") if with_parties else None
-    c = c.drop("anio", "mes", "ES_DUPLICADO_CLAVE")
-    r = r.drop("anio", "mes", "ES_DUPLICADO_CLAVE")
-    p = p.drop("anio", "mes", "ES_DUPLICADO_CLAVE")
-    cur = S.current_contracts(c)
-    re_ = S.current_records(r, ("OCID", "ID_ENTREGA"))
-    # newest of the per-delivery winners (staging already drops records without
-    # ID_ENTREGA, so no record is lost by starting from them)
-    ro = S.current_records(re_, ("OCID",))
-    sup = S.current_suppliers(p)
-    org = S.dim_organizacion(S.org_candidates(pa, r, p))
-    fact = S.fact_contrato(cur, re_, ro, org)
-    bridge = S.bridge_contrato_proveedor(cur, sup)
-    return {
-        "fact_contrato_actual": fact, "bridge_contrato_proveedor": bridge,
-        "dim_organizacion": org, "dim_entidad": S.dim_entidad(org, fact),
-        "dim_proveedor": S.dim_proveedor(org, bridge), "dim_ubicacion": S.dim_ubicacion(org),
-        "dim_moneda": S.dim_moneda(fact), "dim_categoria": S.dim_categoria(fact),
-        "dim_metodo": S.dim_metodo(fact),
-        "dim_fecha": S.dim_fecha(fact, ["FECHA_FIRMA", "FECHA_INICIO", "FECHA_FIN"]),
-    }
+    contracts, by_delivery, by_process, suppliers, org = _current_tables(spark, staging_root, with_parties)
+    fact = S.fact_contrato(contracts, by_delivery, by_process, org)
+    bridge = S.bridge_contrato_proveedor(contracts, suppliers)
+    return {"fact_contrato_actual": fact, "bridge_contrato_proveedor": bridge, "dim_organizacion": org,
+            **_role_tables(org, fact, bridge)}
 
 
 def run_curated(spark: SparkSession, staging_root: str, curated_root: str,
                 csv: bool = False, with_parties: bool = True) -> dict[str, DataFrame]:
-    """Writes every curated table once (SNK-2/3) and reads them back, so the
-    quality step and the warehouse read materialised tables."""
-    tables = build_curated_tables(spark, staging_root, with_parties)
-    out = {}
-    timings = []
-    # the fact and master are written first; later tables read them back
-    for name in ["dim_organizacion", "fact_contrato_actual", "bridge_contrato_proveedor"]:
-        t0 = _now()
-        SK.export_table(tables[name], f"{curated_root}/{name}",
-                        f"{curated_root}/csv/{name}" if csv else None)
-        out[name] = spark.read.parquet(f"{curated_root}/{name}")
-        timings.append((name, (_now() - t0).total_seconds()))
-    org, fact, bridge = (out["dim_organizacion"], out["fact_contrato_actual"],
-                         out["bridge_contrato_proveedor"])
-    rest = {"dim_entidad": S.dim_entidad(org, fact), "dim_proveedor": S.dim_proveedor(org, bridge),
-            "dim_ubicacion": S.dim_ubicacion(org), "dim_moneda": S.dim_moneda(fact),
-            "dim_categoria": S.dim_categoria(fact), "dim_metodo": S.dim_metodo(fact),
-            "dim_fecha": S.dim_fecha(fact, ["FECHA_FIRMA", "FECHA_INICIO", "FECHA_FIN"])}
-    for name, df in rest.items():
+    """Writes every curated table once (SNK-2/3) and reads them back: the fact is
+    built on the written master, the bridge on the written fact's contracts, the
+    rest, the quality step and the warehouse on the written tables."""
+    contracts, by_delivery, by_process, suppliers, master = _current_tables(spark, staging_root, with_parties)
+    out, timings = {}, []
+
+    def write(name: str, df: DataFrame) -> DataFrame:
         t0 = _now()
         SK.export_table(df, f"{curated_root}/{name}", f"{curated_root}/csv/{name}" if csv else None)
         out[name] = spark.read.parquet(f"{curated_root}/{name}")
         timings.append((name, (_now() - t0).total_seconds()))
+        return out[name]
+
+    org = write("dim_organizacion", master)
+    fact = write("fact_contrato_actual", S.fact_contrato(contracts, by_delivery, by_process, org))
+    bridge = write("bridge_contrato_proveedor", S.bridge_contrato_proveedor(fact, suppliers))
+    for name, df in _role_tables(org, fact, bridge).items():
+        write(name, df)
     SK.export_table(SK.data_dictionary(spark, out), f"{curated_root}/_diccionario")
     SK.export_table(SK.relationships(spark), f"{curated_root}/_relaciones")
     # SNK-7: load summary (rows from footers, seconds per table)
