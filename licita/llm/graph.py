@@ -56,3 +56,17 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     labelled = state.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = state.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return labelled.unionByName(roots)
+
+
+def extended(home: DataFrame, links: DataFrame) -> DataFrame:
+    """``home`` (node, component) after ``links`` (u, v) are added: the search runs
+    on the names of the components that links join, not on all links again."""
+    ends = links.select("u", "v")
+    for c in ("u", "v"):
+        ends = (ends.join(home.toDF(c, "__name"), c, "left").withColumn("__end", F.coalesce("__name", c))
+                .drop(c, "__name").withColumnRenamed("__end", c))
+    joined = connected_components(ends)
+    named = joined.toDF("component", "__name")
+    known = (home.join(named, "component", "left")
+             .select("node", F.coalesce("__name", "component").alias("component")))
+    return materialise(known.unionByName(joined.join(home.select("node"), "node", "left_anti")), "cc-home")

@@ -5,9 +5,12 @@ them collide in a corpus of a billion n-grams has a chance of a few percent,
 and would have to turn a verified count).  Documents with equal sets are one
 class.  Over the classes:
 
-1. a sketch of how often n-grams occur (2^18 sums of all documents' n-grams)
-   orders each set rare first; by that order two sets at least as alike as the
-   threshold share one of their first ``n - ceil(t n) + 1`` n-grams;
+1. each set is ordered rare first: by the number of classes that hold an n-gram,
+   counted exactly over the whole corpus in Spark.  Only n-grams of a part of
+   the vocabulary, chosen by hash and ``SPREAD`` times as large as a prefix, are
+   counted; the others come behind them, by hash (any order that all sets share
+   is a right one).  By it two sets at least as alike as the threshold share one
+   of their first ``n - ceil(t n) + 1`` n-grams;
 2. classes meet at the n-grams of their prefixes.  In the first round each is
    paired only with the least class of the n-gram: a star, not all pairs;
 3. pairs pass the length filter, the positional filter (what the two sets can
@@ -43,9 +46,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import delete_path, materialise, scratch_path
-from .graph import connected_components
+from .graph import connected_components, extended
 
-SKETCH_BITS = 18
+#: the counted part of the vocabulary, as a multiple of a prefix
+SPREAD = 3
 SUFFIX_PARTS = 16
 WANTED_BITS = 20
 #: an n-gram of so many classes is crowded; rounds before all pairs across components are
@@ -84,57 +88,66 @@ def set_key(ngrams: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(ngrams.tobytes())).astype(np.int64))
 
 
-def sketch(docs: DataFrame, n: int) -> np.ndarray:
-    """Sums of n-grams (once a document) by the low 18 bits of their hash."""
-    size = 1 << SKETCH_BITS
+def counted(grams: np.ndarray, percent: int) -> np.ndarray:
+    """Whether each n-gram belongs to the part of the vocabulary that is counted."""
+    return (grams & np.uint64(0xFFFF)).astype(np.int64) * 100 < SPREAD * (100 - percent) << 16
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(size, dtype=np.int64)
-        for batch in batches:
-            for i in range(0, len(batch), 256):
-                grams = np.concatenate([ngram_set(t, n) for t in batch["text"].iloc[i:i + 256]])
-                total += np.bincount((grams & np.uint64(size - 1)).astype(np.int64), minlength=size)
-        at = np.flatnonzero(total)
-        yield pd.DataFrame({"bucket": at.astype("int32"), "n": total[at]})
 
-    sums = (docs.select("text").mapInPandas(count, "bucket int, n long")
-            .groupBy("bucket").agg(F.sum("n").alias("n")).toArrow())
-    out = np.zeros(size, dtype=np.int64)
-    out[sums["bucket"].to_numpy()] = sums["n"].to_numpy()
-    return out
+def prefix_length(size: int, percent: int) -> int:
+    """So many of a set's first n-grams are enough to meet every set alike enough."""
+    return size - -(-percent * size // 100) + 1
 
 
 def signatures(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """Per row: doc_id, key (of its set; null when empty), size, prefix (rare
-    first), parts (counts of the whole set by hash range) and odd (a bit for
-    each of 512 other ranges: whether its count is odd)."""
-    spark = docs.sparkSession
-    seen = spark.sparkContext.broadcast(sketch(docs, n))  # 2 MB whatever the input
+    """Per row: doc_id, text_hash, key (of its set; null when empty), size, ranked
+    (its counted n-grams), late (as many of the others, by hash, as a prefix may
+    need besides), parts (counts of the whole set by hash range) and odd (a bit
+    for each of 512 other ranges: whether its count is odd)."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        often = seen.value
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
+            for doc_id, text_hash, text in zip(batch["doc_id"], batch["text_hash"], batch["text"]):
                 grams = ngram_set(text, n)
                 size = len(grams)
                 if not size:
-                    rows.append((doc_id, None, 0, None, None, None))
+                    rows.append((doc_id, text_hash, None, 0, None, None, None, None))
                     continue
-                order = np.lexsort((grams, often[(grams & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)]))
-                length = size - -(-percent * size // 100) + 1
+                ours = counted(grams, percent)
+                late = grams[~ours][:max(0, prefix_length(size, percent) - int(ours.sum()))]
                 parts = np.bincount((grams >> np.uint64(60)).astype(np.int64), minlength=SUFFIX_PARTS)
                 odd = np.bincount((grams >> np.uint64(40)).astype(np.int64) % PARITY_BITS, minlength=PARITY_BITS) & 1
-                rows.append((doc_id, set_key(grams), size, grams[order[:length]].astype(np.int64),
+                rows.append((doc_id, text_hash, set_key(grams), size, grams[ours].astype(np.int64), late.astype(np.int64),
                              parts.astype(np.int32), np.packbits(odd.astype(np.uint8)).view(np.int64)))
-            frame = pd.DataFrame(rows, columns=["doc_id", "key", "size", "prefix", "parts", "odd"])
+            frame = pd.DataFrame(rows, columns=["doc_id", "text_hash", "key", "size", "ranked", "late", "parts", "odd"])
             frame["doc_id"] = pd.array(frame["doc_id"], dtype="Int64")
             frame["key"] = pd.array(frame["key"], dtype="Int64")
             yield frame
         pa.default_memory_pool().release_unused()
 
-    return docs.select("doc_id", "text").mapInPandas(
-        sign, "doc_id long, key long, size long, prefix array<long>, parts array<int>, odd array<long>")
+    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInPandas(
+        sign, "doc_id long, text_hash long, key long, size long, ranked array<long>, late array<long>, "
+              "parts array<int>, odd array<long>")
+
+
+def prefixes(classes: DataFrame, percent: int) -> DataFrame:
+    """(gram, key, size, at): the n-grams that a class has in its prefix, with
+    their place in its order, of those that two classes have.
+
+    ``classes``: key, size, ranked, late.  N-grams of one class meet nothing, so
+    they are only counted: they fill a set's first places and go no further.  The
+    others are placed from the end of the counted ones, the most frequent last.
+    """
+    posts = (classes.select(F.explode("ranked").alias("gram"), "key", F.lit(-1).alias("late_at"))
+             .unionByName(classes.select(F.posexplode("late").alias("late_at", "gram"), "key")))
+    often = posts.groupBy("gram").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
+    own = classes.select("key", "size", F.size("ranked").alias("n_ranked"))
+    back = Window.partitionBy("key").orderBy(F.col("late_at"), F.desc("often"), F.desc("gram"))
+    place = F.when(F.col("late_at") < 0, F.col("n_ranked") - F.row_number().over(back)).otherwise(
+        F.col("n_ranked") + F.col("late_at"))
+    return (posts.join(often, "gram").join(own, "key").withColumn("at", place)
+            .filter(F.expr(f"at < size - ({percent} * size + 99) div 100 + 1"))
+            .select("gram", "key", "size", "at"))
 
 
 def _needed(a: Column, b: Column, percent: int) -> Column:
@@ -242,32 +255,29 @@ def _verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, perce
     return links
 
 
-def join(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id (the
-    least doc_id that links reach, itself included) and class_size (rows with
-    the same set).  Sets link when 100 x common >= percent x together."""
+def _linked(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``docs`` (doc_id, text_hash, key, size) and the classes (key,
+    doc_id, class_size, home: the name of its component)."""
     spark = docs.sparkSession
     whole = scratch_path(spark, "jaccard-signed")
     signatures(docs, n, percent).write.parquet(whole)
     signed = spark.read.parquet(whole)
-    rows = materialise(signed.select("doc_id", "key", "size"), "jaccard-rows")
+    rows = materialise(signed.select("doc_id", "text_hash", "key", "size"), "jaccard-rows")
     # rows of a class agree in all but the doc_id
     posted = scratch_path(spark, "jaccard-classes")
     (signed.filter("key is not null").groupBy("key")
-     .agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("class_size"), F.first("size").alias("size"),
-          F.first("prefix").alias("prefix"), F.first("parts").alias("parts"), F.first("odd").alias("odd")).write.parquet(posted))
+     .agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("class_size"),
+          *[F.first(c).alias(c) for c in ("size", "ranked", "late", "parts", "odd")]).write.parquet(posted))
     delete_path(spark, whole)  # all that follows reads the classes
     classes = spark.read.parquet(posted)
-    # only n-grams that two classes have matter: counted on n-grams alone
-    posts = classes.select(F.posexplode("prefix").alias("at", "gram"), "key", "size")
-    common = (classes.select(F.explode("prefix").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-              .filter("n > 1").select("gram"))
+    first = materialise(prefixes(classes, percent), "jaccard-prefixes")
+    common = first.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
     odd = classes.select(F.col("key").alias("own_key"), *[F.col("odd")[i].alias(f"own_odd{i}")
                                                           for i in range(PARITY_BITS // 64)])
-    shared = materialise(posts.join(common, "gram").select(
+    shared = materialise(first.join(common, "gram").select(
         "gram", F.col("key").alias("own_key"), F.col("size").alias("own_size"), F.col("at").alias("own_at"))
         .join(odd, "own_key").select("gram", *POST), "jaccard-shared")
-    classes = materialise(classes.drop("prefix", "odd"), "jaccard-meta")
+    classes = materialise(classes.drop("ranked", "late", "odd"), "jaccard-meta")
     delete_path(spark, posted)
     heads = shared.groupBy("gram").agg(F.min(F.struct("own_size", "own_key", *POST[2:])).alias("head")).select(
         "gram", *[F.col(f"head.{c}").alias(c.replace("own_", "o_")) for c in POST])
@@ -293,8 +303,7 @@ def join(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
                    .select("gram", *[F.col("l." + c.replace("own_", "o_")) for c in OWN]))
         pairs = materialise(_meet(crowded.select("gram", *OWN), leaders, tried, percent,
                                   F.col("own_home") != F.col("o_home")), "jaccard-turn")
-        links = materialise(links.unionByName(_verify(docs, classes, pairs, n, percent)), "jaccard-links")
-        home = connected_components(links.toDF("u", "v"))
+        home = extended(home, _verify(docs, classes, pairs, n, percent).toDF("u", "v"))
         tried = materialise(tried.unionByName(pairs), "jaccard-tried")
         crowded = _open(crowded.select("gram", *POST), home)
     if before is not None:
@@ -309,17 +318,21 @@ def join(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     closest = Window.partitionBy("end").orderBy("apart", "a", "b")
     nearest = ends.withColumn("nth", F.row_number().over(closest)).filter(F.col("nth") <= NEAREST).select("a", "b").distinct()
     nearest = materialise(nearest, "jaccard-nearest")
-    links = materialise(links.unionByName(_verify(docs, classes, nearest, n, percent)), "jaccard-links")
-    home = connected_components(links.toDF("u", "v"))
+    home = extended(home, _verify(docs, classes, nearest, n, percent).toDF("u", "v"))
     left = across.join(nearest, ["a", "b"], "left_anti").select("a", "b")
     for c in ("a", "b"):
         left = (left.join(home.toDF(c, f"{c}_new"), c, "left").withColumn(f"{c}_new", F.coalesce(f"{c}_new", c)))
     left = materialise(left.filter("a_new != b_new").select("a", "b"), "jaccard-left")
-    more = _verify(docs, classes, left, n, percent)
-
-    home = connected_components(links.unionByName(more).toDF("u", "v"))
-    grouped = classes.join(home.withColumnRenamed("node", "key"), "key", "left").select(
+    home = extended(home, _verify(docs, classes, left, n, percent).toDF("u", "v"))
+    return rows, classes.join(home.withColumnRenamed("node", "key"), "key", "left").select(
         "key", "doc_id", "class_size", F.coalesce("component", "key").alias("home"))
+
+
+def join(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id (the
+    least doc_id that links reach, itself included) and class_size (rows with
+    the same set).  Sets link when 100 x common >= percent x together."""
+    rows, grouped = _linked(docs, n, percent)
     least = grouped.groupBy("home").agg(F.min("doc_id").alias("component_id"))
     named = grouped.join(least, "home").select("key", "class_size", "component_id")
     return (rows.select("doc_id", F.col("size").alias("n_shingles"), "key").join(named, "key", "left")
@@ -329,12 +342,15 @@ def join(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
-    """``docs`` with one document of each component: that of the least doc_id
-    (of rows equal in doc_id and text one; documents without words and rows
-    without a doc_id all stay)."""
-    kept = (join(docs, n, percent).filter(F.col("doc_id") == F.col("component_id"))
-            .select(F.col("doc_id").alias("__kept")).distinct())
-    with_id = (docs.filter("doc_id is not null").withColumn("__text", F.xxhash64("text"))
-               .join(kept, F.col("doc_id") == F.col("__kept"), "left_semi"))
-    return with_id.dropDuplicates(["doc_id", "__text"]).select(*docs.columns).unionByName(
-        docs.filter("doc_id is null"))
+    """``docs`` with one row of each component: that of the least doc_id (null
+    last), and of its texts that of the least hash; of rows equal in both any
+    one.  Rows without words all stay."""
+    rows, grouped = _linked(docs, n, percent)
+    one = (rows.join(grouped.select("key", "home"), "key").groupBy("home")
+           .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("one"))
+           .select(F.col("one.doc_id").alias("__kept"), F.col("one.text_hash").alias("__kept_text")))
+    words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    kept = (docs.filter(words).withColumn("__text", F.xxhash64("text"))
+            .join(one, F.col("doc_id").eqNullSafe(F.col("__kept")) & (F.col("__text") == F.col("__kept_text")), "left_semi"))
+    return (kept.dropDuplicates(["doc_id", "__text"]).select(*docs.columns)
+            .unionByName(docs.filter(~words)))

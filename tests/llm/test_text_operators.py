@@ -1,6 +1,7 @@
 """Operators on texts against plain Python, and their defined cases."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -10,7 +11,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from licita.llm import jaccard, mixing, packing, pii, quality, queries, secret_scan, sharding, simhash
+from licita.llm import graph, jaccard, mixing, packing, pii, quality, queries, secret_scan, sharding, simhash
 from pyspark.sql import functions as F
 
 from .conftest import SCHEMA, messy_rows, words
@@ -376,16 +377,61 @@ def test_jaccard_chains_and_shared_passages(spark):
     assert got == brute_components(rows)
 
 
+def test_prefixes_follow_exact_frequency(spark):
+    """Counted n-grams come in the order of their class frequency, however many
+    n-grams there are; every pair that links shares one of its prefix."""
+    rng = random.Random(5)
+    shared = [words(rng, 40) for _ in range(6)]
+    rows = [(i, " ".join(rng.sample(shared, rng.randint(1, 4)) + [f"own{i}x{j}" for j in range(rng.randint(0, 90))]))
+            for i in range(120)]
+    rows += [(len(rows) + i, rows[i][1] + " tail") for i in range(40)] + [(500 + i, f"short {i % 7} words") for i in range(9)]
+    signed = jaccard.signatures(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90)
+    classes = signed.filter("key is not null").dropDuplicates(["key"])
+    sets = {r.key: (r["size"], list(r.ranked), list(r.late)) for r in classes.collect()}
+    often = Counter(g for _, ranked, late in sets.values() for g in ranked + late)
+    want = set()
+    for key, (size, ranked, late) in sets.items():
+        order = sorted(ranked, key=lambda g: (often[g] > 1, often[g] > 1 and often[g], g)) + late
+        want |= {(g, key, size, at) for at, g in enumerate(order[:jaccard.prefix_length(size, 90)]) if often[g] > 1}
+    assert {tuple(r) for r in jaccard.prefixes(classes, 90).collect()} == want and want
+    whole = {jaccard.set_key(s): set(s.tolist()) for s in (jaccard.ngram_set(t, 3) for _, t in rows)}
+    mine = {}
+    for g, key, _, _ in want:
+        mine.setdefault(key, set()).add(g)
+    for x, y in itertools.combinations(whole, 2):
+        if 100 * len(whole[x] & whole[y]) >= 90 * len(whole[x] | whole[y]):
+            assert mine[x] & mine[y]
+
+
+def test_components_extended_as_searched_anew(spark):
+    rng = random.Random(8)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(260)]
+    frame = lambda e: spark.createDataFrame(e, "u long, v long")
+    home = graph.extended(graph.connected_components(frame(edges[:130])), frame(edges[130:]))
+    assert {tuple(r) for r in home.collect()} == {tuple(r) for r in graph.connected_components(frame(edges)).collect()}
+    assert graph.extended(home, frame([])).count() == home.count()
+
+
 def test_keep_first_keeps_one_of_each_component(spark, messy):
     rows = [r[:2] for r in messy_rows()]
     component = {(d, n): c for d, n, c in brute_components(rows)}
     kept = jaccard.keep_first(messy).collect()
     ids = [r.doc_id for r in kept if r.doc_id is not None]
     assert all(d in {c for c in component.values()} for d in ids)
-    assert sum(r.doc_id is None for r in kept) == sum(d is None for d, _ in rows)
     assert {0, 3, 4, 5, 8} <= set(ids) and 1 not in ids and 2 not in ids and 7 not in ids
 
 
+def test_keep_first_reduces_null_and_repeated_ids(spark):
+    rng = random.Random(3)
+    one, two, three = words(rng, 90), words(rng, 90), words(rng, 90)
+    rows = [(None, one), (None, one), (1, one), (None, two), (None, two), (7, three), (7, three + " more"), (7, three),
+            (None, ""), (None, None), (9, " \n")]
+    kept = jaccard.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = Counter((r.doc_id, (r.text or "")[:90].strip()) for r in kept)
+    assert got == Counter({(1, one[:90].strip()): 1, (None, two[:90].strip()): 1, (7, three[:90].strip()): 1,
+                           (None, ""): 2, (9, ""): 1})
+
+
 # --- mixing
 
 def test_mixing_matches_sql(spark, messy):
