@@ -12,7 +12,8 @@ weighted by similarity.
 Labelled documents are bounded by ``max_labelled`` (a documented parameter):
 those with the least hash of doc_id are taken, half of them of each label where
 there are enough.  So the broadcast is at most max_labelled x DIMS numbers,
-4 MB, and the driver sees at most max_labelled x TERMS numbers; every
+4 MB, and the driver sees at most max_labelled x TERMS numbers, of which it makes
+one copy (its fit holds no matrix of terms by terms); every
 document is scored, whatever the size.  Labels, lang, source and doc_id enter
 no vector; doc_id only chooses whose labels may be seen.
 
@@ -36,6 +37,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 TERMS = 2048
 DIMS = 64
+#: directions carried besides, and turns, in the search for the leading ones
+SPARE_DIMS, TURNS = 32, 12
 NEIGHBOURS = 25
 MAX_LABELLED = 4096
 #: similarity is raised to this power before it weighs a vote
@@ -103,12 +106,13 @@ class Voters:
 
     def __init__(self, bags: np.ndarray, labels: np.ndarray, dims: int = DIMS):
         self.labels = labels.astype(np.float32)
-        seen = (bags > 0).sum(axis=0)
+        seen = np.count_nonzero(bags, axis=0)
         self.rarity = np.log((1 + len(bags)) / (1 + seen)).astype(np.float32) + np.float32(0.1)
-        weighted = self._weigh(bags)
-        gram = weighted.T @ weighted
-        _, vectors = np.linalg.eigh(gram.astype(np.float64))
-        self.axes = vectors[:, ::-1][:, :dims].astype(np.float32)
+        weighted = bags.astype(np.float32)  # the one copy that is made of the bags
+        weighted *= self.rarity
+        size = np.sqrt(np.einsum("ij,ij->i", weighted, weighted))[:, None]
+        np.divide(weighted, size, out=weighted, where=size > 0)
+        self.axes = self._principal(weighted, dims)
         self.vectors = self._unit(weighted @ self.axes)
         # each label's votes weigh the same in all
         good = max(1.0, float(self.labels.sum()))
@@ -116,6 +120,17 @@ class Voters:
         self.weight = np.where(self.labels > 0, 1 / good, 1 / bad).astype(np.float32)
         self.weight /= self.weight.mean()
 
+    @staticmethod
+    def _principal(x: np.ndarray, dims: int) -> np.ndarray:
+        """The leading right singular vectors of ``x`` by subspace iteration from a
+        fixed start: no matrix of terms by terms is made on the driver."""
+        width = min(dims + SPARE_DIMS, *x.shape)
+        axes = np.random.default_rng(0).standard_normal((x.shape[1], width)).astype(np.float32)
+        for _ in range(TURNS):
+            axes, _ = np.linalg.qr(x.T @ (x @ np.linalg.qr(axes)[0]))
+        _, _, turn = np.linalg.svd(x @ axes, full_matrices=False)
+        return np.ascontiguousarray((axes @ turn.T)[:, :dims])
+
     @staticmethod
     def _unit(x: np.ndarray) -> np.ndarray:
         size = np.sqrt((x * x).sum(axis=1, keepdims=True))
@@ -159,8 +174,11 @@ def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
            .dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id"))
     if not got.num_rows:
         return None
-    bags = np.frombuffer(b"".join(x.as_buffer() for x in got["bag"]), dtype=np.float16)
-    return Voters(bags.reshape(-1, TERMS).astype(np.float32), (got["quality"].to_numpy() != 0))
+    bags = np.stack([np.frombuffer(x.as_buffer(), dtype=np.float16) for x in got["bag"]])
+    labels = got["quality"].to_numpy() != 0
+    del got
+    pa.default_memory_pool().release_unused()
+    return Voters(bags, labels)
 
 
 def score(docs: DataFrame, voters: Voters | None, name: str = "quality_score",
