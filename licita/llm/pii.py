@@ -1,16 +1,17 @@
 """PII removal by format-preserving Feistel pseudonyms, in DataFrame expressions.
 
 Numbers and dates that pass their check (card numbers with a right Luhn digit,
-telephone and identity numbers by their form, dates of the calendar, IPv4
-addresses with parts up to 255) are replaced by another value of the same
+telephone numbers by their form, identity numbers with no part of zeros and
+no area 666, dates of the calendar, IPv4 addresses with parts up to 255) are replaced by another value of the same
 format, by a keyed permutation of all values of that format: equal values get
 equal pseudonyms in every document, different ones stay different.  Of a mail
 address, which has no fixed format, a keyed hash is left.
 
 The permutation is a Feistel network over digit strings: the two halves of a
-number are shifted in turn by a keyed hash of the other, modulo a power of
-ten, so every round can be undone and digits stay digits.  Where not all
-values are of the format (dates, addresses) the network is applied again until
+number are shifted in turn by a SHA-256 of the key, the round, the length and
+the other half, modulo a power of ten, so every round can be undone and digits
+stay digits, and known pairs do not give the key away.  Where not all values are
+of the format (dates, addresses, identity numbers) the network is applied again until
 the value is one of the format, which is still a permutation.  A card's check
 digit is computed anew.
 
@@ -40,6 +41,8 @@ KINDS = ("email", "date", "ip", "ssn", "card", "phone")
 ROUNDS = 8
 #: a date's pseudonym is one of so many days from FIRST_DAY (up to 2099-12-31)
 FIRST_DAY, DAYS = "1900-01-01", 73049
+#: identity numbers: areas 001 to 999 without 666, groups 01 to 99, serials 0001 to 9999
+NO_AREA, AREAS, GROUPS, SERIALS = 666, 998, 99, 9999
 #: applications of the network after which a walk ends (it ends before, but for one in 10 ** 15 values)
 WALK = 64
 
@@ -69,6 +72,12 @@ ANY = "|".join(FORMS.values())
 GATE = "[0-9]{2}|@"
 
 
+def keyed(key: str, *parts: Column) -> Column:
+    """A long from 0 to 2 ** 60 - 1: the first 60 bits of SHA-256 of the key and the numbers."""
+    digest = F.sha2(F.concat_ws(":", F.lit(key), *[p.cast("string") for p in parts]), 256)
+    return F.conv(F.left(digest, F.lit(15)), 16, 10).cast("long")
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once."""
     return F.element_at(F.transform(F.array(value), body), 1)
@@ -88,7 +97,7 @@ def feistel(digits: Column, key: str, back: bool = False) -> Column:
                          F.rpad(F.lit("1"), n - at + 1, "0").cast("long").alias("rm"))
 
         def turn(s: Column, i: Column) -> Column:
-            shift = lambda half, mod: F.pmod(F.xxhash64(F.lit(key), i, n, half), mod)
+            shift = lambda half, mod: F.pmod(keyed(key, i, n, half), mod)
             other = F.when(i % 2 == 0, s["l"]).otherwise(
                 F.pmod(s["l"] + sign * shift(s["r"], s["lm"]), s["lm"]))
             right = F.when(i % 2 == 0, F.pmod(s["r"] + sign * shift(s["l"], s["rm"]), s["rm"])).otherwise(s["r"])
@@ -142,7 +151,7 @@ def kind_of(value: Column) -> Column:
     return (F.when(value.contains("@"), "email")
             .when(whole("date"), F.when((day >= F.lit(FIRST_DAY)) & (day < F.date_add(F.lit(FIRST_DAY).cast("date"), DAYS)), "date"))
             .when(whole("ip"), F.when(octets, "ip"))
-            .when(whole("ssn"), "ssn")
+            .when(whole("ssn"), F.when(~value.rlike(f"^(?:000|{NO_AREA})|-00-|0000$"), "ssn"))
             .otherwise("phone"))
 
 
@@ -191,6 +200,17 @@ def pseudonym(value: Column, kind: Column, key: str) -> Column:
     first = F.lit(FIRST_DAY).cast("date")
     parts = F.split(value, "[.]")
     address = F.aggregate(parts, F.lit(0).cast("long"), lambda a, x: a * 256 + x.cast("long"))
+    part = F.split(value, "-")
+    area = part[0].cast("long")
+    person = (((area - F.when(area > NO_AREA, 2).otherwise(1)) * GROUPS + part[1].cast("long") - 1) * SERIALS
+              + part[2].cast("long") - 1)
+    padded = lambda number, n: F.lpad(number.cast("string"), n, "0")
+
+    def identity(n: Column) -> Column:
+        a = F.floor(n / (GROUPS * SERIALS)) + 1
+        return F.concat_ws("-", padded(a + F.when(a >= NO_AREA, 1).otherwise(0), 3),
+                           padded(F.floor(n / SERIALS) % GROUPS + 1, 2), padded(n % SERIALS + 1, 4))
+
     octet = lambda a, i: F.shiftright(a, 8 * i).bitwiseAND(F.lit(255)).cast("string")
     return (F.when(kind == "email", F.concat(F.lit("u"), F.left(F.sha2(F.concat(F.lit(key), F.lower(value)), 256), F.lit(16)),
                                              F.lit("@example.invalid")))
@@ -198,6 +218,7 @@ def pseudonym(value: Column, kind: Column, key: str) -> Column:
                 F.datediff(F.try_to_date(value, "yyyy-MM-dd"), first), 5, DAYS, key).cast("int")).cast("string"))
             .when(kind == "ip", let(walked(address, 10, 1 << 32, key),
                                     lambda a: F.concat_ws(".", *[octet(a, i) for i in (3, 2, 1, 0)])))
+            .when(kind == "ssn", let(walked(person, 9, AREAS * GROUPS * SERIALS, key), identity))
             .when(kind == "card", let(feistel(_body(digits), key),
                                       lambda d: put_digits(value, F.concat(d, check_digit(d)))))
             .otherwise(put_digits(value, feistel(digits, key))))
