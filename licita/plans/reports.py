@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import quality as Q
 from ..operators import reports as R
-from .curated import curated_star, written_star
+from .curated import DIM_COLUMNS, curated_star, written_star
 
 # Indicator names of the curated quality control, in order.
 CURATED_INDICATORS = [
@@ -57,7 +57,7 @@ def supplier_list_per_contract(spark, sf_dir) -> DataFrame:
 
 def indicators(spark, sf_dir) -> DataFrame:
     """AGG-4: the 18 curated indicators as INDICADOR / VALOR rows."""
-    st = written_star(spark, sf_dir)
+    st = written_star(spark, sf_dir, "TIPO_RELACION_REGISTRO", *DIM_COLUMNS)
     n = F.count(F.lit(1))
     names = CURATED_INDICATORS
 
@@ -128,7 +128,7 @@ def orphans_and_anti(spark, sf_dir) -> DataFrame:
 
 def review_samples(spark, sf_dir) -> DataFrame:
     """S-4: review samples (LIMIT 1000 is the feature), ordered for determinism."""
-    st = written_star(spark, sf_dir)
+    st = written_star(spark, sf_dir, "ID_CONTRATO", "MONTO_CONTRATO", "TIPO_RELACION_REGISTRO")
     f = st["fact"]
     no_entity = (f.filter(F.col("CLAVE_ENTIDAD").isNull())
                  .select(F.lit("SIN_ENTIDAD").alias("MUESTRA"), "CLAVE_CONTRATO", "OCID",
