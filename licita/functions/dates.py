@@ -63,10 +63,11 @@ def parse_date(c: Column, formats: list[str] | None = None) -> Column:
 
 def parse_pair(s: Column, month_first: Column) -> Column:
     """A text of PAIR_SHAPE by the given order; NULL where that is no date."""
-    part = lambda i: F.regexp_extract(s, r"^([0-9]{1,2})[/.-]([0-9]{1,2})[/.-]([0-9]{4})(.*)$", i)
-    day, month = F.when(month_first, part(2)).otherwise(part(1)), F.when(month_first, part(1)).otherwise(part(2))
-    return F.when(s.rlike(PAIR_SHAPE), F.concat(part(3), F.lit("-"), F.lpad(month, 2, "0"), F.lit("-"), F.lpad(day, 2, "0"),
-                                                part(4)).try_cast("timestamp_ntz"))
+    # year, month, day, time in one pass; the cast takes a month or day of one digit
+    turned = lambda order: F.regexp_replace(
+        s, r"^([0-9]{1,2})[/.-]([0-9]{1,2})[/.-]([0-9]{4})(.*)$", order)
+    return F.when(s.rlike(PAIR_SHAPE), F.when(month_first, turned("$3-$1-$2$4")).otherwise(turned("$3-$2-$1$4"))
+                  .try_cast("timestamp_ntz"))
 
 
 def parse_date_by(c: Column, month_first: Column) -> Column:

@@ -56,8 +56,9 @@ ACCENT_FROM, ACCENT_TO = _accent_map()
 
 
 def collapse_ws(c: Column) -> Column:
-    """Unicode whitespace runs -> one space, then strip."""
-    return F.trim(F.regexp_replace(c, WS_RUN, " "))
+    """Unicode whitespace runs -> one space, then strip.  A text of visible ASCII
+    alone has none and is not gone through by character class."""
+    return F.when(c.rlike(r"[^\x21-\x7e]"), F.trim(F.regexp_replace(c, WS_RUN, " "))).otherwise(c)
 
 
 def clean_text(c: Column) -> Column:

@@ -10,7 +10,7 @@ Python.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,8 +41,10 @@ def conform(raw: DataFrame, mapping: dict[str, str], columns: Sequence[str]) ->
     return raw.select(*exprs, *lineage)
 
 
-def _with_dup(df: DataFrame, key: str) -> DataFrame:
-    return duplicate_flag(df, FILE_KEYS + [key])
+def _with_dup(df: DataFrame, key: str, cut: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """``cut`` writes the cleaned rows and reads them back: the flag reads them twice,
+    and would clean and parse them twice."""
+    return duplicate_flag(cut(df) if cut else df, FILE_KEYS + [key])
 
 
 def _controls(staged: DataFrame, source: DataFrame, table: str, ruc: str | None,
@@ -102,7 +104,8 @@ def _clean(df: DataFrame, ids: Sequence[str], texts: Sequence[str]) -> dict[str,
     return out
 
 
-def stage_registros(raw: DataFrame, votes: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def stage_registros(raw: DataFrame, votes: DataFrame | None = None,
+                    cut: Callable | None = None) -> tuple[DataFrame, DataFrame]:
     c = conform(raw, SC.REGISTROS_MAP, SC.REGISTROS_COLUMNS)
     ids = ["OCID", "ID_ENTREGA", "ID_COMPRADOR_ORIGINAL", "ID_LICITACION",
            "ID_ENTIDAD_CONTRATANTE_ORIGINAL"]
@@ -124,11 +127,12 @@ def stage_registros(raw: DataFrame, votes: DataFrame | None = None) -> tuple[Dat
     })
     staged = c.filter(F.col("OCID").isNotNull() & F.col("ID_ENTREGA").isNotNull()) \
         .withColumn("CLAVE_REGISTRO", K.pipe_key(F.col("OCID"), F.col("ID_ENTREGA")))
-    staged = _with_dup(staged, "CLAVE_REGISTRO")
+    staged = _with_dup(staged, "CLAVE_REGISTRO", cut)
     return staged, file_controls("registros", staged, raw)
 
 
-def stage_contratos(raw: DataFrame, votes: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def stage_contratos(raw: DataFrame, votes: DataFrame | None = None,
+                    cut: Callable | None = None) -> tuple[DataFrame, DataFrame]:
     c = conform(raw, SC.CONTRATOS_MAP, SC.CONTRATOS_COLUMNS)
     ids = ["OCID", "ID_ENTREGA", "ID_CONTRATO", "ID_ADJUDICACION"]
     texts = ["TITULO_CONTRATO", "DESCRIPCION_CONTRATO", "MONEDA_CONTRATO",
@@ -138,11 +142,12 @@ def stage_contratos(raw: DataFrame, votes: DataFrame | None = None) -> tuple[Dat
                        ["DURACION_DIAS", "MONTO_CONTRATO", "MONTO_FINAL"]})
     staged = c.filter(F.col("OCID").isNotNull() & F.col("ID_CONTRATO").isNotNull()) \
         .withColumn("CLAVE_CONTRATO", K.pipe_key(F.col("OCID"), F.col("ID_CONTRATO")))
-    staged = _with_dup(staged, "CLAVE_CONTRATO")
+    staged = _with_dup(staged, "CLAVE_CONTRATO", cut)
     return staged, file_controls("contratos", staged, raw)
 
 
-def stage_proveedores(raw: DataFrame, votes: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def stage_proveedores(raw: DataFrame, votes: DataFrame | None = None,
+                      cut: Callable | None = None) -> tuple[DataFrame, DataFrame]:
     c = conform(raw, SC.PROVEEDORES_MAP, SC.PROVEEDORES_COLUMNS)
     ids = ["OCID", "ID_ENTREGA", "ID_ADJUDICACION", "ID_PROVEEDOR_ORIGINAL"]
     c = c.withColumns(_clean(c, ids, ["NOMBRE_PROVEEDOR_ORIGINAL"]))
@@ -157,11 +162,12 @@ def stage_proveedores(raw: DataFrame, votes: DataFrame | None = None) -> tuple[D
     staged = c.filter(ok).withColumn(
         "CLAVE_PROVEEDOR_ADJUDICACION",
         K.pipe_key(F.col("OCID"), F.col("ID_ADJUDICACION"), F.col("ID_PROVEEDOR")))
-    staged = _with_dup(staged, "CLAVE_PROVEEDOR_ADJUDICACION")
+    staged = _with_dup(staged, "CLAVE_PROVEEDOR_ADJUDICACION", cut)
     return staged, file_controls("proveedores", staged, raw)
 
 
-def stage_partes(raw: DataFrame, votes: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def stage_partes(raw: DataFrame, votes: DataFrame | None = None,
+                 cut: Callable | None = None) -> tuple[DataFrame, DataFrame]:
     c = conform(raw, SC.PARTES_MAP, SC.PARTES_COLUMNS)
     ids = ["OCID", "ID_ENTREGA", "ID_ORGANIZACION", "IDENTIFICADOR_PRINCIPAL"]
     texts = [x for x in SC.PARTES_COLUMNS if x not in ids]
@@ -189,7 +195,7 @@ def stage_partes(raw: DataFrame, votes: DataFrame | None = None) -> tuple[DataFr
         "CLAVE_ORGANIZACION": K.org_key(F.col("RUC_ORGANIZACION"), F.col("ID_ORGANIZACION")),
         "CLAVE_PARTE": K.pipe_key(F.col("OCID"), F.col("ID_ENTREGA"), part_id),
     })
-    staged = _with_dup(staged, "CLAVE_PARTE")
+    staged = _with_dup(staged, "CLAVE_PARTE", cut)
     return staged, file_controls("partes", staged, raw)
 
 

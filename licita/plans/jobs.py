@@ -22,7 +22,7 @@ from ..operators import schema_checks as SCH
 from ..operators import staging as ST
 from ..operators import star as S
 from ..operators import warehouse as W
-from ..session import materialise, release_scratch, scratch_mark
+from ..session import compiled_code, materialise, release_scratch, scratch_mark
 from ..sources import landing as L
 from ..sources import manifest as M
 from ..sources import schemas as SC
@@ -81,7 +81,7 @@ def _stage_dataset(spark: SparkSession, ds: str, sheet: DataFrame, staging_root:
     if votes is not None:
         votes = materialise(votes, f"layouts-{ds}")
         SK.append_history(votes.withColumns(run), f"{staging_root}/_disposicion")
-    staged, _ = ST.STAGERS[ds](good, votes)
+    staged, _ = ST.STAGERS[ds](good, votes, lambda df: materialise(df, f"clean-{ds}"))
     SK.write_months(staged.observe(wrote, F.count(F.lit(1)).alias("n"), F.count_if("ES_DUPLICADO_CLAVE").alias("d")),
                     f"{staging_root}/{ds}")
     # the controls read what was written, of these months alone
@@ -141,7 +141,8 @@ def run_staging(spark: SparkSession, landing_root: str, staging_root: str, force
             continue
         sheet = L.read_sheet(spark, sorted(paths), fmt, multi_line, found, keep_bad=True,
                              first_year=first_year, last_year=last_year)
-        totals.append(_stage_dataset(spark, ds, sheet, staging_root))
+        with compiled_code(spark):
+            totals.append(_stage_dataset(spark, ds, sheet, staging_root))
         done = (changes.filter("VALIDA").filter(F.col("MES").isin(sorted({r.MES for r in todo})))
                 .select("RUTA", "SHA256", F.lit(_now()).alias("PROCESADO_EN"),
                         F.array(F.lit(f"{staging_root}/{ds}")).alias("SALIDAS"), "BYTES", "MODIFICADO"))

@@ -55,7 +55,8 @@ def with_lineage(df: DataFrame, path_col: Column | None = None, first_year: int
         "ANIO_ARCHIVO": F.when(ok, yi).otherwise(
             F.raise_error(F.concat(F.lit("periodo invalido en la ruta: "), p)).cast("int")),
         "MES_ARCHIVO": mi,
-        "ARCHIVO_ORIGEN": F.regexp_extract(p, r"([^/]+)$", 1),
+        # the regular expression ([^/]+)$ tries every place of every folder's name, row by row
+        "ARCHIVO_ORIGEN": F.substring_index(p, "/", -1),
     })
 
 
