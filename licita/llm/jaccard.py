@@ -45,7 +45,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import delete_path, materialise, scratch_path
+from ..session import delete_path, free_shuffles, materialise, scratch_path
 from .graph import connected_components, extended
 
 #: the counted part of the vocabulary, as a multiple of a prefix
@@ -140,7 +140,9 @@ def prefixes(classes: DataFrame, percent: int) -> DataFrame:
     """
     posts = (classes.select(F.explode("ranked").alias("gram"), "key", F.lit(-1).alias("late_at"))
              .unionByName(classes.select(F.posexplode("late").alias("late_at", "gram"), "key")))
-    often = posts.groupBy("gram").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
+    # counted and written first: the shuffle of the count is freed before that of the join is made
+    often = materialise(posts.groupBy("gram").agg(F.count(F.lit(1)).alias("often")).filter("often > 1"), "jaccard-often")
+    free_shuffles(classes.sparkSession)
     own = classes.select("key", "size", F.size("ranked").alias("n_ranked"))
     back = Window.partitionBy("key").orderBy(F.col("late_at"), F.desc("often"), F.desc("gram"))
     place = F.when(F.col("late_at") < 0, F.col("n_ranked") - F.row_number().over(back)).otherwise(
@@ -269,8 +271,10 @@ def _linked(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame
      .agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("class_size"),
           *[F.first(c).alias(c) for c in ("size", "ranked", "late", "parts", "odd")]).write.parquet(posted))
     delete_path(spark, whole)  # all that follows reads the classes
+    free_shuffles(spark)
     classes = spark.read.parquet(posted)
     first = materialise(prefixes(classes, percent), "jaccard-prefixes")
+    free_shuffles(spark)
     common = first.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
     odd = classes.select(F.col("key").alias("own_key"), *[F.col("odd")[i].alias(f"own_odd{i}")
                                                           for i in range(PARITY_BITS // 64)])
@@ -279,10 +283,13 @@ def _linked(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame
         .join(odd, "own_key").select("gram", *POST), "jaccard-shared")
     classes = materialise(classes.drop("ranked", "late", "odd"), "jaccard-meta")
     delete_path(spark, posted)
+    free_shuffles(spark)
     heads = shared.groupBy("gram").agg(F.min(F.struct("own_size", "own_key", *POST[2:])).alias("head")).select(
         "gram", *[F.col(f"head.{c}").alias(c.replace("own_", "o_")) for c in POST])
     star = materialise(_meet(shared, heads, spark.createDataFrame([], "a long, b long"), percent), "jaccard-star")
+    free_shuffles(spark)
     links = _verify(docs, classes, star, n, percent)
+    free_shuffles(spark)
     home = connected_components(links.toDF("u", "v"))
 
     # n-grams whose classes are not all in one component yet.  In crowded ones a few of the

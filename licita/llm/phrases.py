@@ -11,8 +11,8 @@ cyclic scans of the corpus in which all lengths are counted at once:
    subphrases (without the last and without the first word) have reached the
    least count in what has been scanned so far, is counted for one full cycle of the
    shards, and is then complete;
-3. after each step the counts are added up; complete phrases below the least
-   count are forgotten.  The scans end when a full cycle has activated nothing;
+3. after each step the counts are added up and its shuffle files freed; complete phrases
+   below the least count are forgotten.  The scans end when a full cycle has activated nothing;
 4. until then a phrase is 128 bits of hash; a last scan spells those that were found.
 
 Which phrases have reached the count, and when, is told to the tasks by a table
@@ -41,7 +41,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import delete_path, materialise, scratch_path
+from ..session import delete_path, free_shuffles, materialise, scratch_path
 
 MAX_WORDS = 5
 LEAST = 100
@@ -291,6 +291,8 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, max_words: int = MAX_W
         if state_path:
             delete_path(spark, state_path)
         state, state_path = spark.read.schema(added.schema).parquet(path), path
+        del both, added, counted
+        free_shuffles(spark)  # this step's, before the next makes its own
         # two numbers of 32 and 8 bits a cell at most
         new = (state.filter(F.col("known") == step).groupBy(cell_of(F.col("k1"), cells).alias("cell"))
                .agg(F.min("size").alias("size")).toArrow())
@@ -313,6 +315,8 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, max_words: int = MAX_W
         texts = scan(shard).mapInArrow(_spell(table, wanted, max_words), TEXTS).distinct()
         named = materialise(nameless.join(texts, ["k1", "k2"], "left")
                             .select("k1", "k2", "lang", "phrase", "size", "n"), "phrases-named")
+        del texts
+        free_shuffles(spark)
         phrases = phrases.unionByName(named.filter("phrase is not null").select("lang", "phrase", "size", "n"))
         nameless = named.filter("phrase is null").select("k1", "k2", "size", "n")
     delete_path(spark, chunks_path)
