@@ -134,7 +134,10 @@ def review_samples(spark, sf_dir) -> DataFrame:
                  .select(F.lit("SIN_ENTIDAD").alias("MUESTRA"), "CLAVE_CONTRATO", "OCID",
                          "ID_CONTRATO", "MONTO_CONTRATO", "TIPO_RELACION_REGISTRO")
                  .orderBy("CLAVE_CONTRATO").limit(1000))
-    no_sup = (Q.without_match(f, st["bridge"], ["CLAVE_CONTRATO"])
+    # the keys alone are matched; the 1000 that are shown then fetch their rows
+    keys = (Q.without_match(f.select("CLAVE_CONTRATO"), st["bridge"], ["CLAVE_CONTRATO"])
+            .orderBy("CLAVE_CONTRATO").limit(1000))
+    no_sup = (f.join(F.broadcast(keys), "CLAVE_CONTRATO")
               .select(F.lit("SIN_PROVEEDOR").alias("MUESTRA"), "CLAVE_CONTRATO", "OCID",
                       "ID_CONTRATO", "MONTO_CONTRATO", "TIPO_RELACION_REGISTRO")
               .orderBy("CLAVE_CONTRATO").limit(1000))
