@@ -11,8 +11,9 @@ cyclic scans of the corpus in which all lengths are counted at once:
    subphrases (without the last and without the first word) have reached the
    least count in what has been scanned so far, is counted for one full cycle of the
    shards, and is then complete;
-3. after each step the counts are added up and its shuffle files freed; complete phrases
-   below the least count are forgotten.  The scans end when a full cycle has activated nothing;
+3. after each step its counts are added to those so far, which are kept dealt by phrase and
+   not exchanged again, and its shuffle files freed; complete phrases below the least count
+   are forgotten.  The scans end when a full cycle has activated nothing;
 4. until then a phrase is 128 bits of hash; a last scan spells those that were found.
 
 Which phrases have reached the count, and when, is told to the tasks by a table
@@ -41,7 +42,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import delete_path, free_shuffles, materialise, scratch_path
+from ..session import delete_path, free_shuffles, materialise, materialise_dealt, scratch_path
 
 MAX_WORDS = 5
 LEAST = 100
@@ -61,7 +62,7 @@ CHUNKS = "lang string, shard int, n long, words binary, hashes binary, ids binar
 #: a phrase goes by 96 bits of hash over its language and words (k1, k2)
 COUNTS = "k1 long, k2 int, size int, start int, n long"
 TEXTS = "k1 long, k2 int, lang string, phrase string"
-#: words that a scanning task adds up before it hands its counts on
+#: words that a scanning task adds up before it hands its counts on, about and not more
 TASK_WORDS = 4_000_000
 
 
@@ -91,7 +92,17 @@ class _Numbers:
         return pa.RecordBatch.from_pydict({
             "lang": [lang], "shard": pa.array([shard], pa.int32()), "n": [int((ids != 0).sum())],
             "words": pa.array([b" ".join(words)], pa.binary()),
-            "hashes": pa.array([_hashes(lang, words).tobytes()], pa.binary()), "ids": pa.array([ids.tobytes()], pa.binary())})
+            "hashes": pa.array([_hashes(lang, words).tobytes()], pa.binary()), "ids": pa.array([_planes(ids)], pa.binary())})
+
+
+def _planes(ids: np.ndarray) -> bytes:
+    """First bytes of all numbers, then the second and so on: high ones are mostly 0
+    and compress to nothing."""
+    return ids.astype("<i4", copy=False).view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _from_planes(packed) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(packed, dtype=np.uint8).reshape(4, -1).T).view("<i4").ravel()
 
 
 def encode(docs: DataFrame, shards: int, chunk_words: int = CHUNK_WORDS) -> DataFrame:
@@ -214,7 +225,7 @@ def _unpacked(batches: Iterator[pa.RecordBatch]):
             lang, words, hashes, ids = (batch.column(c)[i] for c in ("lang", "words", "hashes", "ids"))
             both = np.frombuffer(hashes.as_buffer(), dtype="<u8").reshape(-1, 2)
             yield (lang.as_py(), words, np.ascontiguousarray(both[:, 0]), both[:, 1],
-                   np.frombuffer(ids.as_buffer(), dtype=np.int32))
+                   _from_planes(ids.as_buffer()))
 
 
 def _second(ids: np.ndarray, places: np.ndarray, size: int, second: np.ndarray) -> np.ndarray:
@@ -251,6 +262,15 @@ def _spell(table, cells, max_words: int):
     return run
 
 
+def add_counts(state: DataFrame, counted: DataFrame) -> DataFrame:
+    """The counts of a step added to those so far; both have a phrase once.  The
+    ``state`` is dealt by phrase, so only ``counted`` is exchanged."""
+    new = counted.select("k1", "k2", *[F.col(c).alias(f"_{c}") for c in ("size", "start", "n")])
+    return state.join(new, ["k1", "k2"], "full_outer").select(
+        "k1", "k2", F.greatest("size", "_size").alias("size"), F.greatest("start", "_start").alias("start"),
+        (F.coalesce("n", F.lit(0)) + F.coalesce("_n", F.lit(0))).alias("n"), "known")
+
+
 def frequent_phrases(docs: DataFrame, least: int = LEAST, max_words: int = MAX_WORDS, shards: int = SHARDS,
                      max_cells: int = MAX_CELLS, chunk_words: int = CHUNK_WORDS) -> tuple[DataFrame, DataFrame]:
     """(phrases, totals): lang, phrase, size and n (count) of every phrase of up to
@@ -260,14 +280,14 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, max_words: int = MAX_W
         raise ValueError(f"shards * max_words must be below {NEVER}")
     spark = docs.sparkSession
     chunks_path = scratch_path(spark, "phrases-chunks")
-    encode(docs, shards, chunk_words).write.partitionBy("shard").parquet(chunks_path)
+    encode(docs, shards, chunk_words).write.option("compression", "zstd").partitionBy("shard").parquet(chunks_path)
     chunks = spark.read.schema(CHUNKS).parquet(chunks_path)
     totals = materialise(chunks.groupBy("lang").agg(F.sum("n").alias("n")), "phrases-totals")
     all_words = totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     cells = 1 << 16
     while cells < max_cells and cells < 8 * all_words // least:
         cells *= 2
-    tasks = max(1, all_words // (shards * TASK_WORDS))
+    tasks = max(1, -(-all_words // (shards * TASK_WORDS)))
 
     def scan(shard: int) -> DataFrame:
         return chunks.filter(F.col("shard") == shard).select("lang", "words", "hashes", "ids").coalesce(tasks)
@@ -278,20 +298,18 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, max_words: int = MAX_W
         step += 1
         table = spark.sparkContext.broadcast(since)
         counted = (scan(step % shards).mapInArrow(_count(table, step, shards, max_words), COUNTS)
-                   .withColumn("known", F.lit(None).cast("int")))
-        both = counted if state is None else state.unionByName(counted)
-        added = both.groupBy("k1", "k2").agg(
-            F.max("size").alias("size"), F.max("start").alias("start"), F.sum("n").alias("n"),
-            F.min("known").alias("known"))
+                   .groupBy("k1", "k2").agg(F.max("size").alias("size"), F.max("start").alias("start"), F.sum("n").alias("n")))
+        added = (counted.withColumn("known", F.lit(None).cast("int")) if state is None
+                 else add_counts(state, counted))
         added = (added.withColumn("known", F.when(F.col("n") >= least, F.coalesce("known", F.lit(step))))
                  .filter(F.col("known").isNotNull() | (F.col("start") + (shards - 1) > step)))
         path = scratch_path(spark, "phrases-counts")
-        added.write.parquet(path)
+        added = materialise_dealt(added, ["k1", "k2"], "phrases_counts", path)
         table.unpersist()
         if state_path:
             delete_path(spark, state_path)
-        state, state_path = spark.read.schema(added.schema).parquet(path), path
-        del both, added, counted
+        state, state_path = added, path
+        del added, counted
         free_shuffles(spark)  # this step's, before the next makes its own
         # two numbers of 32 and 8 bits a cell at most
         new = (state.filter(F.col("known") == step).groupBy(cell_of(F.col("k1"), cells).alias("cell"))
