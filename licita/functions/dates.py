@@ -20,7 +20,8 @@ DATE_SHAPES = [
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}$",
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$",
     r"^[0-9]{2}/[0-9]{2}/[0-9]{4} [0-9]{2}:[0-9]{2}:[0-9]{2}$",
-    r"^[0-9]{2}/[0-9]{2}/[0-9]{4}$",
+    # no day that the month never has: a parse that fails costs more than ten that do not
+    r"^(?:[0-2][0-9]/(?:0[1-9]|1[0-2])|30/(?:0[13-9]|1[0-2])|31/(?:0[13578]|1[02]))/[0-9]{4}$",
     r"^[0-9]{8}$",
 ]
 # ISO times with a fraction of a second, and with an offset or Z.

@@ -43,8 +43,8 @@ def conform(raw: DataFrame, mapping: dict[str, str], columns: Sequence[str]) ->
 
 def _with_dup(df: DataFrame, key: str, cut: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """``cut`` writes the cleaned rows and reads them back: the flag reads them twice,
-    and would clean and parse them twice."""
-    return duplicate_flag(cut(df) if cut else df, FILE_KEYS + [key])
+    and would clean and parse them twice.  So are the keys that repeat."""
+    return duplicate_flag(cut(df) if cut else df, FILE_KEYS + [key], written=cut is not None)
 
 
 def _controls(staged: DataFrame, source: DataFrame, table: str, ruc: str | None,
@@ -98,10 +98,12 @@ def _dates(df: DataFrame, dataset: str, votes: DataFrame | None) -> DataFrame:
     return LY.parse_dates(df, FILE_KEYS, columns, votes)
 
 
-def _clean(df: DataFrame, ids: Sequence[str], texts: Sequence[str]) -> dict[str, Column]:
-    out = {c: T.normalize_id(F.col(c)) for c in ids}
-    out.update({c: T.clean_text(F.col(c)) for c in texts})
-    return out
+def _clean(df: DataFrame, ids: Sequence[str], texts: Sequence[str]) -> DataFrame:
+    """F-1 and F-3 (``T.clean_text``, ``T.normalize_id``) in two steps, so that a text
+    is collapsed once for the test of the null tokens and for its value."""
+    df = df.withColumns({c: T.collapse_ws(F.col(c).cast("string")) for c in [*ids, *texts]})
+    return df.withColumns({**{c: T.no_float_suffix(T.null_tokens(F.col(c))) for c in ids},
+                           **{c: T.null_tokens(F.col(c)) for c in texts}})
 
 
 def stage_registros(raw: DataFrame, votes: DataFrame | None = None,
@@ -110,7 +112,7 @@ def stage_registros(raw: DataFrame, votes: DataFrame | None = None,
     ids = ["OCID", "ID_ENTREGA", "ID_COMPRADOR_ORIGINAL", "ID_LICITACION",
            "ID_ENTIDAD_CONTRATANTE_ORIGINAL"]
     texts = [x for x in SC.REGISTROS_COLUMNS if x not in ids]
-    c = _dates(c.withColumns(_clean(c, ids, texts)), "registros", votes)
+    c = _dates(_clean(c, ids, texts), "registros", votes)
     c = c.withColumns({
         "MONTO_LICITACION": N.parse_number(F.col("MONTO_LICITACION")),
         "MONTO_LICITACION_PEN": N.parse_number(F.col("MONTO_LICITACION_PEN")),
@@ -137,7 +139,7 @@ def stage_contratos(raw: DataFrame, votes: DataFrame | None = None,
     ids = ["OCID", "ID_ENTREGA", "ID_CONTRATO", "ID_ADJUDICACION"]
     texts = ["TITULO_CONTRATO", "DESCRIPCION_CONTRATO", "MONEDA_CONTRATO",
              "NOMBRE_MONEDA_CONTRATO", "MONEDA_FINAL", "NOMBRE_MONEDA_FINAL"]
-    c = _dates(c.withColumns(_clean(c, ids, texts)), "contratos", votes)
+    c = _dates(_clean(c, ids, texts), "contratos", votes)
     c = c.withColumns({n: N.parse_number(F.col(n)) for n in
                        ["DURACION_DIAS", "MONTO_CONTRATO", "MONTO_FINAL"]})
     staged = c.filter(F.col("OCID").isNotNull() & F.col("ID_CONTRATO").isNotNull()) \
@@ -150,7 +152,7 @@ def stage_proveedores(raw: DataFrame, votes: DataFrame | None = None,
                       cut: Callable | None = None) -> tuple[DataFrame, DataFrame]:
     c = conform(raw, SC.PROVEEDORES_MAP, SC.PROVEEDORES_COLUMNS)
     ids = ["OCID", "ID_ENTREGA", "ID_ADJUDICACION", "ID_PROVEEDOR_ORIGINAL"]
-    c = c.withColumns(_clean(c, ids, ["NOMBRE_PROVEEDOR_ORIGINAL"]))
+    c = _clean(c, ids, ["NOMBRE_PROVEEDOR_ORIGINAL"])
     c = c.withColumns({
         "ID_PROVEEDOR": F.col("ID_PROVEEDOR_ORIGINAL"),
         "RUC_PROVEEDOR": R.extract_ruc(F.col("ID_PROVEEDOR_ORIGINAL")),
@@ -171,7 +173,7 @@ def stage_partes(raw: DataFrame, votes: DataFrame | None = None,
     c = conform(raw, SC.PARTES_MAP, SC.PARTES_COLUMNS)
     ids = ["OCID", "ID_ENTREGA", "ID_ORGANIZACION", "IDENTIFICADOR_PRINCIPAL"]
     texts = [x for x in SC.PARTES_COLUMNS if x not in ids]
-    c = c.withColumns(_clean(c, ids, texts))
+    c = _clean(c, ids, texts)
     name = F.coalesce(F.col("NOMBRE_LEGAL_ORIGINAL"), F.col("NOMBRE_COMUN_ORIGINAL"))
     c = c.withColumns({
         "NOMBRE_ORGANIZACION_ORIGINAL": name,

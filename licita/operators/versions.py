@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
+from ..session import materialise
+
 
 def _as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -67,18 +69,20 @@ def last_non_null(value: str | Column, order: Column, name: str | None = None) -
     return out.alias(name) if name else out
 
 
-def duplicate_flag(df: DataFrame, keys: Sequence[str], name: str = "ES_DUPLICADO_CLAVE"
-                   ) -> DataFrame:
+def duplicate_flag(df: DataFrame, keys: Sequence[str], name: str = "ES_DUPLICADO_CLAVE",
+                   written: bool = False) -> DataFrame:
     """WIN-5: every member of a key that occurs more than once is flagged.
 
     Counted with a (map-side partial) aggregate and joined back on the key
     instead of a window, so a hot key never has to be buffered in one task;
     AQE splits a skewed join partition.  NULL keys are never duplicates.
+    ``written``: the keys that repeat are written and read back; where they are few,
+    as their size then tells, the rows are not exchanged for the join.
     """
     keys = list(keys)
     counts = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
               .filter(F.col("_n") > 1).select(*keys, F.lit(True).alias("_dup")))
-    out = df.join(counts, on=keys, how="left")
+    out = df.join(materialise(counts, "repeated-keys") if written else counts, on=keys, how="left")
     return out.withColumn(name, F.coalesce(F.col("_dup"), F.lit(False))).drop("_dup")
 
 
