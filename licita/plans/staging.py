@@ -78,8 +78,7 @@ def _staged_contratos(spark, sf_dir) -> DataFrame:
 
 def staging_contratos(spark, sf_dir) -> DataFrame:
     """PRJ-1..PRJ-8 + F-1/F-3/F-9/F-10/F-12 + WIN-5 on every lineitem row."""
-    staged, _ = ST.stage_contratos(raw_contratos(Tables(spark, sf_dir)))
-    return staged
+    return _staged_contratos(spark, sf_dir)
 
 
 def file_controls(spark, sf_dir) -> DataFrame:

@@ -14,6 +14,13 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_staged_contracts_read_cleaned_rows(spark):
+    df = P.staging_contratos(spark, SF_SMALL)
+    assert "RLIKE" not in _plan(df) and "l_orderkey" not in _plan(df)
+    plain, _ = ST.stage_contratos(P.raw_contratos(P.Tables(spark, SF_SMALL)))
+    assert sorted(map(str, df.collect())) == sorted(map(str, plain.select(df.columns).collect()))
+
+
 def test_the_inventory_writes_cleaned_rows(spark, monkeypatch):
     given, write = [], SK.write_months
     monkeypatch.setattr(SK, "write_months", lambda df, path: given.append(_plan(df)) or write(df, path))
