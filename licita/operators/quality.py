@@ -30,11 +30,13 @@ def union_all(dfs: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), dfs)
 
 
-def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str, relation: str) -> DataFrame:
-    """J-7: rows of ``child`` with a non-NULL FK and no parent (anti join)."""
-    c = child.select(F.col(fk).alias("_fk")).filter(F.col("_fk").isNotNull())
-    p = parent.select(F.col(pk).alias("_fk"))
-    return c.join(p, "_fk", "left_anti").agg(F.count(F.lit(1)).alias("HUERFANOS")) \
+def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str, relation: str,
+            within: Sequence[str] = ()) -> DataFrame:
+    """J-7: rows of ``child`` with a non-NULL FK and no parent (anti join).  ``within``:
+    columns of both that the key determines; rows dealt by them stay where they are."""
+    c = child.select(*within, F.col(fk).alias("_fk")).filter(F.col("_fk").isNotNull())
+    p = parent.select(*within, F.col(pk).alias("_fk"))
+    return c.join(p, [*within, "_fk"], "left_anti").agg(F.count(F.lit(1)).alias("HUERFANOS")) \
         .select(F.lit(relation).alias("RELACION"), "HUERFANOS")
 
 
@@ -49,6 +51,11 @@ def without_match(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Dat
     return left.join(right.select(*keys).distinct(), list(keys), "left_anti")
 
 
+def distinct_count(df: DataFrame, key: str, within: Sequence[str] = ()) -> DataFrame:
+    """One row ``n``: the number of non-NULL keys (``within``: see ``orphans``)."""
+    return df.select(*within, key).filter(F.col(key).isNotNull()).distinct().agg(F.count(F.lit(1)).alias("n"))
+
+
 def status(ok: Column) -> Column:
     return F.when(ok, F.lit(OK)).otherwise(F.lit(REVIEW))
 

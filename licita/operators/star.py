@@ -330,14 +330,14 @@ BRIDGE_COLUMNS = ["CLAVE_CONTRATO", "CLAVE_PROVEEDOR", "ID_PROVEEDOR", "RUC_PROV
 
 
 def bridge_contrato_proveedor(contracts: DataFrame, suppliers: DataFrame,
-                              one_row_per_key: bool = False) -> DataFrame:
+                              one_row_per_key: bool = False, process: bool = False) -> DataFrame:
     """J-4 + SET-3: contract x supplier on (OCID, award), distinct.
 
     ``one_row_per_key`` keeps one row per (contract, supplier) -- the newest
     name -- so the warehouse primary key holds (trap: the reference's DISTINCT
     keeps name variants as separate rows).  ``contracts`` has a contract once,
     so its OCID may stand among the columns of the distinct: rows joined on
-    OCID are then not dealt out again.
+    OCID are then not dealt out again.  ``process``: with the contract's OCID.
     """
     c = contracts.select("CLAVE_CONTRATO", "OCID", "ID_ADJUDICACION")
     s = suppliers.filter(F.col("CLAVE_PROVEEDOR").isNotNull()).select(
@@ -346,7 +346,8 @@ def bridge_contrato_proveedor(contracts: DataFrame, suppliers: DataFrame,
     j = c.join(s, (F.col("OCID") == F.col("_s_ocid")) &
                (F.col("ID_ADJUDICACION") == F.col("_s_adj")), "inner")
     if not one_row_per_key:
-        return j.select("OCID", *BRIDGE_COLUMNS).distinct().drop("OCID")
+        rows = j.select("OCID", *BRIDGE_COLUMNS).distinct()
+        return rows if process else rows.drop("OCID")
     return latest_by(j.select(*BRIDGE_COLUMNS, "ANIO_ARCHIVO", "MES_ARCHIVO"),
                      ["CLAVE_CONTRATO", "CLAVE_PROVEEDOR"],
                      [F.col("ANIO_ARCHIVO"), F.col("MES_ARCHIVO")]) \

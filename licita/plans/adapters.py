@@ -143,8 +143,11 @@ def stg_registros(t: Tables, dealt: str | None = None) -> DataFrame:
     """
     o = t("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                            "o_orderdate", "o_orderpriority")
-    if dealt:
-        o = dealt_by(o, F.col("o_orderkey").cast("string") if dealt == "OCID" else F.col(dealt))
+    if dealt == "OCID":
+        o = dealt_by(o.withColumn("OCID", F.col("o_orderkey").cast("string")), "OCID")
+    elif dealt:
+        o = dealt_by(o, dealt)
+    ocid = F.col("OCID") if dealt == "OCID" else F.col("o_orderkey").cast("string")
     ok, ck = F.col("o_orderkey"), F.col("o_custkey")
     od = F.col("o_orderdate")
     tags = F.explode(F.array(F.lit(0), F.when(ok % 3 == 0, F.lit(1)),
@@ -166,7 +169,7 @@ def stg_registros(t: Tables, dealt: str | None = None) -> DataFrame:
     cat = _null_when((v == 1) | (ok % 8 == 0), cat)
     method = _null_when((v == 2) | (ok % 10 == 0), F.col("o_orderpriority"))
     base = o.select(
-        ok.cast("string").alias("OCID"),
+        ocid.alias("OCID"),
         F.col("o_orderstatus").alias("ID_ENTREGA"),
         _null_when(ok % 4 == 0, od, "timestamp_ntz").alias("FECHA_ENTREGA"),
         (od - F.expr("INTERVAL 2 DAYS")).alias("FECHA_PUBLICACION"),
@@ -219,25 +222,26 @@ def stg_proveedores(t: Tables, dealt: bool = False) -> DataFrame:
         F.when(F.col("l_linenumber") == 1,
                F.struct((F.col("l_suppkey") + 1).alias("k"), F.lit(True).alias("alt")))))
     l = l.select("*", target.alias("_t")).filter(F.col("_t").isNotNull())
-    s = t("supplier").select("s_suppkey", "s_name")
-    both = l.join(s, F.col("_t.k") == F.col("s_suppkey"), "inner") \
-        .withColumn("_name", F.when(F.col("_t.alt"), F.lower("s_name")).otherwise(F.col("s_name")))
     sk = F.col("s_suppkey")
-    ruc = _null_when(sk % 6 == 0, synthetic_ruc(sk))
+    # what the supplier alone determines is worked out once a supplier, not once a line
+    s = t("supplier").select("s_suppkey", "s_name", F.lower("s_name").alias("_alt_name"),
+                             _null_when(sk % 6 == 0, synthetic_ruc(sk)).alias("_ruc"))
+    s = s.withColumns({"_valid": R.validate_ruc(F.col("_ruc")), "_std": T.standard_name(F.col("s_name")),
+                       "_alt_std": T.standard_name(F.col("_alt_name"))})
+    both = l.join(s, F.col("_t.k") == F.col("s_suppkey"), "inner")
+    alt = F.col("_t.alt")
     y, m = _period(F.col("l_shipdate"))
-    base = both.select(
+    return both.select(
         _line_ocid().alias("OCID"),
         F.col("l_linestatus").alias("ID_ENTREGA"),
         F.col("l_suppkey").cast("string").alias("ID_ADJUDICACION"),
         sk.cast("string").alias("ID_PROVEEDOR"),
-        F.col("_name").alias("NOMBRE_PROVEEDOR_ORIGINAL"),
-        ruc.alias("RUC_PROVEEDOR"),
+        F.when(alt, F.col("_alt_name")).otherwise(F.col("s_name")).alias("NOMBRE_PROVEEDOR_ORIGINAL"),
+        F.col("_ruc").alias("RUC_PROVEEDOR"),
+        F.col("_valid").alias("RUC_PROVEEDOR_VALIDO"),
+        F.when(alt, F.col("_alt_std")).otherwise(F.col("_std")).alias("NOMBRE_PROVEEDOR_ESTANDAR"),
         y.alias("ANIO_ARCHIVO"), m.alias("MES_ARCHIVO"),
-        _file(F.col("l_shipdate")).alias("ARCHIVO_ORIGEN"))
-    derived = {"RUC_PROVEEDOR_VALIDO": R.validate_ruc(F.col("RUC_PROVEEDOR")),
-               "NOMBRE_PROVEEDOR_ESTANDAR": T.standard_name(F.col("NOMBRE_PROVEEDOR_ORIGINAL"))}
-    return base.select(*[derived[c].alias(c) if c in derived else F.col(c)
-                         for c in SUPPLIER_COLUMNS])
+        _file(F.col("l_shipdate")).alias("ARCHIVO_ORIGEN")).select(*SUPPLIER_COLUMNS)
 
 
 def stg_partes(t: Tables, dealt: bool = False) -> DataFrame:
@@ -248,28 +252,31 @@ def stg_partes(t: Tables, dealt: bool = False) -> DataFrame:
     o = t("orders").select("o_orderkey", "o_custkey", "o_orderdate")
     if dealt:
         o = dealt_by(o, "o_custkey")
-    c = t("customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    ok, ck = F.col("o_orderkey"), F.col("c_custkey")
+    ruc = F.col("_ruc")
+    # what the customer alone determines is worked out once a customer, not once an order
+    c = t("customer").select("c_custkey", "c_name", "c_nationkey", T.catalog_value(F.col("c_mktsegment")).alias("_segment"),
+                             T.standard_name(F.col("c_name")).alias("_std"),
+                             _null_when(ck % 4 == 0, synthetic_ruc(ck)).alias("_ruc"))
+    c = c.withColumn("_valid", R.validate_ruc(ruc))
     n = t("nation").select("n_nationkey", "n_name", "n_regionkey")
     r = t("region").select("r_regionkey", "r_name")
     j = (o.join(c, F.col("o_custkey") == F.col("c_custkey"), "inner")
          .join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"), "inner")
          .join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey"), "inner"))
-    ok, ck = F.col("o_orderkey"), F.col("c_custkey")
-    ruc = _null_when(ck % 4 == 0, synthetic_ruc(ck))
     ident = ck.cast("string")
-    std_name = T.standard_name(F.col("c_name"))
     y, m = _period(F.col("o_orderdate"))
     roles = (F.when(ck % 4 == 0, "buyer, procuringEntity").when(ck % 4 == 1, "supplier")
              .when(ck % 4 == 2, "Proveedor / Comprador").otherwise(_null_when(ok % 2 == 0, F.lit("tenderer"))))
     roles_std = T.catalog_value(roles)
-    out = j.select(
+    return j.select(
         ok.cast("string").alias("OCID"),
         F.lit("F").alias("ID_ENTREGA"),
         ident.alias("ID_ORGANIZACION"),
         ruc.alias("RUC_ORGANIZACION"),
         F.col("c_name").alias("NOMBRE_ORGANIZACION_ORIGINAL"),
-        std_name.alias("NOMBRE_ORGANIZACION_ESTANDAR"),
-        _null_when(ok % 4 == 1, T.catalog_value(F.col("c_mktsegment"))).alias("DIRECCION_ESTANDAR"),
+        F.col("_std").alias("NOMBRE_ORGANIZACION_ESTANDAR"),
+        _null_when(ok % 4 == 1, F.col("_segment")).alias("DIRECCION_ESTANDAR"),
         _null_when(ck % 5 == 0, F.concat(F.lit("LOC "), (ck % 17).cast("string")))
         .alias("LOCALIDAD_ESTANDAR"),
         _null_when(ok % 6 == 0, F.col("r_name")).alias("REGION_ESTANDAR"),
@@ -281,5 +288,4 @@ def stg_partes(t: Tables, dealt: bool = False) -> DataFrame:
         T.is_supplier_role(roles_std).alias("ES_PROVEEDOR"),
         F.when(ruc.isNotNull(), F.concat(F.lit("RUC|"), ruc))
         .otherwise(F.concat(F.lit("ID|"), ident)).alias("CLAVE_ORGANIZACION"),
-        y.alias("ANIO_ARCHIVO"), m.alias("MES_ARCHIVO"))
-    return out.withColumn("RUC_VALIDO", R.validate_ruc(F.col("RUC_ORGANIZACION")))
+        y.alias("ANIO_ARCHIVO"), m.alias("MES_ARCHIVO"), F.col("_valid").alias("RUC_VALIDO"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators import star as S
 from ..operators.versions import duplicate_flag, extra_copy_count, latest_by
-from ..session import checkpoint_dir, cut_exchanges, materialise, materialise_dealt
+from ..session import checkpoint_dir, compiled_code, cut_exchanges, materialise, materialise_dealt
 from . import adapters as A
 
 
@@ -119,29 +119,37 @@ class WrittenStar:
     is computed once, and joins know their sizes.  ``fact_columns``: those that
     the query reads (default: all).  ``dealt``: the fact stays dealt by OCID, as it
     was made, for joins of its wide rows; that of large tables always does, for
-    the bridge's."""
+    the bridge's, and their bridge too, with its OCID.  ``bridge_columns``: those that
+    the query reads of the bridge's distinct rows (default: all)."""
 
-    def __init__(self, star: CuratedStar, fact_columns: list[str] | None = None, dealt: bool = False):
+    def __init__(self, star: CuratedStar, fact_columns: list[str] | None = None, dealt: bool = False,
+                 bridge_columns: list[str] | None = None):
         checkpoint_dir(star.t.spark)
         self._star = star
         self._fact_columns = fact_columns or S.FACT_COLUMNS
+        self._bridge_columns = bridge_columns or S.BRIDGE_COLUMNS
         self._dealt = dealt or star.cut
 
+    def _written(self, df, name, dealt=False):
+        with compiled_code(df.sparkSession):
+            return materialise_dealt(df, "OCID", name) if dealt else materialise(df, name)
+
     @cached_property
     def dim_organizacion(self):
-        return materialise(self._star.dim_organizacion, "dim_org")
+        return self._written(self._star.dim_organizacion, "dim_org")
 
     @cached_property
     def fact(self):
         s = self._star  # the written master, not the one that would be computed again
         fact = S.fact_contrato(s.contrato_actual, s.registro_actual_clave, s.registro_actual_ocid,
                                self.dim_organizacion, s.stg_registros).select(*self._fact_columns)
-        return materialise_dealt(fact, "OCID", "fact") if self._dealt else materialise(fact, "fact")
+        return self._written(fact, "fact", self._dealt)
 
     @cached_property
     def bridge(self):
         # the fact has every current contract once: its keys stand for the contracts
-        return materialise(S.bridge_contrato_proveedor(self.fact, self._star.proveedor_actual), "bridge")
+        bridge = S.bridge_contrato_proveedor(self.fact, self._star.proveedor_actual, process=True)
+        return self._written(bridge.select("OCID", *self._bridge_columns), "bridge", self._star.cut)
 
     @cached_property
     def dim_ubicacion(self):
@@ -180,8 +188,13 @@ DIM_COLUMNS = ["CLAVE_MONEDA", "MONEDA_CONTRATO", "NOMBRE_MONEDA_CONTRATO", "CLA
                "CATEGORIA_PRINCIPAL", "CLAVE_METODO", "METODO_CONTRATACION", "DETALLE_METODO_CONTRATACION"]
 
 
-def written_star(spark, sf_dir, *fact_columns: str) -> WrittenStar:
-    return WrittenStar(CuratedStar(spark, sf_dir), [*STAR_COLUMNS, *fact_columns])
+# A contract's key determines its process (see ``CuratedStar.contrato_actual``): keys of
+# fact and bridge are compared within it, where the written rows are.
+PROCESS = ["OCID"]
+
+
+def written_star(spark, sf_dir, *fact_columns: str, bridge_columns: list[str] | None = None) -> WrittenStar:
+    return WrittenStar(CuratedStar(spark, sf_dir), [*STAR_COLUMNS, *fact_columns], bridge_columns=bridge_columns)
 
 
 def curated_star(spark, sf_dir) -> CuratedStar:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import quality as Q
 from ..operators import reports as R
-from .curated import DIM_COLUMNS, curated_star, written_star
+from .curated import DIM_COLUMNS, PROCESS, curated_star, written_star
 
 # Indicator names of the curated quality control, in order.
 CURATED_INDICATORS = [
@@ -57,7 +57,8 @@ def supplier_list_per_contract(spark, sf_dir) -> DataFrame:
 
 def indicators(spark, sf_dir) -> DataFrame:
     """AGG-4: the 18 curated indicators as INDICADOR / VALOR rows."""
-    st = written_star(spark, sf_dir, "TIPO_RELACION_REGISTRO", *DIM_COLUMNS)
+    st = written_star(spark, sf_dir, "TIPO_RELACION_REGISTRO", *DIM_COLUMNS,
+                      bridge_columns=["CLAVE_CONTRATO", "CLAVE_PROVEEDOR"])
     n = F.count(F.lit(1))
     names = CURATED_INDICATORS
 
@@ -66,12 +67,14 @@ def indicators(spark, sf_dir) -> DataFrame:
     parts = [
         Q.indicator_rows(st["stg_contratos"], {names[0]: n}, 0),
         Q.indicator_rows(st["fact"], {
-            names[1]: n, names[2]: F.count_distinct("CLAVE_CONTRATO"),
+            names[1]: n}, 1),
+        Q.indicator_rows(Q.distinct_count(st["fact"], "CLAVE_CONTRATO", PROCESS), {names[2]: F.sum("n")}, 2),
+        Q.indicator_rows(st["fact"], {
             names[3]: cnt_if(F.col("CLAVE_ENTIDAD").isNull()),
             names[4]: cnt_if(F.col("TIPO_RELACION_REGISTRO") == "RESPALDO_OCID"),
-            names[5]: cnt_if(F.col("TIPO_RELACION_REGISTRO") == "SIN_REGISTRO")}, 1),
-        Q.indicator_rows(st["bridge"], {names[6]: n,
-                                        names[7]: F.count_distinct("CLAVE_CONTRATO")}, 6),
+            names[5]: cnt_if(F.col("TIPO_RELACION_REGISTRO") == "SIN_REGISTRO")}, 3),
+        Q.indicator_rows(st["bridge"], {names[6]: n}, 6),
+        Q.indicator_rows(Q.distinct_count(st["bridge"], "CLAVE_CONTRATO", PROCESS), {names[7]: F.sum("n")}, 7),
         Q.indicator_rows(st["dim_organizacion"], {
             names[8]: n, names[11]: cnt_if(F.col("CLAVE_UBICACION").isNotNull())}, 8),
         Q.indicator_rows(st["dim_entidad"], {
