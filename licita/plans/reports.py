@@ -103,7 +103,7 @@ def orphans_and_anti(spark, sf_dir) -> DataFrame:
     """J-6 + J-7 on the test tables and on the star."""
     from .adapters import Tables
     t = Tables(spark, sf_dir)
-    st = written_star(spark, sf_dir)
+    st = written_star(spark, sf_dir, bridge_columns=["CLAVE_CONTRATO"])
     parts = [
         Q.orphans(t("lineitem"), "l_orderkey", t("orders"), "o_orderkey", "lineitem->orders"),
         Q.orphans(t("orders"), "o_custkey", t("customer"), "c_custkey", "orders->customer"),
@@ -111,7 +111,7 @@ def orphans_and_anti(spark, sf_dir) -> DataFrame:
         Q.orphans(st["fact"], "CLAVE_ENTIDAD", st["dim_organizacion"], "CLAVE_ORGANIZACION",
                   "fact->dim_entidad"),
         Q.orphans(st["bridge"], "CLAVE_CONTRATO", st["fact"], "CLAVE_CONTRATO",
-                  "bridge->fact"),
+                  "bridge->fact", PROCESS),
         Q.orphans(st["dim_organizacion"], "CLAVE_UBICACION", st["dim_ubicacion"],
                   "CLAVE_UBICACION", "organizacion->ubicacion"),
         Q.without_match(t("orders").select("o_orderkey"),
@@ -122,7 +122,7 @@ def orphans_and_anti(spark, sf_dir) -> DataFrame:
                         t("orders").select(F.col("o_custkey").alias("c_custkey")),
                         ["c_custkey"]).agg(F.count(F.lit(1)).alias("HUERFANOS"))
         .select(F.lit("customer sin orders").alias("RELACION"), "HUERFANOS"),
-        Q.without_match(st["fact"].select("CLAVE_CONTRATO"), st["bridge"], ["CLAVE_CONTRATO"])
+        Q.without_match(st["fact"].select(*PROCESS, "CLAVE_CONTRATO"), st["bridge"], [*PROCESS, "CLAVE_CONTRATO"])
         .agg(F.count(F.lit(1)).alias("HUERFANOS"))
         .select(F.lit("contratos sin proveedor").alias("RELACION"), "HUERFANOS"),
     ]

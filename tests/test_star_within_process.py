@@ -23,8 +23,8 @@ def _cut(spark, monkeypatch):
     monkeypatch.setattr(SE, "ROWS_PER_TASK", 500)  # the small tables count as large
 
 
-def test_indicators_do_not_exchange_contract_keys(spark, monkeypatch):
-    plain = {q: sorted(map(str, q(spark, SF_SMALL).collect())) for q in (RP.indicators,)}
+def test_indicators_and_orphans_do_not_exchange_contract_keys(spark, monkeypatch):
+    plain = {q: sorted(map(str, q(spark, SF_SMALL).collect())) for q in (RP.indicators, RP.orphans_and_anti)}
     _cut(spark, monkeypatch)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
