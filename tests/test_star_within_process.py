@@ -8,6 +8,7 @@ from licita.operators import quality as Q
 from licita.plans import adapters as A
 from licita.plans import curated as C
 from licita.plans import reports as RP
+from licita.plans import warehouse as WP
 from pyspark.sql import functions as F
 
 
@@ -73,3 +74,9 @@ def test_suppliers_and_customers_are_standardised_once_each(spark, tmp_path):
         assert got and all(r[standard] == r._s and r[valid] == r._v for r in got)
         tree = df.select(standard)._jdf.queryExecution().optimizedPlan().toString()
         assert tree.index("Join") < tree.index("regexp_replace")
+
+
+def test_the_entity_is_looked_up_last(spark):
+    w = WP.Warehouse(spark, SF_SMALL, {})
+    plan = w.fact.select("EntidadKey", "MetodoKey")._jdf.queryExecution().analyzed().toString()
+    assert plan.index("CLAVE_ENTIDAD#") < plan.index("_MetodoKey_bk")
