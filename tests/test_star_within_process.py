@@ -76,6 +76,20 @@ def test_suppliers_and_customers_are_standardised_once_each(spark, tmp_path):
         assert tree.index("Join") < tree.index("regexp_replace")
 
 
+def test_contract_keys_come_to_the_bridge_of_the_process(spark, monkeypatch):
+    plain = {WP.bridge_keys: sorted(map(str, WP.bridge_keys(spark, SF_SMALL).collect()))}
+    _cut(spark, monkeypatch)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for query, rows in plain.items():
+            df = query(spark, SF_SMALL)
+            assert not [k for k in _exchanged(df) if "ClaveContrato" in k or "CLAVE_CONTRATO" in k], query
+            assert sorted(map(str, df.collect())) == rows
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        SE.cut_exchanges(spark, 0)
+
+
 def test_the_entity_is_looked_up_last(spark):
     w = WP.Warehouse(spark, SF_SMALL, {})
     plan = w.fact.select("EntidadKey", "MetodoKey")._jdf.queryExecution().analyzed().toString()
